@@ -75,8 +75,16 @@ def clear_cache() -> None:
     _CACHE.clear()
 
 
+def round_half_up(c, digits: int = 6):
+    """floor(x * 10^d + 0.5) / 10^d: plain IEEE double arithmetic, so any
+    engine given the same double returns the same rounded double (unlike
+    decimal-string rounding, which differs at exact ties)."""
+    scale = float(10 ** digits)
+    return F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column (display / oracle comparison only)."""
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
+    return df.select(*[round_half_up(F.col(f.name), digits).alias(f.name)
                        if f.dataType.typeName() == "double" else F.col(f.name)
                        for f in df.schema.fields])

@@ -1,10 +1,245 @@
-"""Operator-level catalogue queries (sources, joins, cleaning, features)."""
+"""Operator-level catalogue queries (sources, joins, cleaning, features,
+splits, metrics, forecast rules). Each takes a PanelContext and returns a
+DataFrame over the whole derived panel."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopcast.functions.calendar import week_start_sunday
+from shopcast.functions.stats import with_scalars
+from shopcast.operators import clean as C
+from shopcast.operators import features as FE
+from shopcast.operators import forecast as FC
+from shopcast.operators import metrics as M
+from shopcast.operators import profile as PR
+from shopcast.operators import sampling as S
+from shopcast.operators.joins import merge_store
 from shopcast.plans.context import PanelContext
+from shopcast.sources.readers import parse_trend, state_lookup
 
-OPERATOR_QUERIES: dict = {}
+GAP = ["Mean_TemperatureC", "Precipitationmm", "TrendState", "TrendDE"]
+SAMPLE_STORES = 60
+
+
+def panel_join(ctx: PanelContext) -> DataFrame:                          # J01
+    return merge_store(ctx.inputs.daily, ctx.inputs.store)
+
+
+def state_lookup_q(ctx: PanelContext) -> DataFrame:                      # S04/J02
+    return state_lookup(ctx.inputs.store_states, ctx.inputs.state_names)
+
+
+def weather_join(ctx: PanelContext) -> DataFrame:                        # J03
+    return ctx.raw.select("Store", "Date", "State", "Mean_TemperatureC", "Precipitationmm")
+
+
+def trend_week_join(ctx: PanelContext) -> DataFrame:                     # J04/J05
+    return ctx.raw.select("Store", "Date", week_start_sunday(F.col("Date")).alias("WeekStart"),
+                          "TrendState", "TrendDE")
+
+
+def trend_parse(ctx: PanelContext) -> DataFrame:                         # S06
+    per_state, national = parse_trend(ctx.inputs.trend_raw)
+    return (per_state.select(F.lit("state").alias("kind"), "State", "WeekStart",
+                             F.col("TrendState").alias("trend"))
+            .unionByName(national.select(F.lit("national").alias("kind"), F.lit("").alias("State"),
+                                         "WeekStart", F.col("TrendDE").alias("trend"))))
+
+
+def date_spine(ctx: PanelContext) -> DataFrame:                          # S12
+    start = ctx.inputs.daily.agg(F.date_add(F.max("Date"), 1).alias("_start"))
+    stores = with_scalars(ctx.inputs.store.select("Store"), start)
+    return FC.request_template(stores, F.col("_start"))
+
+
+def profile(ctx: PanelContext) -> DataFrame:                             # S15
+    return PR.frame_profile(ctx.raw)
+
+
+def missing_report(ctx: PanelContext) -> DataFrame:                      # A10
+    return PR.missing_value_report(ctx.raw)
+
+
+def outlier_report(ctx: PanelContext) -> DataFrame:                      # A11
+    return PR.outlier_report(ctx.clean)
+
+
+def _requests(ctx: PanelContext) -> DataFrame:
+    e = ctx.test
+    date_txt = F.when(F.col("Open").isNull(), F.lit("not-a-date")).otherwise(F.date_format("Date", "yyyy-MM-dd"))
+    by_store = e.select(F.concat(F.lit("store-"), F.col("Store").cast("string")).alias("request_id"),
+                        "Store", date_txt.alias("Date"))
+    by_type = e.select(F.concat(F.lit("type-"), F.col("StoreType")).alias("request_id"),
+                       "Store", date_txt.alias("Date"))
+    return by_store.unionByName(by_type)
+
+
+def request_validation(ctx: PanelContext) -> DataFrame:                  # S11
+    return FC.validate_requests(_requests(ctx))
+
+
+def clean_missing(ctx: PanelContext) -> DataFrame:                       # C01
+    return C.clean_missing(ctx.raw)
+
+
+def fill_forward_back(ctx: PanelContext) -> DataFrame:                   # W01/W02
+    return C.fill_forward_back(ctx.raw.select("Store", "Date", *GAP), GAP, scope="store")
+
+
+def fill_frame_scope(ctx: PanelContext) -> DataFrame:                    # W02 (frame)
+    return C.fill_forward_back(ctx.raw.select("Store", "Date", *GAP), GAP, scope="frame")
+
+
+def _trading(ctx: PanelContext) -> DataFrame:
+    return C.trading_days(C.clean_missing(ctx.raw))
+
+
+def trading_days(ctx: PanelContext) -> DataFrame:                        # P03
+    return _trading(ctx).select("Store", "Date", "Sales", "Customers")
+
+
+def chrono_split(ctx: PanelContext) -> DataFrame:                        # P04
+    s = S.chrono_split(_trading(ctx).select("Store", "Date"))
+    return s.groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
+                                  F.min("Date").alias("first_date"), F.max("Date").alias("last_date"),
+                                  F.countDistinct("Store").cast("bigint").alias("stores"))
+
+
+def store_sample(ctx: PanelContext) -> DataFrame:                        # P05/P07
+    t = _trading(ctx)
+    kept = S.keep_stores(t, S.sample_stores(ctx.raw, SAMPLE_STORES))
+    return kept.groupBy("Store").agg(F.count(F.lit(1)).cast("bigint").alias("trading_days"))
+
+
+def outlier_fence(ctx: PanelContext) -> DataFrame:                       # A06
+    return C.outlier_fences(_trading(ctx))
+
+
+def _outliers(ctx: PanelContext, strategy: str) -> DataFrame:
+    return C.handle_outliers(_trading(ctx), strategy=strategy)
+
+
+def outlier_flag(ctx: PanelContext) -> DataFrame:                        # C02 flag
+    return _outliers(ctx, "flag").select("Store", "Date", "Sales", "IsSalesOutlier")
+
+
+def outlier_cap(ctx: PanelContext) -> DataFrame:                         # C02 cap
+    return _outliers(ctx, "cap").select("Store", "Date", "Sales", "IsSalesOutlier")
+
+
+def outlier_remove(ctx: PanelContext) -> DataFrame:                      # C02 remove
+    return _outliers(ctx, "remove").select("Store", "Date", "Sales")
+
+
+DATE_COLS = ["Year", "Month", "Day", "WeekOfYear", "DayOfYear", "Quarter", "DayOfWeek", "IsWeekend", "IsSunday",
+             "DaysInMonth", "IsMonthStart", "IsMidMonth", "IsMonthEnd", "MonthPhase", "DaysToMonthEnd",
+             "IsPayWeek", "MonthSin", "MonthCos", "DayOfWeekSin", "DayOfWeekCos", "DayOfYearSin",
+             "DayOfYearCos", "TimeIndex", "IsDecember", "DaysToChristmas", "IsChristmasRunUp"]
+COMP_COLS = ["CompetitionOpenMonths", "CompetitionIsNew", "CompetitionNotYetOpen", "CompetitionDistanceLog",
+             "IsCityCentre"]
+PROMO2_COLS = ["IsPromo2Active", "Promo2ActiveWeeks", "PromoAndPromo2", "AnyPromo"]
+
+
+def date_features(ctx: PanelContext) -> DataFrame:                       # C04
+    return ctx.clean.select("Store", "Date", *DATE_COLS)
+
+
+def holiday_calendar(ctx: PanelContext) -> DataFrame:                    # U01
+    return ctx.calendar
+
+
+def holiday_distance(ctx: PanelContext) -> DataFrame:                    # J06/C05
+    return FE.holiday_distance(ctx.raw.select("Date"), ctx.calendar)
+
+
+def holiday_flags(ctx: PanelContext) -> DataFrame:                       # F08
+    return ctx.clean.select("Store", "Date", *FE.HOLIDAY_COLUMNS)
+
+
+def competition_features(ctx: PanelContext) -> DataFrame:                # F09-F10
+    return ctx.clean.select("Store", "Date", *COMP_COLS)
+
+
+def promo2_active(ctx: PanelContext) -> DataFrame:                       # F11-F14
+    return ctx.clean.select("Store", "Date", *PROMO2_COLS)
+
+
+def _aggs(ctx: PanelContext) -> FE.StoreAggregates:
+    return FE.fit_store_aggregates(ctx.clean)
+
+
+def store_stats(ctx: PanelContext) -> DataFrame:                         # C07
+    return _aggs(ctx).stores.select("Store", *FE.STORE_STAT_COLUMNS)
+
+
+def _keyed(ctx: PanelContext, col: str, key: str, name: str) -> DataFrame:
+    return _aggs(ctx).stores.select("Store", F.explode(col).alias(key, name))
+
+
+def store_dow_mean(ctx: PanelContext) -> DataFrame:
+    return _keyed(ctx, "_dow", "DayOfWeek", "StoreDowMeanSales")
+
+
+def store_promo_mean(ctx: PanelContext) -> DataFrame:
+    return _keyed(ctx, "_promo", "Promo", "StorePromoMeanSales")
+
+
+def store_month_mean(ctx: PanelContext) -> DataFrame:
+    return _keyed(ctx, "_month", "Month", "StoreMonthMeanSales")
+
+
+def store_aggregates_joined(ctx: PanelContext) -> DataFrame:             # J07/F16
+    return ctx.clean.select("Store", "Date", *FE.STORE_LOOKUP_COLUMNS, "DowSalesIndex", "MonthSalesIndex")
+
+
+def _split_naive(ctx: PanelContext):
+    t = S.chrono_split(ctx.clean)
+    train, valid = t.filter(F.col("split") == "train"), t.filter(F.col("split") == "valid")
+    aggs = FE.fit_store_aggregates(train)
+    return train, valid, aggs
+
+
+def metrics_bundle(ctx: PanelContext) -> DataFrame:                      # A21
+    _, valid, aggs = _split_naive(ctx)
+    return M.evaluate(FC.naive_forecast(valid, aggs), "Sales", "PredictedSales")
+
+
+def interval_coverage(ctx: PanelContext) -> DataFrame:                   # M14
+    train, valid, _ = _split_naive(ctx)
+    iv = FC.empirical_interval(train)
+    return M.interval_coverage(valid.join(iv, ["Store", "DayOfWeek"], "left"), "Sales", "lower", "upper")
+
+
+def _future_scored(ctx: PanelContext) -> DataFrame:
+    e = C.clean_missing(ctx.test).withColumn("Month", F.month("Date"))
+    return FC.naive_forecast(e, _aggs(ctx))
+
+
+def customers_estimate(ctx: PanelContext) -> DataFrame:                  # C09
+    return FC.customers_estimate(_future_scored(ctx)).select("Id", "Store", "Date", "PredictedSales",
+                                                             "PredictedCustomers")
+
+
+def closed_rule(ctx: PanelContext) -> DataFrame:                         # C10
+    f = FC.customers_estimate(_future_scored(ctx))
+    return FC.closed_rule(f).select("Id", "Store", "Date", "Open", "PredictedSales", "PredictedCustomers")
+
+
+OPERATOR_QUERIES = {
+    "panel_join": panel_join, "state_lookup": state_lookup_q, "weather_join": weather_join,
+    "trend_week_join": trend_week_join, "trend_parse": trend_parse, "date_spine": date_spine,
+    "profile": profile, "missing_report": missing_report, "outlier_report": outlier_report,
+    "request_validation": request_validation, "clean_missing": clean_missing,
+    "fill_forward_back": fill_forward_back, "fill_frame_scope": fill_frame_scope,
+    "trading_days": trading_days, "chrono_split": chrono_split, "store_sample": store_sample,
+    "outlier_fence": outlier_fence, "outlier_flag": outlier_flag, "outlier_cap": outlier_cap,
+    "outlier_remove": outlier_remove, "date_features": date_features, "holiday_calendar": holiday_calendar,
+    "holiday_distance": holiday_distance, "holiday_flags": holiday_flags,
+    "competition_features": competition_features, "promo2_active": promo2_active,
+    "store_stats": store_stats, "store_dow_mean": store_dow_mean, "store_promo_mean": store_promo_mean,
+    "store_month_mean": store_month_mean, "store_aggregates_joined": store_aggregates_joined,
+    "metrics_bundle": metrics_bundle, "interval_coverage": interval_coverage,
+    "customers_estimate": customers_estimate, "closed_rule": closed_rule,
+}

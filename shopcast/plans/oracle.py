@@ -131,7 +131,7 @@ C AS (
     AS IsSalesOutlier
   FROM P LEFT JOIN fence f ON f.Store = P.Store)"""
 
-_2PI = "6.283185307179586"
+_2PI = "6.283185307179586E0"
 
 FEATURES = """
 cal AS (

@@ -2,6 +2,174 @@
 
 from __future__ import annotations
 
+from shopcast.plans.oracle import GAP_COLS, with_clean, with_raw, with_t
+from shopcast.plans.oracle_questions import final
+
+# Schema of the joined raw frame R (column, Spark simple type name).
+R_SCHEMA = [("Store", "int"), ("DayOfWeek", "int"), ("Date", "date"), ("Sales", "bigint"),
+            ("Customers", "bigint"), ("Open", "int"), ("Promo", "int"), ("StateHoliday", "string"),
+            ("SchoolHoliday", "int"), ("StoreType", "string"), ("Assortment", "string"),
+            ("CompetitionDistance", "double"), ("CompetitionOpenSinceMonth", "int"),
+            ("CompetitionOpenSinceYear", "int"), ("Promo2", "int"), ("Promo2SinceWeek", "int"),
+            ("Promo2SinceYear", "int"), ("PromoInterval", "string"), ("State", "string"),
+            ("Mean_TemperatureC", "double"), ("Precipitationmm", "double"), ("TrendState", "int"),
+            ("TrendDE", "int")]
+
+DATE_COLS = ["Year", "Month", "Day", "WeekOfYear", "DayOfYear", "Quarter", "DayOfWeek", "IsWeekend", "IsSunday",
+             "DaysInMonth", "IsMonthStart", "IsMidMonth", "IsMonthEnd", "MonthPhase", "DaysToMonthEnd",
+             "IsPayWeek", "MonthSin", "MonthCos", "DayOfWeekSin", "DayOfWeekCos", "DayOfYearSin",
+             "DayOfYearCos", "TimeIndex", "IsDecember", "DaysToChristmas", "IsChristmasRunUp"]
+TRIG = ["MonthSin", "MonthCos", "DayOfWeekSin", "DayOfWeekCos", "DayOfYearSin", "DayOfYearCos"]
+STAT_COLS = ["StoreMeanSales", "StoreMedianSales", "StoreStdSales", "StoreMaxSales", "StoreOpenDays",
+             "StoreMeanCustomers", "StoreSalesPerCustomer"]
+
+_FFB = """COALESCE(last_value({c} IGNORE NULLS) OVER (PARTITION BY Store ORDER BY Date
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+               first_value({c} IGNORE NULLS) OVER (PARTITION BY Store ORDER BY Date
+                 ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
+
+SPLIT = """, cut AS (SELECT max(Date) - 42 AS cutoff FROM T),
+tr AS (SELECT T.* FROM T, cut WHERE Date <= cutoff AND Open = 1 AND Sales > 0),
+va AS (SELECT T.* FROM T, cut WHERE Date > cutoff),
+tdow AS (SELECT Store, DayOfWeek, avg(Sales) AS m FROM tr GROUP BY 1, 2),
+tg AS (SELECT avg(Sales) AS g FROM tr)"""
+
+FUTURE_SCORED = """, ec AS (SELECT Id, Store, Date, DayOfWeek, CAST(COALESCE(Open, 1) AS INTEGER) AS Open FROM E),
+gr AS (SELECT CAST(sum(Sales) AS DOUBLE) / GREATEST(sum(Customers), 1) AS ratio FROM fit_rows),
+fs AS (
+  SELECT ec.*, COALESCE(sdow.StoreDowMeanSales, gm.g) AS PredictedSales,
+    COALESCE(st.StoreSalesPerCustomer, gr.ratio) AS ratio
+  FROM ec LEFT JOIN sdow ON sdow.Store = ec.Store AND sdow.DayOfWeek = ec.DayOfWeek
+  LEFT JOIN st ON st.Store = ec.Store CROSS JOIN gm CROSS JOIN gr),
+fc AS (SELECT *, CAST(CASE WHEN ratio > 0 THEN round(PredictedSales / ratio) END AS BIGINT) AS PredictedCustomers
+       FROM fs)"""
+
 
 def operator_sql() -> dict[str, str]:
-    return {}
+    q = {}
+    q["panel_join"] = final("""
+  SELECT d.*, sd.* EXCLUDE (Store, State) FROM daily d LEFT JOIN store_dim sd ON sd.Store = d.Store""",
+                            ["CompetitionDistance"], base=with_raw)
+    q["state_lookup"] = final("SELECT Store, State, State AS StateName FROM store_dim", [], base=with_raw)
+    q["weather_join"] = final("SELECT Store, Date, State, Mean_TemperatureC, Precipitationmm FROM R",
+                              ["Mean_TemperatureC", "Precipitationmm"], base=with_raw)
+    q["trend_week_join"] = final("""
+  SELECT Store, Date, Date - CAST(dayofweek(Date) AS INTEGER) AS WeekStart, TrendState, TrendDE FROM R""",
+                                 [], base=with_raw)
+    q["trend_parse"] = final("""
+  SELECT 'state' AS kind, State, WeekStart, TrendState AS trend FROM trend_state
+  UNION ALL SELECT 'national', '', WeekStart, TrendDE FROM trend_nat""", [], base=with_raw)
+    q["date_spine"] = final("""
+  SELECT Store, Date, 0 AS IsHoliday, CAST(CASE WHEN isodow(Date) >= 6 THEN 1 ELSE 0 END AS INTEGER) AS IsWeekend,
+    0 AS IsPromo, 0 AS SchoolHoliday
+  FROM (SELECT sd.Store, CAST(unnest(generate_series(CAST(m.s AS TIMESTAMP), CAST(m.s + 41 AS TIMESTAMP),
+                                                     INTERVAL 1 DAY)) AS DATE) AS Date
+        FROM store_dim sd, (SELECT max(Date) + 1 AS s FROM daily) m)""", [], base=with_raw)
+    nulls = " + ".join(f"(count(*) - count({c}))" for c, _ in R_SCHEMA)
+    q["profile"] = final(f"""
+  SELECT CAST(count(*) AS BIGINT) AS rows, {len(R_SCHEMA)} AS cols, CAST({nulls} AS BIGINT) AS nulls,
+    min(Date) AS min_date, max(Date) AS max_date, CAST(count(DISTINCT Store) AS BIGINT) AS stores,
+    CAST(count(DISTINCT StateHoliday) AS BIGINT) AS state_holiday_values,
+    CAST(count(*) FILTER (WHERE Open = 0) AS BIGINT) AS closed_rows,
+    CAST(count(*) FILTER (WHERE Sales = 0) AS BIGINT) AS zero_sales_rows,
+    CAST(count(*) FILTER (WHERE Sales = 0 AND Open = 1) AS BIGINT) AS open_zero_sales_rows FROM R""",
+                         [], base=with_raw)
+    parts = "\n  UNION ALL ".join(
+        f"SELECT '{c}' AS column, CAST(count(*) - count({c}) AS BIGINT) AS missing, "
+        f"100.0E0 * (count(*) - count({c})) / count(*) AS pct, '{t}' AS dtype FROM R" for c, t in R_SCHEMA)
+    q["missing_report"] = final(f"SELECT * FROM ({parts}) WHERE missing > 0", ["pct"], base=with_raw)
+    q["outlier_report"] = final("""
+  SELECT Store, avg(Sales) AS mean, stddev_samp(Sales) AS std, CAST(max(Sales) AS DOUBLE) AS max,
+    (CAST(max(Sales) AS DOUBLE) - avg(Sales)) / stddev_samp(Sales) AS max_zscore
+  FROM T WHERE Open = 1 GROUP BY Store""", ["mean", "std", "max", "max_zscore"])
+    req = """, req AS (
+  SELECT 'store-' || CAST(Store AS VARCHAR) AS request_id,
+    CASE WHEN Open IS NULL THEN 'not-a-date' ELSE strftime(Date, '%Y-%m-%d') END AS Date FROM E
+  UNION ALL
+  SELECT 'type-' || StoreType, CASE WHEN Open IS NULL THEN 'not-a-date' ELSE strftime(Date, '%Y-%m-%d') END FROM E),
+g AS (SELECT request_id, count(*) AS n, count(*) FILTER (WHERE try_cast(Date AS DATE) IS NULL) AS bad
+      FROM req GROUP BY 1)"""
+    q["request_validation"] = final("""
+  SELECT request_id, 'missing_date_column' AS rule, CAST(0 AS BIGINT) AS violations FROM g
+  UNION ALL SELECT request_id, 'unparsable_date', CAST(bad AS BIGINT) FROM g
+  UNION ALL SELECT request_id, 'empty_request', CAST(CASE WHEN n = 0 THEN 1 ELSE 0 END AS BIGINT) FROM g
+  UNION ALL SELECT request_id, 'too_many_rows', CAST(CASE WHEN n > 400 THEN 1 ELSE 0 END AS BIGINT) FROM g""",
+                                    [], base=with_raw, extra=req)
+    q["clean_missing"] = final("SELECT * FROM C2", ["CompetitionDistance"] + GAP_COLS, base=with_clean)
+    q["fill_forward_back"] = final("SELECT Store, Date, " + ", ".join(GAP_COLS) + " FROM C2", GAP_COLS,
+                                   base=with_clean)
+    ff = ", ff AS (SELECT Store, Date, " + ", ".join(_FFB.format(c=c) + f" AS {c}" for c in GAP_COLS) + " FROM R)"
+    ff += ", firsts AS (SELECT Store, " + ", ".join(
+        f"arg_min({c}, Date) FILTER (WHERE {c} IS NOT NULL) AS f_{c}" for c in GAP_COLS) + " FROM ff GROUP BY Store)"
+    ff += ", nxt AS (SELECT Store, " + ", ".join(
+        f"first_value(f_{c} IGNORE NULLS) OVER (ORDER BY Store ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
+        f" AS n_{c}" for c in GAP_COLS) + " FROM firsts)"
+    ff += ", f2 AS (SELECT ff.Store, ff.Date, " + ", ".join(
+        f"COALESCE(ff.{c}, nxt.n_{c}) AS {c}" for c in GAP_COLS) + " FROM ff LEFT JOIN nxt ON nxt.Store = ff.Store)"
+    q["fill_frame_scope"] = final("SELECT Store, Date, " + ", ".join(
+        f"CAST(COALESCE({c}, (SELECT median({c}) FROM f2)) AS DOUBLE) AS {c}" for c in GAP_COLS) + " FROM f2",
+        GAP_COLS, base=with_raw, extra=ff)
+    q["trading_days"] = final("SELECT Store, Date, Sales, Customers FROM P", [], base=with_clean)
+    q["chrono_split"] = final("""
+  SELECT CASE WHEN Date <= cutoff THEN 'train' ELSE 'valid' END AS split, CAST(count(*) AS BIGINT) AS rows,
+    min(Date) AS first_date, max(Date) AS last_date, CAST(count(DISTINCT Store) AS BIGINT) AS stores
+  FROM P, (SELECT max(Date) - 42 AS cutoff FROM P) GROUP BY 1""", [], base=with_clean)
+    q["store_sample"] = final("""
+  SELECT Store, CAST(count(*) AS BIGINT) AS trading_days FROM P
+  WHERE Store IN (SELECT Store FROM (SELECT DISTINCT Store FROM R)
+                  ORDER BY ((CAST(Store AS BIGINT) + 42) * 2654435761) % 4294967296, Store LIMIT 60)
+  GROUP BY Store""", [], base=with_clean)
+    q["outlier_fence"] = final("""
+  SELECT Store, q1, q3, GREATEST(q1 - 3.0E0 * (q3 - q1), 0.0E0) AS lower, q3 + 3.0E0 * (q3 - q1) AS upper
+  FROM (SELECT Store, quantile_cont(Sales, 0.25) AS q1, quantile_cont(Sales, 0.75) AS q3
+        FROM P WHERE Open = 1 GROUP BY Store)""", ["q1", "q3", "lower", "upper"], base=with_clean)
+    q["outlier_flag"] = final("SELECT Store, Date, Sales, IsSalesOutlier FROM C", [], base=with_clean)
+    q["outlier_cap"] = final("""
+  SELECT C.Store, C.Date, CASE WHEN IsSalesOutlier = 1 THEN LEAST(GREATEST(CAST(C.Sales AS DOUBLE), f.lower), f.upper)
+    ELSE CAST(C.Sales AS DOUBLE) END AS Sales, IsSalesOutlier
+  FROM C LEFT JOIN fence f ON f.Store = C.Store""", ["Sales"], base=with_clean)
+    q["outlier_remove"] = final("SELECT Store, Date, Sales FROM C WHERE IsSalesOutlier = 0", [], base=with_clean)
+    q["date_features"] = final("SELECT Store, Date, " + ", ".join(DATE_COLS) + " FROM T", TRIG)
+    q["holiday_calendar"] = final("SELECT H AS Date FROM cal", [])
+    q["holiday_distance"] = final("""
+  SELECT dd.Date,
+    CAST(LEAST(COALESCE(date_diff('day', dd.Date, min(CASE WHEN c.H >= dd.Date THEN c.H END)), 999), 999) AS INTEGER)
+      AS DaysToNextHoliday,
+    CAST(LEAST(COALESCE(date_diff('day', max(CASE WHEN c.H < dd.Date THEN c.H END), dd.Date), 999), 999) AS INTEGER)
+      AS DaysAfterLastHoliday
+  FROM (SELECT DISTINCT Date FROM R) dd CROSS JOIN cal c GROUP BY dd.Date""", [])
+    q["holiday_flags"] = final("""
+  SELECT Store, Date, DaysToNextHoliday, DaysAfterLastHoliday, IsStateHoliday, IsHolidayWeek, IsDayBeforeHoliday,
+    IsDayAfterHoliday FROM T""", [])
+    q["competition_features"] = final("""
+  SELECT Store, Date, CompetitionOpenMonths, CompetitionIsNew, CompetitionNotYetOpen, CompetitionDistanceLog,
+    IsCityCentre FROM T""", ["CompetitionDistanceLog"])
+    q["promo2_active"] = final("SELECT Store, Date, IsPromo2Active, Promo2ActiveWeeks, PromoAndPromo2, AnyPromo FROM T",
+                               ["Promo2ActiveWeeks"])
+    q["store_stats"] = final("SELECT * FROM st", STAT_COLS)
+    q["store_dow_mean"] = final("SELECT * FROM sdow", ["StoreDowMeanSales"])
+    q["store_promo_mean"] = final("SELECT * FROM spro", ["StorePromoMeanSales"])
+    q["store_month_mean"] = final("SELECT * FROM smon", ["StoreMonthMeanSales"])
+    q["store_aggregates_joined"] = final("""
+  SELECT Store, Date, StoreDowMeanSales, StorePromoMeanSales, StoreMonthMeanSales, DowSalesIndex, MonthSalesIndex
+  FROM T""", ["StoreDowMeanSales", "StorePromoMeanSales", "StoreMonthMeanSales", "DowSalesIndex", "MonthSalesIndex"])
+    q["metrics_bundle"] = final("""
+  SELECT sqrt(avg(CASE WHEN y <> 0 THEN pow((y - p) / y, 2) END)) AS rmspe, sqrt(avg(pow(y - p, 2))) AS rmse,
+    avg(abs(y - p)) AS mae, avg(CASE WHEN y <> 0 THEN abs(y - p) / abs(y) END) AS mape,
+    1 - sum(pow(y - p, 2)) / (count(y) * var_pop(y)) AS r2, CAST(count(*) AS BIGINT) AS n
+  FROM (SELECT CAST(va.Sales AS DOUBLE) AS y, COALESCE(tdow.m, tg.g) AS p
+        FROM va LEFT JOIN tdow ON tdow.Store = va.Store AND tdow.DayOfWeek = va.DayOfWeek CROSS JOIN tg)""",
+                                ["rmspe", "rmse", "mae", "mape", "r2"], extra=SPLIT)
+    q["interval_coverage"] = final("""
+  SELECT avg(CAST(va.Sales BETWEEN iv.lower AND iv.upper AS DOUBLE)) AS coverage,
+    avg(iv.upper - iv.lower) AS mean_width, CAST(count(*) AS BIGINT) AS n
+  FROM va LEFT JOIN (SELECT Store, DayOfWeek, quantile_cont(Sales, 0.025) AS lower,
+                            quantile_cont(Sales, 0.975) AS upper FROM tr GROUP BY 1, 2) iv
+    ON iv.Store = va.Store AND iv.DayOfWeek = va.DayOfWeek""", ["coverage", "mean_width"], extra=SPLIT)
+    q["customers_estimate"] = final("SELECT Id, Store, Date, PredictedSales, PredictedCustomers FROM fc",
+                                    ["PredictedSales"], extra=FUTURE_SCORED)
+    q["closed_rule"] = final("""
+  SELECT Id, Store, Date, Open, CASE WHEN Open = 0 THEN 0.0E0 ELSE PredictedSales END AS PredictedSales,
+    CASE WHEN Open = 0 THEN CAST(0 AS BIGINT) ELSE PredictedCustomers END AS PredictedCustomers FROM fc""",
+                             ["PredictedSales"], extra=FUTURE_SCORED)
+    return q

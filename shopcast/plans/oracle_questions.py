@@ -8,7 +8,7 @@ from shopcast.plans.oracle import with_raw, with_t
 
 def final(body: str, doubles: list[str], base=with_t, extra: str = "") -> str:
     """Wrap ``body`` as the last CTE and round its double columns."""
-    rep = ", ".join(f"round({c}, 6) AS {c}" for c in doubles)
+    rep = ", ".join(f"floor({c} * 1000000.0E0 + 0.5E0) / 1000000.0E0 AS {c}" for c in doubles)
     sel = f"SELECT * REPLACE ({rep}) FROM _q" if doubles else "SELECT * FROM _q"
     return base(f"{extra}, _q AS ({body})\n{sel}")
 
