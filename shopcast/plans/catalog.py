@@ -30,9 +30,10 @@ def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def sql_twins() -> dict[str, str]:
-    from shopcast.plans.oracle_operators import operator_sql
+    from shopcast.plans.oracle_operators import operator_sql, series_sql
     from shopcast.plans.oracle_questions import question_sql
     out = {}
     out.update(operator_sql())
+    out.update(series_sql())
     out.update(question_sql())
     return out

@@ -243,3 +243,54 @@ OPERATOR_QUERIES = {
     "metrics_bundle": metrics_bundle, "interval_coverage": interval_coverage,
     "customers_estimate": customers_estimate, "closed_rule": closed_rule,
 }
+
+
+# --- time series (K01-K06, W05, W09) ----------------------------------------
+
+from shopcast.operators import series as K  # noqa: E402
+
+
+def series_national(ctx: PanelContext) -> DataFrame:                     # K01
+    return K.national_series(ctx.clean)
+
+
+def series_diff(ctx: PanelContext) -> DataFrame:                         # W05
+    return K.first_difference(K.national_series(ctx.clean))
+
+
+def acf_national(ctx: PanelContext) -> DataFrame:                        # K04
+    return K.acf(K.national_series(ctx.clean), nlags=21)
+
+
+def pacf_national(ctx: PanelContext) -> DataFrame:                       # K05
+    return K.pacf(K.acf(K.national_series(ctx.clean), nlags=21))
+
+
+def adf_national(ctx: PanelContext) -> DataFrame:                        # K02
+    return K.adf(K.national_series(ctx.clean))
+
+
+def adf_by_store(ctx: PanelContext) -> DataFrame:                        # K02 per store
+    return K.adf(K.store_series(ctx.clean), by=["Store"])
+
+
+def series_diff_if_needed(ctx: PanelContext) -> DataFrame:               # K03
+    s = K.store_series(ctx.clean)
+    return K.difference_if_needed(s, K.adf(s, by=["Store"]), by=["Store"])
+
+
+def minmax_scaled(ctx: PanelContext) -> DataFrame:                       # W09
+    x = K.scaled_positions(K.store_series(ctx.clean), ["Store"])
+    return x.select("Store", "Date", "split", "scaled",
+                    K.inverse_scale(F.col("scaled"), F.col("lo"), F.col("hi")).alias("inverse"), "lo", "hi")
+
+
+def windows(ctx: PanelContext) -> DataFrame:                             # K06
+    return K.windows(K.store_series(ctx.clean), ["Store"])
+
+
+OPERATOR_QUERIES.update({
+    "series_national": series_national, "series_diff": series_diff, "acf": acf_national,
+    "pacf": pacf_national, "adf_national": adf_national, "adf_by_store": adf_by_store,
+    "series_diff_if_needed": series_diff_if_needed, "minmax_scaled": minmax_scaled, "windows": windows,
+})

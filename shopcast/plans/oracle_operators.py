@@ -173,3 +173,40 @@ g AS (SELECT request_id, count(*) AS n, count(*) FILTER (WHERE try_cast(Date AS
     CASE WHEN Open = 0 THEN CAST(0 AS BIGINT) ELSE PredictedCustomers END AS PredictedCustomers FROM fc""",
                              ["PredictedSales"], extra=FUTURE_SCORED)
     return q
+
+
+SCALED = """, s0 AS (
+  SELECT Store, Date, Sales AS value, row_number() OVER (PARTITION BY Store ORDER BY Date) - 1 AS pos,
+    count(*) OVER (PARTITION BY Store) AS n FROM T WHERE Sales > 0),
+s1 AS (
+  SELECT *, CASE WHEN pos < n - 42 THEN 'train' ELSE 'valid' END AS split,
+    min(CASE WHEN pos < n - 42 THEN value END) OVER (PARTITION BY Store) AS lo,
+    max(CASE WHEN pos < n - 42 THEN value END) OVER (PARTITION BY Store) AS hi
+  FROM s0 WHERE n >= 66),
+s2 AS (SELECT *, COALESCE(NULLIF(CAST(hi - lo AS DOUBLE), 0), 1.0E0) AS rng FROM s1),
+s3 AS (SELECT *, 2.0E0 * (value - lo) / rng - 1.0E0 AS scaled FROM s2)"""
+
+NATIONAL = """, ns AS (SELECT Date, CAST(sum(Sales) AS BIGINT) AS value FROM T WHERE Sales > 0 GROUP BY Date),
+x AS (SELECT row_number() OVER (ORDER BY Date) - 1 AS t, CAST(value AS DOUBLE) - avg(CAST(value AS DOUBLE)) OVER () AS d,
+        count(*) OVER () AS n FROM ns)"""
+
+
+def series_sql() -> dict[str, str]:
+    q = {}
+    q["series_national"] = final("SELECT * FROM ns", [], extra=NATIONAL)
+    q["series_diff"] = final("""
+  SELECT Date, value, diff FROM (SELECT Date, value, value - lag(value) OVER (ORDER BY Date) AS diff FROM ns)
+  WHERE diff IS NOT NULL""", [], extra=NATIONAL)
+    q["acf"] = final("""
+  SELECT CAST(g.k AS INTEGER) AS lag, sum(a.d * b.d) / min(z.c0) AS acf, CAST(min(a.n) AS BIGINT) AS n
+  FROM x a, (SELECT unnest(range(0, 22)) AS k) g, x b, (SELECT sum(d * d) AS c0 FROM x) z
+  WHERE b.t = a.t + g.k GROUP BY g.k""", ["acf"], extra=NATIONAL)
+    q["minmax_scaled"] = final("""
+  SELECT Store, Date, split, scaled, (scaled + 1.0E0) / 2.0E0 * rng + lo AS inverse, lo, hi FROM s3""",
+                               ["scaled", "inverse"], extra=SCALED)
+    q["windows"] = final("""
+  SELECT Store, Date, split, x, y, lo, hi FROM (
+    SELECT Store, Date, split, pos, scaled AS y, lo, hi,
+      list(scaled) OVER (PARTITION BY Store ORDER BY pos ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) AS x FROM s3)
+  WHERE pos >= 14""", ["y"], extra=SCALED)
+    return q
