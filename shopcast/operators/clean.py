@@ -39,11 +39,15 @@ def fill_forward_back(df: DataFrame, cols: list[str], key: str = "Store", order:
         return df
     if scope not in ("store", "frame"):
         raise ValueError(f"scope must be 'store' or 'frame', got {scope!r}")
+    # After the forward fill only leading gaps remain, and the backward fill
+    # of a leading gap is the key's first non-null value: a whole-partition
+    # frame (linear) instead of an unbounded-following frame (quadratic).
     fwd = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    bwd = Window.partitionBy(key).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
+    whole = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding,
+                                                               Window.unboundedFollowing)
     out = df.select(
         *[c for c in df.columns if c not in cols],
-        *[F.coalesce(F.last(c, True).over(fwd), F.first(c, True).over(bwd)).alias(c)
+        *[F.coalesce(F.last(c, True).over(fwd), F.first(c, True).over(whole)).alias(c)
           for c in cols])
     if scope == "frame":
         firsts = out.groupBy(key).agg(*[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order)))

@@ -14,11 +14,11 @@ def metric_columns(y: str, yhat: str, prefix: str = "") -> list:
     err = yc - pc
     nz = yc != 0
     return [
-        F.sqrt(F.avg(F.when(nz, F.pow(err / yc, 2)))).alias(f"{prefix}rmspe"),
+        F.sqrt(F.avg(F.when(nz, F.pow(F.try_divide(err, yc), 2)))).alias(f"{prefix}rmspe"),
         F.sqrt(F.avg(F.pow(err, 2))).alias(f"{prefix}rmse"),
         F.avg(F.abs(err)).alias(f"{prefix}mae"),
-        F.avg(F.when(nz, F.abs(err) / F.abs(yc))).alias(f"{prefix}mape"),
-        (F.lit(1.0) - F.sum(F.pow(err, 2)) / (F.count(yc) * F.var_pop(yc))).alias(f"{prefix}r2"),
+        F.avg(F.when(nz, F.try_divide(F.abs(err), F.abs(yc)))).alias(f"{prefix}mape"),
+        (F.lit(1.0) - F.try_divide(F.sum(F.pow(err, 2)), F.count(yc) * F.var_pop(yc))).alias(f"{prefix}r2"),
         F.count(F.lit(1)).cast("bigint").alias(f"{prefix}n"),
     ]
 
@@ -56,7 +56,7 @@ class RmspeEvaluator(Evaluator):
         if self.log_scale:
             y, p = F.expm1(y), F.expm1(p)
         r = dataset.select(y.alias("y"), p.alias("p")).agg(
-            F.sqrt(F.avg(F.when(F.col("y") != 0, F.pow((F.col("y") - F.col("p")) / F.col("y"), 2))))).first()[0]
+            F.sqrt(F.avg(F.when(F.col("y") != 0, F.pow(F.try_divide(F.col("y") - F.col("p"), F.col("y")), 2))))).first()[0]
         return float(r) if r is not None else float("nan")
 
     def isLargerBetter(self) -> bool:
