@@ -95,3 +95,40 @@ def empirical_interval(train: DataFrame, lower: float = 0.025, upper: float = 0.
     return train.groupBy("Store", "DayOfWeek").agg(
         F.percentile("Sales", F.array(F.lit(lower), F.lit(upper))).alias("_q")
     ).select("Store", "DayOfWeek", F.col("_q")[0].alias("lower"), F.col("_q")[1].alias("upper"))
+
+
+def forecast_batch(requests: DataFrame, store: DataFrame, calendar: DataFrame, aggs: StoreAggregates,
+                   model, epoch: str, with_interval: bool = True) -> tuple[DataFrame, DataFrame]:  # M16
+    """Score every (store, day) request in one job.
+
+    J11 (store attributes; unknown stores reported, not scored) -> C01 in
+    scoring mode -> calendar/holiday/promo features with the fitted
+    calendar plus holidays flagged in the request (R20) -> fitted store
+    aggregates -> forest (tree-spread interval) -> customers (C09) ->
+    closed-day rule (C10). Returns (forecast rows, unknown stores).
+    """
+    from shopcast.operators import ml
+    from shopcast.operators.clean import clean_missing
+    from shopcast.operators.features import (competition_promo_features, date_features,
+                                             holiday_calendar, holiday_features)
+    rows, unknown = requests_to_rows(requests, store)
+    rows = clean_missing(rows)
+    cal = calendar.unionByName(holiday_calendar(rows)).distinct()
+    feats = competition_promo_features(holiday_features(date_features(rows, epoch), cal))
+    feats = aggs.transform(feats)
+    if with_interval:
+        scored = ml.tree_interval(model, feats)
+    else:
+        scored = ml.predict(model, feats)
+    out = closed_rule(customers_estimate(scored))
+    keep = ["Store", "Date", "Open", "PredictedSales", "PredictedCustomers"]
+    if with_interval:
+        keep[4:4] = ["PredictedSalesLower", "PredictedSalesUpper"]
+    return out.select(*keep), unknown
+
+
+def forecast_totals(forecast: DataFrame) -> DataFrame:
+    """Per-store totals of a batch forecast."""
+    return forecast.groupBy("Store").agg(F.sum("PredictedSales").alias("total_sales"),
+                                         F.sum("PredictedCustomers").cast("bigint").alias("total_customers"),
+                                         F.count(F.lit(1)).cast("bigint").alias("days"))

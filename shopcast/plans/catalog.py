@@ -26,6 +26,9 @@ def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[k] = _ctx_query(fn)
     for k, fn in QUESTIONS.items():
         out[k] = _ctx_query(fn)
+    from shopcast.plans.ml_queries import ML_QUERIES
+    for k, fn in ML_QUERIES.items():
+        out[k] = _ctx_query(fn)
     return out
 
 
