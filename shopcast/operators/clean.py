@@ -52,9 +52,7 @@ def fill_forward_back(df: DataFrame, cols: list[str], key: str = "Store", order:
     if scope == "frame":
         firsts = out.groupBy(key).agg(*[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order)))
                                         .alias(f"_first_{c}") for c in cols])
-        nxt = Window.orderBy(key).rowsBetween(1, Window.unboundedFollowing)
-        borrow = firsts.select(key, *[F.first(f"_first_{c}", True).over(nxt).alias(f"_next_{c}")
-                                      for c in cols])
+        borrow = next_non_null(firsts, key, [f"_first_{c}" for c in cols], [f"_next_{c}" for c in cols])
         out = out.join(borrow, key, "left").select(
             *[c for c in out.columns if c not in cols],
             *[F.coalesce(F.col(c), F.col(f"_next_{c}")).alias(c) for c in cols])
@@ -64,6 +62,29 @@ def fill_forward_back(df: DataFrame, cols: list[str], key: str = "Store", order:
                         else F.col(c) for c in cols]).select(*df.columns)
 
 
+def next_non_null(df: DataFrame, key: str, cols: list[str], outs: list[str],
+                  num_partitions: int | None = None) -> DataFrame:
+    """For each ``key``: the first non-null value of each column among the
+    rows with a larger key (a suffix scan), without a global window.
+
+    Keys are range-partitioned; inside a partition a descending running
+    ``last(ignorenulls)`` gives the in-partition answer, and the first
+    non-null value of every later partition comes from a table with one row
+    per partition (broadcast, size = number of partitions).
+    """
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = df.repartitionByRange(n, key).withColumn("_pid", F.spark_partition_id())
+    inner = Window.partitionBy("_pid").orderBy(F.desc(key)).rowsBetween(Window.unboundedPreceding, -1)
+    local = r.select("_pid", key, *[F.last(c, True).over(inner).alias(f"_in_{c}") for c in cols])
+    heads = r.groupBy("_pid").agg(*[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(key)))
+                                    .alias(f"_head_{c}") for c in cols])
+    later = Window.orderBy(F.desc("_pid")).rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    carry = heads.select("_pid", *[F.last(f"_head_{c}", True).over(later).alias(f"_carry_{c}") for c in cols])
+    return (local.join(F.broadcast(carry), "_pid", "left")
+            .select(key, *[F.coalesce(F.col(f"_in_{c}"), F.col(f"_carry_{c}")).alias(o)
+                           for c, o in zip(cols, outs)]))
+
+
 def clean_missing(df: DataFrame, scope: str = "store") -> DataFrame:          # C01
     """Impute the known-missing columns. Idempotent: HasCompetition keeps an
     existing value instead of being recomputed from the filled distance."""

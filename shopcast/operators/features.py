@@ -170,8 +170,10 @@ def fit_store_aggregates(df: DataFrame, include_customers: bool = True) -> Store
     g = rows.agg(F.avg("Sales").alias("mean"), F.stddev_samp("Sales").alias("std"),
                  (F.sum("Sales") / F.greatest(F.sum("Customers"), F.lit(1))).alias("ratio")
                  if with_cust else F.lit(None).alias("ratio")).first()
-    s = per_store.agg(F.median("StoreOpenDays").alias("days"),
-                      F.median("StoreMeanCustomers").alias("cust") if with_cust
+    # Medians over stores use a bounded-memory sketch: one value per store
+    # would otherwise be merged in a single task.
+    s = per_store.agg(F.percentile_approx("StoreOpenDays", 0.5, 10000).alias("days"),
+                      F.percentile_approx("StoreMeanCustomers", 0.5, 10000).alias("cust") if with_cust
                       else F.lit(None).alias("cust")).first()
     gm = float(g["mean"]) if g["mean"] is not None else 0.0
     fb = {"StoreMeanSales": gm, "StoreMedianSales": gm, "StoreMaxSales": gm,

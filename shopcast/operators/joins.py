@@ -22,21 +22,41 @@ from shopcast.sources.readers import RetailInputs, parse_trend, state_lookup, we
 TREND_STATE_MAP = {"HB,NI": "NI"}
 
 
-def assert_unique(dim: DataFrame, keys: list[str], what: str = "dimension") -> None:
-    """Raise ValueError if ``dim`` has more than one row per key (J01 guard).
+# Largest dimension (rows) that is broadcast to every task; beyond it the
+# join is a shuffle join. Set per deployment.
+MAX_BROADCAST_ROWS = 2_000_000
 
-    Checking the dimension is cheaper than recounting the fact after the join.
-    """
-    dup = dim.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
-    if dup:
+
+def dimension_stats(dim: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """(rows, largest multiplicity of a key) in one aggregate job."""
+    r = dim.groupBy(*keys).count().agg(F.sum("count").alias("rows"), F.max("count").alias("dup")).first()
+    return int(r.rows or 0), int(r.dup or 0)
+
+
+def assert_unique(dim: DataFrame, keys: list[str], what: str = "dimension") -> int:
+    """Raise ValueError if ``dim`` has more than one row per key (J01 guard);
+    returns the row count. Checking the dimension is cheaper than
+    recounting the fact after the join."""
+    rows, dup = dimension_stats(dim, keys)
+    if dup > 1:
         raise ValueError(f"{what} should have one row per {keys}; the join would change row count")
+    return rows
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
+                   rows: int | None = None, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Join a dimension whose size was checked: broadcast when it has at most
+    ``max_rows`` rows, otherwise a shuffle join (AQE may still convert it)."""
+    if rows is None:
+        rows, _ = dimension_stats(dim, keys)
+    side = F.broadcast(dim) if rows <= max_rows else dim
+    return fact.join(side, keys, how)
 
 
 def merge_store(df: DataFrame, store: DataFrame, validate: bool = True) -> DataFrame:   # J01
     """Left-join store attributes on Store; the row count must not change."""
-    if validate:
-        assert_unique(store, ["Store"], "store")
-    return df.join(store, "Store", "left")
+    rows = assert_unique(store, ["Store"], "store") if validate else None
+    return join_dimension(df, store, ["Store"], "left", rows)
 
 
 def week_start_sunday(date_col):
@@ -87,9 +107,8 @@ def load_dataset(inputs: RetailInputs, kind: str = "train", with_external: bool
         raise ValueError(f"kind must be 'train' or 'test', got {kind!r}")
     df = inputs.daily if kind == "train" else inputs.future
     dim = store_dimension_full(inputs, with_external)
-    if validate:
-        assert_unique(dim, ["Store"], "store")
-    df = df.join(dim, "Store", "left")
+    rows = assert_unique(dim, ["Store"], "store") if validate else None
+    df = join_dimension(df, dim, ["Store"], "left", rows)
     if with_external:
         per_state, national = parse_trend(inputs.trend_raw)
         w = weather_keep(inputs.weather)
