@@ -6,8 +6,8 @@ dimension join), so the fact meets it in a single join on Store; whether
 that join broadcasts is left to Catalyst's size estimate and AQE's runtime
 statistics, because the number of stores is not bounded by construction.
 Weather and trend tables are keyed by (state, day/week): their size is
-bounded by states x calendar days, independent of the fact, so they are
-broadcast.
+bounded by states x calendar days, independent of the fact. Every side is
+counted before its join and broadcast only below a row bound.
 """
 
 from __future__ import annotations
@@ -71,24 +71,40 @@ def trend_state_code(state_col):                                          # P02
     return code
 
 
+def attach_locality(df: DataFrame, weather: DataFrame, trend_raw: DataFrame,
+                    validate: bool = True) -> DataFrame:                  # J03-J05
+    """Weather on (StateName, Date), per-state trend on (state code, Sunday
+    week start), national trend on week start. Each side is keyed by
+    (state, day/week), so its size does not grow with the fact; it is still
+    counted (and its key checked for uniqueness) before the join, and only
+    broadcast under ``MAX_BROADCAST_ROWS``."""
+    per_state, national = parse_trend(trend_raw)
+    per_state = per_state.withColumnRenamed("State", "TrendStateCode")
+    w = weather_keep(weather)
+    sides = [(w, ["StateName", "Date"], "weather"),
+             (per_state, ["TrendStateCode", "WeekStart"], "trend per state"),
+             (national, ["WeekStart"], "national trend")]
+    checked = []
+    for side, keys, what in sides:
+        rows = assert_unique(side, keys, what) if validate else dimension_stats(side, keys)[0]
+        checked.append((side, keys, rows))
+    (w, wk, wr), (ps, pk, pr), (na, nk, nr) = checked
+    df = join_dimension(df, w, wk, "left", wr)
+    df = (df.withColumn("WeekStart", week_start_sunday(F.col("Date")))
+          .withColumn("TrendStateCode", trend_state_code(F.col("State"))))
+    df = join_dimension(df, ps, pk, "left", pr)
+    df = join_dimension(df, na, nk, "left", nr)
+    return df.drop("WeekStart", "StateName", "TrendStateCode")
+
+
 def merge_external(df: DataFrame, store_states: DataFrame, state_names: DataFrame,
                    weather: DataFrame, trend_raw: DataFrame,
                    validate: bool = True) -> DataFrame:                   # J02-J05
     """Attach State, weather (StateName, Date) and weekly trends."""
     states = state_lookup(store_states, state_names)
-    if validate:
-        assert_unique(states, ["Store"], "store_states")
-    per_state, national = parse_trend(trend_raw)
-    w = weather_keep(weather)
-    out = (df.join(states, "Store", "left")
-           .join(F.broadcast(w), ["StateName", "Date"], "left")
-           .withColumn("WeekStart", week_start_sunday(F.col("Date")))
-           .withColumn("TrendStateCode", trend_state_code(F.col("State")))
-           .join(F.broadcast(per_state.withColumnRenamed("State", "TrendStateCode")),
-                 ["TrendStateCode", "WeekStart"], "left")
-           .join(F.broadcast(national), "WeekStart", "left")
-           .drop("WeekStart", "StateName", "TrendStateCode"))
-    return out
+    rows = assert_unique(states, ["Store"], "store_states") if validate else None
+    return attach_locality(join_dimension(df, states, ["Store"], "left", rows),
+                           weather, trend_raw, validate)
 
 
 def store_dimension_full(inputs: RetailInputs, with_external: bool) -> DataFrame:
@@ -110,13 +126,5 @@ def load_dataset(inputs: RetailInputs, kind: str = "train", with_external: bool
     rows = assert_unique(dim, ["Store"], "store") if validate else None
     df = join_dimension(df, dim, ["Store"], "left", rows)
     if with_external:
-        per_state, national = parse_trend(inputs.trend_raw)
-        w = weather_keep(inputs.weather)
-        df = (df.join(F.broadcast(w), ["StateName", "Date"], "left")
-              .withColumn("WeekStart", week_start_sunday(F.col("Date")))
-              .withColumn("TrendStateCode", trend_state_code(F.col("State")))
-              .join(F.broadcast(per_state.withColumnRenamed("State", "TrendStateCode")),
-                    ["TrendStateCode", "WeekStart"], "left")
-              .join(F.broadcast(national), "WeekStart", "left")
-              .drop("WeekStart", "StateName", "TrendStateCode"))
+        df = attach_locality(df, inputs.weather, inputs.trend_raw, validate)
     return df
