@@ -27,10 +27,18 @@ TREND_STATE_MAP = {"HB,NI": "NI"}
 MAX_BROADCAST_ROWS = 2_000_000
 
 
+_STATS: dict = {}
+
+
 def dimension_stats(dim: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """(rows, largest multiplicity of a key) in one aggregate job."""
-    r = dim.groupBy(*keys).count().agg(F.sum("count").alias("rows"), F.max("count").alias("dup")).first()
-    return int(r.rows or 0), int(r.dup or 0)
+    """(rows, largest multiplicity of a key) in one aggregate job; remembered
+    per (application, plan, keys), so the train and test assemblies do not
+    re-check the same dimension."""
+    memo = (dim.sparkSession.sparkContext.applicationId, dim.semanticHash(), tuple(keys))
+    if memo not in _STATS:
+        r = dim.groupBy(*keys).count().agg(F.sum("count").alias("rows"), F.max("count").alias("dup")).first()
+        _STATS[memo] = (int(r.rows or 0), int(r.dup or 0))
+    return _STATS[memo]
 
 
 def assert_unique(dim: DataFrame, keys: list[str], what: str = "dimension") -> int:

@@ -195,7 +195,10 @@ def tree_interval(model: PipelineModel, df: DataFrame, lower: float = 2.5, upper
     forest = model.stages[-1]
     if not isinstance(forest, RandomForestRegressionModel):
         raise TypeError(f"tree_interval requires a random forest, got {type(forest).__name__}")
-    x = PipelineModel(stages=model.stages[:-1]).transform(df)
+    # Only the caller's columns and the assembled vector travel through the
+    # per-tree projections (the imputed/indexed intermediates are dropped),
+    # which keeps each of the m plan steps small.
+    x = PipelineModel(stages=model.stages[:-1]).transform(df).select(*df.columns, "features")
     trees = forest.trees
     m = len(trees)
     names = []
@@ -217,7 +220,7 @@ def tree_interval(model: PipelineModel, df: DataFrame, lower: float = 2.5, upper
     x = x.withColumn("tree_mean", total / m).withColumn("tree_lower", pct(lower)).withColumn("tree_upper", pct(upper))
     sq = F.aggregate(F.array(*[F.col(n) for n in names]), F.lit(0.0),
                      lambda a, v: a + (v - F.col("tree_mean")) * (v - F.col("tree_mean")))
-    x = x.withColumn("tree_std", F.sqrt(sq / m)).drop(*names)
+    x = x.withColumn("tree_std", F.sqrt(sq / m)).drop(*names, "features")
     return (x.withColumn("PredictedSales", F.expm1("tree_mean"))
             .withColumn("PredictedSalesLower", F.expm1("tree_lower"))
             .withColumn("PredictedSalesUpper", F.expm1("tree_upper")))

@@ -15,6 +15,7 @@ import uuid
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 REGISTRY_SCHEMA = ("model_name string, ts timestamp, path string, "
                    "metrics map<string,double>, params map<string,string>")
@@ -49,8 +50,17 @@ class ModelRegistry:
         self.spark.createDataFrame(row, REGISTRY_SCHEMA).write.mode("append").parquet(self.registry_path)
         return path
 
+    def _table(self, path: str, schema: str) -> DataFrame:
+        """The append-only table at ``path``; empty before the first append."""
+        try:
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+
     def list_models(self, model_name: str | None = None) -> DataFrame:
-        reg = self.spark.read.schema(REGISTRY_SCHEMA).parquet(self.registry_path)
+        reg = self._table(self.registry_path, REGISTRY_SCHEMA)
         if model_name:
             reg = reg.filter(F.col("model_name") == model_name)
         return reg.orderBy(F.desc("ts"))
@@ -79,7 +89,7 @@ class ModelRegistry:
         return run_id
 
     def runs(self) -> DataFrame:
-        return self.spark.read.schema(RUNS_SCHEMA).parquet(self.runs_path)
+        return self._table(self.runs_path, RUNS_SCHEMA)
 
 
 def compare_models(runs: DataFrame, metric: str = "valid_rmspe") -> DataFrame:        # M15

@@ -173,24 +173,29 @@ def future_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _orders_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_by_state_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders pre-aggregated to (state name, order day): order count and the
+    sum of prices in cents. Weather and both trend series are re-aggregations
+    of this table, so ``orders`` is joined and shuffled once, after partial
+    aggregation; its size is bounded by states x days."""
     orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderdate")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (orders.join(cust, orders.o_custkey == cust.c_custkey)
             .join(F.broadcast(nat), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 rows
-            .select(F.col("n_name"), F.col("o_orderdate").cast("date").alias("d"),
-                    "o_totalprice"))
+            .groupBy(F.col("n_name"), F.col("o_orderdate").cast("date").alias("d"))
+            .agg(F.count(F.lit(1)).alias("n"),
+                 F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents")))
 
 
-def weather_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather_table(spark: SparkSession, sf_dir: str, by_day: DataFrame | None = None) -> DataFrame:
     """Sparse daily weather per state name (exercises the gap fills)."""
-    x = _orders_by_state(spark, sf_dir).filter(
+    x = (by_day if by_day is not None else orders_by_state_day(spark, sf_dir)).filter(
         F.col("d").between(_d(PANEL_START), _d(PANEL_END)))
-    n = F.count(F.lit(1))
-    return x.groupBy(F.col("n_name").alias("StateName"), F.col("d").alias("Date")).agg(
-        (F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).cast("double")
-         / (n * F.lit(1000000.0))).alias("Mean_TemperatureC"),
+    n = F.col("n")
+    return x.select(
+        F.col("n_name").alias("StateName"), F.col("d").alias("Date"),
+        (F.col("cents").cast("double") / (n * F.lit(1000000.0))).alias("Mean_TemperatureC"),
         F.when(n > 1, n.cast("double")).alias("Precipitationmm"),
     )
 
@@ -204,12 +209,13 @@ def _week_label(ws):
                     F.date_format(F.date_add(ws, 6), "yyyy-MM-dd"))
 
 
-def trend_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trend_raw(spark: SparkSession, sf_dir: str, by_day: DataFrame | None = None) -> DataFrame:
     """Raw weekly search-interest rows ``(file, week, trend)``: one series
     per state plus the national series, as the source file ships them."""
-    x = _orders_by_state(spark, sf_dir).withColumn("ws", _sunday_week_start(F.col("d")))
-    per_state = x.groupBy("n_name", "ws").agg(F.count(F.lit(1)).cast("int").alias("trend"))
-    national = x.groupBy("ws").agg(F.count(F.lit(1)).cast("int").alias("trend"))
+    x = (by_day if by_day is not None else orders_by_state_day(spark, sf_dir)).withColumn(
+        "ws", _sunday_week_start(F.col("d")))
+    per_state = x.groupBy("n_name", "ws").agg(F.sum("n").cast("int").alias("trend"))
+    national = x.groupBy("ws").agg(F.sum("n").cast("int").alias("trend"))
     return (
         per_state.select(F.concat(F.lit(STATE_TREND_PREFIX), F.col("n_name")).alias("file"),
                          _week_label(F.col("ws")).alias("week"), "trend")

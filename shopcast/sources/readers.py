@@ -81,16 +81,24 @@ class RetailInputs:
     trend_raw: DataFrame
 
     @classmethod
-    def from_fixture(cls, spark: SparkSession, sf_dir: str) -> "RetailInputs":
+    def from_fixture(cls, spark: SparkSession, sf_dir: str, materialized: bool = True) -> "RetailInputs":
+        """Inputs derived from the test tables. With ``materialized`` the
+        (state, day) order aggregate behind weather and trends is written
+        once to the checkpoint folder, so the dimension checks and the
+        train/test joins read a small table instead of re-joining orders."""
+        from shopcast.session import materialize
         store_states, state_names = fixture.state_tables(spark, sf_dir)
+        by_day = fixture.orders_by_state_day(spark, sf_dir)
+        if materialized:
+            by_day = materialize(by_day, "orders_by_state_day")
         return cls(
             daily=fixture.daily_panel(spark, sf_dir),
             future=fixture.future_rows(spark, sf_dir),
             store=fixture.store_table(spark, sf_dir),
             store_states=store_states,
             state_names=state_names,
-            weather=fixture.weather_table(spark, sf_dir),
-            trend_raw=fixture.trend_raw(spark, sf_dir),
+            weather=fixture.weather_table(spark, sf_dir, by_day),
+            trend_raw=fixture.trend_raw(spark, sf_dir, by_day),
         )
 
     @classmethod
