@@ -56,43 +56,72 @@ def corrected_skewness(x: Column) -> Column:
     return F.skewness(x) * F.sqrt(n * (n - 1)) / (n - 2)
 
 
+def rank_table(vc: DataFrame, value: str, by: list[str] | None = None,
+               num_partitions: int | None = None, weight: str = "_c") -> DataFrame:
+    """Average ranks on a (by..., value, weight) table with one row per
+    (group, value); adds ``_rank`` (ties share the mean of their positions)
+    and ``_n`` (rows in the group). Extra columns are kept.
+
+    Rows are range-partitioned on (by..., value), so a large group spans
+    many partitions instead of landing in one task. Each partition computes
+    running counts of its own rows; a table with one row per (group,
+    partition) supplies the count of the group's rows in earlier partitions
+    and the group total.
+    """
+    by = list(by or [])
+    n = num_partitions or int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = vc.repartitionByRange(n, *by, value).withColumn("_pid", F.spark_partition_id())
+    totals = r.groupBy(*by, "_pid").agg(F.sum(weight).alias("_t"))
+    group = Window.partitionBy(*by)
+    offsets = totals.select(
+        *by, "_pid",
+        F.coalesce(F.sum("_t").over(group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"),
+        F.sum("_t").over(group).alias("_n"))
+    # without groups the offsets have one row per partition: bounded, broadcast
+    offsets = offsets if by else F.broadcast(offsets)
+    within = Window.partitionBy("_pid", *by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = r.withColumn("_b", F.coalesce(F.sum(weight).over(within), F.lit(0)))
+    return (ranked.join(offsets, by + ["_pid"])
+            .withColumn("_rank", F.col("_b") + F.col("_off") + (F.col(weight) + 1) / 2.0)
+            .drop("_b", "_off", "_pid"))
+
+
 def average_rank(df: DataFrame, value: str, out: str, by: list[str] | None = None,
                  num_partitions: int | None = None) -> DataFrame:          # W07
-    """Add the average rank (ties share the mean of their positions) of
-    ``value`` within ``by`` (or over the whole frame).
-
-    Works on the (value, count) table, never on raw rows: with ``by`` the
-    running count is a window partitioned by ``by``; globally, distinct
-    values are range-partitioned, each partition computes its own running
-    count and adds the total of all earlier partitions (a table with one
-    row per partition), so no single task sees every value.
-    """
+    """Add the average rank of ``value`` within ``by`` (or over the whole
+    frame) to every row. Ranks are computed on the (value, count) table
+    (``rank_table``) and joined back on the value; a value shared by many
+    rows is a skewed join key, which AQE's skew-join splitting handles."""
     by = list(by or [])
     vc = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
-    half = (F.col("_c") + 1) / 2.0
-    if by:
-        w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        ranks = vc.select(*by, value, (F.coalesce(F.sum("_c").over(w), F.lit(0)) + half).alias(out))
-    else:
-        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        r = vc.repartitionByRange(n, value).withColumn("_pid", F.spark_partition_id())
-        totals = r.groupBy("_pid").agg(F.sum("_c").alias("_t"))
-        offsets = totals.select(
-            "_pid", F.coalesce(F.sum("_t").over(Window.orderBy("_pid").rowsBetween(
-                Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))  # one row per partition
-        within = Window.partitionBy("_pid").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        ranks = (r.select("_pid", value, "_c", F.coalesce(F.sum("_c").over(within), F.lit(0)).alias("_b"))
-                 .join(F.broadcast(offsets), "_pid")
-                 .select(value, (F.col("_b") + F.col("_off") + half).alias(out)))
+    ranks = rank_table(vc, value, by, num_partitions).select(*by, value, F.col("_rank").alias(out))
     return df.join(ranks, by + [value], "left")
 
 
 def spearman(df: DataFrame, x: str, y: str, by: list[str] | None = None) -> DataFrame:
-    """Spearman correlation = Pearson correlation of average ranks."""
+    """Spearman correlation = Pearson correlation of average ranks, over
+    rows where both values are present (pairwise complete).
+
+    Rows are first collapsed to distinct (x, y) pairs with a count, so
+    repeated values (the skewed ones) become one weighted row before any
+    join. Ranks are centred exactly (the mean of average ranks over n rows
+    is (n+1)/2), so the weighted sums need no cancelling subtraction.
+    """
     by = list(by or [])
-    r = average_rank(average_rank(df, x, "_rx", by), y, "_ry", by)
-    return r.groupBy(*by).agg(F.corr("_rx", "_ry").alias("spearman"),
-                              F.count(F.lit(1)).alias("n"))
+    pairs = (df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+             .groupBy(*by, x, y).agg(F.count(F.lit(1)).alias("_w")))
+
+    def centred(v: str, out: str) -> DataFrame:
+        vc = pairs.groupBy(*by, v).agg(F.sum("_w").alias("_c"))
+        return rank_table(vc, v, by).select(*by, v, (F.col("_rank") - (F.col("_n") + 1) / 2.0).alias(out))
+
+    p = pairs.join(centred(x, "_ax"), by + [x]).join(centred(y, "_ay"), by + [y])
+    w, ax, ay = F.col("_w"), F.col("_ax"), F.col("_ay")
+    g = p.groupBy(*by).agg(F.sum(w * ax * ay).alias("_sxy"), F.sum(w * ax * ax).alias("_sxx"),
+                           F.sum(w * ay * ay).alias("_syy"), F.sum(w).alias("n"))
+    rho = F.try_divide(F.col("_sxy"), F.sqrt(F.col("_sxx") * F.col("_syy")))
+    return g.select(*by, rho.alias("spearman"), "n")
 
 
 def qcut_index(x: Column, edges: list[Column]) -> Column:
@@ -153,13 +182,15 @@ def mann_whitney(df: DataFrame, x: str, group: str, first: str, second: str) ->
     approximation with tie and continuity correction). Returns one row:
     u_statistic (of ``first``), p_value, n1, n2."""
     s = df.filter(F.col(group).isin(first, second) & F.col(x).isNotNull())
-    r = average_rank(s, x, "_r")
-    ties = (s.groupBy(x).agg(F.count(F.lit(1)).cast("double").alias("t"))
-            .agg(F.sum(F.pow("t", 3) - F.col("t")).alias("tie")))
-    agg = r.agg(F.sum(F.when(F.col(group) == first, F.col("_r"))).alias("r1"),
-                F.count(F.when(F.col(group) == first, F.lit(1))).cast("double").alias("n1"),
-                F.count(F.when(F.col(group) == second, F.lit(1))).cast("double").alias("n2"))
-    a = with_scalars(agg, ties)
+    # One row per distinct value: all rows, rows of ``first``; the rank sum of
+    # ``first`` is sum(count_first * average rank) -- no join back to rows.
+    vc = s.groupBy(x).agg(F.count(F.lit(1)).alias("_c"),
+                          F.count(F.when(F.col(group) == first, F.lit(1))).alias("_c1"))
+    a = rank_table(vc, x).agg(
+        F.sum(F.col("_c1") * F.col("_rank")).alias("r1"),
+        F.sum("_c1").cast("double").alias("n1"),
+        F.sum(F.col("_c") - F.col("_c1")).cast("double").alias("n2"),
+        F.sum(F.pow(F.col("_c").cast("double"), 3) - F.col("_c")).alias("tie"))
     n1, n2 = F.col("n1"), F.col("n2")
     n = n1 + n2
     u1 = F.col("r1") - n1 * (n1 + 1) / 2

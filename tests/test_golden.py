@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -81,6 +82,33 @@ def test_average_rank_global_and_grouped(spark):
     assert got == sorted(zip(pdf["g"], pdf["r"]))
 
 
+def test_spearman_hot_group_ties_and_nulls(spark):
+    """Weighted pair ranks equal pandas' pairwise-complete Spearman; one
+    group holds most rows (spans several range partitions), values repeat
+    heavily, and some pairs have a missing side."""
+    random.seed(5)
+    rows = []
+    for i in range(600):
+        g = "hot" if i % 10 < 8 else f"g{i % 3}"
+        x = float(random.randint(0, 6))
+        y = None if i % 37 == 0 else float(random.randint(0, 30)) + (x if i % 2 else 0.0)
+        rows.append((g, x if i % 53 else None, y))
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    pdf = pd.DataFrame(rows, columns=["g", "x", "y"]).dropna()
+
+    def ref(d):
+        return float(np.corrcoef(d["x"].rank(method="average"), d["y"].rank(method="average"))[0, 1])
+
+    got = {r.g: (r.spearman, r.n) for r in stats.spearman(df, "x", "y", by=["g"]).collect()}
+    for g, d in pdf.groupby("g"):
+        assert got[g][0] == pytest.approx(ref(d), abs=1e-12) and got[g][1] == len(d)
+    whole = stats.spearman(df, "x", "y").first()
+    assert whole.spearman == pytest.approx(ref(pdf), abs=1e-12) and whole.n == len(pdf)
+    ranked = stats.rank_table(spark.createDataFrame([("hot", float(v), 1) for v in range(40)], "g string, v double, _c int"),
+                              "v", ["g"], num_partitions=4)
+    assert sorted(r._rank for r in ranked.collect()) == [float(i) for i in range(1, 41)]
+
+
 def test_mann_whitney_against_brute_force(spark):
     random.seed(11)
     a = [round(random.uniform(0, 1), 2) for _ in range(30)]
