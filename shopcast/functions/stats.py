@@ -124,6 +124,53 @@ def spearman(df: DataFrame, x: str, y: str, by: list[str] | None = None) -> Data
     return g.select(*by, rho.alias("spearman"), "n")
 
 
+def exact_quantiles(df: DataFrame, value: str, probs: list[float], names: list[str],
+                    by: list[str] | None = None, count_col: str | None = None,
+                    num_partitions: int | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation (position (n-1)q, as
+    pandas/numpy, DuckDB ``quantile_cont`` and Spark ``percentile``), one row
+    per group, without gathering a group's values in one task.
+
+    Built on ``rank_table``: every distinct value knows the range of sorted
+    positions it occupies, so each requested position is answered by the one
+    row whose range contains it; only those rows (at most two per quantile and
+    group) reach the final aggregate.
+    """
+    by = list(by or [])
+    vc = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+    first = F.col("_rank") - (F.col("_c") - 1) / 2.0
+    rt = rank_table(vc, value, by, num_partitions).select(
+        *by, F.col(value).cast("double").alias("_v"), first.alias("_s"),
+        (first + F.col("_c") - 1).alias("_e"), "_n")
+
+    def covers(pos):
+        return (F.col("_s") <= pos) & (pos <= F.col("_e"))
+
+    keep, aggs = F.lit(False), []
+    for q, name in zip(probs, names):
+        h = (F.col("_n") - 1) * F.lit(float(q))
+        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
+        keep = keep | covers(lo) | covers(hi)
+        v_lo = F.max(F.when(covers(lo), F.col("_v")))
+        v_hi = F.max(F.when(covers(hi), F.col("_v")))
+        aggs.append((v_lo + F.max(h - F.floor(h)) * (v_hi - v_lo)).alias(name))
+    if count_col:
+        aggs.append(F.max("_n").cast("bigint").alias(count_col))
+    return rt.filter(keep).groupBy(*by).agg(*aggs)
+
+
+def column_medians(df: DataFrame, cols: list[str]) -> dict:
+    """Exact median of each column in one job (columns stacked as
+    (column, value) rows and ranked per column); None for an all-null column."""
+    if not cols:
+        return {}
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_x")) for c in cols])).alias("_p"))
+    m = exact_quantiles(long.select("_p._col", "_p._x"), "_x", [0.5], ["_m"], by=["_col"])
+    got = {r["_col"]: r["_m"] for r in m.collect()}          # one row per column
+    return {c: got.get(c) for c in cols}
+
+
 def qcut_index(x: Column, edges: list[Column]) -> Column:
     """Quantile bin (0-based) with right-closed bins, lowest value included."""
     out = F.lit(len(edges))
@@ -162,11 +209,7 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
 def box_summary(df: DataFrame, x: str, by: list[str]) -> DataFrame:       # A17
     """q1, median, q3, whiskers at 1.5 IQR (most extreme points inside the
     fence) and the number of points outside, per group."""
-    q = df.groupBy(*by).agg(
-        F.percentile(F.col(x), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
-        F.count(F.col(x)).alias("n"))
-    q = q.select(*by, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3"))
+    q = exact_quantiles(df, x, [0.25, 0.5, 0.75], ["q1", "median", "q3"], by, count_col="n")
     j = df.join(q, by)
     iqr = F.col("q3") - F.col("q1")
     lo, hi = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr

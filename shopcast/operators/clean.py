@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopcast.functions.stats import column_medians
+
 # Fixed values of the cleaning rules.
 NO_COMPETITION_DISTANCE = 200_000.0
 MIN_TRAINABLE_SALES = 1
@@ -56,7 +58,7 @@ def fill_forward_back(df: DataFrame, cols: list[str], key: str = "Store", order:
         out = out.join(borrow, key, "left").select(
             *[c for c in out.columns if c not in cols],
             *[F.coalesce(F.col(c), F.col(f"_next_{c}")).alias(c) for c in cols])
-    medians = out.agg(*[F.median(c).alias(c) for c in cols]).first()
+    medians = column_medians(out, cols)
     return out.select(*[c for c in out.columns if c not in cols],
                       *[F.coalesce(F.col(c), F.lit(medians[c])).alias(c) if medians[c] is not None
                         else F.col(c) for c in cols]).select(*df.columns)

@@ -92,9 +92,11 @@ def holiday_phase():
 
 
 def q02_phase(ctx: PanelContext) -> DataFrame:
-    g = ctx.clean.groupBy(holiday_phase().alias("HolidayPhase")).agg(
-        F.avg("Sales").alias("mean_sales"), F.median("Sales").alias("median_sales"),
-        F.avg("Customers").alias("mean_customers"), cnt().alias("trading_days"))
+    t = ctx.clean.withColumn("HolidayPhase", holiday_phase())
+    g = t.groupBy("HolidayPhase").agg(
+        F.avg("Sales").alias("mean_sales"), F.avg("Customers").alias("mean_customers"),
+        cnt().alias("trading_days"))
+    g = g.join(stats.exact_quantiles(t, "Sales", [0.5], ["median_sales"], ["HolidayPhase"]), "HolidayPhase", "left")
     normal = F.max(F.when(F.col("HolidayPhase") == PHASE_NORMAL, F.col("mean_sales"))).over(Window.partitionBy())
     return g.select("*", pct(F.col("mean_sales"), normal).alias("vs_normal_pct"),
                     (F.col("mean_sales") / F.col("mean_customers")).alias("sales_per_customer"))
@@ -162,10 +164,11 @@ def q04_by_type(ctx: PanelContext) -> DataFrame:
 
 
 def q04_fit(ctx: PanelContext) -> DataFrame:
-    return ctx.clean.agg(F.regr_slope("Sales", "Customers").alias("slope"),
-                         F.regr_intercept("Sales", "Customers").alias("intercept"),
-                         F.percentile("Sales", 0.999).alias("q999_sales"),
-                         F.percentile("Customers", 0.999).alias("q999_customers"))
+    fit = ctx.clean.agg(F.regr_slope("Sales", "Customers").alias("slope"),
+                        F.regr_intercept("Sales", "Customers").alias("intercept"))
+    qs = stats.with_scalars(stats.exact_quantiles(ctx.clean, "Sales", [0.999], ["q999_sales"]),
+                            stats.exact_quantiles(ctx.clean, "Customers", [0.999], ["q999_customers"]))
+    return stats.with_scalars(fit, qs).select("slope", "intercept", "q999_sales", "q999_customers")
 
 
 # --- Q05 promo effect -------------------------------------------------------
@@ -215,10 +218,11 @@ QUARTILE_LABELS = ["Q1 (lowest)", "Q2", "Q3", "Q4 (highest)"]
 
 def q06_quartiles(ctx: PanelContext) -> DataFrame:
     u = q06_uplift(ctx)
-    edges = u.agg(F.percentile("abs_uplift", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_e"),
-                  F.sum("total_incremental").alias("_total"))
+    edges = stats.with_scalars(
+        stats.exact_quantiles(u, "abs_uplift", [0.25, 0.5, 0.75], ["_e0", "_e1", "_e2"]),
+        u.agg(F.sum("total_incremental").alias("_total")))
     j = stats.with_scalars(u, edges)
-    q = stats.qcut_index(F.col("abs_uplift"), [F.col("_e")[0], F.col("_e")[1], F.col("_e")[2]])
+    q = stats.qcut_index(F.col("abs_uplift"), [F.col("_e0"), F.col("_e1"), F.col("_e2")])
     labels = F.element_at(F.array(*[F.lit(x) for x in QUARTILE_LABELS]), q + 1)
     return j.groupBy(labels.alias("uplift_quartile"), "_total").agg(
         cnt().alias("stores"), F.avg("abs_uplift").alias("mean_abs_uplift"),
@@ -290,7 +294,9 @@ def q08_mann_whitney(ctx: PanelContext, threshold: float = OPENER_THRESHOLD) ->
 def q09_assortment(ctx: PanelContext) -> DataFrame:
     g = ctx.clean.groupBy("Assortment").agg(
         F.countDistinct("Store").cast("bigint").alias("stores"), F.avg("Sales").alias("mean_sales"),
-        F.median("Sales").alias("median_sales"), F.avg("Customers").alias("mean_customers"))
+        F.avg("Customers").alias("mean_customers"))
+    g = g.join(stats.exact_quantiles(ctx.clean, "Sales", [0.5], ["median_sales"], ["Assortment"]),
+               "Assortment", "left")
     return g.withColumn("sales_per_customer", F.col("mean_sales") / F.col("mean_customers"))
 
 
@@ -433,8 +439,9 @@ def q14_quality(ctx: PanelContext) -> DataFrame:
 
 def q14_skew(ctx: PanelContext) -> DataFrame:
     o = ctx.raw.filter(F.col("Open") == 1)
-    return o.agg(F.median("Sales").alias("median_sales"),
-                 stats.corrected_skewness(F.col("Sales")).alias("skew"), cnt().alias("n"))
+    m = stats.exact_quantiles(o, "Sales", [0.5], ["median_sales"])
+    return stats.with_scalars(o.agg(stats.corrected_skewness(F.col("Sales")).alias("skew"), cnt().alias("n")),
+                              m).select("median_sales", "skew", "n")
 
 
 def q14_hist(ctx: PanelContext, bins: int = 80) -> DataFrame:

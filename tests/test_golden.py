@@ -109,6 +109,28 @@ def test_spearman_hot_group_ties_and_nulls(spark):
     assert sorted(r._rank for r in ranked.collect()) == [float(i) for i in range(1, 41)]
 
 
+def test_exact_quantiles_match_numpy(spark):
+    random.seed(9)
+    rows = [("hot" if i % 4 else f"g{i % 3}", None if i % 41 == 0 else float(random.randint(0, 50)))
+            for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    probs = [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]
+    names = [f"q{i}" for i in range(len(probs))]
+    got = {r.g: r for r in stats.exact_quantiles(df, "x", probs, names, ["g"], count_col="n",
+                                                 num_partitions=6).collect()}
+    pdf = pd.DataFrame(rows, columns=["g", "x"]).dropna()
+    for g, d in pdf.groupby("g"):
+        want = np.percentile(d["x"].to_numpy(), [100 * q for q in probs])
+        assert [got[g][n] for n in names] == pytest.approx(list(want), abs=1e-9)
+        assert got[g].n == len(d)
+    whole = stats.exact_quantiles(df, "x", [0.5], ["m"]).collect()
+    assert len(whole) == 1 and whole[0].m == pytest.approx(float(np.median(pdf["x"])))
+    empty = stats.exact_quantiles(df.filter("x > 1000"), "x", [0.5], ["m"]).collect()
+    assert len(empty) == 1 and empty[0].m is None
+    assert stats.column_medians(df.withColumn("y", F.col("x") * 2), ["x", "y"]) == {
+        "x": float(np.median(pdf["x"])), "y": float(np.median(pdf["x"] * 2))}
+
+
 def test_mann_whitney_against_brute_force(spark):
     random.seed(11)
     a = [round(random.uniform(0, 1), 2) for _ in range(30)]
