@@ -159,11 +159,23 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], names: list[s
     return rt.filter(keep).groupBy(*by).agg(*aggs)
 
 
+_MEDIANS: dict = {}
+
+
 def column_medians(df: DataFrame, cols: list[str]) -> dict:
     """Exact median of each column in one job (columns stacked as
-    (column, value) rows and ranked per column); None for an all-null column."""
+    (column, value) rows and ranked per column); None for an all-null column.
+    Remembered per (application, plan, columns): every cleaning of the same
+    frame needs the same fallback values."""
     if not cols:
         return {}
+    memo = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(cols))
+    if memo not in _MEDIANS:
+        _MEDIANS[memo] = _column_medians(df, cols)
+    return dict(_MEDIANS[memo])
+
+
+def _column_medians(df: DataFrame, cols: list[str]) -> dict:
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_x")) for c in cols])).alias("_p"))
     m = exact_quantiles(long.select("_p._col", "_p._x"), "_x", [0.5], ["_m"], by=["_col"])

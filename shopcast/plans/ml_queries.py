@@ -61,11 +61,22 @@ def rf_metrics(ctx: PanelContext) -> DataFrame:                          # A21 o
     return fitted(ctx, "rf")[2]
 
 
+def _plan(ctx: PanelContext, key: str, build) -> DataFrame:
+    """Build a (lazy) query plan once per context. The per-tree plans take
+    seconds to construct; queries that extend them reuse the plan object
+    (execution is still per query)."""
+    if key not in ctx.extra:
+        ctx.extra[key] = build()
+    return ctx.extra[key]
+
+
 def tree_interval_q(ctx: PanelContext) -> DataFrame:                     # M13
-    _, valid, _ = split_frames(ctx)
-    model = fitted(ctx, "rf")[0]
-    return ml.tree_interval(model, valid).select("Store", "Date", "Sales", "PredictedSales",
-                                                 "PredictedSalesLower", "PredictedSalesUpper", "tree_std")
+    def build():
+        _, valid, _ = split_frames(ctx)
+        model = fitted(ctx, "rf")[0]
+        return ml.tree_interval(model, valid).select("Store", "Date", "Sales", "PredictedSales",
+                                                     "PredictedSalesLower", "PredictedSalesUpper", "tree_std")
+    return _plan(ctx, "plan_tree_interval", build)
 
 
 def rf_interval_coverage(ctx: PanelContext) -> DataFrame:                # M14 on the forest
@@ -105,10 +116,13 @@ def _requests_from_future(ctx: PanelContext) -> DataFrame:
 
 
 def forecast_batch(ctx: PanelContext) -> DataFrame:                      # M16
-    _, _, aggs = split_frames(ctx)
-    model = fitted(ctx, "rf")[0]
-    out, _ = FC.forecast_batch(_requests_from_future(ctx), ctx.inputs.store, ctx.calendar, aggs, model, ctx.epoch)
-    return out
+    def build():
+        _, _, aggs = split_frames(ctx)
+        model = fitted(ctx, "rf")[0]
+        out, _ = FC.forecast_batch(_requests_from_future(ctx), ctx.inputs.store, ctx.calendar, aggs, model,
+                                   ctx.epoch)
+        return out
+    return _plan(ctx, "plan_forecast_batch", build)
 
 
 def forecast_totals(ctx: PanelContext) -> DataFrame:
