@@ -183,12 +183,16 @@ def builtin_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def tree_interval(model: PipelineModel, df: DataFrame, lower: float = 2.5, upper: float = 97.5,
-                  batch: int = 25) -> DataFrame:                               # M13
+                  batch: int = 25, cut_lineage: bool = True) -> DataFrame:     # M13
     """Per-row spread of the individual trees of a forest (log scale):
     tree_mean, tree_lower, tree_upper (linear percentiles), tree_std (ddof 0),
     and the same bounds on the sales scale (expm1; the std is not mapped).
 
-    Preprocessing runs once; each tree adds one prediction column (batched
+    Preprocessing runs once and, with ``cut_lineage``, its output (the
+    caller's columns + feature vector) is written to the checkpoint folder,
+    so the m per-tree steps extend a Parquet scan instead of the whole
+    upstream plan (plan checks grow with plan size x m) and a lost executor
+    re-reads Parquet. Each tree adds one prediction column (batched
     projections keep generated code small); the order statistics are array
     expressions on each row.
     """
@@ -199,6 +203,9 @@ def tree_interval(model: PipelineModel, df: DataFrame, lower: float = 2.5, upper
     # per-tree projections (the imputed/indexed intermediates are dropped),
     # which keeps each of the m plan steps small.
     x = PipelineModel(stages=model.stages[:-1]).transform(df).select(*df.columns, "features")
+    if cut_lineage:
+        from shopcast.session import materialize
+        x = materialize(x, "tree_interval_input")
     trees = forest.trees
     m = len(trees)
     names = []
