@@ -66,7 +66,9 @@ class _ModeParams(HasInputCols):
 
 class ModeImputer(Estimator, _ModeParams, DefaultParamsReadable, DefaultParamsWritable):   # M03
     """Fill nulls of string columns with the most frequent value seen at fit
-    (ties: smallest value). One aggregate per column over the fit data."""
+    (ties: smallest value). One pass over the fit data for all columns:
+    values are stacked as (column, value) rows, counted, and the mode per
+    column is a ``min_by`` over (-count, value)."""
 
     @keyword_only
     def __init__(self, *, inputCols=None):
@@ -74,12 +76,15 @@ class ModeImputer(Estimator, _ModeParams, DefaultParamsReadable, DefaultParamsWr
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "ModeImputerModel":
-        modes = []
-        for c in self.getInputCols():
-            r = (dataset.filter(F.col(c).isNotNull()).groupBy(c).count()
-                 .orderBy(F.desc("count"), F.asc(c)).limit(1).collect())
-            modes.append(r[0][0] if r else "")
-        return ModeImputerModel(inputCols=self.getInputCols(), modes=modes)
+        cols = self.getInputCols()
+        long = (dataset.select(F.explode(F.array(*[
+                    F.struct(F.lit(c).alias("_col"), F.col(c).cast("string").alias("_v")) for c in cols]))
+                    .alias("_p"))
+                .select("_p._col", "_p._v").filter(F.col("_v").isNotNull()))
+        best = (long.groupBy("_col", "_v").count().groupBy("_col")
+                .agg(F.min_by("_v", F.struct((-F.col("count")).alias("k"), F.col("_v").alias("v"))).alias("_m")))
+        got = {r["_col"]: r["_m"] for r in best.collect()}      # one row per column
+        return ModeImputerModel(inputCols=cols, modes=[got.get(c, "") for c in cols])
 
 
 class ModeImputerModel(Model, _ModeParams, DefaultParamsReadable, DefaultParamsWritable):

@@ -37,6 +37,15 @@ def test_one_hot_unknown_is_all_zero(spark):
     assert got == {1: [1.0, 0.0, 0.0], 2: [0.0, 0.0, 0.0], 3: [0.0, 0.0, 1.0]}
 
 
+def test_mode_imputer_ties_take_smallest(spark):
+    df = spark.createDataFrame([("b", "x"), ("c", None), ("c", "y"), (None, "y"), ("b", None)],
+                               "p string, q string")
+    m = ml.ModeImputer(inputCols=["p", "q"]).fit(df)
+    assert m.getOrDefault(m.modes) == ["b", "y"]
+    filled = sorted((r.p, r.q) for r in m.transform(df).collect())
+    assert filled == sorted([("b", "x"), ("c", "y"), ("c", "y"), ("b", "y"), ("b", "y")])
+
+
 def test_training_partitions_follow_slots(spark):
     assert ml.training_partitions(spark) == spark.sparkContext.defaultParallelism
 
