@@ -7,13 +7,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopcast.llm import byte_bpe, token_counts
+from shopcast.llm import byte_bpe, fertility, pii, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text."""
+    return pii.find(documents(spark, sf_dir))
+
+
+def op5_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the fertility verdict of every whole text."""
+    return fertility.judge(documents(spark, sf_dir))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text under the multilingual rank file, decoded again."""
     return byte_bpe.encode_digest(documents(spark, sf_dir))
@@ -25,6 +35,6 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_byte_bpe, op9_token_counts)}
+    f.__name__: f for f in (op3_pii, op5_fertility, op6_byte_bpe, op9_token_counts)}
 
 SQL: dict[str, str] = {}
