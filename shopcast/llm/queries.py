@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopcast.llm import byte_bpe, fertility, pii, token_counts
+from shopcast.llm import byte_bpe, fertility, fingerprints, mixing, pii, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,12 +29,23 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digest(documents(spark, sf_dir))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole text and its edited text."""
+    return fingerprints.edited_pairs(documents(spark, sf_dir))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of one and a half times the corpus takes of each document."""
+    return mixing.plan_rows(documents(spark, sf_dir))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every whole text under the word vocabulary."""
     return token_counts.count_tokens(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_pii, op5_fertility, op6_byte_bpe, op9_token_counts)}
+    f.__name__: f for f in (op3_pii, op5_fertility, op6_byte_bpe, op7_fingerprints, op8_mixing,
+                            op9_token_counts)}
 
 SQL: dict[str, str] = {}
