@@ -7,13 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopcast.llm import byte_bpe, fertility, fingerprints, hyperminhash, mixing, pii, token_counts
+from shopcast.llm import byte_bpe, fertility, fingerprints, hyperminhash, mixing, pii, suffix_dedup, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every whole text without repeats of 100 bytes."""
+    return suffix_dedup.find_repeats(documents(spark, sf_dir))
+
+
 def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document, by whole texts."""
     return hyperminhash.near_duplicates(documents(spark, sf_dir))
@@ -50,7 +55,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_hyperminhash, op3_pii, op5_fertility, op6_byte_bpe, op7_fingerprints, op8_mixing,
+    f.__name__: f for f in (op1_suffix_dedup, op2_hyperminhash, op3_pii, op5_fertility, op6_byte_bpe, op7_fingerprints, op8_mixing,
                             op9_token_counts)}
 
 SQL: dict[str, str] = {}
