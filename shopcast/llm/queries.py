@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopcast.llm import byte_bpe, fertility, fingerprints, hyperminhash, mixing, pii, suffix_dedup, token_counts
+from shopcast.llm import (byte_bpe, fertility, fingerprints, html_extract, hyperminhash, mixing, pii, suffix_dedup,
+                         token_counts)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,8 +55,13 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir))
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, labelled by a network fitted on a bounded sample."""
+    return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_hyperminhash, op3_pii, op5_fertility, op6_byte_bpe, op7_fingerprints, op8_mixing,
-                            op9_token_counts)}
+                            op9_token_counts, op10_html_extract)}
 
 SQL: dict[str, str] = {}
