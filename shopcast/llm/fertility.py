@@ -24,11 +24,12 @@ from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopcast.llm.byte_bpe import vocabulary
-from shopcast.llm.common import map_texts
+from shopcast.llm.common import CHUNK_ROWS, map_texts
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -172,27 +173,50 @@ def judge(docs: DataFrame, bands: Mapping[str, Band] = BANDS, vocab: str = "piec
         pieces = load(path or vocabulary(vocab))
 
         def one(keys, texts):
-            split = [t.encode().split() for t in texts]
-            pieces.learn(set().union(*split) if split else set())
             out = {n: [] for n in NAMES}
-            for key, text, words in zip(keys, texts, split):
-                n, words = len(words), pieces.numbers(words)
-                chars, symbols, dup, repeat = base_counts(text, words)
-                tokens, per, share, entropy = pieces.measures(words, chars)
-                failed = n < min_words or 100 * repeat > 50 * n
-                band = bands.get(key["lang"]) if key["lang"] else None
-                kind = script(text) if band is None else key["lang"]
-                band = band or bands.get(kind) or bands["other"]
-                row = (key["id"], n, chars, symbols, dup, repeat, failed,
-                       not failed and in_band(band, per, share, entropy), tokens, per, share, entropy, kind)
-                for name, v in zip(NAMES, row):
+            for key, row in zip(keys, verdicts(pieces, texts, [k["lang"] for k in keys], bands, min_words)):
+                for name, v in zip(NAMES, (key["id"], *row)):
                     out[name].append(v)
             return out
         return one
     return map_texts(rows, make, SCHEMA)
 
 
+def accepted(docs: DataFrame, bands: Mapping[str, Band] = BANDS, vocab: str = "piece_bpe_32k.model",
+             path: str | None = None, min_words: int = MIN_WORDS, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, all columns."""
+    @F.pandas_udf("boolean")
+    def kept(texts: pd.Series, langs: pd.Series) -> pd.Series:
+        pieces, out = load(path or vocabulary(vocab)), []
+        for at in range(0, len(texts), CHUNK_ROWS):
+            part = [t or "" for t in texts.iloc[at:at + CHUNK_ROWS]]
+            out += [r[KEPT] for r in verdicts(pieces, part, list(langs.iloc[at:at + CHUNK_ROWS]), bands, min_words)]
+        return pd.Series(out, dtype=bool)
+
+    lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
+    return docs.where(kept(F.col(text_col).cast("string"), lang))
+
+
+def verdicts(pieces: Pieces, texts: list[str], langs: list[str | None], bands: Mapping[str, Band], min_words: int) -> list[tuple]:
+    """The columns of ``judge`` beside the id, for each text."""
+    split = [t.encode().split() for t in texts]
+    pieces.learn(set().union(*split) if split else set())
+    out = []
+    for lang, text, words in zip(langs, texts, split):
+        n, words = len(words), pieces.numbers(words)
+        chars, symbols, dup, repeat = base_counts(text, words)
+        tokens, per, share, entropy = pieces.measures(words, chars)
+        failed = n < min_words or 100 * repeat > 50 * n
+        band = bands.get(lang) if lang else None
+        kind = script(text) if band is None else lang
+        band = band or bands.get(kind) or bands["other"]
+        out.append((n, chars, symbols, dup, repeat, failed, not failed and in_band(band, per, share, entropy),
+                    tokens, per, share, entropy, kind))
+    return out
+
+
 SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
           "base_failed boolean, kept boolean, n_tokens long, chars_per_token double, byte_share double, "
           "entropy_share double, band string")
 NAMES = [f.split()[0] for f in SCHEMA.split(", ")]
+KEPT = NAMES.index("kept") - 1

@@ -194,6 +194,37 @@ def cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return both.groupBy("key", "x", "y").applyInPandas(meet, "a long, b long").distinct()
 
 
+def meetings(rows: DataFrame, name: str) -> DataFrame:
+    """(key, node, members, hubs) of the (key, node) rows, one per node, whose
+    bucket has several; a bucket's hubs are its first nodes in several orders."""
+    buckets = rows.groupBy("key").agg(F.count("*").alias("members"), *[
+        F.min(F.col("node").bitwiseXOR(F.lit(h))).alias(f"h{i}") for i, h in enumerate(HUBS)]).where("members > 1")
+    buckets = buckets.select("key", "members", F.array_distinct(F.array(*[
+        F.col(f"h{i}").bitwiseXOR(F.lit(h)) for i, h in enumerate(HUBS)])).alias("hubs"))
+    return shared(rows.join(buckets, "key"), f"{name}-meet")
+
+
+def link_nodes(meet: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
+    """(node, component) of the nodes with a confirmed link to another one."""
+    pairs = meet.select("node", F.explode("hubs").alias("hub")).where("node <> hub").select(
+        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    pairs = shared(pairs, f"{name}-pairs")
+    links = shared(confirm(pairs, sets, percent), f"{name}-links")
+    comp = components(links, name)
+    # Buckets whose pairs the hubs did not all see, if they hold several components.
+    wide = meet.where(F.col("members") > F.size("hubs") + 1).select("key", "node", "members").join(comp, "node", "left")
+    wide = shared(wide.withColumn("component", F.coalesce("component", "node")), f"{name}-wide")
+    counts = wide.groupBy("key", "component").agg(F.count("*").alias("n"))
+    main = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("kinds"))
+    wide = wide.join(main.where("kinds > 1").select("key", F.col("top.component").alias("main")), "key")
+    wide = wide.join(sets.select("node", "n_shingles", "registers"), "node")
+    more = cross_pairs(wide, percent).join(pairs, ["a", "b"], "left_anti")
+    more = shared(confirm(shared(more, f"{name}-cross"), sets, percent), f"{name}-links")
+    if not more.limit(1).count():
+        return comp
+    return components(links.unionByName(more), name)
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Full sets and registers of the documents in ``wanted`` (node)."""
     rows = text_rows(docs, id_col, text_col).join(wanted.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
@@ -216,28 +247,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     rows = linked.select("doc_id", "digest", "bands").join(nodes, "digest").where("doc_id = node").select(
         "node", F.explode("bands").alias("key"))
     rows = shared(rows, "near-bands")
-    buckets = rows.groupBy("key").agg(F.count("*").alias("members"), *[
-        F.min(F.col("node").bitwiseXOR(F.lit(h))).alias(f"h{i}") for i, h in enumerate(HUBS)]).where("members > 1")
-    buckets = buckets.select("key", "members", F.array_distinct(F.array(*[
-        F.col(f"h{i}").bitwiseXOR(F.lit(h)) for i, h in enumerate(HUBS)])).alias("hubs"))
-    meet = shared(rows.join(buckets, "key"), "near-meet")
-    pairs = meet.select("node", F.explode("hubs").alias("hub")).where("node <> hub").select(
-        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    pairs = shared(pairs, "near-pairs")
+    meet = meetings(rows, "near")
     sets = shared(shingle_sets(docs, meet.select("node").distinct(), id_col, text_col), "near-sets")
-    links = shared(confirm(pairs, sets, percent), "near-links")
-    comp = components(links, "near")
-    # Buckets whose pairs the hubs did not all see, if they hold several components.
-    wide = meet.where(F.col("members") > F.size("hubs") + 1).select("key", "node", "members").join(comp, "node", "left")
-    wide = shared(wide.withColumn("component", F.coalesce("component", "node")), "near-wide")
-    counts = wide.groupBy("key", "component").agg(F.count("*").alias("n"))
-    main = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("kinds"))
-    wide = wide.join(main.where("kinds > 1").select("key", F.col("top.component").alias("main")), "key")
-    wide = wide.join(sets.select("node", "n_shingles", "registers"), "node")
-    more = cross_pairs(wide, percent).join(pairs, ["a", "b"], "left_anti")
-    more = shared(confirm(shared(more, "near-cross"), sets, percent), "near-links")
-    if more.limit(1).count():
-        comp = components(links.unionByName(more), "near")
+    comp = link_nodes(meet, sets, percent, "near")
     out = sig.select("doc_id", "n_shingles", "digest").join(nodes, "digest", "left").join(comp, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),

@@ -234,9 +234,14 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                      "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string")
 
 
-def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """All rows and columns, personal data in the text replaced by its kind."""
+def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """All rows and columns, personal data in the text replaced by its kind;
+    ``length_col`` names a column that holds the text's code points."""
     @F.pandas_udf("string")
     def mask(texts: pd.Series) -> pd.Series:
         return texts.map(masked, na_action="ignore")
-    return docs.withColumn(text_col, mask(F.col(text_col)))
+    out = docs.withColumn(text_col, mask(F.col(text_col)))
+    if length_col:
+        length = F.length(text_col).cast(docs.schema[length_col].dataType)
+        out = out.withColumn(length_col, F.when(F.col(text_col).isNull(), F.col(length_col)).otherwise(length))
+    return out

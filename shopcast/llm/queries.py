@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopcast.llm import (byte_bpe, fertility, fingerprints, html_extract, hyperminhash, mixing, pii, suffix_dedup,
-                         token_counts)
+from shopcast.llm import (byte_bpe, fertility, fingerprints, html_extract, hyperminhash, mixing, paragraph_dedup, pii,
+                         suffix_dedup, token_counts)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
 
+def op4_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate paragraphs of every whole text."""
+    return paragraph_dedup.find_paragraphs(documents(spark, sf_dir))
+
+
 def op5_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the fertility verdict of every whole text."""
     return fertility.judge(documents(spark, sf_dir))
@@ -61,7 +66,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_hyperminhash, op3_pii, op5_fertility, op6_byte_bpe, op7_fingerprints, op8_mixing,
-                            op9_token_counts, op10_html_extract)}
+    f.__name__: f for f in (op1_suffix_dedup, op2_hyperminhash, op3_pii, op4_paragraph_dedup, op5_fertility, op6_byte_bpe,
+                            op7_fingerprints, op8_mixing, op9_token_counts, op10_html_extract)}
 
 SQL: dict[str, str] = {}

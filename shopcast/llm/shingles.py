@@ -40,16 +40,21 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(text: bytes) -> np.ndarray:
     """A hash of each word of a lower-cased text, in order."""
+    return word_spans(text)[0]
+
+
+def word_spans(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, end) of each word of a lower-cased text, in order."""
     b = np.frombuffer(text, np.uint8)
     if not len(b):
-        return np.zeros(0, U)
+        return np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
     word = ~GAP[b]
     edge = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]]).astype(np.int8)))
     start, end = edge[::2], edge[1::2]
     power, inverse = _powers(len(b) + 1)
     total = np.zeros(len(b) + 1, U)
     np.cumsum((b.astype(U) + U(1)) * power[:len(b)], out=total[1:])
-    return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(U))
+    return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(U)), start, end
 
 
 def shingle_set(text: str, size: int = 5) -> np.ndarray:
