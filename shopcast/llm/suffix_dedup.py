@@ -419,3 +419,22 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK
     joined = rows.join(covered(rows, length, block_bytes).hint("shuffle_hash"), ["doc", "ord"], "left")
     done = joined.select("doc", "text", "cuts").mapInPandas(cut, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return done.select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """All rows and columns, repeated bytes cut from the text."""
+    rows = numbered(docs, id_col, text_col)
+    texts = rows.select("doc", "ord", F.xxhash64("text").alias("_cut_row")).distinct()
+    gone = covered(rows, length, block_bytes).join(texts, ["doc", "ord"]).select(
+        F.col("doc").alias("_cut_doc"), "_cut_row", F.col("cuts").alias("_cuts"))
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, cuts: pd.Series) -> pd.Series:
+        return pd.Series([t if t is None or c is None else kept_parts(t.encode(), c)[0].decode(errors="ignore")
+                          for t, c in zip(texts, cuts)])
+
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    joined = docs.join(gone, (F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)) == F.col("_cut_doc"))
+                       & (F.xxhash64(text) == F.col("_cut_row")), "left")
+    return joined.withColumn(text_col, cut(F.col(text_col), F.col("_cuts"))).select(*docs.columns)
