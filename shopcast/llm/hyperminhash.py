@@ -14,9 +14,10 @@ by a 128-bit digest with map-side partial sums). In a band bucket every node
 meets a few hubs, which the same partial sums pick. After components of the
 confirmed links, only buckets that still hold different components go on, and
 there only the nodes outside the bucket's largest component meet its members,
-in blocks of bounded size, by register estimate; what passes is confirmed on
-full sets. So a group of near copies costs a few comparisons per member, and
-no link is lost to a cap.
+in blocks of bounded size, by register estimate. What passes is a question
+(node, component), which one pass over the component's full sets settles,
+again in blocks. So a group of near copies makes a few rows per member, not
+its pairs, and no link is lost to a cap.
 
 Defined results: a null text is empty: 0 shingles, linked with nothing, also
 not with another empty one; rows of equal doc_id are one document each, in a
@@ -44,6 +45,8 @@ PERCENT = 75
 #: Orders in which a bucket's hubs come first: ids XOR these.
 HUBS = (0, 0x2B7E151628AED2A6, 0x5BF0A8B1457695A3, 0x1F83D9ABFB41BD6B)
 BLOCK = 256
+#: Components of up to so many nodes are asked about pair by pair.
+SMALL = 8
 #: Collisions of registers by chance, as a share of the registers (equal set sizes).
 CHANCE = 0.1699 / (1 << MANTISSA)
 
@@ -161,13 +164,13 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return likely.join(sided(full, "a"), "a").join(sided(full, "b"), "b").mapInPandas(exact, "a long, b long")
 
 
-def cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of one bucket and different components whose registers
-    allow a link. ``rows``: key, node, component, main, members, n_shingles,
-    registers. Blocks of a bucket's members meet blocks of its nodes outside
-    the main component."""
+def questions(rows: DataFrame, percent: int) -> DataFrame:
+    """(node, component): which other components hold a node of the same bucket
+    whose registers allow a link. ``rows``: key, node, component, main,
+    members, n_shingles, registers. Blocks of a bucket's members meet blocks of
+    its nodes outside the main component."""
     blocks = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)).cast("int")
-    own = (F.xxhash64("node") % blocks + blocks) % blocks
+    own = F.pmod(F.xxhash64("node"), blocks)
     rows = rows.withColumn("blocks", blocks).withColumn("own", own.cast("int")).withColumn("out", F.col("component") != F.col("main"))
     members = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", F.col("own").alias("x"), F.col("part").alias("y"), F.lit(False).alias("query"), "node", "component", "n_shingles", "registers")
@@ -177,21 +180,64 @@ def cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
     asked = rows.where("out").select("key", F.col("own").alias("y")).distinct()
     both = members.join(asked, ["key", "y"], "left_semi").unionByName(asking)
 
-    def meet(key, g: pd.DataFrame) -> pd.DataFrame:
+    def meet(g: pd.DataFrame) -> pd.DataFrame:
         q, m = g[g["query"]], g[~g["query"]]
         regs = np.frombuffer(b"".join(m.registers), "<u2").reshape(-1, REGISTERS)
-        nodes, comps, sizes = m.node.to_numpy(), m.component.to_numpy(), m.n_shingles.to_numpy()
+        comps, sizes = m.component.to_numpy(), m.n_shingles.to_numpy()
         found = []
         for node, comp, n, r in zip(q.node, q.component, q.n_shingles, q.registers):
             small, large = np.minimum(sizes, n), np.maximum(sizes, n)
             ok = (comps != comp) & (small * 100 >= percent * large)
             ok[ok] = estimate(regs[ok], np.frombuffer(r, "<u2")) >= least_estimate(small[ok], percent)
-            other = nodes[ok]
-            found.append(np.stack([np.minimum(other, node), np.maximum(other, node)], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return both.groupBy("key", "x", "y").applyInPandas(meet, "a long, b long").distinct()
+            found += [(node, c) for c in np.unique(comps[ok])]
+        return pd.DataFrame(found, columns=["node", "component"], dtype="int64")
+
+    return both.groupBy("key", "x", "y").applyInPandas(meet, "node long, component long").distinct()
+
+
+def answer(asked: DataFrame, comp: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that settle the questions (node, component), on full sets:
+    one per question that has any. Members of small components come as pairs;
+    a large one's members lie in blocks that each node meets in one step."""
+    size = comp.groupBy("component").agg(F.count("*").alias("size"))
+    asked = asked.join(size, "component", "left").withColumn("size", F.coalesce("size", F.lit(1)))
+    few, many = asked.where(F.col("size") <= SMALL), asked.where(F.col("size") > SMALL)
+    pairs = few.join(comp.select(F.col("node").alias("other"), "component"), "component", "left").select(
+        "node", F.coalesce("other", "component").alias("other"))
+    pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    full = sets.select("node", "set")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    part = F.explode(F.sequence(F.lit(0), blocks - 1))
+    wanted = many.groupBy("component").agg(F.first("size").alias("size"), F.count("*").alias("asking"))
+    rounds = F.ceil(F.col("asking") / BLOCK).cast("int")
+    members = comp.join(wanted, "component").withColumn("x", F.pmod(F.xxhash64("node"), blocks)).withColumn(
+        "y", F.explode(F.sequence(F.lit(0), rounds - 1))).select("component", "x", "y", F.lit(False).alias("query"), "node")
+    asking = many.join(wanted.select("component", "asking"), "component").withColumn("y", F.pmod(F.xxhash64("node"), rounds)).withColumn(
+        "x", part).select("component", "x", "y", F.lit(True).alias("query"), "node")
+    both = members.unionByName(asking).join(full, "node")
+
+    def settle(g: pd.DataFrame) -> pd.DataFrame:
+        q, m = g[g["query"]], g[~g["query"]]
+        if not len(q) or not len(m):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        held = [np.frombuffer(s, "<u8") for s in m["set"]]
+        size, nodes = np.array([len(s) for s in held]), m.node.to_numpy()
+        vocabulary, flat = np.unique(np.concatenate(held), return_inverse=True)
+        start, found = np.cumsum(size) - size, []
+        for node, s in zip(q.node, q["set"]):
+            s = np.frombuffer(s, "<u8")
+            at = np.minimum(np.searchsorted(vocabulary, s), len(vocabulary) - 1)
+            mark = np.zeros(len(vocabulary), np.int64)
+            mark[at[vocabulary[at] == s]] = 1
+            common = np.add.reduceat(mark[flat], start)
+            ok = 100 * common >= percent * (size + len(s) - common)
+            if ok.any():
+                other = nodes[ok].min()
+                found.append((min(node, other), max(node, other)))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    links = both.groupBy("component", "x", "y").applyInPandas(settle, "a long, b long")
+    return confirm(pairs, sets, percent).unionByName(links).distinct()
 
 
 def meetings(rows: DataFrame, name: str) -> DataFrame:
@@ -218,8 +264,8 @@ def link_nodes(meet: DataFrame, sets: DataFrame, percent: int, name: str) -> Dat
     main = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("kinds"))
     wide = wide.join(main.where("kinds > 1").select("key", F.col("top.component").alias("main")), "key")
     wide = wide.join(sets.select("node", "n_shingles", "registers"), "node")
-    more = cross_pairs(wide, percent).join(pairs, ["a", "b"], "left_anti")
-    more = shared(confirm(shared(more, f"{name}-cross"), sets, percent), f"{name}-links")
+    asked = shared(questions(wide, percent), f"{name}-asked")
+    more = shared(answer(asked, comp, sets, percent), f"{name}-links")
     if not more.limit(1).count():
         return comp
     return components(links.unionByName(more), name)
