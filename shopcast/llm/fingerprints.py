@@ -5,7 +5,7 @@ words: the whole sequence) is hashed once; the upper bits choose one of
 ``BINS`` bins, the least hash of a bin is its value. Empty bins are filled by
 densification: round by round an empty bin looks at the bin that a hash of
 (bin, round) names and takes what that one holds by then. The low
-``LOW_BITS`` bits of each bin are packed into longs; two fingerprints compare
+``LOW_BITS`` bits of each bin (mixed with its place) are packed into longs; two fingerprints compare
 by XOR and bit counts, corrected for the chance match of so few bits.
 
 Sorting the hashes together with one sentinel per bin (the largest hash the
@@ -77,6 +77,8 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
         fill = F.transform(d, fill_from(d, F.expr(f"array({', '.join(str(probe(b, r)) for b in range(BINS))})")))
         df = df.withColumn(c["d"], F.when(todo, fill).otherwise(d))
         df = df.withColumn(c["e"], F.when(todo, F.size(F.filter(F.col(c["d"]), empty_bin))).otherwise(F.lit(0)))
+    # Bins that hold one hash must not share its low bits, so each mixes in its place.
+    df = df.withColumn(c["d"], F.transform(F.col(c["d"]), lambda v, i: F.xxhash64(v, i)))
     d = F.col(c["d"])
     low = (1 << LOW_BITS) - 1
     packed = F.transform(F.sequence(F.lit(0), F.lit(BINS // PER_LONG - 1)), lambda g: F.aggregate(
