@@ -164,22 +164,64 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return likely.join(sided(full, "a"), "a").join(sided(full, "b"), "b").mapInPandas(exact, "a long, b long")
 
 
-def questions(rows: DataFrame, percent: int) -> DataFrame:
-    """(node, component): which other components hold a node of the same bucket
-    whose registers allow a link. ``rows``: key, node, component, main,
-    members, n_shingles, registers. Blocks of a bucket's members meet blocks of
-    its nodes outside the main component."""
+def in_blocks(rows: DataFrame, payload: list[str]) -> DataFrame:
+    """(key, x, y, query, node, component, payload): blocks (x) of a bucket's
+    members beside blocks (y) of its nodes outside the main component.
+    ``rows``: key, node, component, main, members, payload."""
     blocks = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks)
-    rows = rows.withColumn("blocks", blocks).withColumn("own", own.cast("int")).withColumn("out", F.col("component") != F.col("main"))
-    members = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.col("own").alias("x"), F.col("part").alias("y"), F.lit(False).alias("query"), "node", "component", "n_shingles", "registers")
-    asking = rows.where("out").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.col("part").alias("x"), F.col("own").alias("y"), F.lit(True).alias("query"), "node", "component", "n_shingles", "registers")
+    rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
+        "out", F.col("component") != F.col("main"))
+    part = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    cols = ["node", "component", *payload]
+    members = rows.withColumn("part", part).select("key", F.col("own").alias("x"), F.col("part").alias("y"), F.lit(False).alias("query"), *cols)
+    asking = rows.where("out").withColumn("part", part).select(
+        "key", F.col("part").alias("x"), F.col("own").alias("y"), F.lit(True).alias("query"), *cols)
     # Member blocks that no outside node asks about are not needed.
     asked = rows.where("out").select("key", F.col("own").alias("y")).distinct()
-    both = members.join(asked, ["key", "y"], "left_semi").unionByName(asking)
+    return members.join(asked, ["key", "y"], "left_semi").unionByName(asking)
+
+
+def common_counts(held: list[np.ndarray]):
+    """A function that counts what a sorted set shares with each held set, in
+    one pass over all of them."""
+    size = np.array([len(s) for s in held])
+    vocabulary, flat = np.unique(np.concatenate(held), return_inverse=True)
+    start = np.cumsum(size) - size
 
+    def count(s: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(vocabulary, s), len(vocabulary) - 1)
+        mark = np.zeros(len(vocabulary), np.int64)
+        mark[at[vocabulary[at] == s]] = 1
+        return np.add.reduceat(mark[flat], start)
+    return size, count
+
+
+def linked_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between nodes of one bucket and different components, on
+    full sets: one per node outside the main component, block and component.
+    For sets that are no larger than registers. ``rows`` as in ``in_blocks``,
+    with set."""
+    def meet(g: pd.DataFrame) -> pd.DataFrame:
+        q, m = g[g["query"]], g[~g["query"]]
+        found = []
+        if len(q) and len(m):
+            size, count = common_counts([np.frombuffer(s, "<u8") for s in m["set"]])
+            comps, nodes = m.component.to_numpy(), m.node.to_numpy()
+            for node, comp, s in zip(q.node, q.component, q["set"]):
+                s = np.frombuffer(s, "<u8")
+                common = count(s)
+                hit = np.flatnonzero((comps != comp) & (100 * common >= percent * (size + len(s) - common)))
+                for i in hit[np.unique(comps[hit], return_index=True)[1]]:
+                    found.append((min(node, nodes[i]), max(node, nodes[i])))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return in_blocks(rows, ["set"]).groupBy("key", "x", "y").applyInPandas(meet, "a long, b long").distinct()
+
+
+def questions(rows: DataFrame, percent: int) -> DataFrame:
+    """(node, component): which other components hold a node of the same bucket
+    whose registers allow a link. ``rows`` as in ``in_blocks``, with n_shingles
+    and registers."""
     def meet(g: pd.DataFrame) -> pd.DataFrame:
         q, m = g[g["query"]], g[~g["query"]]
         regs = np.frombuffer(b"".join(m.registers), "<u2").reshape(-1, REGISTERS)
@@ -192,7 +234,8 @@ def questions(rows: DataFrame, percent: int) -> DataFrame:
             found += [(node, c) for c in np.unique(comps[ok])]
         return pd.DataFrame(found, columns=["node", "component"], dtype="int64")
 
-    return both.groupBy("key", "x", "y").applyInPandas(meet, "node long, component long").distinct()
+    return in_blocks(rows, ["n_shingles", "registers"]).groupBy("key", "x", "y").applyInPandas(
+        meet, "node long, component long").distinct()
 
 
 def answer(asked: DataFrame, comp: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -220,16 +263,11 @@ def answer(asked: DataFrame, comp: DataFrame, sets: DataFrame, percent: int) ->
         q, m = g[g["query"]], g[~g["query"]]
         if not len(q) or not len(m):
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        held = [np.frombuffer(s, "<u8") for s in m["set"]]
-        size, nodes = np.array([len(s) for s in held]), m.node.to_numpy()
-        vocabulary, flat = np.unique(np.concatenate(held), return_inverse=True)
-        start, found = np.cumsum(size) - size, []
+        size, count = common_counts([np.frombuffer(s, "<u8") for s in m["set"]])
+        nodes, found = m.node.to_numpy(), []
         for node, s in zip(q.node, q["set"]):
             s = np.frombuffer(s, "<u8")
-            at = np.minimum(np.searchsorted(vocabulary, s), len(vocabulary) - 1)
-            mark = np.zeros(len(vocabulary), np.int64)
-            mark[at[vocabulary[at] == s]] = 1
-            common = np.add.reduceat(mark[flat], start)
+            common = count(s)
             ok = 100 * common >= percent * (size + len(s) - common)
             if ok.any():
                 other = nodes[ok].min()
@@ -250,8 +288,9 @@ def meetings(rows: DataFrame, name: str) -> DataFrame:
     return shared(rows.join(buckets, "key"), f"{name}-meet")
 
 
-def link_nodes(meet: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
-    """(node, component) of the nodes with a confirmed link to another one."""
+def link_nodes(meet: DataFrame, sets: DataFrame, percent: int, name: str, small_sets: bool = False) -> DataFrame:
+    """(node, component) of the nodes with a confirmed link to another one.
+    ``small_sets``: full sets are as cheap to move as registers."""
     pairs = meet.select("node", F.explode("hubs").alias("hub")).where("node <> hub").select(
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     pairs = shared(pairs, f"{name}-pairs")
@@ -263,9 +302,12 @@ def link_nodes(meet: DataFrame, sets: DataFrame, percent: int, name: str) -> Dat
     counts = wide.groupBy("key", "component").agg(F.count("*").alias("n"))
     main = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("kinds"))
     wide = wide.join(main.where("kinds > 1").select("key", F.col("top.component").alias("main")), "key")
-    wide = wide.join(sets.select("node", "n_shingles", "registers"), "node")
-    asked = shared(questions(wide, percent), f"{name}-asked")
-    more = shared(answer(asked, comp, sets, percent), f"{name}-links")
+    if small_sets:
+        more = shared(linked_in_blocks(wide.join(sets.select("node", "set"), "node"), percent), f"{name}-links")
+    else:
+        wide = wide.join(sets.select("node", "n_shingles", "registers"), "node")
+        asked = shared(questions(wide, percent), f"{name}-asked")
+        more = shared(answer(asked, comp, sets, percent), f"{name}-links")
     if not more.limit(1).count():
         return comp
     return components(links.unionByName(more), name)

@@ -90,9 +90,11 @@ def test_questions_and_answers_find_what_hubs_missed(spark, monkeypatch):
     asked = h.questions(df.drop("set"), 75)
     got = {(r.node, r.component) for r in asked.collect()}
     assert {(i, c) for i in base if 12 <= i < 30 for c in set(comp.values()) - {comp[i], 50, 51}} <= got
+    near = {(a, b) for a in base for b in base if a < b and similar(base[a], base[b])}
+    direct = {(r.a, r.b) for r in h.linked_in_blocks(df, 75).collect()}
+    assert direct <= near and {(min(i, c), max(i, c)) for i in base if 12 <= i < 30 for c in (20, 25)} - {(20, 20), (25, 25)} <= direct
     linked = df.where("component <> node or node in (0, 12)").select("node", "component")
     links = {(r.a, r.b) for r in h.answer(asked, linked, df, 75).collect()}
-    near = {(a, b) for a in base for b in base if a < b and similar(base[a], base[b])}
     assert links <= near
     for node, c in got:
         if any((min(node, m), max(node, m)) in near for m in base if comp[m] == c):
