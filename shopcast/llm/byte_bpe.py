@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame
 from shopcast.llm.common import map_texts, text_rows
 
 LONG = 1024
-CACHE_ENTRIES = 400_000
+#: Pre-tokens that a task remembers between chunks.
+CACHE_ENTRIES = 300_000
 NO_RANK = np.int64(1 << 40)
 
 
@@ -218,7 +219,7 @@ def encode(docs: DataFrame, vocab: str = "byte_bpe_multi_50k.tiktoken", path: st
             ids = bpe.encode_batch(texts)
             return {"doc_id": keys, "n_tokens": [len(x) // 4 for x in ids], "ids": ids,
                     "decoded": [bpe.decode(x) for x in ids]}
-        return one
+        return one, bpe.known.clear
     return map_texts(text_rows(docs, id_col, text_col), make,
                      "doc_id long, n_tokens long, ids binary, decoded binary")
 
@@ -236,6 +237,6 @@ def encode_digest(docs: DataFrame, vocab: str = "byte_bpe_multi_50k.tiktoken", p
             return {"doc_id": keys, "n_tokens": [len(x) // 4 for x in ids],
                     "ids_sha256": [sha(x).hexdigest() for x in ids],
                     "decoded_sha256": [sha(bpe.decode(x)).hexdigest() for x in ids]}
-        return one
+        return one, bpe.known.clear
     return map_texts(text_rows(docs, id_col, text_col), make,
                      "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

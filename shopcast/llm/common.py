@@ -24,32 +24,75 @@ def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def map_texts(rows: DataFrame, make: Callable[[], Callable[[list, list], dict]], schema: str) -> DataFrame:
+def map_texts(rows: DataFrame, make: Callable[[], tuple], schema: str) -> DataFrame:
     """Apply a per-batch text function inside tasks.
 
     ``rows`` has (key, text, ...); ``make()`` runs once per task and returns a
-    function (keys, texts) -> {column: values}. Batches are cut into
-    ``CHUNK_ROWS`` rows, so memory is bounded by the rows of a chunk."""
+    function (keys, texts) -> {column: values}, and what to call when the task
+    ends. Batches are cut into ``CHUNK_ROWS`` rows, so memory is bounded by the
+    rows of a chunk."""
     names = [f.split()[0] for f in schema.split(", ")]
     types = [_ARROW[f.split()[1]] for f in schema.split(", ")]
     key, text = rows.columns[:2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fn = make()
-        for whole in batches:
-            for at in range(0, whole.num_rows, CHUNK_ROWS):
-                b = whole.slice(at, CHUNK_ROWS)
+        fn, forget = make()
+        try:
+            for b in chunks(batches):
                 out = fn(b.column(key).to_pylist(), b.column(text).to_pylist())
                 yield pa.RecordBatch.from_arrays([pa.array(out[n], t) for n, t in zip(names, types)], names)
+        finally:
+            forget()
 
     return rows.mapInArrow(run, schema)
 
 
+def nothing() -> None:
+    """For functions that hold nothing to forget."""
+
+
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, whole.num_rows, CHUNK_ROWS):
+            yield whole.slice(at, CHUNK_ROWS)
+
+
+def map_rows(df: DataFrame, make: Callable[[], tuple]) -> DataFrame:
+    """Whole rows through a function batch -> batch of the same schema, with
+    ``make`` as for ``map_texts``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn, forget = make()
+        try:
+            for b in chunks(batches):
+                yield fn(b)
+        finally:
+            forget()
+
+    return df.mapInArrow(run, df.schema)
+
+
+def with_column(batch: pa.RecordBatch, name: str, values: list) -> pa.RecordBatch:
+    """The batch with a column's values replaced."""
+    i = batch.schema.get_field_index(name)
+    cols = list(batch.columns)
+    cols[i] = pa.array(values, batch.schema.field(i).type)
+    return pa.RecordBatch.from_arrays(cols, schema=batch.schema)
+
+
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(),
           "double": pa.float64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
 
 
-def shared(df: DataFrame, name: str) -> DataFrame:
+def shared(df: DataFrame, name: str, rows_per_batch: int | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back, so that
-    later jobs start from files that outlive any executor."""
-    return materialize(df, f"llm-{name}")
+    later jobs start from files that outlive any executor. ``rows_per_batch``
+    bounds the Arrow batches of a job whose rows are wide."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if rows_per_batch is None:
+        return materialize(df, f"llm-{name}")
+    before = conf.get(key)
+    conf.set(key, str(rows_per_batch))
+    try:
+        return materialize(df, f"llm-{name}")
+    finally:
+        conf.set(key, before)

@@ -24,18 +24,18 @@ from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopcast.llm.byte_bpe import vocabulary
-from shopcast.llm.common import CHUNK_ROWS, map_texts
+from shopcast.llm.common import map_rows, map_texts
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 #: Words that a task remembers between chunks.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 400_000
 
 
 class Band(NamedTuple):
@@ -178,23 +178,23 @@ def judge(docs: DataFrame, bands: Mapping[str, Band] = BANDS, vocab: str = "piec
                 for name, v in zip(NAMES, (key["id"], *row)):
                     out[name].append(v)
             return out
-        return one
+        return one, pieces.forget
     return map_texts(rows, make, SCHEMA)
 
 
 def accepted(docs: DataFrame, bands: Mapping[str, Band] = BANDS, vocab: str = "piece_bpe_32k.model",
              path: str | None = None, min_words: int = MIN_WORDS, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, all columns."""
-    @F.pandas_udf("boolean")
-    def kept(texts: pd.Series, langs: pd.Series) -> pd.Series:
-        pieces, out = load(path or vocabulary(vocab)), []
-        for at in range(0, len(texts), CHUNK_ROWS):
-            part = [t or "" for t in texts.iloc[at:at + CHUNK_ROWS]]
-            out += [r[KEPT] for r in verdicts(pieces, part, list(langs.iloc[at:at + CHUNK_ROWS]), bands, min_words)]
-        return pd.Series(out, dtype=bool)
+    def make():
+        pieces = load(path or vocabulary(vocab))
 
-    lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
-    return docs.where(kept(F.col(text_col).cast("string"), lang))
+        def one(batch):
+            texts = [t or "" for t in batch.column(text_col).cast("string").to_pylist()]
+            named = lang_col in batch.schema.names
+            langs = batch.column(lang_col).cast("string").to_pylist() if named else [None] * len(texts)
+            return batch.filter(pa.array([v[KEPT] for v in verdicts(pieces, texts, langs, bands, min_words)], pa.bool_()))
+        return one, pieces.forget
+    return map_rows(docs, make)
 
 
 def verdicts(pieces: Pieces, texts: list[str], langs: list[str | None], bands: Mapping[str, Band], min_words: int) -> list[tuple]:

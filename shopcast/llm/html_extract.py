@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopcast.llm.common import map_texts
+from shopcast.llm.common import map_texts, nothing
 from shopcast.llm.shingles import U, mix, word_hashes
 
 SAMPLE_PAGES = 192
@@ -444,5 +444,5 @@ def extract(pages: DataFrame, model: Labeller | None = None, id_col: str = "page
         def one(keys, texts):
             out = main_text(model, texts)
             return {"page_id": [k["id"] for k in keys], "url": [k["url"] for k in keys], "text": out, "n_chars": [len(t) for t in out]}
-        return one
+        return one, nothing
     return map_texts(rows, make, "page_id long, url string, text string, n_chars long")

@@ -36,12 +36,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopcast.llm.common import map_texts, shared, text_rows
+from shopcast.llm.common import map_texts, nothing, shared, text_rows
 from shopcast.llm.shingles import U, mix, overlap, shingle_set
 
 REGISTERS, ROWS, MANTISSA = 128, 4, 10
 BANDS = REGISTERS // ROWS
 PERCENT = 75
+#: Rows per Arrow batch where each carries two full sets.
+WIDE_ROWS = 1000
 #: Orders in which a bucket's hubs come first: ids XOR these.
 HUBS = (0, 0x2B7E151628AED2A6, 0x5BF0A8B1457695A3, 0x1F83D9ABFB41BD6B)
 BLOCK = 256
@@ -106,7 +108,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 out["registers"].append(None if r is None else r.tobytes())
                 out["bands"].append(None if r is None else band_keys(r))
             return out
-        return one
+        return one, nothing
     return map_texts(text_rows(docs, id_col, text_col), make,
                      "doc_id long, n_shingles long, digest binary, registers binary, bands array<long>")
 
@@ -294,7 +296,7 @@ def link_nodes(meet: DataFrame, sets: DataFrame, percent: int, name: str, small_
     pairs = meet.select("node", F.explode("hubs").alias("hub")).where("node <> hub").select(
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     pairs = shared(pairs, f"{name}-pairs")
-    links = shared(confirm(pairs, sets, percent), f"{name}-links")
+    links = shared(confirm(pairs, sets, percent), f"{name}-links", WIDE_ROWS)
     comp = components(links, name)
     # Buckets whose pairs the hubs did not all see, if they hold several components.
     wide = meet.where(F.col("members") > F.size("hubs") + 1).select("key", "node", "members").join(comp, "node", "left")
@@ -307,7 +309,7 @@ def link_nodes(meet: DataFrame, sets: DataFrame, percent: int, name: str, small_
     else:
         wide = wide.join(sets.select("node", "n_shingles", "registers"), "node")
         asked = shared(questions(wide, percent), f"{name}-asked")
-        more = shared(answer(asked, comp, sets, percent), f"{name}-links")
+        more = shared(answer(asked, comp, sets, percent), f"{name}-links", WIDE_ROWS)
     if not more.limit(1).count():
         return comp
     return components(links.unionByName(more), name)
@@ -322,7 +324,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
             sets = [(k, s) for k, s in zip(keys, map(shingle_set, texts)) if len(s)]
             return {"node": [k for k, _ in sets], "n_shingles": [len(s) for _, s in sets],
                     "registers": [registers(s).tobytes() for _, s in sets], "set": [s.tobytes() for _, s in sets]}
-        return one
+        return one, nothing
     return map_texts(rows, make, "node long, n_shingles long, registers binary, set binary")
 
 
@@ -336,7 +338,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
         "node", F.explode("bands").alias("key"))
     rows = shared(rows, "near-bands")
     meet = meetings(rows, "near")
-    sets = shared(shingle_sets(docs, meet.select("node").distinct(), id_col, text_col), "near-sets")
+    sets = shared(shingle_sets(docs, meet.select("node").distinct(), id_col, text_col), "near-sets", 2 * WIDE_ROWS)
     comp = link_nodes(meet, sets, percent, "near")
     out = sig.select("doc_id", "n_shingles", "digest").join(nodes, "digest", "left").join(comp, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))

@@ -22,11 +22,10 @@ import hashlib
 import re
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopcast.llm.common import map_texts, text_rows
+from shopcast.llm.common import map_rows, map_texts, nothing, text_rows, with_column
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = BASE + ("url", "account", "secret")
@@ -229,7 +228,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             out["base_sha256"] = [hashlib.sha256(listed(f, BASE).encode()).hexdigest() for f in found]
             out["spans"] = [listed(f, KINDS) for f in found]
             return out
-        return one
+        return one, nothing
     return map_texts(text_rows(docs, id_col, text_col), make,
                      "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string")
 
@@ -237,10 +236,12 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """All rows and columns, personal data in the text replaced by its kind;
     ``length_col`` names a column that holds the text's code points."""
-    @F.pandas_udf("string")
-    def mask(texts: pd.Series) -> pd.Series:
-        return texts.map(masked, na_action="ignore")
-    out = docs.withColumn(text_col, mask(F.col(text_col)))
+    def make():
+        def one(batch):
+            texts = batch.column(text_col).to_pylist()
+            return with_column(batch, text_col, [t if t is None else masked(t) for t in texts])
+        return one, nothing
+    out = map_rows(docs.withColumn(text_col, F.col(text_col).cast("string")), make)
     if length_col:
         length = F.length(text_col).cast(docs.schema[length_col].dataType)
         out = out.withColumn(length_col, F.when(F.col(text_col).isNull(), F.col(length_col)).otherwise(length))

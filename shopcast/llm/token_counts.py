@@ -141,6 +141,6 @@ def count_tokens(docs: DataFrame, vocab: str = "word_bpe_49k.json", path: str |
             n = bpe.count_batch(texts)
             return {"doc_id": keys, "n_bytes": [len(t.encode()) for t in texts], "n_tokens": n,
                     "over_limit": [x > limit for x in n]}
-        return one
+        return one, bpe.known.clear
     return map_texts(text_rows(docs, id_col, text_col), make,
                      "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
