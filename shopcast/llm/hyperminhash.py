@@ -14,10 +14,10 @@ by a 128-bit digest with map-side partial sums). In a band bucket every node
 meets a few hubs, which the same partial sums pick. After components of the
 confirmed links, only buckets that still hold different components go on, and
 there only the nodes outside the bucket's largest component meet its members,
-in blocks of bounded size, by register estimate. What passes is a question
-(node, component), which one pass over the component's full sets settles,
-again in blocks. So a group of near copies makes a few rows per member, not
-its pairs, and no link is lost to a cap.
+in blocks of bounded size, first by register estimate, then, for rows that
+passed, on full sets. A task compares its blocks in place and hands on one
+link per node and component, so a group of near copies makes a few rows per
+member, not its pairs, and no link is lost to a cap.
 
 Defined results: a null text is empty: 0 shingles, linked with nothing, also
 not with another empty one; rows of equal doc_id are one document each, in a
@@ -47,8 +47,6 @@ WIDE_ROWS = 1000
 #: Orders in which a bucket's hubs come first: ids XOR these.
 HUBS = (0, 0x2B7E151628AED2A6, 0x5BF0A8B1457695A3, 0x1F83D9ABFB41BD6B)
 BLOCK = 256
-#: Components of up to so many nodes are asked about pair by pair.
-SMALL = 8
 #: Collisions of registers by chance, as a share of the registers (equal set sizes).
 CHANCE = 0.1699 / (1 << MANTISSA)
 
@@ -201,8 +199,7 @@ def common_counts(held: list[np.ndarray]):
 def linked_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between nodes of one bucket and different components, on
     full sets: one per node outside the main component, block and component.
-    For sets that are no larger than registers. ``rows`` as in ``in_blocks``,
-    with set."""
+    ``rows`` as in ``in_blocks``, with set."""
     def meet(g: pd.DataFrame) -> pd.DataFrame:
         q, m = g[g["query"]], g[~g["query"]]
         found = []
@@ -220,69 +217,36 @@ def linked_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
     return in_blocks(rows, ["set"]).groupBy("key", "x", "y").applyInPandas(meet, "a long, b long").distinct()
 
 
-def questions(rows: DataFrame, percent: int) -> DataFrame:
-    """(node, component): which other components hold a node of the same bucket
-    whose registers allow a link. ``rows`` as in ``in_blocks``, with n_shingles
-    and registers."""
+def plausible_rows(rows: DataFrame, percent: int) -> DataFrame:
+    """(key, node): rows of a bucket that may have a link to another component
+    there, by registers. A pair counts in the first band that it shares only.
+    ``rows`` as in ``in_blocks``, with band, n_shingles and registers."""
     def meet(g: pd.DataFrame) -> pd.DataFrame:
         q, m = g[g["query"]], g[~g["query"]]
         regs = np.frombuffer(b"".join(m.registers), "<u2").reshape(-1, REGISTERS)
-        comps, sizes = m.component.to_numpy(), m.n_shingles.to_numpy()
-        found = []
-        for node, comp, n, r in zip(q.node, q.component, q.n_shingles, q.registers):
+        comps, sizes, nodes = m.component.to_numpy(), m.n_shingles.to_numpy(), m.node.to_numpy()
+        keep, asked = np.zeros(len(m), bool), []
+        for node, comp, n, r, band in zip(q.node, q.component, q.n_shingles, q.registers, q.band):
             small, large = np.minimum(sizes, n), np.maximum(sizes, n)
             ok = (comps != comp) & (small * 100 >= percent * large)
-            ok[ok] = estimate(regs[ok], np.frombuffer(r, "<u2")) >= least_estimate(small[ok], percent)
-            found += [(node, c) for c in np.unique(comps[ok])]
-        return pd.DataFrame(found, columns=["node", "component"], dtype="int64")
-
-    return in_blocks(rows, ["n_shingles", "registers"]).groupBy("key", "x", "y").applyInPandas(
-        meet, "node long, component long").distinct()
-
-
-def answer(asked: DataFrame, comp: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that settle the questions (node, component), on full sets:
-    one per question that has any. Members of small components come as pairs;
-    a large one's members lie in blocks that each node meets in one step."""
-    size = comp.groupBy("component").agg(F.count("*").alias("size"))
-    asked = asked.join(size, "component", "left").withColumn("size", F.coalesce("size", F.lit(1)))
-    few, many = asked.where(F.col("size") <= SMALL), asked.where(F.col("size") > SMALL)
-    pairs = few.join(comp.select(F.col("node").alias("other"), "component"), "component", "left").select(
-        "node", F.coalesce("other", "component").alias("other"))
-    pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    full = sets.select("node", "set")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    part = F.explode(F.sequence(F.lit(0), blocks - 1))
-    wanted = many.groupBy("component").agg(F.first("size").alias("size"), F.count("*").alias("asking"))
-    rounds = F.ceil(F.col("asking") / BLOCK).cast("int")
-    members = comp.join(wanted, "component").withColumn("x", F.pmod(F.xxhash64("node"), blocks)).withColumn(
-        "y", F.explode(F.sequence(F.lit(0), rounds - 1))).select("component", "x", "y", F.lit(False).alias("query"), "node")
-    asking = many.join(wanted.select("component", "asking"), "component").withColumn("y", F.pmod(F.xxhash64("node"), rounds)).withColumn(
-        "x", part).select("component", "x", "y", F.lit(True).alias("query"), "node")
-    both = members.unionByName(asking).join(full, "node")
-
-    def settle(g: pd.DataFrame) -> pd.DataFrame:
-        q, m = g[g["query"]], g[~g["query"]]
-        if not len(q) or not len(m):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        size, count = common_counts([np.frombuffer(s, "<u8") for s in m["set"]])
-        nodes, found = m.node.to_numpy(), []
-        for node, s in zip(q.node, q["set"]):
-            s = np.frombuffer(s, "<u8")
-            common = count(s)
-            ok = 100 * common >= percent * (size + len(s) - common)
+            same = regs[ok] == np.frombuffer(r, "<u2")
+            first = same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+            near = (same.mean(axis=1) - CHANCE) / (1 - CHANCE) >= least_estimate(small[ok], percent)
+            ok[ok] = near & (first == band)
             if ok.any():
-                other = nodes[ok].min()
-                found.append((min(node, other), max(node, other)))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                keep |= ok
+                asked.append(node)
+        key = g["key"].iloc[0]
+        found = np.unique(np.concatenate([nodes[keep], np.array(asked, np.int64)]))
+        return pd.DataFrame({"key": np.full(len(found), key), "node": found}, dtype="int64")
 
-    links = both.groupBy("component", "x", "y").applyInPandas(settle, "a long, b long")
-    return confirm(pairs, sets, percent).unionByName(links).distinct()
+    return in_blocks(rows, ["band", "n_shingles", "registers"]).groupBy("key", "x", "y").applyInPandas(
+        meet, "key long, node long").distinct()
 
 
 def meetings(rows: DataFrame, name: str) -> DataFrame:
-    """(key, node, members, hubs) of the (key, node) rows, one per node, whose
-    bucket has several; a bucket's hubs are its first nodes in several orders."""
+    """The (key, node, ...) rows, one per node, whose bucket has several, with
+    members and hubs; a bucket's hubs are its first nodes in several orders."""
     buckets = rows.groupBy("key").agg(F.count("*").alias("members"), *[
         F.min(F.col("node").bitwiseXOR(F.lit(h))).alias(f"h{i}") for i, h in enumerate(HUBS)]).where("members > 1")
     buckets = buckets.select("key", "members", F.array_distinct(F.array(*[
@@ -299,17 +263,16 @@ def link_nodes(meet: DataFrame, sets: DataFrame, percent: int, name: str, small_
     links = shared(confirm(pairs, sets, percent), f"{name}-links", WIDE_ROWS)
     comp = components(links, name)
     # Buckets whose pairs the hubs did not all see, if they hold several components.
-    wide = meet.where(F.col("members") > F.size("hubs") + 1).select("key", "node", "members").join(comp, "node", "left")
+    wide = meet.where(F.col("members") > F.size("hubs") + 1).drop("hubs").join(comp, "node", "left")
     wide = shared(wide.withColumn("component", F.coalesce("component", "node")), f"{name}-wide")
     counts = wide.groupBy("key", "component").agg(F.count("*").alias("n"))
     main = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("kinds"))
     wide = wide.join(main.where("kinds > 1").select("key", F.col("top.component").alias("main")), "key")
-    if small_sets:
-        more = shared(linked_in_blocks(wide.join(sets.select("node", "set"), "node"), percent), f"{name}-links")
-    else:
-        wide = wide.join(sets.select("node", "n_shingles", "registers"), "node")
-        asked = shared(questions(wide, percent), f"{name}-asked")
-        more = shared(answer(asked, comp, sets, percent), f"{name}-links", WIDE_ROWS)
+    if not small_sets:
+        narrow = wide.join(sets.select("node", "n_shingles", "registers"), "node")
+        rows = shared(plausible_rows(narrow, percent), f"{name}-plausible")
+        wide = wide.drop("members").join(rows, ["key", "node"]).join(rows.groupBy("key").agg(F.count("*").alias("members")), "key")
+    more = shared(linked_in_blocks(wide.join(sets.select("node", "set"), "node"), percent), f"{name}-links", WIDE_ROWS)
     if not more.limit(1).count():
         return comp
     return components(links.unionByName(more), name)
@@ -335,7 +298,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     # One node per distinct set; its number is its least document.
     nodes = shared(linked.groupBy("digest").agg(F.min("doc_id").alias("node")), "near-nodes")
     rows = linked.select("doc_id", "digest", "bands").join(nodes, "digest").where("doc_id = node").select(
-        "node", F.explode("bands").alias("key"))
+        "node", F.posexplode("bands").alias("band", "key"))
     rows = shared(rows, "near-bands")
     meet = meetings(rows, "near")
     sets = shared(shingle_sets(docs, meet.select("node").distinct(), id_col, text_col), "near-sets", 2 * WIDE_ROWS)

@@ -80,25 +80,30 @@ def test_components_spread_along_long_paths(spark):
     assert got == {i: 100 for i in range(100, 161)} | {5: 5, 9: 5, 7: 5, 200: 100} | {300: 300} | {k: 300 for k in range(301, 340)}
 
 
-def test_questions_and_answers_find_what_hubs_missed(spark, monkeypatch):
+def test_blocks_find_what_hubs_missed(spark, monkeypatch):
     monkeypatch.setattr(h, "BLOCK", 4)
     base = {i: shingle_set(" ".join([f"w{k}" for k in range(100)] + [f"own{i}"])) for i in range(30)}
     base[50], base[51] = shingle_set(words(90, 5)), shingle_set(" ".join([f"w{k}" for k in range(88)] + [f"z{k}" for k in range(12)]))
     comp = {i: 0 if i < 12 else 12 if i < 20 else i for i in base}
-    rows = [(1, i, comp[i], 0, len(base), len(s), h.registers(s).tobytes(), s.tobytes()) for i, s in base.items()]
-    df = spark.createDataFrame(rows, "key long, node long, component long, main long, members long, n_shingles long, registers binary, set binary")
-    asked = h.questions(df.drop("set"), 75)
-    got = {(r.node, r.component) for r in asked.collect()}
-    assert {(i, c) for i in base if 12 <= i < 30 for c in set(comp.values()) - {comp[i], 50, 51}} <= got
+    rows = []
+    for i, s in base.items():
+        r = h.registers(s)
+        rows += [(int(k), b, i, comp[i], 0, len(base), len(s), r.tobytes(), s.tobytes()) for b, k in enumerate(h.band_keys(r))]
+    df = spark.createDataFrame(rows, "key long, band int, node long, component long, main long, members long, n_shingles long, "
+                                     "registers binary, set binary")
     near = {(a, b) for a in base for b in base if a < b and similar(base[a], base[b])}
-    direct = {(r.a, r.b) for r in h.linked_in_blocks(df, 75).collect()}
-    assert direct <= near and {(min(i, c), max(i, c)) for i in base if 12 <= i < 30 for c in (20, 25)} - {(20, 20), (25, 25)} <= direct
-    linked = df.where("component <> node or node in (0, 12)").select("node", "component")
-    links = {(r.a, r.b) for r in h.answer(asked, linked, df, 75).collect()}
+    keys = {(r.key, r.node) for r in h.plausible_rows(df.drop("set"), 75).collect()}
+    by_key = {}
+    for k, n in keys:
+        by_key.setdefault(k, set()).add(n)
+    shared_key = {(a, b) for g in by_key.values() for a in g for b in g if a < b}
+    assert {p for p in near if comp[p[0]] != comp[p[1]]} <= shared_key and not any(50 in p for p in shared_key)
+    links = {(r.a, r.b) for r in h.linked_in_blocks(df, 75).collect()}
     assert links <= near
-    for node, c in got:
-        if any((min(node, m), max(node, m)) in near for m in base if comp[m] == c):
-            assert any((min(node, m), max(node, m)) in links for m in base if comp[m] == c)
+    for a, b in near:
+        if comp[a] != comp[b] and comp[b]:
+            # A node outside the main component has a link to each other component that it is near to.
+            assert any(b in p and comp[p[0] if p[1] == b else p[1]] == comp[a] for p in links)
 
 
 def test_defined_results(docs, wide, nothing):
