@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopcast.session import materialize
+
 # Coefficients of the complementary error function
 # approximation erfc(z) ~ t*exp(-z*z + P(t)), t = 1/(1+z/2), fractional
 # error < 1.2e-7 (Numerical Recipes, "erfcc").
@@ -46,14 +48,14 @@ def chi2_yates_2x2(a: Column, b: Column, c: Column, d: Column) -> tuple[Column,
     a, b, c, d = (x.cast("double") for x in (a, b, c, d))
     n = a + b + c + d
     num = n * F.pow(F.greatest(F.abs(a * d - b * c) - n / 2, F.lit(0.0)), 2)
-    chi2 = num / ((a + b) * (c + d) * (a + c) * (b + d))
+    chi2 = F.try_divide(num, (a + b) * (c + d) * (a + c) * (b + d))
     return chi2, erfc(F.sqrt(chi2 / 2))
 
 
 def corrected_skewness(x: Column) -> Column:
     """Bias-corrected sample skewness (G1) from Spark's population value."""
     n = F.count(x).cast("double")
-    return F.skewness(x) * F.sqrt(n * (n - 1)) / (n - 2)
+    return F.when(n > 2, F.try_divide(F.skewness(x) * F.sqrt(n * (n - 1)), n - 2))
 
 
 def rank_table(vc: DataFrame, value: str, by: list[str] | None = None,
@@ -67,10 +69,16 @@ def rank_table(vc: DataFrame, value: str, by: list[str] | None = None,
     running counts of its own rows; a table with one row per (group,
     partition) supplies the count of the group's rows in earlier partitions
     and the group total.
+
+    The range bounds come from a sample, so two evaluations may cut the rows
+    differently. The rows are therefore written with their partition number
+    once, and totals and ranks both read that table, whatever the planner
+    does with repeated exchanges.
     """
     by = list(by or [])
-    n = num_partitions or int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = vc.repartitionByRange(n, *by, value).withColumn("_pid", F.spark_partition_id())
+    cols = [*by, value]
+    r = vc.repartitionByRange(num_partitions, *cols) if num_partitions else vc.repartitionByRange(*cols)
+    r = materialize(r.withColumn("_pid", F.spark_partition_id()), "ranked")
     totals = r.groupBy(*by, "_pid").agg(F.sum(weight).alias("_t"))
     group = Window.partitionBy(*by)
     offsets = totals.select(
@@ -87,6 +95,20 @@ def rank_table(vc: DataFrame, value: str, by: list[str] | None = None,
             .drop("_b", "_off", "_pid"))
 
 
+def row_index(df: DataFrame, order: list[str], out: str) -> DataFrame:
+    """Number the rows from 0 in ``order`` (which should be unique) without a
+    global window: rows are range-partitioned and written with their partition
+    number once, each partition numbers its own rows, and a table with one row
+    per partition gives the number of rows before it."""
+    r = materialize(df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()), "indexed")
+    sizes = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_t"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)   # one row per partition
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("_pid").orderBy(*order)
+    return (r.join(F.broadcast(offsets), "_pid")
+            .withColumn(out, F.col("_off") + F.row_number().over(within) - 1).drop("_pid", "_off"))
+
+
 def average_rank(df: DataFrame, value: str, out: str, by: list[str] | None = None,
                  num_partitions: int | None = None) -> DataFrame:          # W07
     """Add the average rank of ``value`` within ``by`` (or over the whole
@@ -159,23 +181,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], names: list[s
     return rt.filter(keep).groupBy(*by).agg(*aggs)
 
 
-_MEDIANS: dict = {}
-
-
 def column_medians(df: DataFrame, cols: list[str]) -> dict:
     """Exact median of each column in one job (columns stacked as
-    (column, value) rows and ranked per column); None for an all-null column.
-    Remembered per (application, plan, columns): every cleaning of the same
-    frame needs the same fallback values."""
+    (column, value) rows and ranked per column); None for an all-null column."""
     if not cols:
         return {}
-    memo = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(cols))
-    if memo not in _MEDIANS:
-        _MEDIANS[memo] = _column_medians(df, cols)
-    return dict(_MEDIANS[memo])
-
-
-def _column_medians(df: DataFrame, cols: list[str]) -> dict:
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_x")) for c in cols])).alias("_p"))
     m = exact_quantiles(long.select("_p._col", "_p._x"), "_x", [0.5], ["_m"], by=["_col"])
@@ -250,10 +260,11 @@ def mann_whitney(df: DataFrame, x: str, group: str, first: str, second: str) ->
     n = n1 + n2
     u1 = F.col("r1") - n1 * (n1 + 1) / 2
     u2 = n1 * n2 - u1
-    sigma = F.sqrt(n1 * n2 / 12 * ((n + 1) - F.col("tie") / (n * (n - 1))))
-    z = (F.greatest(u1, u2) - n1 * n2 / 2 - 0.5) / sigma
-    return a.select(u1.alias("u_statistic"),
-                    F.least(erfc(z / math.sqrt(2.0)), F.lit(1.0)).alias("p_value"),
+    sigma = F.sqrt(n1 * n2 / 12 * ((n + 1) - F.try_divide(F.col("tie"), n * (n - 1))))
+    z = F.try_divide(F.greatest(u1, u2) - n1 * n2 / 2 - 0.5, sigma)
+    # With all values tied there is no spread and no p-value.
+    p = F.when(z.isNotNull(), F.least(erfc(z / math.sqrt(2.0)), F.lit(1.0)))
+    return a.select(u1.alias("u_statistic"), p.alias("p_value"),
                     n1.cast("bigint").alias("n1"), n2.cast("bigint").alias("n2"))
 
 
@@ -263,7 +274,7 @@ def histogram(df: DataFrame, x: str, bins: int) -> DataFrame:              # A18
     mm = df.agg(F.min(x).cast("double").alias("_mn"), F.max(x).cast("double").alias("_mx"))
     j = with_scalars(df.select(x).filter(F.col(x).isNotNull()), mm)
     width = (F.col("_mx") - F.col("_mn")) / bins
-    idx = F.least(F.floor((F.col(x) - F.col("_mn")) / (F.col("_mx") - F.col("_mn")) * bins),
+    idx = F.least(F.floor(F.try_divide(F.col(x) - F.col("_mn"), F.col("_mx") - F.col("_mn")) * bins),
                   F.lit(bins - 1)).cast("int")
     idx = F.when(F.col("_mx") == F.col("_mn"), F.lit(0)).otherwise(idx)
     return (j.groupBy(idx.alias("bin"), "_mn", "_mx").agg(F.count(F.lit(1)).alias("count"))

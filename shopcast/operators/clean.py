@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopcast.functions.stats import column_medians
+from shopcast.session import materialize
 
 # Fixed values of the cleaning rules.
 NO_COMPETITION_DISTANCE = 200_000.0
@@ -58,10 +59,12 @@ def fill_forward_back(df: DataFrame, cols: list[str], key: str = "Store", order:
         out = out.join(borrow, key, "left").select(
             *[c for c in out.columns if c not in cols],
             *[F.coalesce(F.col(c), F.col(f"_next_{c}")).alias(c) for c in cols])
-    medians = column_medians(out, cols)
-    return out.select(*[c for c in out.columns if c not in cols],
-                      *[F.coalesce(F.col(c), F.lit(medians[c])).alias(c) if medians[c] is not None
-                        else F.col(c) for c in cols]).select(*df.columns)
+    # The windows run once; only columns that still have gaps need a median.
+    out = materialize(out, "filled")
+    left = out.agg(*[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in cols]).first()
+    medians = column_medians(out, [c for c in cols if left[c]])
+    return out.select(*[F.coalesce(F.col(c), F.lit(medians[c])).alias(c) if medians.get(c) is not None
+                        else F.col(c) for c in df.columns])
 
 
 def next_non_null(df: DataFrame, key: str, cols: list[str], outs: list[str],
@@ -72,10 +75,12 @@ def next_non_null(df: DataFrame, key: str, cols: list[str], outs: list[str],
     Keys are range-partitioned; inside a partition a descending running
     ``last(ignorenulls)`` gives the in-partition answer, and the first
     non-null value of every later partition comes from a table with one row
-    per partition (broadcast, size = number of partitions).
+    per partition (broadcast, size = number of partitions). Both read one
+    written table of rows with their partition number, because a second
+    evaluation of the range exchange may cut the keys elsewhere.
     """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, key).withColumn("_pid", F.spark_partition_id())
+    r = df.repartitionByRange(num_partitions, key) if num_partitions else df.repartitionByRange(key)
+    r = materialize(r.withColumn("_pid", F.spark_partition_id()), "keyed")
     inner = Window.partitionBy("_pid").orderBy(F.desc(key)).rowsBetween(Window.unboundedPreceding, -1)
     local = r.select("_pid", key, *[F.last(c, True).over(inner).alias(f"_in_{c}") for c in cols])
     heads = r.groupBy("_pid").agg(*[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(key)))

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from shopcast.functions.calendar import DEFAULT_EPOCH, date_feature_columns
 from shopcast.functions.promo import competition_promo_columns
+from shopcast.functions.stats import column_medians
+from shopcast.session import materialize
 
 NO_HOLIDAY_DAYS = 999
 HOLIDAY_COLUMNS = ["DaysToNextHoliday", "DaysAfterLastHoliday", "IsStateHoliday",
@@ -85,7 +87,11 @@ def holiday_features(df: DataFrame, calendar: DataFrame | None = None) -> DataFr
         calendar = holiday_calendar(df)
     base = df.drop(*[c for c in HOLIDAY_COLUMNS if c in df.columns])
     dist = holiday_distance(base.select("Date"), calendar)
-    out = base.join(F.broadcast(dist), "Date", "left")  # one row per calendar day
+    return holiday_flags(base.join(F.broadcast(dist), "Date", "left"), base)  # one row per calendar day
+
+
+def holiday_flags(out: DataFrame, base: DataFrame) -> DataFrame:
+    """The columns of ``base`` with both distances and the four flags."""
     nxt, prv = F.col("DaysToNextHoliday"), F.col("DaysAfterLastHoliday")
     return out.select(
         *base.columns, nxt, prv,
@@ -96,6 +102,22 @@ def holiday_features(df: DataFrame, calendar: DataFrame | None = None) -> DataFr
     )
 
 
+def request_holidays(df: DataFrame, request: str = "request_id") -> DataFrame:
+    """Holiday distances of request rows that already have those of the common
+    calendar: the holidays that a request flags count for its own rows only.
+    A request is one window partition; validation bounds its rows."""
+    base = df.drop(*[c for c in HOLIDAY_COLUMNS if c in df.columns])
+    day = F.datediff("Date", F.lit("1970-01-01").cast("date"))
+    own = F.when(is_holiday(F.col("StateHoliday")), F.col("_day"))
+    w = Window.partitionBy(request).orderBy("_day")
+    out = df.withColumn("_day", day)
+    nxt = F.min(own).over(w.rangeBetween(0, Window.unboundedFollowing)) - F.col("_day")
+    prv = F.col("_day") - F.max(own).over(w.rangeBetween(Window.unboundedPreceding, -1))
+    out = out.withColumns({"DaysToNextHoliday": F.least("DaysToNextHoliday", nxt.cast("int")),
+                           "DaysAfterLastHoliday": F.least("DaysAfterLastHoliday", prv.cast("int"))})
+    return holiday_flags(out, base)
+
+
 def competition_promo_features(df: DataFrame) -> DataFrame:                     # C06
     need = ["Year", "Month", "Date", "Promo", "CompetitionOpenSinceYear", "CompetitionOpenSinceMonth",
             "CompetitionDistance", "PromoInterval", "Promo2", "Promo2SinceYear", "Promo2SinceWeek"]
@@ -151,18 +173,20 @@ def fit_store_aggregates(df: DataFrame, include_customers: bool = True) -> Store
                   (F.sum("Sales") / F.greatest(F.sum("Customers"), F.lit(1))).alias("StoreSalesPerCustomer")]
     per_store = rows.groupBy("Store").agg(*stats)
 
+    if "Month" not in rows.columns:
+        rows = rows.withColumn("Month", F.month("Date"))
+    if "DayOfWeek" not in rows.columns:
+        rows = rows.withColumn("DayOfWeek", F.weekday("Date") + 1)
+    # One pass over the fact for all three lookups: at most 7 x 2 x 12 rows per store.
+    cells = materialize(rows.groupBy("Store", "DayOfWeek", "Promo", "Month").agg(
+        F.sum(F.col("Sales").cast("double")).alias("_s"), F.count(F.lit(1)).alias("_n")), "store-cells")
+
     def keyed_means(key: str, name: str) -> DataFrame:
-        m = rows.groupBy("Store", key).agg(F.avg("Sales").alias("m"))
-        # at most 7 / 2 / 12 entries per store
+        m = cells.groupBy("Store", key).agg((F.sum("_s") / F.sum("_n")).alias("m"))
         return m.groupBy("Store").agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col("m"))))
                                       .alias(name))
 
-    keyed = rows
-    if "Month" not in rows.columns:
-        keyed = rows.withColumn("Month", F.month("Date"))
-    if "DayOfWeek" not in keyed.columns:
-        keyed = keyed.withColumn("DayOfWeek", F.weekday("Date") + 1)
-    rows = keyed
+    per_store = materialize(per_store, "store-stats")
     stores = (per_store.join(keyed_means("DayOfWeek", "_dow"), "Store", "left")
               .join(keyed_means("Promo", "_promo"), "Store", "left")
               .join(keyed_means("Month", "_month"), "Store", "left"))
@@ -170,17 +194,14 @@ def fit_store_aggregates(df: DataFrame, include_customers: bool = True) -> Store
     g = rows.agg(F.avg("Sales").alias("mean"), F.stddev_samp("Sales").alias("std"),
                  (F.sum("Sales") / F.greatest(F.sum("Customers"), F.lit(1))).alias("ratio")
                  if with_cust else F.lit(None).alias("ratio")).first()
-    # Medians over stores use a bounded-memory sketch: one value per store
-    # would otherwise be merged in a single task.
-    s = per_store.agg(F.percentile_approx("StoreOpenDays", 0.5, 10000).alias("days"),
-                      F.percentile_approx("StoreMeanCustomers", 0.5, 10000).alias("cust") if with_cust
-                      else F.lit(None).alias("cust")).first()
+    # Exact medians over stores, ranked across partitions.
+    s = column_medians(per_store, ["StoreOpenDays"] + (["StoreMeanCustomers"] if with_cust else []))
     gm = float(g["mean"]) if g["mean"] is not None else 0.0
     fb = {"StoreMeanSales": gm, "StoreMedianSales": gm, "StoreMaxSales": gm,
-          "StoreStdSales": float(g["std"] or 0.0), "StoreOpenDays": float(s["days"] or 0.0),
+          "StoreStdSales": float(g["std"] or 0.0), "StoreOpenDays": float(s["StoreOpenDays"] or 0.0),
           "StoreDowMeanSales": gm, "StorePromoMeanSales": gm, "StoreMonthMeanSales": gm}
     if with_cust:
-        fb["StoreMeanCustomers"] = float(s["cust"] or 0.0)
+        fb["StoreMeanCustomers"] = float(s["StoreMeanCustomers"] or 0.0)
         fb["StoreSalesPerCustomer"] = float(g["ratio"] or 0.0)
     return StoreAggregates(stores=stores, fallbacks=fb)
 

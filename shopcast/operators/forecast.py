@@ -16,26 +16,41 @@ from shopcast.operators.features import StoreAggregates
 MAX_REQUEST_ROWS = 400
 HORIZON_DAYS = 42
 RULES = ["missing_date_column", "unparsable_date", "empty_request", "too_many_rows"]
+UNKNOWN_STORE = "unknown_store"
 
 
-def validate_requests(req: DataFrame, max_rows: int = MAX_REQUEST_ROWS) -> DataFrame:    # S11
-    """Constraint check per request: (request_id, rule, violations)."""
+def _parsed_date(req: DataFrame):
+    return F.try_to_date(F.col("Date").cast("string")) if "Date" in req.columns else F.lit(None).cast("date")
+
+
+def validate_requests(req: DataFrame, max_rows: int = MAX_REQUEST_ROWS, ids: DataFrame | None = None) -> DataFrame:    # S11
+    """Constraint check per request: (request_id, rule, violations). ``ids``
+    (request_id) lists the requests that were made, also those without rows;
+    without it only requests with rows are known."""
     has_date = "Date" in req.columns
-    parsed = F.try_to_date(F.col("Date").cast("string")) if has_date else F.lit(None).cast("date")
     g = req.groupBy("request_id").agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.count(F.when(parsed.isNull(), F.lit(1))).alias("_bad"))
-    checks = F.array(
-        F.struct(F.lit(RULES[0]).alias("rule"), F.lit(0 if has_date else 1).cast("bigint").alias("violations")),
-        F.struct(F.lit(RULES[1]).alias("rule"),
-                 (F.col("_bad") if has_date else F.lit(0)).cast("bigint").alias("violations")),
-        F.struct(F.lit(RULES[2]).alias("rule"), (F.col("_rows") == 0).cast("bigint").alias("violations")),
-        F.struct(F.lit(RULES[3]).alias("rule"),
-                 (F.col("_rows") > max_rows).cast("bigint").alias("violations")),
-    )
+        F.count(F.when(_parsed_date(req).isNull(), F.lit(1))).alias("_bad"))
+    if ids is not None:
+        g = ids.select("request_id").distinct().join(g, "request_id", "left").fillna(0, ["_rows", "_bad"])
+    counts = [F.lit(0 if has_date else 1), F.col("_bad") if has_date else F.lit(0),
+              (F.col("_rows") == 0).cast("int"), (F.col("_rows") > max_rows).cast("int")]
+    checks = F.array(*[F.struct(F.lit(r).alias("rule"), c.cast("bigint").alias("violations")) for r, c in zip(RULES, counts)])
     return g.select("request_id", F.inline(checks))
 
 
+def screen_requests(req: DataFrame, store: DataFrame, max_rows: int = MAX_REQUEST_ROWS) -> DataFrame:
+    """Every request row with ``reason``: NULL if it can be scored, else the
+    rule it breaks. A request of too many rows is rejected as a whole."""
+    sizes = req.groupBy("request_id").agg(F.count(F.lit(1)).alias("_rows"))
+    known = store.select(F.col("Store"), F.lit(1).alias("_known")).distinct()
+    out = req.join(sizes, "request_id", "left").join(known, "Store", "left")
+    reason = (F.when(F.col("_rows") > max_rows, RULES[3])
+              .when(_parsed_date(req).isNull(), RULES[1] if "Date" in req.columns else RULES[0])
+              .when(F.col("_known").isNull(), UNKNOWN_STORE))
+    return out.withColumn("reason", reason).select(*req.columns, "reason")
+
+
 def normalize_requests(req: DataFrame) -> DataFrame:
     """Parse dates and default missing optional flags to 0 (Open to 1)."""
     out = req.withColumn("Date", F.try_to_date(F.col("Date").cast("string")))
@@ -56,14 +71,15 @@ def request_template(stores: DataFrame, start, days: int = HORIZON_DAYS) -> Data
 
 
 def requests_to_rows(req: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFrame]:     # J11
-    """Raw-schema rows for scoring plus the unknown-store report (anti join)."""
-    r = normalize_requests(req)
+    """Raw-schema rows for scoring (with ``request_id``), and the rejected rows
+    with their reason."""
+    screened = screen_requests(req, store)
+    r = normalize_requests(screened.filter(F.col("reason").isNull()))
     rows = r.select(
-        "Store", (F.weekday("Date") + 1).alias("DayOfWeek"), "Date", "Open",
+        "request_id", "Store", (F.weekday("Date") + 1).alias("DayOfWeek"), "Date", "Open",
         F.col("IsPromo").alias("Promo"),
         F.when(F.col("IsHoliday") == 1, "a").otherwise("0").alias("StateHoliday"), "SchoolHoliday")
-    unknown = rows.select("Store").distinct().join(store.select("Store"), "Store", "left_anti")
-    return rows.join(store, "Store", "inner"), unknown
+    return rows.join(store, "Store", "inner"), screened.filter(F.col("reason").isNotNull())
 
 
 def naive_forecast(rows: DataFrame, aggs: StoreAggregates, out: str = "PredictedSales") -> DataFrame:
@@ -73,9 +89,9 @@ def naive_forecast(rows: DataFrame, aggs: StoreAggregates, out: str = "Predicted
 
 def customers_estimate(df: DataFrame, pred: str = "PredictedSales",
                        ratio: str = "StoreSalesPerCustomer") -> DataFrame:                # C09
-    """PredictedCustomers = round(pred / ratio) when the ratio is positive."""
+    """PredictedCustomers = pred / ratio, ties to even, when the ratio is positive."""
     return df.withColumn("PredictedCustomers",
-                         F.when(F.col(ratio) > 0, F.round(F.col(pred) / F.col(ratio))).cast("bigint"))
+                         F.when(F.col(ratio) > 0, F.bround(F.try_divide(F.col(pred), F.col(ratio)))).cast("bigint"))
 
 
 def closed_rule(df: DataFrame, cols=("PredictedSales", "PredictedSalesLower", "PredictedSalesUpper",
@@ -101,34 +117,33 @@ def forecast_batch(requests: DataFrame, store: DataFrame, calendar: DataFrame, a
                    model, epoch: str, with_interval: bool = True) -> tuple[DataFrame, DataFrame]:  # M16
     """Score every (store, day) request in one job.
 
-    J11 (store attributes; unknown stores reported, not scored) -> C01 in
-    scoring mode -> calendar/holiday/promo features with the fitted
-    calendar plus holidays flagged in the request (R20) -> fitted store
-    aggregates -> forest (tree-spread interval) -> customers (C09) ->
-    closed-day rule (C10). Returns (forecast rows, unknown stores).
+    J11 (store attributes; rows that cannot be scored are returned with their
+    reason) -> C01 in scoring mode -> calendar/holiday/promo features with the
+    fitted calendar, plus the holidays that a request flags for its own rows
+    (R20), so requests do not touch each other -> fitted store aggregates ->
+    model (a forest also gives its tree-spread interval) -> customers (C09) ->
+    closed-day rule (C10). Returns (forecast rows, rejected rows).
     """
-    from shopcast.operators import ml
     from shopcast.operators.clean import clean_missing
     from shopcast.operators.features import (competition_promo_features, date_features,
-                                             holiday_calendar, holiday_features)
-    rows, unknown = requests_to_rows(requests, store)
-    rows = clean_missing(rows)
-    cal = calendar.unionByName(holiday_calendar(rows)).distinct()
-    feats = competition_promo_features(holiday_features(date_features(rows, epoch), cal))
-    feats = aggs.transform(feats)
-    if with_interval:
-        scored = ml.tree_interval(model, feats)
-    else:
-        scored = ml.predict(model, feats)
+                                             holiday_features, request_holidays)
+    rows, rejected = requests_to_rows(requests, store)
+    feats = request_holidays(holiday_features(date_features(clean_missing(rows), epoch), calendar))
+    feats = aggs.transform(competition_promo_features(feats))
+    return score_features(feats, model, with_interval, ["request_id", "Store", "Date", "Open"]), rejected
+
+
+def score_features(feats: DataFrame, model, with_interval: bool, keys: list[str]) -> DataFrame:
+    """Predictions, customers and closed days of engineered rows."""
+    from shopcast.operators import ml
+    scored = ml.tree_interval(model, feats) if with_interval else ml.predict(model, feats)
     out = closed_rule(customers_estimate(scored))
-    keep = ["Store", "Date", "Open", "PredictedSales", "PredictedCustomers"]
-    if with_interval:
-        keep[4:4] = ["PredictedSalesLower", "PredictedSalesUpper"]
-    return out.select(*keep), unknown
+    bounds = ["PredictedSalesLower", "PredictedSalesUpper"] if with_interval else []
+    return out.select(*keys, "PredictedSales", *bounds, "PredictedCustomers")
 
 
 def forecast_totals(forecast: DataFrame) -> DataFrame:
-    """Per-store totals of a batch forecast."""
-    return forecast.groupBy("Store").agg(F.sum("PredictedSales").alias("total_sales"),
-                                         F.sum("PredictedCustomers").cast("bigint").alias("total_customers"),
-                                         F.count(F.lit(1)).cast("bigint").alias("days"))
+    """Totals of a batch forecast per request and store."""
+    return forecast.groupBy("request_id", "Store").agg(F.sum("PredictedSales").alias("total_sales"),
+                                                       F.sum("PredictedCustomers").cast("bigint").alias("total_customers"),
+                                                       F.count(F.lit(1)).cast("bigint").alias("days"))

@@ -6,8 +6,7 @@ dimension join), so the fact meets it in a single join on Store; whether
 that join broadcasts is left to Catalyst's size estimate and AQE's runtime
 statistics, because the number of stores is not bounded by construction.
 Weather and trend tables are keyed by (state, day/week): their size is
-bounded by states x calendar days, independent of the fact. Every side is
-counted before its join and broadcast only below a row bound.
+bounded by states x calendar days, independent of the fact.
 """
 
 from __future__ import annotations
@@ -22,23 +21,10 @@ from shopcast.sources.readers import RetailInputs, parse_trend, state_lookup, we
 TREND_STATE_MAP = {"HB,NI": "NI"}
 
 
-# Largest dimension (rows) that is broadcast to every task; beyond it the
-# join is a shuffle join. Set per deployment.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-_STATS: dict = {}
-
-
 def dimension_stats(dim: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """(rows, largest multiplicity of a key) in one aggregate job; remembered
-    per (application, plan, keys), so the train and test assemblies do not
-    re-check the same dimension."""
-    memo = (dim.sparkSession.sparkContext.applicationId, dim.semanticHash(), tuple(keys))
-    if memo not in _STATS:
-        r = dim.groupBy(*keys).count().agg(F.sum("count").alias("rows"), F.max("count").alias("dup")).first()
-        _STATS[memo] = (int(r.rows or 0), int(r.dup or 0))
-    return _STATS[memo]
+    """(rows, largest multiplicity of a key) in one aggregate job."""
+    r = dim.groupBy(*keys).count().agg(F.sum("count").alias("rows"), F.max("count").alias("dup")).first()
+    return int(r.rows or 0), int(r.dup or 0)
 
 
 def assert_unique(dim: DataFrame, keys: list[str], what: str = "dimension") -> int:
@@ -51,20 +37,18 @@ def assert_unique(dim: DataFrame, keys: list[str], what: str = "dimension") -> i
     return rows
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
-                   rows: int | None = None, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join a dimension whose size was checked: broadcast when it has at most
-    ``max_rows`` rows, otherwise a shuffle join (AQE may still convert it)."""
-    if rows is None:
-        rows, _ = dimension_stats(dim, keys)
-    side = F.broadcast(dim) if rows <= max_rows else dim
-    return fact.join(side, keys, how)
+def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join a dimension. No hint: Catalyst broadcasts a side whose size in
+    bytes is below ``spark.sql.autoBroadcastJoinThreshold``, AQE decides again
+    from the sizes that the shuffle measured."""
+    return fact.join(dim, keys, how)
 
 
 def merge_store(df: DataFrame, store: DataFrame, validate: bool = True) -> DataFrame:   # J01
     """Left-join store attributes on Store; the row count must not change."""
-    rows = assert_unique(store, ["Store"], "store") if validate else None
-    return join_dimension(df, store, ["Store"], "left", rows)
+    if validate:
+        assert_unique(store, ["Store"], "store")
+    return join_dimension(df, store, ["Store"])
 
 
 def week_start_sunday(date_col):
@@ -83,25 +67,21 @@ def attach_locality(df: DataFrame, weather: DataFrame, trend_raw: DataFrame,
                     validate: bool = True) -> DataFrame:                  # J03-J05
     """Weather on (StateName, Date), per-state trend on (state code, Sunday
     week start), national trend on week start. Each side is keyed by
-    (state, day/week), so its size does not grow with the fact; it is still
-    counted (and its key checked for uniqueness) before the join, and only
-    broadcast under ``MAX_BROADCAST_ROWS``."""
+    (state, day/week), so its size does not grow with the fact; its key is
+    checked for uniqueness before the join."""
     per_state, national = parse_trend(trend_raw)
     per_state = per_state.withColumnRenamed("State", "TrendStateCode")
     w = weather_keep(weather)
     sides = [(w, ["StateName", "Date"], "weather"),
              (per_state, ["TrendStateCode", "WeekStart"], "trend per state"),
              (national, ["WeekStart"], "national trend")]
-    checked = []
-    for side, keys, what in sides:
-        rows = assert_unique(side, keys, what) if validate else dimension_stats(side, keys)[0]
-        checked.append((side, keys, rows))
-    (w, wk, wr), (ps, pk, pr), (na, nk, nr) = checked
-    df = join_dimension(df, w, wk, "left", wr)
+    if validate:
+        for side, keys, what in sides:
+            assert_unique(side, keys, what)
     df = (df.withColumn("WeekStart", week_start_sunday(F.col("Date")))
           .withColumn("TrendStateCode", trend_state_code(F.col("State"))))
-    df = join_dimension(df, ps, pk, "left", pr)
-    df = join_dimension(df, na, nk, "left", nr)
+    for side, keys, _ in sides:
+        df = join_dimension(df, side, keys)
     return df.drop("WeekStart", "StateName", "TrendStateCode")
 
 
@@ -110,9 +90,9 @@ def merge_external(df: DataFrame, store_states: DataFrame, state_names: DataFram
                    validate: bool = True) -> DataFrame:                   # J02-J05
     """Attach State, weather (StateName, Date) and weekly trends."""
     states = state_lookup(store_states, state_names)
-    rows = assert_unique(states, ["Store"], "store_states") if validate else None
-    return attach_locality(join_dimension(df, states, ["Store"], "left", rows),
-                           weather, trend_raw, validate)
+    if validate:
+        assert_unique(states, ["Store"], "store_states")
+    return attach_locality(join_dimension(df, states, ["Store"]), weather, trend_raw, validate)
 
 
 def store_dimension_full(inputs: RetailInputs, with_external: bool) -> DataFrame:
@@ -131,8 +111,9 @@ def load_dataset(inputs: RetailInputs, kind: str = "train", with_external: bool
         raise ValueError(f"kind must be 'train' or 'test', got {kind!r}")
     df = inputs.daily if kind == "train" else inputs.future
     dim = store_dimension_full(inputs, with_external)
-    rows = assert_unique(dim, ["Store"], "store") if validate else None
-    df = join_dimension(df, dim, ["Store"], "left", rows)
+    if validate:
+        assert_unique(dim, ["Store"], "store")
+    df = join_dimension(df, dim, ["Store"])
     if with_external:
         df = attach_locality(df, inputs.weather, inputs.trend_raw, validate)
     return df

@@ -12,19 +12,24 @@ importances: one number per feature) is read on the driver.
 
 from __future__ import annotations
 
+import re
 import time
 
+import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIndexer,
                                 VectorAssembler)
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasInputCols, Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopcast.functions.stats import row_index, with_scalars
 from shopcast.operators.metrics import evaluate
 from shopcast.sources.schemas import CATEGORICAL_FEATURES
 
@@ -43,9 +48,8 @@ RF_PARAMS = {"numTrees": 150, "maxDepth": 14, "minInstancesPerNode": 25,
 # 145 s, 256 MB in 151 s, and 1024 MB slowed down under memory pressure.
 # Node-id caching avoids re-walking every tree per pass (50 trees: 38 s vs 71 s).
 TREE_ENGINE_PARAMS = {"maxMemoryInMB": 512, "cacheNodeIds": True}
-# MLlib grows GBT trees level-wise and sequentially; 600 leaf-wise rounds are
-# replaced by 50 depth-6 rounds with a larger step (recorded in the registry).
-GBT_PARAMS = {"maxIter": 50, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8,
+# Trees grow level-wise to depth 6 (up to 64 leaves) instead of leaf-wise to 63 leaves.
+GBT_PARAMS = {"maxIter": 600, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
               "featureSubsetStrategy": "0.8", "seed": 42}
 
 
@@ -103,7 +107,7 @@ def build_preprocessor(numeric: list[str], categorical: list[str]) -> list:
     imp = [f"{c}__imp" for c in numeric]
     idx = [f"{c}__idx" for c in categorical]
     ohe = [f"{c}__ohe" for c in categorical]
-    stages = [Imputer(strategy="median", inputCols=numeric, outputCols=imp)]
+    stages = [Imputer(strategy="median", inputCols=numeric, outputCols=imp, relativeError=0.0)]   # exact
     if categorical:
         stages += [ModeImputer(inputCols=categorical),
                    StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep",
@@ -115,18 +119,32 @@ def build_preprocessor(numeric: list[str], categorical: list[str]) -> list:
     return stages
 
 
-def make_regressor(kind: str = "rf", params: dict | None = None):
-    if kind == "rf":
-        p = {**RF_PARAMS, **(params or {})}
-        return RandomForestRegressor(labelCol=LABEL, featuresCol="features", **TREE_ENGINE_PARAMS, **p)
-    if kind == "gbt":
-        p = {**GBT_PARAMS, **(params or {})}
-        return GBTRegressor(labelCol=LABEL, featuresCol="features", checkpointInterval=10,
-                            **TREE_ENGINE_PARAMS, **p)
-    raise ValueError(f"unknown model kind {kind!r}")
+def _forest(params: dict) -> Estimator:
+    return RandomForestRegressor(labelCol=LABEL, featuresCol="features", **TREE_ENGINE_PARAMS, **{**RF_PARAMS, **params})
 
 
-def build_model_pipeline(numeric: list[str], categorical: list[str], kind: str = "rf",
+def _boosted(params: dict) -> Estimator:
+    return GBTRegressor(labelCol=LABEL, featuresCol="features", checkpointInterval=10,
+                        **TREE_ENGINE_PARAMS, **{**GBT_PARAMS, **params})
+
+
+#: Regressors by name; add a function from parameters to an estimator of
+#: ``LABEL`` from ``features`` to make another one known.
+REGRESSORS = {"rf": _forest, "gbt": _boosted}
+
+
+def make_regressor(kind: str | Estimator = "rf", params: dict | None = None) -> Estimator:
+    """The regressor of a name, or an estimator of the caller's own (its label,
+    features and ``params`` are set here)."""
+    if isinstance(kind, Estimator):
+        own = {"labelCol": LABEL, "featuresCol": "features", **(params or {})}
+        return kind.copy({kind.getParam(k): v for k, v in own.items()})
+    if kind not in REGRESSORS:
+        raise ValueError(f"unknown model kind {kind!r}")
+    return REGRESSORS[kind](params or {})
+
+
+def build_model_pipeline(numeric: list[str], categorical: list[str], kind: str | Estimator = "rf",
                          params: dict | None = None) -> Pipeline:               # M05
     return Pipeline(stages=build_preprocessor(numeric, categorical) + [make_regressor(kind, params)])
 
@@ -135,19 +153,25 @@ def with_label(df: DataFrame) -> DataFrame:
     return df.withColumn(LABEL, F.log1p(F.col("Sales").cast("double")))
 
 
-def training_partitions(spark) -> int:
-    """One partition per task slot for the tree learner. Every pass of the
-    learner ships one statistics block per partition and node group, so
-    partitions beyond the slot count only add shuffle (measured at sf0.1:
-    8 slots -> 8 partitions 38 s, 16 -> 47 s, 32 -> 84 s for 50 trees)."""
-    return max(1, spark.sparkContext.defaultParallelism)
+#: Bytes of feature vectors per partition of the tree learner.
+TRAINING_PARTITION_BYTES = 128 << 20
+
 
+def training_partitions(spark, rows: int, features: int) -> int:
+    """Partitions by the size of the vectors, so that a partition fits a task
+    at any scale, and at least one per task slot. Every pass of the learner
+    ships one statistics block per partition and node group, so small data
+    gets no more than the slots (sf0.1, 8 slots, 50 trees: 8 partitions 38 s,
+    16 47 s, 32 84 s)."""
+    size = rows * (features + 4) * 8
+    return max(1, spark.sparkContext.defaultParallelism, -(-size // TRAINING_PARTITION_BYTES))
 
-def fit_model(train: DataFrame, kind: str = "rf", params: dict | None = None):   # M06
+
+def fit_model(train: DataFrame, kind: str | Estimator = "rf", params: dict | None = None):   # M06
     """Fit the full pipeline; returns (PipelineModel, fit_seconds, numeric, categorical).
 
     The preprocessing stages are fitted first; their output is reduced to
-    (features, label), spread over one partition per task slot and persisted
+    (features, label), spread over partitions by size and persisted
     (memory, spilling to disk), so the learner's metadata, split-finding and
     binning passes read the assembled vectors instead of replaying the
     feature chain. The fitted stages are returned as one PipelineModel.
@@ -157,9 +181,9 @@ def fit_model(train: DataFrame, kind: str = "rf", params: dict | None = None):
     t = time.time()
     labeled = with_label(train)
     pre = Pipeline(stages=build_preprocessor(numeric, categorical)).fit(labeled)
-    x = (pre.transform(labeled).select("features", LABEL)
-         .repartition(training_partitions(train.sparkSession))
-         .persist(StorageLevel.MEMORY_AND_DISK))
+    x = pre.transform(labeled).select("features", LABEL)
+    parts = training_partitions(train.sparkSession, labeled.count(), _vector_size(x, "features"))
+    x = x.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         reg = make_regressor(kind, params).fit(x)
     finally:
@@ -168,6 +192,12 @@ def fit_model(train: DataFrame, kind: str = "rf", params: dict | None = None):
     return model, time.time() - t, numeric, categorical
 
 
+def _vector_size(df: DataFrame, col: str) -> int:
+    """Length of a vector column, from its metadata."""
+    meta = df.schema[col].metadata.get("ml_attr", {})
+    return int(meta.get("num_attrs") or sum(len(g) for g in meta.get("attrs", {}).values()))
+
+
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:                   # M10
     """Log-scale prediction plus PredictedSales = expm1(prediction)."""
     return model.transform(df).withColumn("PredictedSales", F.expm1(F.col("prediction")))
@@ -190,106 +220,81 @@ def builtin_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
 
 
-def tree_interval(model: PipelineModel, df: DataFrame, lower: float = 2.5, upper: float = 97.5,
-                  batch: int = 25, cut_lineage: bool = True) -> DataFrame:     # M13
+PREDICTED = re.compile(r"Predict: (\S+)")
+
+
+def leaf_values(forest: RandomForestRegressionModel) -> list[np.ndarray]:
+    """Per tree the predictions of its leaves, in the order of leaf indices
+    (left to right, the order in which the tree prints them)."""
+    return [np.array([float(v) for v in PREDICTED.findall(t.toDebugString)]) for t in forest.trees]
+
+
+def tree_interval(model: PipelineModel, df: DataFrame, lower: float = 2.5, upper: float = 97.5) -> DataFrame:     # M13
     """Per-row spread of the individual trees of a forest (log scale):
     tree_mean, tree_lower, tree_upper (linear percentiles), tree_std (ddof 0),
     and the same bounds on the sales scale (expm1; the std is not mapped).
 
-    Preprocessing runs once and, with ``cut_lineage``, its output (the
-    caller's columns + feature vector) is written to the checkpoint folder,
-    so the m per-tree steps extend a Parquet scan instead of the whole
-    upstream plan (plan checks grow with plan size x m) and a lost executor
-    re-reads Parquet. Each tree adds one prediction column (batched
-    projections keep generated code small); the order statistics are array
-    expressions on each row.
+    The forest gives the index of the leaf that a row reaches in each tree in
+    one pass; a vectorised look-up of the leaves' values (bounded by the model)
+    and the order statistics follow in Arrow batches.
     """
     forest = model.stages[-1]
     if not isinstance(forest, RandomForestRegressionModel):
         raise TypeError(f"tree_interval requires a random forest, got {type(forest).__name__}")
-    # Only the caller's columns and the assembled vector travel through the
-    # per-tree projections (the imputed/indexed intermediates are dropped),
-    # which keeps each of the m plan steps small.
     x = PipelineModel(stages=model.stages[:-1]).transform(df).select(*df.columns, "features")
-    if cut_lineage:
-        from shopcast.session import materialize
-        x = materialize(x, "tree_interval_input")
-    trees = forest.trees
-    m = len(trees)
-    names = []
-    for i, tree in enumerate(trees):
-        name = f"_tree{i}"
-        x = tree.copy().setFeaturesCol("features").setPredictionCol(name).transform(x)
-        names.append(name)
-        if (i + 1) % batch == 0:
-            x = x.select("*")
-    arr = F.array_sort(F.array(*[F.col(n) for n in names]))
-
-    def pct(q):
-        h = (m - 1) * q / 100.0
-        lo = int(h)
-        hi = min(lo + 1, m - 1)
-        frac = h - lo
-        return F.element_at(arr, lo + 1) + F.lit(frac) * (F.element_at(arr, hi + 1) - F.element_at(arr, lo + 1))
-    total = F.aggregate(F.array(*[F.col(n) for n in names]), F.lit(0.0), lambda a, v: a + v)
-    x = x.withColumn("tree_mean", total / m).withColumn("tree_lower", pct(lower)).withColumn("tree_upper", pct(upper))
-    sq = F.aggregate(F.array(*[F.col(n) for n in names]), F.lit(0.0),
-                     lambda a, v: a + (v - F.col("tree_mean")) * (v - F.col("tree_mean")))
-    x = x.withColumn("tree_std", F.sqrt(sq / m)).drop(*names, "features")
-    return (x.withColumn("PredictedSales", F.expm1("tree_mean"))
+    x = forest.copy().setLeafCol("_leaf").transform(x).select(*df.columns, vector_to_array("_leaf").alias("_leaf"))
+    values = leaf_values(forest)
+
+    @F.pandas_udf("tree_mean double, tree_lower double, tree_upper double, tree_std double")
+    def spread(leaf: pd.Series) -> pd.DataFrame:
+        at = np.stack(leaf.to_numpy()).astype(np.int64) if len(leaf) else np.zeros((0, len(values)), np.int64)
+        per_tree = np.stack([v[at[:, i]] for i, v in enumerate(values)], axis=1)
+        bounds = np.percentile(per_tree, [lower, upper], axis=1) if len(leaf) else np.zeros((2, 0))
+        return pd.DataFrame({"tree_mean": per_tree.mean(axis=1), "tree_lower": bounds[0], "tree_upper": bounds[1],
+                             "tree_std": per_tree.std(axis=1)})
+
+    return (x.withColumn("_spread", spread("_leaf")).select(*df.columns, "_spread.*")
+            .withColumn("PredictedSales", F.expm1("tree_mean"))
             .withColumn("PredictedSalesLower", F.expm1("tree_lower"))
             .withColumn("PredictedSalesUpper", F.expm1("tree_upper")))
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, columns: list[str] | None = None,
-                           n_repeats: int = 5, seed: int = 42, max_samples: int = 20000,
+                           n_repeats: int = 5, seed: int = 42, max_samples: int | None = None,
                            key: tuple[str, ...] = ("Store", "Date")) -> DataFrame:   # M12
     """Increase of RMSE (log scale, against log1p(Sales)) when one model
     input column is permuted, mean and std over ``n_repeats``.
 
-    The scored sample is at most ``max_samples`` rows chosen by a seeded hash
-    order (part of the operator). All (column, repeat) variants are built in
-    ONE frame: rows are exploded per variant, the permutation is a row number
-    by a seeded hash inside each (column, repeat) partition (bounded by the
-    sample size), and the permuted value is brought back with one equi-join.
+    All rows are scored; ``max_samples`` asks for a seeded sample of so many
+    instead. A permutation is a pair of seeded orders: row i of the first takes
+    its value from row i of the second. Rows are numbered across partitions
+    (``row_index``), so no task holds all of them.
     """
     numeric, categorical = infer_feature_columns(df)
     columns = columns or numeric + categorical
     kcols = [F.col(k) for k in key]
-    base = df.orderBy(F.xxhash64(*kcols, F.lit(seed)), *kcols).limit(max_samples)
-    base = with_label(base).withColumn(
-        "_rid", F.row_number().over(Window.orderBy(F.xxhash64(*kcols, F.lit(seed)), *kcols)))
-    variants = F.array(*[F.struct(F.lit(c).alias("_col"), F.lit(r).alias("_rep"))
-                         for c in columns for r in range(n_repeats)])
-    long = base.select("*", F.explode(variants).alias("_v")).select("*", "_v._col", "_v._rep").drop("_v")
-    num_val = F.lit(None).cast("double")
-    str_val = F.lit(None).cast("string")
-    for c in columns:
-        if c in categorical:
-            str_val = F.when(F.col("_col") == c, F.col(c).cast("string")).otherwise(str_val)
-        else:
-            num_val = F.when(F.col("_col") == c, F.col(c).cast("double")).otherwise(num_val)
-    dst = F.row_number().over(Window.partitionBy("_col", "_rep")
-                              .orderBy(F.xxhash64("_rid", "_rep", "_col", F.lit(seed))))
-    perm = long.select("_col", "_rep", dst.alias("_rid"), num_val.alias("_pnum"), str_val.alias("_pstr"))
-    j = long.join(perm, ["_col", "_rep", "_rid"])
-    types = {f.name: f.dataType for f in df.schema.fields}
-    for c in columns:
-        v = F.col("_pstr") if c in categorical else F.col("_pnum").cast(types[c])
-        j = j.withColumn(c, F.when(F.col("_col") == c, v).otherwise(F.col(c)))
-    scored = model.transform(j)
-    per = scored.groupBy("_col", "_rep").agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col(LABEL), 2)))
-                                             .alias("rmse"))
-    base_rmse = model.transform(base).agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col(LABEL), 2)))
-                                          .alias("base_rmse"))
-    from shopcast.functions.stats import with_scalars
-    d = with_scalars(per, base_rmse).withColumn("drop", F.col("rmse") - F.col("base_rmse"))
+    base = with_label(df).withColumn("_h", F.xxhash64(*kcols, F.lit(seed)))
+    if max_samples is not None:
+        base = base.orderBy("_h", *key).limit(max_samples)
+    base = row_index(base, ["_h", *key], "_rid").drop("_h")
+    error = F.sqrt(F.avg(F.pow(F.col("prediction") - F.col(LABEL), 2)))
+    scores = []
+    for rep in range(n_repeats):
+        order = base.select(*key, F.struct(*columns).alias("_from"), F.xxhash64(*kcols, F.lit(seed + 1 + rep)).alias("_h"))
+        j = base.join(row_index(order, ["_h", *key], "_rid").select("_rid", "_from"), "_rid")
+        j = j.withColumn("_col", F.explode(F.array(*[F.lit(c) for c in columns])))
+        j = j.withColumns({c: F.when(F.col("_col") == c, F.col(f"_from.{c}")).otherwise(F.col(c)) for c in columns})
+        scores.append(model.transform(j).groupBy("_col").agg(error.alias("rmse")))
+    per = scores[0]
+    for s in scores[1:]:
+        per = per.unionByName(s)
+    d = with_scalars(per, model.transform(base).agg(error.alias("base_rmse"))).withColumn("drop", F.col("rmse") - F.col("base_rmse"))
     return (d.groupBy(F.col("_col").alias("feature"))
             .agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
             .orderBy(F.desc("importance_mean")))
 
 
-def train_and_evaluate(train: DataFrame, valid: DataFrame, kind: str = "rf", params: dict | None = None):
+def train_and_evaluate(train: DataFrame, valid: DataFrame, kind: str | Estimator = "rf", params: dict | None = None):
     """Fit on ``train``, score ``valid``; returns (model, predictions, metrics_df, fit_seconds)."""
     model, secs, _, _ = fit_model(train, kind, params)
     pred = predict(model, with_label(valid))

@@ -71,6 +71,13 @@ class ModelRegistry:
             raise FileNotFoundError(f"no saved model{' named ' + model_name if model_name else ''}")
         return r.p
 
+    def choose_path(self, model_name: str | None = None) -> str:
+        """The latest model of that name, else the latest of any name."""
+        try:
+            return self.latest_path(model_name)
+        except FileNotFoundError:
+            return self.latest_path()
+
     def load(self, path: str | None = None, model_name: str | None = None) -> tuple[PipelineModel, str]:
         path = path or self.latest_path(model_name)
         return PipelineModel.load(f"{path}/model"), path

@@ -45,6 +45,8 @@ def keep_stores(df: DataFrame, stores: DataFrame) -> DataFrame:               #
     return df.join(stores.select("Store"), "Store", "left_semi")
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:  # P06
-    """Bernoulli row sample with a fixed seed."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, fraction: float, seed: int = 42, key: tuple[str, ...] = ("Store", "Date")) -> DataFrame:  # P06
+    """Rows whose seeded key hash lies in the lowest ``fraction`` of the hash
+    range: independent of partitioning, equal keys stay together."""
+    place = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in key]), F.lit(HASH_MOD))
+    return df.filter(place < F.lit(int(fraction * HASH_MOD)))

@@ -48,24 +48,25 @@ def acf(s: DataFrame, by: list[str] | None = None, order: str = "Date", value: s
     """Biased autocorrelation (denominator n) for lags 0..nlags of each
     series: (by..., lag, acf, n).
 
-    Positions come from a row number per series; the lagged products are an
-    equi-join of the series with itself on (id, position + lag), so each row
-    meets at most nlags+1 partners and the work is linear in the data.
+    One window pass: every row sees its ``nlags`` predecessors through ``lag``,
+    the products are summed per series, so there is no join of the series with
+    itself. A constant or one-row series has no autocorrelation (NULL).
     """
     key = list(by or []) or ["_series"]
     if not by:
         s = s.withColumn("_series", F.lit("all"))
     w = Window.partitionBy(*key).orderBy(order)
-    x = s.select(*key, (F.row_number().over(w) - 1).alias("t"), F.col(value).cast("double").alias("v"))
-    st = x.groupBy(*key).agg(F.avg("v").alias("m"), F.count(F.lit(1)).alias("n"))
-    xc = x.join(st, key).select(*key, "t", (F.col("v") - F.col("m")).alias("d"), "n")
-    left = (xc.select(*key, "t", "d", "n", F.explode(F.sequence(F.lit(0), F.lit(nlags))).alias("lag"))
-            .withColumn("t2", F.col("t") + F.col("lag")))
-    right = xc.select(*key, F.col("t").alias("t2"), F.col("d").alias("d2"))
-    c = (left.join(right, key + ["t2"]).groupBy(*key, "lag", "n")
-         .agg(F.sum(F.col("d") * F.col("d2")).alias("c")))
-    c0 = F.max(F.when(F.col("lag") == 0, F.col("c"))).over(Window.partitionBy(*key))
-    out = c.select(*key, "lag", (F.col("c") / c0).alias("acf"), F.col("n").cast("bigint").alias("n"))
+    whole = Window.partitionBy(*key)
+    v = F.col(value).cast("double")
+    x = s.select(*key, order, (v - F.avg(v).over(whole)).alias("d"))
+    x = x.select(*key, "d", *[F.lag("d", k).over(w).alias(f"_l{k}") for k in range(1, nlags + 1)])
+    c = x.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("d") * F.col("d")).alias("_c0"),
+                            *[F.sum(F.col("d") * F.col(f"_l{k}")).alias(f"_c{k}") for k in range(1, nlags + 1)])
+    lags = F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"_c{k}").alias("c")) for k in range(nlags + 1)])
+    # Lags beyond the series' length have no products and no row.
+    out = (c.select(*key, F.col("n").cast("bigint").alias("n"), "_c0", F.inline(lags))
+           .filter(F.col("lag") < F.col("n"))
+           .select(*key, "lag", F.try_divide(F.col("c"), F.col("_c0")).alias("acf"), "n"))
     return out if by else out.drop("_series")
 
 
@@ -82,7 +83,7 @@ def _durbin_levinson(rho: np.ndarray) -> np.ndarray:
     for k in range(2, k_max + 1):
         num = rho[k] - sum(phi[k - 1, j] * rho[k - j] for j in range(1, k))
         den = 1.0 - sum(phi[k - 1, j] * rho[j] for j in range(1, k))
-        phi[k, k] = num / den
+        phi[k, k] = num / den if den else np.nan
         for j in range(1, k):
             phi[k, j] = phi[k - 1, j] - phi[k, k] * phi[k - 1, k - j]
         out[k] = phi[k, k]
@@ -105,7 +106,7 @@ def pacf(acf_df: DataFrame, by: list[str] | None = None) -> DataFrame:      # K0
         rho = pdf["acf"].to_numpy() * n / (n - lags)
         out = pdf[key + ["lag", "acf"]].copy()
         out["lag"] = out["lag"].astype("int32")
-        out["pacf"] = _durbin_levinson(rho)
+        out["pacf"] = None if pdf["acf"].isna().any() else _durbin_levinson(rho.astype(float))
         return out
     res = df.groupBy(*key).applyInPandas(run, ddl)
     return res if by else res.drop("_series")
@@ -153,8 +154,19 @@ def _lagged_design(x: np.ndarray, lags: int):
 
 
 def adf_test(values: np.ndarray) -> dict:
-    """Augmented Dickey-Fuller with a constant, lag order chosen by AIC."""
+    """Augmented Dickey-Fuller with a constant, lag order chosen by AIC. A
+    series too short or too regular for the regression (constant, a perfect
+    fit) has no statistic: every result is None."""
     x = np.asarray(values, dtype=float)
+    if len(x) < 6 or np.ptp(x) == 0:
+        return dict.fromkeys(ADF_NAMES)
+    try:
+        return _adf_test(x)
+    except (np.linalg.LinAlgError, ZeroDivisionError, ValueError):
+        return dict.fromkeys(ADF_NAMES)
+
+
+def _adf_test(x: np.ndarray) -> dict:
     n = len(x)
     maxlag = int(math.ceil(12.0 * (n / 100.0) ** 0.25))
     maxlag = max(min(n // 2 - 2, maxlag), 0)
@@ -173,6 +185,8 @@ def adf_test(values: np.ndarray) -> dict:
     beta, ssr = _ols(y, xm)
     sigma2 = ssr / (nobs - xm.shape[1])
     cov = sigma2 * np.linalg.inv(xm.T @ xm)
+    if not cov[0, 0] > 0:
+        raise ValueError("no residual variance")
     stat = float(beta[0] / math.sqrt(cov[0, 0]))
     p = adf_pvalue(stat)
     out = {"statistic": stat, "p_value": p, "used_lag": used, "nobs": nobs,
@@ -186,6 +200,9 @@ ADF_FIELDS = "statistic double, p_value double, used_lag int, nobs int, is_stati
              "crit_1pct double, crit_5pct double, crit_10pct double"
 
 
+ADF_NAMES = [f.split()[0] for f in ADF_FIELDS.split(", ")]
+
+
 def adf(s: DataFrame, by: list[str] | None = None, order: str = "Date", value: str = "value") -> DataFrame:  # K02
     """ADF test per series (one pandas call per series)."""
     by = list(by or [])
@@ -207,9 +224,10 @@ def adf(s: DataFrame, by: list[str] | None = None, order: str = "Date", value: s
 def difference_if_needed(s: DataFrame, adf_result: DataFrame, by: list[str],
                          order: str = "Date", value: str = "value") -> DataFrame:   # K03
     """Keep stationary series, first-difference the others: (by, Date,
-    value_used, differenced)."""
+    value_used, differenced). A series without a test result stays as it is."""
     d = first_difference(s, by, order, value).select(*by, order, "diff")
-    j = s.join(adf_result.select(*by, "is_stationary"), by).join(d, [*by, order], "left")
+    verdict = adf_result.select(*by, F.coalesce("is_stationary", F.lit(1)).alias("is_stationary"))
+    j = s.join(verdict, by).join(d, [*by, order], "left")
     return (j.filter((F.col("is_stationary") == 1) | F.col("diff").isNotNull())
             .select(*by, order, F.when(F.col("is_stationary") == 1, F.col(value).cast("double"))
                     .otherwise(F.col("diff").cast("double")).alias("value_used"),

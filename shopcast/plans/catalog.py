@@ -7,13 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopcast.plans.context import build_context, round_doubles
+from shopcast.plans.context import build_context, compared_doubles
 from shopcast.plans.questions import QUESTIONS
 
 
 def _ctx_query(fn) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return round_doubles(fn(build_context(spark, sf_dir)))
+        return compared_doubles(fn(build_context(spark, sf_dir)))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run

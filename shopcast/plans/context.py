@@ -17,18 +17,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopcast.functions.calendar import DEFAULT_EPOCH
 from shopcast.operators.clean import clean_dataset
 from shopcast.operators.features import engineer_features, holiday_calendar
 from shopcast.operators.joins import load_dataset
 from shopcast.session import materialize
-from shopcast.sources.fixture import PANEL_START
 from shopcast.sources.readers import RetailInputs
 
-# Parameters of the derived panel (FIXTURES.md 2.5).
-PANEL_EPOCH = PANEL_START
-EASTER_SUNDAYS = ["1997-03-30", "1998-04-12", "1999-04-04"]
-EVENT_YEARS = (1997, 1999)
-OPENER_THRESHOLD = 0.22
+# Share of weekdays from which a store counts as always open, and its value
+# for the derived panel (FIXTURES.md 2.5), whose stores trade on few days.
+OPENER_THRESHOLD = 0.95
+PANEL_OPENER_THRESHOLD = 0.22
 SPLIT_DAYS = 42
 
 
@@ -40,7 +39,8 @@ class PanelContext:
     test: DataFrame
     calendar: DataFrame
     clean: DataFrame
-    epoch: str = PANEL_EPOCH
+    epoch: str = DEFAULT_EPOCH
+    opener_threshold: float = OPENER_THRESHOLD
     extra: dict = field(default_factory=dict)
 
 
@@ -59,14 +59,15 @@ def build_context(spark: SparkSession, sf_dir: str, materialized: bool = True,
     if materialized:
         raw = materialize(raw, "raw")
         test = materialize(test, "test")
+    epoch = inputs.epoch or DEFAULT_EPOCH
     calendar = holiday_calendar(raw, test)
     if materialized:
         calendar = materialize(calendar.coalesce(1), "calendar")
-    clean, _ = engineer_features(clean_dataset(raw), calendar=calendar, epoch=PANEL_EPOCH)
+    clean, _ = engineer_features(clean_dataset(raw), calendar=calendar, epoch=epoch)
     if materialized:
         clean = materialize(clean, "clean")
     ctx = PanelContext(spark=spark, inputs=inputs, raw=raw, test=test, calendar=calendar,
-                       clean=clean)
+                       clean=clean, epoch=epoch, opener_threshold=PANEL_OPENER_THRESHOLD)
     _CACHE[key] = ctx
     return ctx
 
@@ -75,16 +76,24 @@ def clear_cache() -> None:
     _CACHE.clear()
 
 
-def round_half_up(c, digits: int = 6):
-    """floor(x * 10^d + 0.5) / 10^d: plain IEEE double arithmetic, so any
-    engine given the same double returns the same rounded double (unlike
-    decimal-string rounding, which differs at exact ties)."""
-    scale = float(10 ** digits)
-    return F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+#: (from this magnitude on, decimals) of the comparison below, largest first.
+COMPARED_DECIMALS = ((1e9, 2), (1e-3, 6), (0.0, 15))
 
 
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (display / oracle comparison only)."""
-    return df.select(*[round_half_up(F.col(f.name), digits).alias(f.name)
-                       if f.dataType.typeName() == "double" else F.col(f.name)
+def compared(c):
+    """A double as the correctness gate compares it across engines: rounded
+    far below its own size (2 decimals from 1e9 on, 15 below 1e-3, else 6), by
+    plain IEEE arithmetic that any engine repeats bit by bit; unchanged from
+    1e15 on."""
+    out = c
+    for least, digits in reversed(COMPARED_DECIMALS):
+        scale = F.lit(float(10 ** digits))
+        out = F.when(F.abs(c) >= least, F.floor(c * scale + F.lit(0.5)).cast("double") / scale).otherwise(out)
+    return F.when((F.abs(c) >= 1e15) | F.isnan(c), c).otherwise(out)
+
+
+def compared_doubles(df: DataFrame) -> DataFrame:
+    """``compared`` on every double column; the catalogue applies it to its
+    results, operators return full doubles."""
+    return df.select(*[compared(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
                        for f in df.schema.fields])

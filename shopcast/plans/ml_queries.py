@@ -16,6 +16,7 @@ from shopcast.operators import ml
 from shopcast.operators import profile as PR
 from shopcast.operators import sampling as S
 from shopcast.operators import series as K
+from shopcast.operators.bundle import ForecastBundle
 from shopcast.operators.registry import ModelRegistry, compare_models
 from shopcast.plans.context import PanelContext
 from shopcast.session import checkpoint_dir
@@ -23,6 +24,8 @@ from shopcast.session import checkpoint_dir
 AGG_COLS = FE.STORE_STAT_COLUMNS + FE.STORE_LOOKUP_COLUMNS + ["DowSalesIndex", "MonthSalesIndex"]
 # Locality series are unknown for future days, so models train without them
 # (the dataset without external joins); State comes with those joins.
+# The panel's boosted trees: fewer, larger steps than the library's default.
+PANEL_PARAMS = {"rf": ml.RF_PARAMS, "gbt": {**ml.GBT_PARAMS, "maxIter": 50, "stepSize": 0.1}}
 EXTERNAL_COLS = ["State", "Mean_TemperatureC", "Precipitationmm", "TrendState", "TrendDE"]
 
 
@@ -44,7 +47,9 @@ def fitted(ctx: PanelContext, kind: str):
     key = f"model_{kind}"
     if key not in ctx.extra:
         train, valid, aggs = split_frames(ctx)
-        model, pred, metrics, secs = ml.train_and_evaluate(train.cache(), valid, kind)
+        train = train.cache()
+        model, pred, metrics, secs = ml.train_and_evaluate(train, valid, kind, PANEL_PARAMS[kind])
+        train.unpersist()
         ctx.extra[key] = (model, pred, metrics, secs)
     return ctx.extra[key]
 
@@ -94,16 +99,25 @@ def permutation_importance(ctx: PanelContext) -> DataFrame:              # M12
 
 
 def feature_columns(ctx: PanelContext) -> DataFrame:                     # P09/M07
+    """Model inputs with what the training rows hold: values present, smallest
+    and largest (as text)."""
     train, _, _ = split_frames(ctx)
     numeric, categorical = ml.infer_feature_columns(train)
-    rows = [(c, "numeric") for c in numeric] + [(c, "categorical") for c in categorical]
-    return ctx.spark.createDataFrame(rows, "column string, kind string")
+    cols = [(c, "numeric") for c in numeric] + [(c, "categorical") for c in categorical]
+    one = train.agg(*[F.count(c).alias(f"n_{c}") for c, _ in cols], *[F.min(c).alias(f"lo_{c}") for c, _ in cols],
+                    *[F.max(c).alias(f"hi_{c}") for c, _ in cols])
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind"), F.col(f"n_{c}").alias("present"),
+                              F.col(f"lo_{c}").cast("string").alias("least"), F.col(f"hi_{c}").cast("string").alias("largest"))
+                     for c, k in cols])
+    return one.select(F.inline(rows))
 
 
 def leakage_audit(ctx: PanelContext) -> DataFrame:                       # P10
+    """Violations among the fitted model's inputs, by name and by data."""
     train, _, _ = split_frames(ctx)
-    names = ml.feature_names(fitted(ctx, "rf")[0], train)
-    return PR.leakage_audit(names, ctx.spark)
+    numeric, _ = ml.infer_feature_columns(train)
+    return PR.leakage_by_data(train, numeric).unionByName(
+        PR.leakage_audit(ml.feature_names(fitted(ctx, "rf")[0], train), ctx.spark))
 
 
 def _requests_from_future(ctx: PanelContext) -> DataFrame:
@@ -115,14 +129,16 @@ def _requests_from_future(ctx: PanelContext) -> DataFrame:
                     F.col("Promo").alias("IsPromo"), "SchoolHoliday", F.col("Open").cast("int").alias("Open"))
 
 
+def bundle(ctx: PanelContext, kind: str) -> ForecastBundle:
+    return ForecastBundle(fitted(ctx, kind)[0], split_frames(ctx)[2], ctx.calendar, ctx.inputs.store, ctx.epoch)
+
+
 def forecast_batch(ctx: PanelContext) -> DataFrame:                      # M16
-    def build():
-        _, _, aggs = split_frames(ctx)
-        model = fitted(ctx, "rf")[0]
-        out, _ = FC.forecast_batch(_requests_from_future(ctx), ctx.inputs.store, ctx.calendar, aggs, model,
-                                   ctx.epoch)
-        return out
-    return _plan(ctx, "plan_forecast_batch", build)
+    return _plan(ctx, "plan_forecast_batch", lambda: bundle(ctx, "rf").forecast(_requests_from_future(ctx))[0])
+
+
+def forecast_gbt(ctx: PanelContext) -> DataFrame:                        # M16 with another model
+    return bundle(ctx, "gbt").forecast(_requests_from_future(ctx))[0]
 
 
 def forecast_totals(ctx: PanelContext) -> DataFrame:
@@ -131,26 +147,43 @@ def forecast_totals(ctx: PanelContext) -> DataFrame:
 
 def forecast_stream(ctx: PanelContext) -> DataFrame:                     # M16s
     from shopcast.streaming.forecast_stream import start_forecast_stream
-    _, _, aggs = split_frames(ctx)
-    model = fitted(ctx, "rf")[0]
+    b = bundle(ctx, "rf")
     root = os.path.join(checkpoint_dir(ctx.spark), f"stream-{uuid.uuid4().hex[:8]}")
     _requests_from_future(ctx).write.parquet(f"{root}/in")
-    q = start_forecast_stream(ctx.spark, f"{root}/in", f"{root}/out", f"{root}/chk", ctx.inputs.store,
-                              ctx.calendar, aggs, model, ctx.epoch)
+    q = start_forecast_stream(ctx.spark, f"{root}/in", f"{root}/out", f"{root}/chk", b.store, b.calendar, b.aggs, b.model, b.epoch)
     q.awaitTermination()
     return ctx.spark.read.parquet(f"{root}/out").drop("batch")
 
 
+def _registry(ctx: PanelContext) -> ModelRegistry:
+    if "registry" not in ctx.extra:
+        reg = ModelRegistry(ctx.spark, os.path.join(checkpoint_dir(ctx.spark), f"models-{uuid.uuid4().hex[:8]}"))
+        for kind in ("rf", "gbt"):
+            m = {k: v for k, v in fitted(ctx, kind)[2].first().asDict().items() if v is not None and k != "valid_n"}
+            bundle(ctx, kind).save(reg, kind, m, PANEL_PARAMS[kind])
+            reg.log_run(kind, PANEL_PARAMS[kind], {**m, "fit_seconds": fitted(ctx, kind)[3]})
+        ctx.extra["registry"] = reg
+    return ctx.extra["registry"]
+
+
 def model_compare(ctx: PanelContext) -> DataFrame:                       # S13/S14/M15
-    reg = ModelRegistry(ctx.spark, os.path.join(checkpoint_dir(ctx.spark), f"models-{uuid.uuid4().hex[:8]}"))
-    for kind in ("rf", "gbt"):
-        model, _, metrics, secs = fitted(ctx, kind)
-        m = metrics.first().asDict()
-        m = {k: v for k, v in m.items() if v is not None and k != "valid_n"}
-        params = ml.RF_PARAMS if kind == "rf" else ml.GBT_PARAMS
-        reg.save(model, kind, m, params)
-        reg.log_run(kind, params, {**m, "fit_seconds": secs})
-    return compare_models(reg.runs()).select("model_name", "score", "is_best")
+    return compare_models(_registry(ctx).runs()).select("model_name", "score", "is_best")
+
+
+def forecast_saved(ctx: PanelContext) -> DataFrame:                      # M05/S13: load, then score raw rows
+    """Raw ``future`` rows scored by the saved bundle; the model asked for is
+    not there, so the latest of any name serves."""
+    loaded = ForecastBundle.load(ctx.spark, _registry(ctx).root, name="none")
+    return loaded.predict_rows(ctx.inputs.future)
+
+
+def store_listing(ctx: PanelContext) -> DataFrame:                       # M17
+    return bundle(ctx, "rf").known_stores()
+
+
+def log_metrics(ctx: PanelContext) -> DataFrame:                         # A21 on the log scale
+    pred = fitted(ctx, "rf")[1]
+    return M.evaluate_log(pred, ml.LABEL, "prediction", prefix="expm1_")
 
 
 def window_forecast(ctx: PanelContext) -> DataFrame:                     # K07
@@ -171,6 +204,7 @@ ML_QUERIES = {
     "tree_interval": tree_interval_q, "rf_interval_coverage": rf_interval_coverage,
     "builtin_importance": builtin_importance, "permutation_importance": permutation_importance,
     "feature_columns": feature_columns, "leakage_audit": leakage_audit,
-    "forecast_batch": forecast_batch, "forecast_totals": forecast_totals, "forecast_stream": forecast_stream,
+    "forecast_batch": forecast_batch, "forecast_gbt": forecast_gbt, "forecast_saved": forecast_saved,
+    "store_listing": store_listing, "log_metrics": log_metrics, "forecast_totals": forecast_totals, "forecast_stream": forecast_stream,
     "model_compare": model_compare, "window_forecast": window_forecast,
 }

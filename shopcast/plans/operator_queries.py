@@ -77,7 +77,21 @@ def _requests(ctx: PanelContext) -> DataFrame:
 
 
 def request_validation(ctx: PanelContext) -> DataFrame:                  # S11
-    return FC.validate_requests(_requests(ctx))
+    """Rules per request; one request per state was made without rows."""
+    made = _requests(ctx).select("request_id").unionByName(
+        ctx.inputs.state_names.select(F.concat(F.lit("state-"), F.col("State")).alias("request_id")))
+    return FC.validate_requests(_requests(ctx), ids=made)
+
+
+def forecast_requests(ctx: PanelContext) -> DataFrame:                   # S11/J11
+    """Every request row, accepted or rejected with its reason; each request's
+    last rows ask for a store that does not exist."""
+    req = _requests(ctx)
+    beyond = F.max("Store").alias("_top")
+    unknown = with_scalars(req, req.agg(beyond)).withColumn("Store", F.when(
+        F.col("Store") % 5 == 0, F.col("Store") + F.col("_top")).otherwise(F.col("Store"))).drop("_top")
+    out = FC.screen_requests(unknown, ctx.inputs.store)
+    return out.select("request_id", "Store", "Date", F.coalesce("reason", F.lit("accepted")).alias("verdict"))
 
 
 def clean_missing(ctx: PanelContext) -> DataFrame:                       # C01
@@ -230,6 +244,7 @@ def closed_rule(ctx: PanelContext) -> DataFrame:                         # C10
 OPERATOR_QUERIES = {
     "panel_join": panel_join, "state_lookup": state_lookup_q, "weather_join": weather_join,
     "trend_week_join": trend_week_join, "trend_parse": trend_parse, "date_spine": date_spine,
+    "forecast_requests": forecast_requests,
     "profile": profile, "missing_report": missing_report, "outlier_report": outlier_report,
     "request_validation": request_validation, "clean_missing": clean_missing,
     "fill_forward_back": fill_forward_back, "fill_frame_scope": fill_frame_scope,

@@ -8,9 +8,17 @@ rounded to 6 decimals on both sides; counts are BIGINT on both sides.
 
 from __future__ import annotations
 
+from dateutil.easter import easter
+
 # --- shared CTEs -----------------------------------------------------------
 
-_DAYNO = "date_diff('day', DATE '1997-01-01', {d})"
+SPAN = """
+span AS (SELECT min(CAST(l_shipdate AS DATE)) AS s, max(CAST(l_shipdate AS DATE)) AS e FROM lineitem)"""
+
+_DAYNO = "date_diff('day', (SELECT s FROM span), {d})"
+
+#: Easter Sundays, from a library rather than from the rule under test.
+EASTER = "(VALUES " + ", ".join(f"({y}, DATE '{easter(y)}')" for y in range(1900, 2100)) + ") AS easter(y, sunday)"
 
 STORE_DIM = """
 store_dim AS (
@@ -38,14 +46,13 @@ facts AS (
 
 _SH = """CASE WHEN (month({d}) = 1 AND day({d}) = 1) OR (month({d}) = 5 AND day({d}) = 1)
                   OR (month({d}) = 10 AND day({d}) = 3) THEN 'a'
-             WHEN {d} IN (DATE '1997-03-28', DATE '1997-03-31', DATE '1998-04-10', DATE '1998-04-13',
-                          DATE '1999-04-02', DATE '1999-04-05') THEN 'b'
+             WHEN date_diff('day', (SELECT sunday FROM """ + EASTER + """ WHERE y = year({d})), {d}) IN (-2, 1) THEN 'b'
              WHEN month({d}) = 12 AND day({d}) IN (25, 26) THEN 'c' ELSE '0' END"""
 
 DAILY = """
 spine AS (
-  SELECT Store, CAST(unnest(generate_series(DATE '1997-01-01', DATE '1999-07-31', INTERVAL 1 DAY)) AS DATE) AS Date
-  FROM store_dim),
+  SELECT Store, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS Date
+  FROM store_dim, span),
 daily AS (
   SELECT s.Store, CAST(isodow(s.Date) AS INTEGER) AS DayOfWeek, s.Date,
     CAST(COALESCE(f.Sales, 0) AS BIGINT) AS Sales, CAST(COALESCE(f.Customers, 0) AS BIGINT) AS Customers,
@@ -63,10 +70,10 @@ future AS (
     CASE WHEN (Store + """ + _DAYNO.format(d="Date") + """) % 97 = 5 THEN NULL
          WHEN isodow(Date) = 7 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS Open,
     CAST(CASE WHEN isodow(Date) <= 5 AND week(Date) % 2 = 0 THEN 1 ELSE 0 END AS INTEGER) AS Promo,
-    CASE WHEN Date = DATE '1999-08-15' THEN 'a' ELSE '0' END AS StateHoliday,
+    CASE WHEN Date = (SELECT e FROM span) + 15 THEN 'a' ELSE '0' END AS StateHoliday,
     CAST(CASE WHEN month(Date) = 8 THEN 1 ELSE 0 END AS INTEGER) AS SchoolHoliday
-  FROM (SELECT Store, CAST(unnest(generate_series(DATE '1999-08-01', DATE '1999-09-17', INTERVAL 1 DAY)) AS DATE) AS Date
-        FROM store_dim WHERE Store % 13 < 10))"""
+  FROM (SELECT Store, CAST(unnest(generate_series(e + 1, e + 48, INTERVAL 1 DAY)) AS DATE) AS Date
+        FROM store_dim, span))"""
 
 EXTERNAL = """
 obs AS (
@@ -76,7 +83,7 @@ weather AS (
   SELECT n_name AS StateName, d AS Date,
     CAST(SUM(CAST(ROUND(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / (COUNT(*) * 1000000.0E0) AS Mean_TemperatureC,
     CASE WHEN COUNT(*) > 1 THEN CAST(COUNT(*) AS DOUBLE) END AS Precipitationmm
-  FROM obs WHERE d BETWEEN DATE '1997-01-01' AND DATE '1999-07-31' GROUP BY 1, 2),
+  FROM obs GROUP BY 1, 2),
 trend_state AS (
   SELECT n_name AS State, d - CAST(dayofweek(d) AS INTEGER) AS WeekStart, CAST(COUNT(*) AS INTEGER) AS TrendState
   FROM obs GROUP BY 1, 2),
@@ -149,7 +156,7 @@ F1 AS (
     CAST(day(C.Date) AS INTEGER) AS Day, CAST(week(C.Date) AS INTEGER) AS WeekOfYear,
     CAST(dayofyear(C.Date) AS INTEGER) AS DayOfYear, CAST(quarter(C.Date) AS INTEGER) AS Quarter,
     CAST(day(last_day(C.Date)) AS INTEGER) AS DaysInMonth,
-    CAST(date_diff('day', DATE '1997-01-01', C.Date) AS INTEGER) AS TimeIndex,
+    CAST(date_diff('day', (SELECT s FROM span), C.Date) AS INTEGER) AS TimeIndex,
     CAST(date_diff('day', C.Date, make_date(year(C.Date), 12, 25)) AS INTEGER) AS DaysToChristmas,
     hd.DaysToNextHoliday, hd.DaysAfterLastHoliday,
     CASE WHEN C.Promo2SinceYear > 0 THEN make_date(C.Promo2SinceYear, 1, 1)
@@ -219,7 +226,7 @@ T AS (
   LEFT JOIN smon ON smon.Store = F3.Store AND smon.Month = F3.Month
   CROSS JOIN gm)"""
 
-BASE_RAW = "WITH " + ",".join([STORE_DIM, FACTS, DAILY, FUTURE, EXTERNAL, RAW])
+BASE_RAW = "WITH " + ",".join([SPAN, STORE_DIM, FACTS, DAILY, FUTURE, EXTERNAL, RAW])
 BASE_CLEAN = BASE_RAW + "," + CLEAN
 BASE_T = BASE_CLEAN + "," + FEATURES
 

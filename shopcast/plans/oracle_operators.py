@@ -41,7 +41,7 @@ fs AS (
     COALESCE(st.StoreSalesPerCustomer, gr.ratio) AS ratio
   FROM ec LEFT JOIN sdow ON sdow.Store = ec.Store AND sdow.DayOfWeek = ec.DayOfWeek
   LEFT JOIN st ON st.Store = ec.Store CROSS JOIN gm CROSS JOIN gr),
-fc AS (SELECT *, CAST(CASE WHEN ratio > 0 THEN round(PredictedSales / ratio) END AS BIGINT) AS PredictedCustomers
+fc AS (SELECT *, CAST(CASE WHEN ratio > 0 THEN round_even(PredictedSales / ratio, 0) END AS BIGINT) AS PredictedCustomers
        FROM fs)"""
 
 
@@ -80,15 +80,23 @@ def operator_sql() -> dict[str, str]:
     q["missing_report"] = final(f"SELECT * FROM ({parts}) WHERE missing > 0", ["pct"], base=with_raw)
     q["outlier_report"] = final("""
   SELECT Store, avg(Sales) AS mean, stddev_samp(Sales) AS std, CAST(max(Sales) AS DOUBLE) AS max,
-    (CAST(max(Sales) AS DOUBLE) - avg(Sales)) / stddev_samp(Sales) AS max_zscore
+    (CAST(max(Sales) AS DOUBLE) - avg(Sales)) / NULLIF(stddev_samp(Sales), 0) AS max_zscore
   FROM T WHERE Open = 1 GROUP BY Store""", ["mean", "std", "max", "max_zscore"])
     req = """, req AS (
-  SELECT 'store-' || CAST(Store AS VARCHAR) AS request_id,
+  SELECT 'store-' || CAST(Store AS VARCHAR) AS request_id, Store,
     CASE WHEN Open IS NULL THEN 'not-a-date' ELSE strftime(Date, '%Y-%m-%d') END AS Date FROM E
   UNION ALL
-  SELECT 'type-' || StoreType, CASE WHEN Open IS NULL THEN 'not-a-date' ELSE strftime(Date, '%Y-%m-%d') END FROM E),
+  SELECT 'type-' || StoreType, Store, CASE WHEN Open IS NULL THEN 'not-a-date' ELSE strftime(Date, '%Y-%m-%d') END FROM E),
 g AS (SELECT request_id, count(*) AS n, count(*) FILTER (WHERE try_cast(Date AS DATE) IS NULL) AS bad
-      FROM req GROUP BY 1)"""
+      FROM req GROUP BY 1
+      UNION ALL SELECT 'state-' || n_name, 0, 0 FROM nation)"""
+    q["forecast_requests"] = final("""
+  SELECT r.request_id, r.Store, r.Date,
+    CASE WHEN g.n > 400 THEN 'too_many_rows' WHEN try_cast(r.Date AS DATE) IS NULL THEN 'unparsable_date'
+         WHEN r.Store NOT IN (SELECT Store FROM store_dim) THEN 'unknown_store' ELSE 'accepted' END AS verdict
+  FROM (SELECT request_id, Date,
+          CAST(CASE WHEN Store % 5 = 0 THEN Store + (SELECT max(Store) FROM req) ELSE Store END AS INTEGER) AS Store FROM req) r
+  JOIN g ON g.request_id = r.request_id""", [], base=with_raw, extra=req)
     q["request_validation"] = final("""
   SELECT request_id, 'missing_date_column' AS rule, CAST(0 AS BIGINT) AS violations FROM g
   UNION ALL SELECT request_id, 'unparsable_date', CAST(bad AS BIGINT) FROM g

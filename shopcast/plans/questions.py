@@ -18,11 +18,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopcast.functions import stats
-from shopcast.plans.context import EASTER_SUNDAYS, EVENT_YEARS, OPENER_THRESHOLD, PanelContext
+from shopcast.plans.context import PanelContext
+from shopcast.sources.fixture import easter_sunday
 
 
 def pct(a, b):
-    return F.lit(100.0) * (a / b - 1)
+    """Percent change; NULL where there is nothing to compare with."""
+    return F.lit(100.0) * (F.try_divide(a, b) - 1)
 
 
 def basket(sales="Sales", customers="Customers"):
@@ -99,7 +101,7 @@ def q02_phase(ctx: PanelContext) -> DataFrame:
     g = g.join(stats.exact_quantiles(t, "Sales", [0.5], ["median_sales"], ["HolidayPhase"]), "HolidayPhase", "left")
     normal = F.max(F.when(F.col("HolidayPhase") == PHASE_NORMAL, F.col("mean_sales"))).over(Window.partitionBy())
     return g.select("*", pct(F.col("mean_sales"), normal).alias("vs_normal_pct"),
-                    (F.col("mean_sales") / F.col("mean_customers")).alias("sales_per_customer"))
+                    (F.try_divide(F.col("mean_sales"), F.col("mean_customers"))).alias("sales_per_customer"))
 
 
 def q02_profile(ctx: PanelContext) -> DataFrame:
@@ -119,13 +121,11 @@ def q03_month(ctx: PanelContext) -> DataFrame:
     g = ctx.clean.groupBy("Month").agg(F.avg("Sales").alias("mean_sales"),
                                        F.sum("Sales").alias("_s"), F.count(F.lit(1)).alias("_n"))
     overall = F.sum("_s").over(Window.partitionBy()) / F.sum("_n").over(Window.partitionBy())
-    return g.select("Month", "mean_sales", (F.col("mean_sales") / overall).alias("index_vs_year"))
+    return g.select("Month", "mean_sales", F.try_divide(F.col("mean_sales"), overall).alias("index_vs_year"))
 
 
-def q03_year_month(ctx: PanelContext, years=EVENT_YEARS) -> DataFrame:
-    ys = list(range(years[0], years[1] + 1))
-    return ctx.clean.groupBy("Month").pivot("Year", ys).agg(F.avg("Sales"))\
-        .select("Month", *[F.col(str(y)).alias(f"y{y}") for y in ys])
+def q03_year_month(ctx: PanelContext) -> DataFrame:
+    return ctx.clean.groupBy("Year", "Month").agg(F.avg("Sales").alias("mean_sales"))
 
 
 def q03_december(ctx: PanelContext) -> DataFrame:
@@ -134,15 +134,10 @@ def q03_december(ctx: PanelContext) -> DataFrame:
     return g.select("Day", "mean_sales", (F.col("mean_sales") == top).cast("int").alias("is_peak"))
 
 
-def days_from_nearest(d, dates: list[str]):
-    """Signed days from the nearest listed date (tie: first listed)."""
-    cands = [F.struct(F.abs(F.datediff(d, F.to_date(F.lit(e)))).alias("a"), F.lit(i).alias("i"),
-                      F.datediff(d, F.to_date(F.lit(e))).alias("v")) for i, e in enumerate(dates)]
-    return F.array_min(F.array(*cands))["v"]
-
-
-def q03_easter(ctx: PanelContext, easters=EASTER_SUNDAYS, span: int = 14) -> DataFrame:
-    t = ctx.clean.withColumn("DaysFromEaster", days_from_nearest(F.col("Date"), easters))
+def q03_easter(ctx: PanelContext, span: int = 14) -> DataFrame:
+    """Mean sales by signed days from Easter Sunday, for every year; so near
+    to Easter the year's own one is the nearest."""
+    t = ctx.clean.withColumn("DaysFromEaster", F.datediff("Date", easter_sunday(F.year("Date"))))
     return (t.filter(F.col("DaysFromEaster").between(-span, span)).groupBy("DaysFromEaster")
             .agg(F.avg("Sales").alias("mean_sales"), cnt().alias("n")))
 
@@ -261,13 +256,14 @@ def q07_type_weekday(ctx: PanelContext) -> DataFrame:
 SEG_ALL, SEG_CLOSURES = "Opens all weekdays", "Has weekday closures"
 
 
-def _segments(ctx: PanelContext, threshold: float) -> DataFrame:
+def _segments(ctx: PanelContext, threshold: float | None) -> DataFrame:
+    threshold = ctx.opener_threshold if threshold is None else threshold
     rate = (ctx.raw.filter(F.col("DayOfWeek") <= 5).groupBy("Store").agg(F.avg("Open").alias("open_rate")))
     return rate.select("Store", F.when(F.col("open_rate") >= threshold, SEG_ALL)
                        .otherwise(SEG_CLOSURES).alias("Segment"))
 
 
-def q08_segments(ctx: PanelContext, threshold: float = OPENER_THRESHOLD) -> DataFrame:
+def q08_segments(ctx: PanelContext, threshold: float | None = None) -> DataFrame:
     work = ctx.raw.filter(F.col("Open") == 1).join(_segments(ctx, threshold), "Store")
     g = work.groupBy("Segment").agg(
         F.countDistinct("Store").cast("bigint").alias("stores"),
@@ -277,20 +273,20 @@ def q08_segments(ctx: PanelContext, threshold: float = OPENER_THRESHOLD) -> Data
     return g.withColumn("sat_vs_weekday_pct", pct(F.col("mean_saturday_sales"), F.col("mean_weekday_sales")))
 
 
-def store_sat_ratio(ctx: PanelContext, threshold: float = OPENER_THRESHOLD) -> DataFrame:
+def store_sat_ratio(ctx: PanelContext, threshold: float | None = None) -> DataFrame:
     work = ctx.raw.filter(F.col("Open") == 1)
     r = work.groupBy("Store").agg(
-        (F.avg(F.when(F.col("DayOfWeek") == 6, F.col("Sales")))
-         / F.avg(F.when(F.col("DayOfWeek") <= 5, F.col("Sales")))).alias("ratio"))
+        F.try_divide(F.avg(F.when(F.col("DayOfWeek") == 6, F.col("Sales"))),
+                     F.avg(F.when(F.col("DayOfWeek") <= 5, F.col("Sales")))).alias("ratio"))
     return r.filter(F.col("ratio").isNotNull()).join(_segments(ctx, threshold), "Store")
 
 
-def q08_ratio(ctx: PanelContext, threshold: float = OPENER_THRESHOLD) -> DataFrame:
+def q08_ratio(ctx: PanelContext, threshold: float | None = None) -> DataFrame:
     return stats.box_summary(store_sat_ratio(ctx, threshold), "ratio", ["Segment"]) \
         .withColumn("n", F.col("n").cast("bigint")).withColumn("fliers", F.col("fliers").cast("bigint"))
 
 
-def q08_mann_whitney(ctx: PanelContext, threshold: float = OPENER_THRESHOLD) -> DataFrame:
+def q08_mann_whitney(ctx: PanelContext, threshold: float | None = None) -> DataFrame:
     return stats.mann_whitney(store_sat_ratio(ctx, threshold), "ratio", "Segment", SEG_ALL, SEG_CLOSURES)
 
 
@@ -302,7 +298,7 @@ def q09_assortment(ctx: PanelContext) -> DataFrame:
         F.avg("Customers").alias("mean_customers"))
     g = g.join(stats.exact_quantiles(ctx.clean, "Sales", [0.5], ["median_sales"], ["Assortment"]),
                "Assortment", "left")
-    return g.withColumn("sales_per_customer", F.col("mean_sales") / F.col("mean_customers"))
+    return g.withColumn("sales_per_customer", F.try_divide(F.col("mean_sales"), F.col("mean_customers")))
 
 
 def q09_cross(ctx: PanelContext) -> DataFrame:
@@ -326,7 +322,7 @@ def q10_bands(ctx: PanelContext) -> DataFrame:
                   stats.right_closed_ordinal(F.col("CompetitionDistance"), DISTANCE_EDGES).alias("band_order"))
          .agg(F.countDistinct("Store").cast("bigint").alias("stores"), F.avg("Sales").alias("mean_sales"),
               F.avg("Customers").alias("mean_customers")))
-    return g.withColumn("sales_per_customer", F.col("mean_sales") / F.col("mean_customers"))
+    return g.withColumn("sales_per_customer", F.try_divide(F.col("mean_sales"), F.col("mean_customers")))
 
 
 def q10_spearman(ctx: PanelContext) -> DataFrame:
@@ -344,15 +340,18 @@ def q10_spearman(ctx: PanelContext) -> DataFrame:
 EVENT_LABELS = ["-90 to -60", "-60 to -30", "-30 to 0", "0 to 30", "30 to 60", "60 to 90"]
 
 
-def competitor_events(ctx: PanelContext, window: int = 90, years=EVENT_YEARS) -> DataFrame:
-    t = ctx.clean.filter(F.col("CompetitionOpenSinceYear").between(years[0], years[1]))
+def competitor_events(ctx: PanelContext, window: int = 90) -> DataFrame:
+    """Rows within ``window`` days of a competitor's opening in the years that
+    the panel covers."""
+    years = ctx.clean.agg(F.min("Year").alias("_from"), F.max("Year").alias("_to"))
+    t = stats.with_scalars(ctx.clean, years).filter(F.col("CompetitionOpenSinceYear").between(F.col("_from"), F.col("_to")))
     open_date = F.make_date(F.col("CompetitionOpenSinceYear"),
                             F.greatest(F.col("CompetitionOpenSinceMonth"), F.lit(1)), F.lit(1))
     e = (t.withColumn("DaysSinceCompetitor", F.datediff(F.col("Date"), open_date))
          .filter(F.col("DaysSinceCompetitor").between(-window, window)))
     pre = Window.partitionBy("Store")  # one store's rows in +-window days: bounded
     e = e.withColumn("PreMean", F.avg(F.when(F.col("DaysSinceCompetitor") < 0, F.col("Sales"))).over(pre))
-    return e.filter(F.col("PreMean").isNotNull()).withColumn("RelSales", F.col("Sales") / F.col("PreMean"))
+    return e.filter(F.col("PreMean").isNotNull()).withColumn("RelSales", F.try_divide(F.col("Sales"), F.col("PreMean")))
 
 
 def q11_buckets(ctx: PanelContext, window: int = 90) -> DataFrame:
@@ -387,8 +386,8 @@ def q12_variance(ctx: PanelContext) -> DataFrame:
     g = t.agg(F.avg("Sales").alias("grand_mean"), F.var_pop("Sales").alias("_tot"))
     s = stats.with_scalars(_store_means(ctx), g)
     return s.agg(
-        (F.sum(F.col("n") * F.pow(F.col("store_mean") - F.col("grand_mean"), 2)) / F.sum("n")
-         / F.first("_tot")).alias("share_between"),
+        F.try_divide(F.sum(F.col("n") * F.pow(F.col("store_mean") - F.col("grand_mean"), 2)) / F.sum("n"),
+                     F.first("_tot")).alias("share_between"),
         F.first("grand_mean").alias("grand_mean"),
         F.min("store_mean").alias("min_store_mean"), F.max("store_mean").alias("max_store_mean"))
 
@@ -397,7 +396,7 @@ def q12_by_type(ctx: PanelContext) -> DataFrame:
     g = ctx.clean.groupBy("StoreType").agg(
         F.countDistinct("Store").cast("bigint").alias("stores"), F.avg("Sales").alias("mean_sales"),
         F.stddev_samp("Sales").alias("std_sales"), F.avg("Customers").alias("mean_customers"))
-    return g.withColumn("cv", F.col("std_sales") / F.col("mean_sales"))
+    return g.withColumn("cv", F.try_divide(F.col("std_sales"), F.col("mean_sales")))
 
 
 def q12_hist(ctx: PanelContext, bins: int = 50) -> DataFrame:
@@ -422,24 +421,19 @@ def q13_participation(ctx: PanelContext) -> DataFrame:
 # --- Q14 data quality -------------------------------------------------------
 
 def q14_quality(ctx: PanelContext) -> DataFrame:
-    r, e = ctx.raw, ctx.test
-
-    def issue(df, name, flag, order):
-        return df.agg(F.lit(order).alias("issue_order"), F.lit(name).alias("issue"),
-                      F.sum(flag.cast("int")).cast("bigint").alias("count"),
-                      (100 * F.avg(flag.cast("int"))).alias("pct"))
-    parts = [
-        issue(r, "Closed store-days (Open=0)", F.col("Open") == 0, 1),
-        issue(r, "Open but zero sales", (F.col("Open") == 1) & (F.col("Sales") == 0), 2),
-        issue(e, "Missing Open in test", F.col("Open").isNull(), 3),
-        issue(r, "Missing CompetitionDistance", F.col("CompetitionDistance").isNull(), 4),
-        issue(r, "Missing CompetitionOpenSince*", F.col("CompetitionOpenSinceYear").isNull(), 5),
-        issue(r, "Missing Promo2Since* / PromoInterval", F.col("PromoInterval").isNull(), 6),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Issue counts and shares: one conditional aggregate per frame, unpivoted."""
+    def issues(df: DataFrame, flags: list) -> DataFrame:
+        one = df.agg(F.count(F.lit(1)).alias("_n"), *[F.sum(f.cast("int")).cast("bigint").alias(f"_c{o}") for o, _, f in flags])
+        rows = F.array(*[F.struct(F.lit(o).alias("issue_order"), F.lit(name).alias("issue"), F.col(f"_c{o}").alias("count"),
+                                  (100 * F.try_divide(F.col(f"_c{o}"), F.col("_n"))).alias("pct")) for o, name, _ in flags])
+        return one.select(F.inline(rows))
+    r = issues(ctx.raw, [
+        (1, "Closed store-days (Open=0)", F.col("Open") == 0),
+        (2, "Open but zero sales", (F.col("Open") == 1) & (F.col("Sales") == 0)),
+        (4, "Missing CompetitionDistance", F.col("CompetitionDistance").isNull()),
+        (5, "Missing CompetitionOpenSince*", F.col("CompetitionOpenSinceYear").isNull()),
+        (6, "Missing Promo2Since* / PromoInterval", F.col("PromoInterval").isNull())])
+    return r.unionByName(issues(ctx.test, [(3, "Missing Open in test", F.col("Open").isNull())]))
 
 
 def q14_skew(ctx: PanelContext) -> DataFrame:

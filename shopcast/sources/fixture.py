@@ -20,18 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the derived panel (FIXTURES.md section 2).
-PANEL_START = "1997-01-01"
-PANEL_END = "1999-07-31"
-FUTURE_START = "1999-08-01"
-FUTURE_END = "1999-09-17"
+FUTURE_DAYS = 48
 PUBLIC_HOLIDAY_MONTH_DAYS = [(1, 1), (5, 1), (10, 3)]  # StateHoliday 'a'
-EASTER_HOLIDAYS = ["1997-03-28", "1997-03-31", "1998-04-10", "1998-04-13",
-                   "1999-04-02", "1999-04-05"]  # StateHoliday 'b'
+EASTER_OFFSETS = [-2, 1]  # Good Friday and Easter Monday, StateHoliday 'b'
 CHRISTMAS_DAYS = [25, 26]  # December, StateHoliday 'c'
-FUTURE_HOLIDAY = "1999-08-15"  # StateHoliday 'a' in the forecast rows
+FUTURE_HOLIDAY_DAY = 14  # day of the forecast rows with StateHoliday 'a'
 PROMO_INTERVALS = {1: "Jan,Apr,Jul,Oct", 3: "Feb,May,Aug,Nov", 5: "Mar,Jun,Sept,Dec"}
-NATIONAL_TREND_FILE = "Rossmann_DE"
-STATE_TREND_PREFIX = "Rossmann_DE_"
+NATIONAL_TREND_FILE = "Trend_DE"
+STATE_TREND_PREFIX = "Trend_DE_"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,10 +38,21 @@ def _d(s: str):
     return F.to_date(F.lit(s))
 
 
-def _ts(s: str):
-    # The test tables store dates as timestamps without zone; compare in the
-    # column's own type so the predicate is pushed into the Parquet scan.
-    return F.to_timestamp_ntz(F.lit(s))
+def panel_span(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """First and last ship date: the panel covers every row of ``lineitem``."""
+    d = F.col("l_shipdate").cast("date")
+    r = read_table(spark, sf_dir, "lineitem").agg(F.min(d).cast("string"), F.max(d).cast("string")).first()
+    return (r[0], r[1]) if r[0] is not None else ("2000-01-01", "2000-01-01")
+
+
+def easter_sunday(year):
+    """Date of Easter Sunday of a year column (Gregorian computus)."""
+    a, b, c = year % 19, F.floor(year / 100), year % 100
+    h = (19 * a + b - F.floor(b / 4) - F.floor((b - F.floor((b + 8) / 25) + 1) / 3) + 15) % 30
+    e = (32 + 2 * (b % 4) + 2 * F.floor(c / 4) - h - c % 4) % 7
+    m = F.floor((a + 11 * h + 22 * e) / 451)
+    n = h + e - 7 * m + 114
+    return F.make_date(year.cast("int"), F.floor(n / 31).cast("int"), (n % 31 + 1).cast("int"))
 
 
 def store_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,8 +99,7 @@ def state_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return store_states, state_names
 
 
-def daily_facts(spark: SparkSession, sf_dir: str, start: str = PANEL_START,
-                end: str = PANEL_END) -> DataFrame:
+def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (store, day) with trading: Sales and distinct Customers.
 
     Pre-aggregates ``lineitem`` (partial aggregation before the shuffle);
@@ -101,8 +107,7 @@ def daily_facts(spark: SparkSession, sf_dir: str, start: str = PANEL_START,
     """
     li = (read_table(spark, sf_dir, "lineitem")
           .select("l_orderkey", "l_suppkey", "l_extendedprice", "l_discount", "l_shipdate")
-          .filter((F.col("l_shipdate") >= _ts(start))
-                  & (F.col("l_shipdate") < F.date_add(_d(end), 1).cast("timestamp_ntz"))))
+          .filter(F.col("l_shipdate").isNotNull()))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     line_sales = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("bigint")
     return (
@@ -123,18 +128,19 @@ def state_holiday_code(date_col):
     is_a = F.lit(False)
     for m, d in PUBLIC_HOLIDAY_MONTH_DAYS:
         is_a = is_a | ((F.month(date_col) == m) & (F.dayofmonth(date_col) == d))
-    is_b = date_col.isin([F.to_date(F.lit(x)) for x in EASTER_HOLIDAYS])
+    is_b = F.datediff(date_col, easter_sunday(F.year(date_col))).isin(EASTER_OFFSETS)
     is_c = (F.month(date_col) == 12) & F.dayofmonth(date_col).isin(CHRISTMAS_DAYS)
     return F.when(is_a, "a").when(is_b, "b").when(is_c, "c").otherwise("0")
 
 
-def daily_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_panel(spark: SparkSession, sf_dir: str, span: tuple[str, str] | None = None) -> DataFrame:
     """The ``daily`` input: store x day spine left-joined with the facts."""
+    start, end = span or panel_span(spark, sf_dir)
     stores = store_dimension(spark, sf_dir).select("Store")
     spine = stores.select(
-        "Store", F.explode(F.sequence(_d(PANEL_START), _d(PANEL_END))).alias("Date"))
+        "Store", F.explode(F.sequence(_d(start), _d(end))).alias("Date"))
     facts = daily_facts(spark, sf_dir)
-    day_no = F.datediff(F.col("Date"), _d(PANEL_START))
+    day_no = F.datediff(F.col("Date"), _d(start))
     dow = (F.weekday("Date") + 1)
     return (
         spine.join(facts, ["Store", "Date"], "left")
@@ -153,12 +159,15 @@ def daily_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def future_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``future`` (test) input: 48 forecast days, no Sales/Customers."""
-    stores = store_dimension(spark, sf_dir).select("Store").filter(F.col("Store") % 13 < 10)
+def future_rows(spark: SparkSession, sf_dir: str, span: tuple[str, str] | None = None) -> DataFrame:
+    """The ``future`` (test) input: the 48 days after the panel for every
+    store, no Sales/Customers."""
+    start, end = span or panel_span(spark, sf_dir)
+    stores = store_dimension(spark, sf_dir).select("Store")
+    first = F.date_add(_d(end), 1)
     rows = stores.select(
-        "Store", F.explode(F.sequence(_d(FUTURE_START), _d(FUTURE_END))).alias("Date"))
-    day_no = F.datediff(F.col("Date"), _d(PANEL_START))
+        "Store", F.explode(F.sequence(first, F.date_add(first, FUTURE_DAYS - 1))).alias("Date"))
+    day_no = F.datediff(F.col("Date"), _d(start))
     dow = F.weekday("Date") + 1
     return rows.select(
         (F.col("Store").cast("bigint") * 1000 + day_no).cast("bigint").alias("Id"),
@@ -168,7 +177,7 @@ def future_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("Store") + day_no) % 97 == 5, F.lit(None))
         .when(dow == 7, F.lit(0.0)).otherwise(F.lit(1.0)).cast("double").alias("Open"),
         promo_flag(F.col("Date"), dow).alias("Promo"),
-        F.when(F.col("Date") == _d(FUTURE_HOLIDAY), "a").otherwise("0").alias("StateHoliday"),
+        F.when(F.col("Date") == F.date_add(first, FUTURE_HOLIDAY_DAY), "a").otherwise("0").alias("StateHoliday"),
         (F.month("Date") == 8).cast("int").alias("SchoolHoliday"),
     )
 
@@ -190,8 +199,7 @@ def orders_by_state_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weather_table(spark: SparkSession, sf_dir: str, by_day: DataFrame | None = None) -> DataFrame:
     """Sparse daily weather per state name (exercises the gap fills)."""
-    x = (by_day if by_day is not None else orders_by_state_day(spark, sf_dir)).filter(
-        F.col("d").between(_d(PANEL_START), _d(PANEL_END)))
+    x = by_day if by_day is not None else orders_by_state_day(spark, sf_dir)
     n = F.col("n")
     return x.select(
         F.col("n_name").alias("StateName"), F.col("d").alias("Date"),

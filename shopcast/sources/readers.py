@@ -11,16 +11,26 @@ from pyspark.sql import functions as F
 
 from shopcast.sources import fixture, schemas
 
-# Fixed values of the search-trend file format: file names are
-# "Rossmann_DE" (national) or "Rossmann_DE_<state>", weeks "start - end".
-TREND_FILE_PATTERN = "Rossmann_DE_?"
+# Fixed values of the search-trend file format: file names are "<prefix>_DE"
+# (national) or "<prefix>_DE_<state>", weeks "start - end".
+TREND_FILE_PATTERN = "^[A-Za-z]+_DE_?"
 TREND_WEEK_SEPARATOR = " - "
 
 
 def read_csv(spark: SparkSession, path: str, schema, date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """CSV scan with a declared schema (no inference pass over the data)."""
-    return (spark.read.schema(schema).option("header", True)
-            .option("dateFormat", date_format).csv(path))
+    """CSV scan with a declared schema (no inference pass over the data).
+    Columns are found by their header names; a file without one of them
+    raises ``ValueError``, further ones are ignored."""
+    header = spark.read.option("header", True).csv(path)
+    missing = [f.name for f in schema.fields if f.name not in header.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+
+    def typed(f):
+        if f.dataType.typeName() == "date":
+            return F.to_date(F.col(f.name), date_format).alias(f.name)
+        return F.col(f.name).cast(f.dataType).alias(f.name)
+    return header.select(*[typed(f) for f in schema.fields])
 
 
 def load_daily(spark: SparkSession, path: str) -> DataFrame:      # S01
@@ -48,7 +58,7 @@ def weather_keep(weather: DataFrame) -> DataFrame:                # S05
     return weather.select("StateName", F.col("Date").cast("date").alias("Date"), *keep)
 
 
-def parse_trend(raw: DataFrame) -> tuple[DataFrame, DataFrame]:   # S06
+def parse_trend(raw: DataFrame, file_pattern: str = TREND_FILE_PATTERN) -> tuple[DataFrame, DataFrame]:   # S06
     """Split raw trend rows into (per_state, national).
 
     WeekStart is the first date of the ``week`` label; State is ``file``
@@ -58,7 +68,7 @@ def parse_trend(raw: DataFrame) -> tuple[DataFrame, DataFrame]:   # S06
     """
     t = raw.select(
         F.to_date(F.split(F.col("week"), TREND_WEEK_SEPARATOR).getItem(0)).alias("WeekStart"),
-        F.regexp_replace(F.col("file"), TREND_FILE_PATTERN, "").alias("State"),
+        F.regexp_replace(F.col("file"), file_pattern, "").alias("State"),
         F.col("trend"),
     )
     national = (t.filter(F.col("State") == "").groupBy("WeekStart")
@@ -79,6 +89,7 @@ class RetailInputs:
     state_names: DataFrame
     weather: DataFrame
     trend_raw: DataFrame
+    epoch: str | None = None        # first day of the panel, where known
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, materialized: bool = True) -> "RetailInputs":
@@ -87,18 +98,20 @@ class RetailInputs:
         once to the checkpoint folder, so the dimension checks and the
         train/test joins read a small table instead of re-joining orders."""
         from shopcast.session import materialize
+        span = fixture.panel_span(spark, sf_dir)
         store_states, state_names = fixture.state_tables(spark, sf_dir)
         by_day = fixture.orders_by_state_day(spark, sf_dir)
         if materialized:
             by_day = materialize(by_day, "orders_by_state_day")
         return cls(
-            daily=fixture.daily_panel(spark, sf_dir),
-            future=fixture.future_rows(spark, sf_dir),
+            daily=fixture.daily_panel(spark, sf_dir, span),
+            future=fixture.future_rows(spark, sf_dir, span),
             store=fixture.store_table(spark, sf_dir),
             store_states=store_states,
             state_names=state_names,
             weather=fixture.weather_table(spark, sf_dir, by_day),
             trend_raw=fixture.trend_raw(spark, sf_dir, by_day),
+            epoch=span[0],
         )
 
     @classmethod

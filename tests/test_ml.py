@@ -46,8 +46,20 @@ def test_mode_imputer_ties_take_smallest(spark):
     assert filled == sorted([("b", "x"), ("c", "y"), ("c", "y"), ("b", "y"), ("b", "y")])
 
 
-def test_training_partitions_follow_slots(spark):
-    assert ml.training_partitions(spark) == spark.sparkContext.defaultParallelism
+def test_training_partitions_follow_size_and_slots(spark):
+    slots = spark.sparkContext.defaultParallelism
+    assert ml.training_partitions(spark, 1000, 80) == slots
+    assert ml.training_partitions(spark, 10 ** 9, 80) == -(-10 ** 9 * 84 * 8 // ml.TRAINING_PARTITION_BYTES) > slots
+
+
+def test_own_regressor_and_unknown_name(small):
+    from pyspark.ml.regression import LinearRegression
+    _, train, valid, _, _ = small
+    model, _, _, _ = ml.fit_model(train, LinearRegression(maxIter=5), {"regParam": 0.5})
+    assert model.stages[-1].getRegParam() == 0.5 and model.stages[-1].getLabelCol() == ml.LABEL
+    assert ml.predict(model, valid).filter(F.col("PredictedSales").isNotNull()).count() == valid.count()
+    with pytest.raises(ValueError):
+        ml.make_regressor("none")
 
 
 def test_tree_interval_matches_individual_trees(small):
@@ -118,28 +130,101 @@ def test_permutation_importance_constant_columns_are_zero(small):
         assert rows[c].importance_mean == 0.0 and rows[c].importance_std == 0.0
 
 
-def test_stream_matches_batch(small, spark):
+def test_permutation_importance_scores_all_rows(small):
+    _, _, valid, _, model = small
+    one = ml.permutation_importance(model, valid, columns=["Promo", "StoreDowMeanSales"], n_repeats=2)
+    again = ml.permutation_importance(model, valid.repartition(7), columns=["Promo", "StoreDowMeanSales"], n_repeats=2)
+    a, b = ({r.feature: r.importance_mean for r in d.collect()} for d in (one, again))
+    assert a == pytest.approx(b) and len(a) == 2
+
+
+def requests(spark, rows):
+    return spark.createDataFrame(rows, "request_id string, Store int, Date string, IsHoliday int, IsPromo int, Open int")
+
+
+def test_bad_rows_are_rejected_with_their_reason(small, spark):
+    ctx, _, _, aggs, model = small
+    rows = [("a", 1, "2001-11-10", 0, 0, 1), ("a", 1, "not-a-date", 0, 0, 1), ("a", 99999, "2001-11-10", 0, 0, 1)]
+    rows += [("big", 2, "2001-11-10", 0, 0, 1)] * (FC.MAX_REQUEST_ROWS + 1)
+    out, rejected = FC.forecast_batch(requests(spark, rows), ctx.inputs.store, ctx.calendar, aggs, model, ctx.epoch)
+    assert [(r.request_id, r.Store) for r in out.collect()] == [("a", 1)]
+    reasons = {(r.request_id, r.reason): r["count"] for r in rejected.groupBy("request_id", "reason").count().collect()}
+    assert reasons == {("a", "unparsable_date"): 1, ("a", "unknown_store"): 1, ("big", "too_many_rows"): FC.MAX_REQUEST_ROWS + 1}
+
+
+def test_empty_request_is_a_violation(spark):
+    req = requests(spark, [("a", 1, "2001-11-10", 0, 0, 1)])
+    ids = spark.createDataFrame([("a",), ("none",)], "request_id string")
+    got = {(r.request_id, r.rule): r.violations for r in FC.validate_requests(req, ids=ids).collect()}
+    assert got[("none", "empty_request")] == 1 and got[("a", "empty_request")] == 0 and len(got) == 8
+
+
+def test_requests_do_not_touch_each_other(small, spark):
+    from shopcast.operators.features import holiday_features, request_holidays
+    cal = spark.createDataFrame([("2001-12-01",)], "Date string").select(F.to_date("Date").alias("Date"))
+    rows = [(r, s, f"2001-11-{d:02d}", "a" if (r, d) == ("y", 12) else "0") for r in "xy" for s in (1, 2) for d in range(10, 16)]
+    df = spark.createDataFrame(rows, "request_id string, Store int, Date string, StateHoliday string").withColumn("Date", F.to_date("Date"))
+    got = {(r.request_id, r.Date.day): (r.DaysToNextHoliday, r.DaysAfterLastHoliday, r.IsDayBeforeHoliday)
+           for r in request_holidays(holiday_features(df, cal)).collect()}
+    assert got[("x", 10)] == (21, 999, 0) and got[("x", 14)] == (17, 999, 0)
+    assert got[("y", 10)] == (2, 999, 0) and got[("y", 11)] == (1, 999, 1) and got[("y", 12)] == (0, 999, 0)
+    assert got[("y", 14)] == (17, 2, 0)
+
+
+def test_customers_ties_go_to_even(spark):
+    df = spark.createDataFrame([(5.0, 2.0), (7.0, 2.0), (1.0, 0.0)], "PredictedSales double, StoreSalesPerCustomer double")
+    assert [r.PredictedCustomers for r in FC.customers_estimate(df).collect()] == [2, 4, None]
+
+
+def test_bundle_scores_raw_rows_after_loading(small, spark):
+    from shopcast.operators.bundle import ForecastBundle
+    ctx, _, _, aggs, model = small
+    made = ForecastBundle(model, aggs, ctx.calendar, ctx.inputs.store, ctx.epoch)
+    root = os.path.join(checkpoint_dir(spark), f"bundle-{uuid.uuid4().hex[:8]}")
+    made.save(ModelRegistry(spark, root), "rf")
+    loaded = ForecastBundle.load(spark.newSession(), root, name="other")
+    assert loaded.aggs.fallbacks == pytest.approx(aggs.fallbacks) and loaded.epoch == ctx.epoch
+    a = sorted(map(tuple, made.predict_rows(ctx.inputs.future).collect()))
+    b = sorted(map(tuple, loaded.predict_rows(loaded.store.sparkSession.createDataFrame(
+        ctx.inputs.future.collect(), ctx.inputs.future.schema)).collect()))
+    assert a == b and len(a) == ctx.inputs.future.count()
+    # A store that the bundle does not know gets the fallbacks, not NULLs.
+    other = ctx.inputs.future.withColumn("Store", F.lit(4711))
+    assert made.predict_rows(other).filter(F.col("PredictedSales").isNull()).count() == 0
+    assert loaded.known_stores().count() == ctx.inputs.store.count()
+
+
+@pytest.mark.parametrize("files", [1, 2])
+def test_stream_matches_batch(small, spark, files):
     from shopcast.streaming.forecast_stream import start_forecast_stream
     ctx, train, valid, aggs, model = small
-    req = MQ._requests_from_future(ctx)
-    batch, unknown = FC.forecast_batch(req, ctx.inputs.store, ctx.calendar, aggs, model, ctx.epoch)
+    req = MQ._requests_from_future(ctx).unionByName(requests(spark, [
+        ("bad", 99999, "2001-11-10", 1, 0, 1), ("bad", 1, "x", 0, 0, 1)]), allowMissingColumns=True)
+    batch, rejected = FC.forecast_batch(req, ctx.inputs.store, ctx.calendar, aggs, model, ctx.epoch)
     root = os.path.join(checkpoint_dir(spark), f"stream-test-{uuid.uuid4().hex[:8]}")
-    req.write.parquet(f"{root}/in")
+    req.repartition(files, "request_id").write.parquet(f"{root}/in")
     q = start_forecast_stream(spark, f"{root}/in", f"{root}/out", f"{root}/chk", ctx.inputs.store,
-                              ctx.calendar, aggs, model, ctx.epoch)
+                              ctx.calendar, aggs, model, ctx.epoch, files_per_batch=1)
     q.awaitTermination()
-    streamed = spark.read.parquet(f"{root}/out").drop("batch")
+    streamed = spark.read.parquet(f"{root}/out")
+    assert streamed.select("batch").distinct().count() == files
     cols = batch.columns
     a = sorted(tuple(r) for r in batch.select(*cols).collect())
     b = sorted(tuple(r) for r in streamed.select(*cols).collect())
-    assert a == b and len(a) == req.count()
-    assert unknown.count() == 0
+    assert a == b and len(a) == req.count() - 2
+    assert rejected.count() == 2 == spark.read.parquet(f"{root}/out_rejected").count()
 
 
-def test_size_checked_join_has_shuffle_fallback(spark):
+def test_join_is_the_same_with_and_without_broadcast(spark):
     ctx = build_context(spark, SF_SMALL)
     daily, store = ctx.inputs.daily, ctx.inputs.store
-    small_side = join_dimension(daily, store, ["Store"], "left")
-    shuffled = join_dimension(daily, store, ["Store"], "left", max_rows=0)
     agg = [F.count("*"), F.sum("Sales"), F.sum(F.coalesce("CompetitionDistance", F.lit(0.0)))]
-    assert small_side.agg(*agg).first() == shuffled.agg(*agg).first()
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before, sums = spark.conf.get(key), []
+    try:
+        for threshold in ("100m", "-1"):
+            spark.conf.set(key, threshold)
+            sums.append(join_dimension(daily, store, ["Store"]).agg(*agg).first())
+    finally:
+        spark.conf.set(key, before)
+    assert sums[0] == sums[1]
