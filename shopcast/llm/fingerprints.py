@@ -5,7 +5,7 @@ words: the whole sequence) is hashed once; the upper bits choose one of
 ``BINS`` bins, the least hash of a bin is its value. Empty bins are filled by
 densification: round by round an empty bin looks at the bin that a hash of
 (bin, round) names and takes what that one holds by then. The low
-``LOW_BITS`` bits of each bin (mixed with its place) are packed into longs; two fingerprints compare
+``LOW_BITS`` bits of each bin (the hash shifted by the bin's place) are packed into longs; two fingerprints compare
 by XOR and bit counts, corrected for the chance match of so few bits.
 
 Sorting the hashes together with one sentinel per bin (the largest hash the
@@ -22,6 +22,8 @@ are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,8 +79,8 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
         fill = F.transform(d, fill_from(d, F.expr(f"array({', '.join(str(probe(b, r)) for b in range(BINS))})")))
         df = df.withColumn(c["d"], F.when(todo, fill).otherwise(d))
         df = df.withColumn(c["e"], F.when(todo, F.size(F.filter(F.col(c["d"]), empty_bin))).otherwise(F.lit(0)))
-    # Bins that hold one hash must not share its low bits, so each mixes in its place.
-    df = df.withColumn(c["d"], F.transform(F.col(c["d"]), lambda v, i: F.xxhash64(v, i)))
+    # Bins that hold one hash must not share its low bits, so each takes them from its own place in the hash.
+    df = df.withColumn(c["d"], F.transform(F.col(c["d"]), lambda v, i: F.call_function("shiftright", v, i % (SHIFT - LOW_BITS))))
     d = F.col(c["d"])
     low = (1 << LOW_BITS) - 1
     packed = F.transform(F.sequence(F.lit(0), F.lit(BINS // PER_LONG - 1)), lambda g: F.aggregate(
@@ -108,10 +110,12 @@ def likeness(a: Column, b: Column) -> Column:
             .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), est))))
 
 
-def with_next(rows: DataFrame, carry: list[str]) -> DataFrame:
-    """Add ``next_<c>`` of the next row by (doc_id, text) for each c of
-    ``carry``. Rows meet in blocks of neighbouring ids (about ``BLOCK`` rows);
-    a block's last row gets the first row of the next block that has rows."""
+def with_next(rows: DataFrame, derive: Callable[[DataFrame, str, str], DataFrame] | None = None) -> DataFrame:
+    """Add ``next_text`` of the next row by (doc_id, text), and, with
+    ``derive(df, text column, new column)``, ``fp`` of each row and ``next_fp``.
+    Rows meet in blocks of neighbouring ids (about ``BLOCK`` rows); a block's
+    last row gets the first row of the next block that has rows."""
+    carry = ["text", "fp"] if derive else ["text"]
     r = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
     width = max(1, ((r[1] - r[0] + 1) * BLOCK) // r[2]) if r[2] else 1
     block = F.coalesce(F.floor((F.col("doc_id") - F.lit(r[0] or 0)) / F.lit(width)), F.lit(-1)).cast("long")
@@ -126,9 +130,11 @@ def with_next(rows: DataFrame, carry: list[str]) -> DataFrame:
         Window.partitionBy("_super").orderBy("_block")), "_after").alias("_follow"))
     # What each block's first row carries, under the block before it.
     heads = rows.join(follow.select(F.col("_id"), "_head"), (F.col("_block") == F.col("_head")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    heads = heads.groupBy("_head").agg(F.min(F.struct("text", *[c for c in carry if c != "text"])).alias("_row"))
+    heads = heads.groupBy("_head").agg(F.min("text").alias("_text"))
     before = follow.select("_head", "_follow").alias("a").join(heads.alias("b"), F.col("a._follow") == F.col("b._head")).select(
-        F.col("a._head").alias("_block"), *[F.col(f"b._row.{c}").alias(f"_head_{c}") for c in carry])
+        F.col("a._head").alias("_block"), F.col("b._text").alias("_head_text"))
+    if derive:
+        before, rows = derive(before, "_head_text", "_head_fp"), derive(rows, "text", "fp")
     w = Window.partitionBy("_block").orderBy(F.col("doc_id").asc_nulls_first(), "text")
     lead = rows.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in carry], F.lead(F.lit(1)).over(w).alias("_has"))
     joined = lead.join(before, "_block", "left")
@@ -146,8 +152,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of each text, of its edited text (last quarter replaced by
     the start of the next document), and their likeness."""
-    rows = with_fingerprint(text_rows(docs, id_col, text_col), "text", "fp")
-    rows = with_next(rows, ["text", "fp"]).withColumn("n_chars", F.length("text").cast("long"))
+    rows = with_next(text_rows(docs, id_col, text_col), with_fingerprint).withColumn("n_chars", F.length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.col("text").substr(F.lit(1), F.col("n_chars").cast("int") - cut),
                       F.col("next_text").substr(F.lit(1), cut))

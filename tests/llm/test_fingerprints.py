@@ -42,7 +42,7 @@ def test_blocks_of_any_size_give_the_same_next_row(spark, monkeypatch):
     for block, top in ((2048, 1024), (1, 2), (3, 1)):
         monkeypatch.setattr(f, "BLOCK", block)
         monkeypatch.setattr(f, "SUPER", top)
-        got = {r.text: r.next_text for r in f.with_next(df, ["text"]).collect()}
+        got = {r.text: r.next_text for r in f.with_next(df).collect()}
         assert got == dict(zip(order, order[1:] + order[:1]))
 
 
