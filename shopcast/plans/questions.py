@@ -32,6 +32,11 @@ def basket(sales="Sales", customers="Customers"):
     return F.col(sales) / F.nullif(F.col(customers).cast("double"), F.lit(0.0))
 
 
+def known(df: DataFrame, *cols: str) -> DataFrame:
+    """Rows whose store is in the dimension: a missing attribute is no group."""
+    return df.filter(" AND ".join(f"{c} IS NOT NULL" for c in cols))
+
+
 def cnt():
     return F.count(F.lit(1)).cast("bigint")
 
@@ -153,7 +158,7 @@ def q04_corr(ctx: PanelContext) -> DataFrame:
 
 
 def q04_by_type(ctx: PanelContext) -> DataFrame:
-    return ctx.clean.groupBy("StoreType").agg(
+    return known(ctx.clean, "StoreType").groupBy("StoreType").agg(
         F.corr("Sales", "Customers").alias("corr"), F.avg(basket()).alias("mean_basket"),
         F.avg("Sales").alias("mean_sales"), F.avg("Customers").alias("mean_customers"))
 
@@ -189,8 +194,8 @@ def q05_decomposition(ctx: PanelContext) -> DataFrame:
               m(basket(), 1).alias("b1"), m(basket(), 0).alias("b0"))
     ls, lc, lb = pct(F.col("s1"), F.col("s0")), pct(F.col("c1"), F.col("c0")), pct(F.col("b1"), F.col("b0"))
     return g.select(ls.alias("lift_sales_pct"), lc.alias("lift_customers_pct"), lb.alias("lift_basket_pct"),
-                    (100 * F.log1p(lc / 100) / F.log1p(ls / 100)).alias("share_customers_pct"),
-                    (100 * F.log1p(lb / 100) / F.log1p(ls / 100)).alias("share_basket_pct"))
+                    (100 * F.try_divide(F.log1p(lc / 100), F.log1p(ls / 100))).alias("share_customers_pct"),
+                    (100 * F.try_divide(F.log1p(lb / 100), F.log1p(ls / 100))).alias("share_basket_pct"))
 
 
 # --- Q06 promo targeting ----------------------------------------------------
@@ -227,7 +232,7 @@ def q06_quartiles(ctx: PanelContext) -> DataFrame:
     return j.groupBy(labels.alias("uplift_quartile"), "_total").agg(
         cnt().alias("stores"), F.avg("abs_uplift").alias("mean_abs_uplift"),
         F.avg("pct_uplift").alias("mean_pct_uplift"),
-        (100 * F.sum("total_incremental") / F.first("_total")).alias("share_of_total_incremental")
+        (100 * F.try_divide(F.sum("total_incremental"), F.first("_total"))).alias("share_of_total_incremental")
     ).drop("_total")
 
 
@@ -247,7 +252,7 @@ def q07_weekday(ctx: PanelContext) -> DataFrame:
 
 
 def q07_type_weekday(ctx: PanelContext) -> DataFrame:
-    p = ctx.raw.groupBy("StoreType").pivot("DayOfWeek", list(range(1, 8))).agg(F.avg("Open"))
+    p = known(ctx.raw, "StoreType").groupBy("StoreType").pivot("DayOfWeek", list(range(1, 8))).agg(F.avg("Open"))
     return p.select("StoreType", *[F.col(str(d)).alias(f"dow{d}") for d in range(1, 8)])
 
 
@@ -293,16 +298,17 @@ def q08_mann_whitney(ctx: PanelContext, threshold: float | None = None) -> DataF
 # --- Q09 assortment ---------------------------------------------------------
 
 def q09_assortment(ctx: PanelContext) -> DataFrame:
-    g = ctx.clean.groupBy("Assortment").agg(
+    t = known(ctx.clean, "Assortment")
+    g = t.groupBy("Assortment").agg(
         F.countDistinct("Store").cast("bigint").alias("stores"), F.avg("Sales").alias("mean_sales"),
         F.avg("Customers").alias("mean_customers"))
-    g = g.join(stats.exact_quantiles(ctx.clean, "Sales", [0.5], ["median_sales"], ["Assortment"]),
+    g = g.join(stats.exact_quantiles(t, "Sales", [0.5], ["median_sales"], ["Assortment"]),
                "Assortment", "left")
     return g.withColumn("sales_per_customer", F.try_divide(F.col("mean_sales"), F.col("mean_customers")))
 
 
 def q09_cross(ctx: PanelContext) -> DataFrame:
-    return ctx.clean.groupBy("StoreType", "Assortment").agg(
+    return known(ctx.clean, "StoreType", "Assortment").groupBy("StoreType", "Assortment").agg(
         F.avg("Sales").alias("mean_sales"), F.countDistinct("Store").cast("bigint").alias("stores"))
 
 
@@ -393,7 +399,7 @@ def q12_variance(ctx: PanelContext) -> DataFrame:
 
 
 def q12_by_type(ctx: PanelContext) -> DataFrame:
-    g = ctx.clean.groupBy("StoreType").agg(
+    g = known(ctx.clean, "StoreType").groupBy("StoreType").agg(
         F.countDistinct("Store").cast("bigint").alias("stores"), F.avg("Sales").alias("mean_sales"),
         F.stddev_samp("Sales").alias("std_sales"), F.avg("Customers").alias("mean_customers"))
     return g.withColumn("cv", F.try_divide(F.col("std_sales"), F.col("mean_sales")))

@@ -60,11 +60,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet under the checkpoint folder
     and reading it back. Survives executor loss (unlike cached blocks) and
-    lets later stages prune columns and push filters into the scan."""
+    lets later stages prune columns and push filters into the scan. The
+    folder goes when the application ends."""
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
