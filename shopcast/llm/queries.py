@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopcast.llm import (byte_bpe, fertility, fingerprints, html_extract, hyperminhash, mixing, paragraph_dedup, pii,
                          suffix_dedup, token_counts)
+from shopcast.llm.oracle import SQL
+
+__all__ = ["QUERIES", "SQL"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,5 +71,3 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_hyperminhash, op3_pii, op4_paragraph_dedup, op5_fertility, op6_byte_bpe,
                             op7_fingerprints, op8_mixing, op9_token_counts, op10_html_extract)}
-
-SQL: dict[str, str] = {}
