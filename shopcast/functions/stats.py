@@ -15,32 +15,25 @@ from pyspark.sql import functions as F
 
 from shopcast.session import materialize
 
-# Coefficients of the complementary error function
-# approximation erfc(z) ~ t*exp(-z*z + P(t)), t = 1/(1+z/2), fractional
-# error < 1.2e-7 (Numerical Recipes, "erfcc").
-ERFC_COEFFS = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
-               0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
+#: Terms of the error function's series (below the switch) and of its continued fraction.
+ERFC_SWITCH, ERFC_TERMS = 2.0, 200
 
 
 def erfc(x: Column) -> Column:
+    """Complementary error function to double precision: 1 - series below the
+    switch, continued fraction from it on. For one-row results."""
     z = F.abs(x)
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.5) * z)
-    poly = F.lit(ERFC_COEFFS[-1])
-    for c in reversed(ERFC_COEFFS[:-1]):
-        poly = F.lit(c) + t * poly
-    ans = t * F.exp(-z * z + poly)
-    return F.when(x >= 0, ans).otherwise(F.lit(2.0) - ans)
-
-
-def erfc_sql(x: str) -> str:
-    """The same approximation as SQL text (for the oracle)."""
-    z = f"abs({x})"
-    t = f"(1.0E0 / (1.0E0 + 0.5E0 * {z}))"
-    poly = f"{ERFC_COEFFS[-1]!r}E0"
-    for c in reversed(ERFC_COEFFS[:-1]):
-        poly = f"({c!r}E0 + {t} * {poly})"
-    ans = f"({t} * exp(-{z} * {z} + {poly}))"
-    return f"(CASE WHEN {x} >= 0 THEN {ans} ELSE 2.0E0 - {ans} END)"
+    zero = F.lit(0.0)
+    # erf(z) = 2/sqrt(pi) exp(-z^2) sum over n of 2^n z^(2n+1) / (1 3 5 .. 2n+1), all terms positive
+    start = F.struct(z.alias("term"), z.alias("sum"))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(ERFC_TERMS)), start, lambda acc, n: F.struct(
+        (acc["term"] * 2 * z * z / (2 * n + 1)).alias("term"),
+        (acc["sum"] + acc["term"] * 2 * z * z / (2 * n + 1)).alias("sum")), lambda acc: acc["sum"])
+    # sqrt(pi) exp(z^2) erfc(z) = 1 / (z + (1/2) / (z + (2/2) / (z + (3/2) / ...)))
+    fraction = F.aggregate(F.sequence(F.lit(ERFC_TERMS), F.lit(1), F.lit(-1)), zero, lambda acc, n: n / 2.0 / (z + acc))
+    scale = F.exp(-z * z) / math.sqrt(math.pi)
+    upper = F.when(z < ERFC_SWITCH, 1 - 2 * scale * series).otherwise(scale / (z + fraction))
+    return F.when(x.isNull(), F.lit(None)).when(x >= 0, upper).otherwise(F.lit(2.0) - upper)
 
 
 def chi2_yates_2x2(a: Column, b: Column, c: Column, d: Column) -> tuple[Column, Column]:
