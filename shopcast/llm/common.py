@@ -47,6 +47,17 @@ def map_texts(rows: DataFrame, make: Callable[[], tuple], schema: str) -> DataFr
     return rows.mapInArrow(run, schema)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each made different from every column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n in taken:
+            n = f"_{n}"
+        taken.add(n)
+        out.append(n)
+    return out
+
+
 def nothing() -> None:
     """For functions that hold nothing to forget."""
 

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopcast.llm.common import map_texts, nothing, shared, text_rows
+from shopcast.llm.common import free_names, map_texts, nothing, shared, text_rows
 from shopcast.llm.shingles import U, mix, overlap, shingle_set
 
 REGISTERS, ROWS, MANTISSA = 128, 4, 10
@@ -313,12 +313,13 @@ def deduplicate(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     """``docs`` with one document of each component, all columns; of rows that
     repeat a doc_id the first by text stays."""
     near = shared(near_duplicates(docs, percent, id_col, text_col), "near-result")
-    gone = near.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    out = docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
-    again = near.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again")
+    gone_id, again_id, nth = free_names(docs, "gone_id", "again_id", "nth")
+    gone = near.where("not kept").select(F.col("doc_id").alias(gone_id)).distinct()
+    out = docs.join(gone, F.col(id_col) == F.col(gone_id), "left_anti")
+    again = near.where("doc_id is not null").groupBy(F.col("doc_id").alias(again_id)).count().where("count > 1").select(again_id)
     again = shared(again, "near-again")
     if not again.limit(1).count():
         return out
-    order = Window.partitionBy(id_col).orderBy(text_col)
-    first = out.join(again, F.col(id_col) == F.col("_again"), "left_semi").withColumn("_nth", F.row_number().over(order))
-    return out.join(again, F.col(id_col) == F.col("_again"), "left_anti").unionByName(first.where("_nth = 1").drop("_nth"))
+    same, order = F.col(id_col) == F.col(again_id), Window.partitionBy(id_col).orderBy(text_col)
+    first = out.join(again, same, "left_semi").withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).drop(nth)
+    return out.join(again, same, "left_anti").unionByName(first)

@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopcast.llm.common import WORD, shared
+from shopcast.llm.common import WORD, free_names, shared
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -132,10 +132,11 @@ def mix(docs: DataFrame, share: float = SHARE, max_epochs: float = MAX_EPOCHS,
     text = F.col("text").cast("string")
     rows = shared(docs.select(F.col("source").cast("string").alias("source"), n_words(text).alias("size"),
                               position(F.col("doc_id"), text, seed).alias("place")), "mix-rows")
-    cut = cuts(rows, share, max_epochs, weights).select(*[F.col(c).alias(f"_mix_{c.strip('_')}")
-                                                           for c in ("_source", "whole", "cut", "at_cut")])
-    more = (F.col("_mix_place") < F.col("_mix_cut")) | ((F.col("_mix_place") == F.col("_mix_cut")) & F.col("_mix_at_cut"))
-    joined = docs.withColumn("_mix_place", position(F.col("doc_id"), text, seed)).join(
-        cut, F.col("source").cast("string").eqNullSafe(F.col("_mix_source")))
-    times = (F.col("_mix_whole") + more.cast("long")).cast("int")
-    return joined.select(*docs.columns, F.explode(F.array_repeat(F.lit(1), times)).alias("_mix_copy")).select(*docs.columns)
+    place, source, whole, cut, at_cut, copy = free_names(docs, "mix_place", "mix_source", "mix_whole", "mix_cut", "mix_at", "mix_copy")
+    plan = cuts(rows, share, max_epochs, weights).select(F.col("_source").alias(source), F.col("whole").alias(whole),
+                                                         F.col("cut").alias(cut), F.col("at_cut").alias(at_cut))
+    more = (F.col(place) < F.col(cut)) | ((F.col(place) == F.col(cut)) & F.col(at_cut))
+    joined = docs.withColumn(place, position(F.col("doc_id"), text, seed)).join(
+        plan, F.col("source").cast("string").eqNullSafe(F.col(source)))
+    times = (F.col(whole) + more.cast("long")).cast("int")
+    return joined.select(*docs.columns, F.explode(F.array_repeat(F.lit(1), times)).alias(copy)).select(*docs.columns)

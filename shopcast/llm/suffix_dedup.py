@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopcast.llm.common import shared
+from shopcast.llm.common import free_names, shared
 
 LENGTH = 100
 #: Bytes of contexts in one suffix array, bytes of text in one step of a scan.
@@ -424,10 +424,11 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK
 def remove_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """All rows and columns, repeated bytes cut from the text."""
+    cut_doc, cut_row, cut_at = free_names(docs, "cut_doc", "cut_row", "cut_at")
     rows = numbered(docs, id_col, text_col)
-    texts = rows.select("doc", "ord", F.xxhash64("text").alias("_cut_row")).distinct()
+    texts = rows.select("doc", "ord", F.xxhash64("text").alias(cut_row)).distinct()
     gone = covered(rows, length, block_bytes).join(texts, ["doc", "ord"]).select(
-        F.col("doc").alias("_cut_doc"), "_cut_row", F.col("cuts").alias("_cuts"))
+        F.col("doc").alias(cut_doc), cut_row, F.col("cuts").alias(cut_at))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, cuts: pd.Series) -> pd.Series:
@@ -435,6 +436,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLO
                           for t, c in zip(texts, cuts)])
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    joined = docs.join(gone, (F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)) == F.col("_cut_doc"))
-                       & (F.xxhash64(text) == F.col("_cut_row")), "left")
-    return joined.withColumn(text_col, cut(F.col(text_col), F.col("_cuts"))).select(*docs.columns)
+    joined = docs.join(gone, (F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)) == F.col(cut_doc))
+                       & (F.xxhash64(text) == F.col(cut_row)), "left")
+    return joined.withColumn(text_col, cut(F.col(text_col), F.col(cut_at))).select(*docs.columns)

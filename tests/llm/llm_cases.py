@@ -7,7 +7,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Column names that the operators use inside; inputs may carry them too.
 CLASHES = ("size", "target", "node", "key", "component", "label", "bands", "row", "doc", "ord", "at", "kept", "place",
-           "fingerprint", "next_text", "_block", "_mix_place", "cuts", "n_tokens")
+           "fingerprint", "next_text", "_block", "cuts", "n_tokens", "mix_place", "mix_cut", "_mix_cut",
+           "gone_id", "again_id", "nth", "cut_doc", "cut_row", "cut_at", "copy", "source_size", "whole")
 
 
 def words(n: int, seed: int) -> str:
@@ -41,6 +42,12 @@ def wide(docs):
     return docs.select("*", *[F.lit(f"x{i}").alias(c) for i, c in enumerate(CLASHES)])
 
 
+def unchanged(df):
+    """Whether every added column kept its values."""
+    return df.select(*[F.col(c).alias(c) for c in CLASHES]).distinct().collect() in (
+        [], [tuple(f"x{i}" for i in range(len(CLASHES)))])
+
+
 @pytest.fixture(scope="module")
 def nothing(docs):
     return docs.limit(0)

@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow.parquet as pq
 import sentencepiece
 from brute import quality
-from llm_cases import SF_SMALL, docs, nothing, wide  # noqa: F401
+from llm_cases import SF_SMALL, docs, nothing, unchanged, wide  # noqa: F401
 
 import __spark_entry__ as entry
 from shopcast.llm import fertility as f
@@ -78,7 +78,7 @@ def test_defined_results(docs, wide, nothing):
     assert got[(4, 0)].base_failed and not got[(5, 0)].kept and got[(6, 0)].word_chars == 0
     assert got[(13, 210)].base_failed and got[(13, 210)].n_dup_lines == 29
     kept = f.accepted(wide)
-    assert kept.columns == wide.columns
+    assert kept.columns == wide.columns and unchanged(kept)
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in f.judge(docs).collect() if r.kept)
     assert f.judge(nothing).collect() == [] and f.accepted(nothing).collect() == []
     assert f.judge(docs.drop("lang")).count() == docs.count()

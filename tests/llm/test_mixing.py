@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pyarrow.parquet as pq
 import pytest
 from brute import WORD, mix_targets
-from llm_cases import SF_SMALL, docs, nothing, wide  # noqa: F401
+from llm_cases import SF_SMALL, docs, nothing, unchanged, wide  # noqa: F401
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -64,7 +64,7 @@ def test_defined_results(docs, wide, nothing):
     assert len(got) == docs.count() and all(r.size == 0 == r.taken for r in got if r.doc_id in (4, 5, 6))
     assert len({r.taken for r in got if r.doc_id == 14}) == 1
     out = m.mix(wide)
-    assert out.columns == wide.columns
+    assert out.columns == wide.columns and unchanged(out)
     times = Counter((r.doc_id, r.text, r.source) for r in out.collect())
     plan = Counter()
     for r in got:

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow.parquet as pq
 from brute import jaccard, near_components, shingles
-from llm_cases import SF_SMALL, docs, nothing, wide, words  # noqa: F401
+from llm_cases import SF_SMALL, docs, nothing, unchanged, wide, words  # noqa: F401
 
 import __spark_entry__ as entry
 from shopcast.llm import hyperminhash as h
@@ -118,7 +118,7 @@ def test_defined_results(docs, wide, nothing):
     assert [r.component_id for r in by[14]] == [14, 14] and all(r.component_id is None and r.kept for r in by[None])
     assert jaccard(shingles(words(120, 1)), shingles(words(120, 1) + "\n" + words(30, 16))) > 0.75 and by[16][0].component_id == 1
     kept = h.deduplicate(wide)
-    assert kept.columns == wide.columns
+    assert kept.columns == wide.columns and unchanged(kept)
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(map(str, ids)) == sorted(map(str, [1, 4, 5, 6, 7, 8, 10, 11, 12, 13, 14, None, None]))
     assert h.near_duplicates(nothing).collect() == [] and h.deduplicate(nothing).collect() == []

@@ -4,7 +4,7 @@ import random
 
 import pyarrow.parquet as pq
 from brute import luhn, pii as base, sha
-from llm_cases import SF_SMALL, docs, nothing, wide  # noqa: F401
+from llm_cases import SF_SMALL, docs, nothing, unchanged, wide  # noqa: F401
 
 import __spark_entry__ as entry
 from shopcast.llm import pii
@@ -49,7 +49,7 @@ def test_defined_results(docs, wide, nothing):
     assert len(found) == docs.count() and {r.doc_id for r in found if r.spans} == {7}
     assert all(r.base_sha256 == sha("") for r in found if r.doc_id != 7)
     out = pii.redact(wide, length_col="n_chars")
-    assert out.columns == wide.columns and out.schema["n_chars"].dataType.typeName() == "long"
+    assert out.columns == wide.columns and unchanged(out) and out.schema["n_chars"].dataType.typeName() == "long"
     rows = out.collect()
     assert sum(r.text is None for r in rows) == 2
     seven = [r for r in rows if r.doc_id == 7][0]

@@ -2,9 +2,12 @@
 
 import random
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pyarrow.parquet as pq
 from brute import repeats, sha
-from llm_cases import SF_SMALL, docs, nothing, wide  # noqa: F401
+from llm_cases import SF_SMALL, docs, nothing, unchanged, wide  # noqa: F401
 
 import __spark_entry__ as entry
 from shopcast.llm import suffix_dedup as s
@@ -74,7 +77,79 @@ def test_defined_results(docs, wide, nothing):
     assert by[16][0].n_removed > 0 and sorted(r.n_bytes for r in by[None])[0] == 0
     assert s.find_repeats(nothing).collect() == []
     out = s.remove_repeats(wide)
-    assert out.columns == wide.columns and out.count() == docs.count()
+    assert out.columns == wide.columns and out.count() == docs.count() and unchanged(out)
     kept = {r.doc_id: r.text for r in out.collect() if r.doc_id in (1, 2, 4, 11)}
     assert kept[2] == "" and kept[4] is None and kept[11] == "a"
     assert s.remove_repeats(nothing).collect() == []
+
+
+def split(batch, sizes):
+    at = 0
+    for n in sizes:
+        yield batch.slice(at, n)
+        at += n
+    yield batch.slice(at)
+
+
+def test_seeds_do_not_depend_on_batches():
+    r = np.random.default_rng(8)
+    for case in range(60):
+        n = int(r.integers(1, 60))
+        rows = sorted({(int(r.integers(0, 6)), int(r.integers(0, 4)), int(r.integers(0, 5)), int(r.integers(0, 9)) << 16 | 100) for _ in range(n)})
+        rows += [(9, 500 + i, i, i << 16) for i in range(case % 3)]
+        batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["gram", "ctx", "doc", "at"])
+        whole = [tuple(x.values()) for b in s.sort_seeds([batch]) for x in b.to_pylist()]
+        sizes = [int(r.integers(0, 4)) for _ in range(n)]
+        parts = [tuple(x.values()) for b in s.sort_seeds(split(batch, sizes)) for x in b.to_pylist()]
+        assert sorted(parts, key=repr) == sorted(whole, key=repr)
+        first, want = {}, []
+        for g, c, d, at in rows:
+            if at & 0xFFFF == 0:
+                want.append((d, at, c, None))
+            elif (g, c) in first:
+                want.append((d, at, (at >> 16) + 100, None))
+            else:
+                first[(g, c)] = (d, at)
+        for (g, c), (d, at) in first.items():
+            if sum(x[0] == g for x in first) > 1:
+                want.append((d, at, (at >> 16) + 100, g))
+        assert sorted(whole, key=repr) == sorted(want, key=repr)
+
+
+def test_blocks_do_not_depend_on_their_size():
+    r = random.Random(3)
+    base = "".join(r.choice("abcd") for _ in range(400)).encode()
+    rows = []
+    for doc in range(40):
+        for k in range(3):
+            a = r.randint(0, 360)
+            rows.append((r.choice([1, 1, 1, 2, 3]), doc, k * 200 << 16 | 40, base[a:a + 40]))
+    rows.sort(key=lambda x: (x[0], x[1], x[2]))
+    frame = pd.DataFrame(rows, columns=["gram", "doc", "at", "bytes"])
+
+    def covered(block):
+        out = pd.concat(list(s.sort_blocks(16, block)([frame.iloc[:50], frame.iloc[50:]])))
+        cuts = {(d, i) for d, at, e, key in zip(out.doc, out["at"], out.end, out.key.isna()) if key for i in range(s.start_of(at), e)}
+        first = {}
+        for d, at, e, key, gram in sorted(zip(out.doc, out["at"], out.end, out.key, out.gram), key=lambda x: (x[0], x[1])):
+            if key is not pd.NA and not pd.isna(key):
+                if (gram, key) in first:
+                    cuts |= {(d, i) for i in range(s.start_of(at), e)}
+                first.setdefault((gram, key), (d, at))
+        return cuts, out.key.notna().any()
+    one, spans = covered(1 << 20)
+    small, small_spans = covered(300)
+    assert not spans and small_spans
+    # Windows of different grams never meet in the operator; here they may, but only within a block.
+    by_gram = {g: covered_of(frame[frame.gram == g]) for g in (1, 2, 3)}
+    assert set().union(*by_gram.values()) <= one and set().union(*by_gram.values()) <= small
+
+
+def covered_of(frame):
+    first, out = set(), set()
+    for _, doc, at, b in sorted(frame.itertuples(index=False, name=None), key=lambda x: (x[1], x[2])):
+        for i in range(len(b) - 15):
+            if b[i:i + 16] in first:
+                out |= {(doc, s.start_of(at) + i + k) for k in range(16)}
+            first.add(b[i:i + 16])
+    return out
