@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ PERCENT = 75
 WIDE_ROWS = 1000
 #: Orders in which a bucket's hubs come first: ids XOR these.
 HUBS = (0, 0x2B7E151628AED2A6, 0x5BF0A8B1457695A3, 0x1F83D9ABFB41BD6B)
-BLOCK = 256
+BLOCK = 2048
 #: Collisions of registers by chance, as a share of the registers (equal set sizes).
 CHANCE = 0.1699 / (1 << MANTISSA)
 
@@ -73,12 +74,12 @@ def registers(hashes: np.ndarray) -> np.ndarray:
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band of a registers row."""
+    """One 64-bit key per band of a registers row; its low bits are the band."""
     rows = regs.reshape(BANDS, ROWS).astype(U)
     key = np.arange(BANDS, dtype=U) * U(0xA0761D6478BD642F) + U(1)
     for i in range(ROWS):
         key = mix(key ^ rows[:, i])
-    return key.view(np.int64)
+    return ((key & ~U(BANDS - 1)) | np.arange(BANDS, dtype=U)).view(np.int64)
 
 
 def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -220,13 +221,14 @@ def linked_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
 def plausible_rows(rows: DataFrame, percent: int) -> DataFrame:
     """(key, node): rows of a bucket that may have a link to another component
     there, by registers. A pair counts in the first band that it shares only.
-    ``rows`` as in ``in_blocks``, with band, n_shingles and registers."""
+    ``rows`` as in ``in_blocks``, with n_shingles and registers."""
     def meet(g: pd.DataFrame) -> pd.DataFrame:
         q, m = g[g["query"]], g[~g["query"]]
         regs = np.frombuffer(b"".join(m.registers), "<u2").reshape(-1, REGISTERS)
         comps, sizes, nodes = m.component.to_numpy(), m.n_shingles.to_numpy(), m.node.to_numpy()
         keep, asked = np.zeros(len(m), bool), []
-        for node, comp, n, r, band in zip(q.node, q.component, q.n_shingles, q.registers, q.band):
+        band = int(g["key"].iloc[0]) & (BANDS - 1)
+        for node, comp, n, r in zip(q.node, q.component, q.n_shingles, q.registers):
             small, large = np.minimum(sizes, n), np.maximum(sizes, n)
             ok = (comps != comp) & (small * 100 >= percent * large)
             same = regs[ok] == np.frombuffer(r, "<u2")
@@ -240,13 +242,37 @@ def plausible_rows(rows: DataFrame, percent: int) -> DataFrame:
         found = np.unique(np.concatenate([nodes[keep], np.array(asked, np.int64)]))
         return pd.DataFrame({"key": np.full(len(found), key), "node": found}, dtype="int64")
 
-    return in_blocks(rows, ["band", "n_shingles", "registers"]).groupBy("key", "x", "y").applyInPandas(
+    return in_blocks(rows, ["n_shingles", "registers"]).groupBy("key", "x", "y").applyInPandas(
         meet, "key long, node long").distinct()
 
 
+def meeting_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (key, node): the different nodes of keys with several."""
+    last, sent = None, False
+    for batch in batches:
+        key, node = np.asarray(batch.column("key")), np.asarray(batch.column("node"))
+        if not len(key):
+            continue
+        if last is not None:
+            key, node = np.concatenate([[last[0]], key]), np.concatenate([[last[1]], node])
+        keep = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
+        key, node = key[keep], node[keep]
+        same = key[1:] == key[:-1]
+        with_next, with_last = np.append(same, False), np.concatenate([[False], same])
+        ok = with_next | with_last
+        if last is not None and sent:
+            ok[0] = False
+        if len(key) == 1 and last is not None:
+            sent = sent
+        else:
+            sent = bool(ok[-1])
+        last = key[-1], node[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(key[ok]), pa.array(node[ok])], ["key", "node"])
+
+
 def meetings(rows: DataFrame, name: str) -> DataFrame:
-    """The (key, node, ...) rows, one per node, whose bucket has several, with
-    members and hubs; a bucket's hubs are its first nodes in several orders."""
+    """(key, node, members, hubs) of the (key, node) rows, one per node, whose
+    bucket has several; a bucket's hubs are its first nodes in several orders."""
     buckets = rows.groupBy("key").agg(F.count("*").alias("members"), *[
         F.min(F.col("node").bitwiseXOR(F.lit(h))).alias(f"h{i}") for i, h in enumerate(HUBS)]).where("members > 1")
     buckets = buckets.select("key", "members", F.array_distinct(F.array(*[
@@ -298,8 +324,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     # One node per distinct set; its number is its least document.
     nodes = shared(linked.groupBy("digest").agg(F.min("doc_id").alias("node")), "near-nodes")
     rows = linked.select("doc_id", "digest", "bands").join(nodes, "digest").where("doc_id = node").select(
-        "node", F.posexplode("bands").alias("band", "key"))
-    rows = shared(rows, "near-bands")
+        "node", F.explode("bands").alias("key"))
+    rows = shared(rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(meeting_rows, "key long, node long"), "near-bands")
     meet = meetings(rows, "near")
     sets = shared(shingle_sets(docs, meet.select("node").distinct(), id_col, text_col), "near-sets", 2 * WIDE_ROWS)
     comp = link_nodes(meet, sets, percent, "near")
@@ -315,7 +341,8 @@ def deduplicate(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     near = shared(near_duplicates(docs, percent, id_col, text_col), "near-result")
     gone_id, again_id, nth = free_names(docs, "gone_id", "again_id", "nth")
     gone = near.where("not kept").select(F.col("doc_id").alias(gone_id)).distinct()
-    out = docs.join(gone, F.col(id_col) == F.col(gone_id), "left_anti")
+    # One way at every size: without the hint a small corpus would broadcast, a large one sort its texts.
+    out = docs.join(gone.hint("shuffle_hash"), F.col(id_col) == F.col(gone_id), "left_anti")
     again = near.where("doc_id is not null").groupBy(F.col("doc_id").alias(again_id)).count().where("count > 1").select(again_id)
     again = shared(again, "near-again")
     if not again.limit(1).count():

@@ -88,8 +88,8 @@ def test_blocks_find_what_hubs_missed(spark, monkeypatch):
     rows = []
     for i, s in base.items():
         r = h.registers(s)
-        rows += [(int(k), b, i, comp[i], 0, len(base), len(s), r.tobytes(), s.tobytes()) for b, k in enumerate(h.band_keys(r))]
-    df = spark.createDataFrame(rows, "key long, band int, node long, component long, main long, members long, n_shingles long, "
+        rows += [(int(k), i, comp[i], 0, len(base), len(s), r.tobytes(), s.tobytes()) for k in h.band_keys(r)]
+    df = spark.createDataFrame(rows, "key long, node long, component long, main long, members long, n_shingles long, "
                                      "registers binary, set binary")
     near = {(a, b) for a in base for b in base if a < b and similar(base[a], base[b])}
     keys = {(r.key, r.node) for r in h.plausible_rows(df.drop("set"), 75).collect()}
