@@ -4,10 +4,12 @@ Method: HyperMinHash. The shingle hashes of a document fall into ``REGISTERS``
 buckets by their upper bits; a bucket keeps its least hash as a 16-bit number:
 leading zeros (6 bits) and the ``MANTISSA`` bits after the first one. Empty
 buckets take the register of another bucket (densification), so that a band of
-``ROWS`` registers meets with probability J ** ``ROWS`` at every size: 32
-bands miss a pair of similarity 0.75 with probability 6e-6. Documents that
-share a band are candidates; the share of equal registers, corrected for
-chance collisions, discards hopeless ones; full sets confirm the others.
+``ROWS`` registers meets with probability J ** ``ROWS``: 32 bands miss a pair
+of similarity 0.75 with probability 6e-6. In small sets, where registers are
+copies of few values and bands fail together, the least shingles are keys too,
+as many as no similar pair with a set of up to ``SMALL`` shingles can miss (an
+exact prefix filter). Documents that share a key are candidates; the share of equal registers, corrected for
+chance collisions, discards hopeless ones of larger sets; full sets confirm the others.
 
 Groups of any size, without all their pairs: equal sets are one node (grouped
 by a 128-bit digest with map-side partial sums). In a band bucket every node
@@ -43,6 +45,8 @@ from shopcast.llm.shingles import U, mix, overlap, shingle_set
 REGISTERS, ROWS, MANTISSA = 128, 4, 10
 BANDS = REGISTERS // ROWS
 PERCENT = 75
+#: Shingles of sets whose pairs are found exactly.
+SMALL = 64
 #: Rows per Arrow batch where each carries two full sets.
 WIDE_ROWS = 1000
 #: Orders in which a bucket's hubs come first: ids XOR these.
@@ -74,12 +78,23 @@ def registers(hashes: np.ndarray) -> np.ndarray:
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band of a registers row; its low bits are the band."""
+    """One 64-bit key per band of a registers row; its low bits are the band,
+    below ``BANDS``."""
     rows = regs.reshape(BANDS, ROWS).astype(U)
     key = np.arange(BANDS, dtype=U) * U(0xA0761D6478BD642F) + U(1)
     for i in range(ROWS):
         key = mix(key ^ rows[:, i])
-    return ((key & ~U(BANDS - 1)) | np.arange(BANDS, dtype=U)).view(np.int64)
+    return ((key & ~U(2 * BANDS - 1)) | np.arange(BANDS, dtype=U)).view(np.int64)
+
+
+def candidate_keys(hashes: np.ndarray, regs: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Band keys, and of a sorted set that may be similar to a small one keys of
+    its least shingles, with low bits ``BANDS``."""
+    n = len(hashes)
+    if percent * n > 100 * SMALL:
+        return band_keys(regs)
+    least = mix(hashes[:n - (percent * n + 99) // 100 + 1])
+    return np.concatenate([band_keys(regs), ((least & ~U(2 * BANDS - 1)) | U(BANDS)).view(np.int64)])
 
 
 def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -88,13 +103,14 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def least_estimate(n_small: np.ndarray, percent: int) -> np.ndarray:
-    """Estimates below this are over five standard deviations from the threshold."""
+    """Estimates below this are over five standard deviations from the
+    threshold; those of small sets discard nothing."""
     t = percent / 100
     eff = REGISTERS * (1 - np.exp(-np.maximum(n_small, 1) / REGISTERS))
-    return t - 5.5 * np.sqrt(t * (1 - t) / eff)
+    return np.where(n_small <= SMALL, -1.0, t - 5.5 * np.sqrt(t * (1 - t) / eff))
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, digest, registers, bands) of every row."""
     def make():
         def one(keys, texts):
@@ -105,7 +121,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 out["n_shingles"].append(len(s))
                 out["digest"].append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 out["registers"].append(None if r is None else r.tobytes())
-                out["bands"].append(None if r is None else band_keys(r))
+                out["bands"].append(None if r is None else candidate_keys(s, r, percent))
             return out
         return one, nothing
     return map_texts(text_rows(docs, id_col, text_col), make,
@@ -220,19 +236,21 @@ def linked_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
 
 def plausible_rows(rows: DataFrame, percent: int) -> DataFrame:
     """(key, node): rows of a bucket that may have a link to another component
-    there, by registers. A pair counts in the first band that it shares only.
+    there, by registers. A pair counts in the first band that it shares only, or
+    where it shares shingles if it has no band.
     ``rows`` as in ``in_blocks``, with n_shingles and registers."""
     def meet(g: pd.DataFrame) -> pd.DataFrame:
         q, m = g[g["query"]], g[~g["query"]]
         regs = np.frombuffer(b"".join(m.registers), "<u2").reshape(-1, REGISTERS)
         comps, sizes, nodes = m.component.to_numpy(), m.n_shingles.to_numpy(), m.node.to_numpy()
         keep, asked = np.zeros(len(m), bool), []
-        band = int(g["key"].iloc[0]) & (BANDS - 1)
+        band = int(g["key"].iloc[0]) & (2 * BANDS - 1)
         for node, comp, n, r in zip(q.node, q.component, q.n_shingles, q.registers):
             small, large = np.minimum(sizes, n), np.maximum(sizes, n)
             ok = (comps != comp) & (small * 100 >= percent * large)
             same = regs[ok] == np.frombuffer(r, "<u2")
-            first = same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+            bands = same.reshape(-1, BANDS, ROWS).all(axis=2)
+            first = np.where(bands.any(axis=1), bands.argmax(axis=1), BANDS)
             near = (same.mean(axis=1) - CHANCE) / (1 - CHANCE) >= least_estimate(small[ok], percent)
             ok[ok] = near & (first == band)
             if ok.any():
@@ -319,7 +337,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
-    sig = shared(signatures(docs, id_col, text_col), "near-signatures")
+    sig = shared(signatures(docs, id_col, text_col, percent), "near-signatures")
     linked = sig.where("digest is not null and doc_id is not null")
     # One node per distinct set; its number is its least document.
     nodes = shared(linked.groupBy("digest").agg(F.min("doc_id").alias("node")), "near-nodes")

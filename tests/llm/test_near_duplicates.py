@@ -122,3 +122,36 @@ def test_defined_results(docs, wide, nothing):
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(map(str, ids)) == sorted(map(str, [1, 4, 5, 6, 7, 8, 10, 11, 12, 13, 14, None, None]))
     assert h.near_duplicates(nothing).collect() == [] and h.deduplicate(nothing).collect() == []
+
+
+def test_small_similar_sets_always_share_a_key():
+    r = np.random.default_rng(6)
+    for i in range(6000):
+        n = 1 + i % 90
+        union = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+        drop = int(r.integers(0, n // 4 + 1))
+        a = int(r.integers(0, drop + 1))
+        order = r.permutation(union)
+        x, y = np.sort(order[a:]), np.sort(np.concatenate([order[:a], order[drop:]]))
+        if min(len(x), len(y)) <= h.SMALL and similar(x, y):
+            keys = [set(h.candidate_keys(s, h.registers(s)).tolist()) for s in (x, y)]
+            assert keys[0] & keys[1], (len(x), len(y))
+
+
+def test_short_documents_equal_all_pairs(spark, monkeypatch):
+    """Pairs of short texts at the threshold; blocks, too, keep pairs without a band."""
+    rows = []
+    for i in range(1200):
+        n = 7 + i % 19
+        w = words(n, i).split()
+        # One end changed: unlike shingles as many as the threshold allows.
+        cut = (n - 4 + 1) // 7
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:n - cut] + [f"end{i}x{k}" for k in range(cut)]))]
+    monkeypatch.setattr(h, "BLOCK", 16)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {x.doc_id: x.component_id for x in h.near_duplicates(df).collect()}
+    want = {}
+    for i in range(1200):
+        a, b = (shingles(t) for _, t in rows[2 * i:2 * i + 2])
+        want |= {2 * i: 2 * i, 2 * i + 1: 2 * i if jaccard(a, b) >= 0.75 else 2 * i + 1}
+    assert sum(k != v for k, v in want.items()) > 500 and got == want
