@@ -24,8 +24,7 @@ from shopcast.session import checkpoint_dir
 AGG_COLS = FE.STORE_STAT_COLUMNS + FE.STORE_LOOKUP_COLUMNS + ["DowSalesIndex", "MonthSalesIndex"]
 # Locality series are unknown for future days, so models train without them
 # (the dataset without external joins); State comes with those joins.
-# The panel's boosted trees: fewer, larger steps than the library's default.
-PANEL_PARAMS = {"rf": ml.RF_PARAMS, "gbt": {**ml.GBT_PARAMS, "maxIter": 50, "stepSize": 0.1}}
+PANEL_PARAMS = {"rf": ml.RF_PARAMS, "gbt": ml.GBT_PARAMS}
 EXTERNAL_COLS = ["State", "Mean_TemperatureC", "Precipitationmm", "TrendState", "TrendDE"]
 
 

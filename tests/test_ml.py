@@ -228,3 +228,7 @@ def test_join_is_the_same_with_and_without_broadcast(spark):
     finally:
         spark.conf.set(key, before)
     assert sums[0] == sums[1]
+
+
+def test_catalogue_fits_all_rounds():
+    assert MQ.PANEL_PARAMS["gbt"]["maxIter"] == 600 and MQ.PANEL_PARAMS["gbt"]["stepSize"] == 0.05
