@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shopcast.llm import (byte_bpe, fertility, fingerprints, html_extract, hyperminhash, mixing, paragraph_dedup, pii,
-                         suffix_dedup, token_counts)
+                         ranked_search, suffix_dedup, token_counts)
 from shopcast.llm.oracle import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -68,6 +68,11 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every item, searched in all documents."""
+    return ranked_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_hyperminhash, op3_pii, op4_paragraph_dedup, op5_fertility, op6_byte_bpe,
-                            op7_fingerprints, op8_mixing, op9_token_counts, op10_html_extract)}
+                            op7_fingerprints, op8_mixing, op9_token_counts, op10_html_extract, op11_ranked_search)}
