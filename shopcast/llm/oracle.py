@@ -65,4 +65,33 @@ s AS (SELECT i.item_id, a.doc_id, CAST(sum(a.v) AS BIGINT) AS score FROM i JOIN
 r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50"""
 
-SQL: dict[str, str] = {"op1_suffix_dedup": OP1, "op2_hyperminhash": OP2, "op11_ranked_search": OP11}
+#: All n-grams counted, cut, compared with the longer ones and ranked.
+OP12 = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS s FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(s, '[^\\x20\\x09]+') AS w FROM p),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3)) AS t(k) WHERE len(w) >= k),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 10),
+c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k > 1),
+s AS (
+  SELECT c.lang, c.k, c.phrase, c.a, j, x.f AS l, y.f AS r, (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1:], ' ')),
+m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_parts AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM c WHERE k = 3)
+  GROUP BY lang, phrase),
+r AS (
+  SELECT m.lang, row_number() OVER (PARTITION BY m.lang ORDER BY score DESC, a DESC, m.phrase) AS rank, m.phrase, a, l, r, score
+  FROM m LEFT JOIN inner_parts i ON i.lang = m.lang AND i.phrase = m.phrase WHERE i.longer IS NULL OR 100 * i.longer < 50 * a)
+SELECT r.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n.n,
+  CAST(score AS BIGINT) AS score
+FROM r JOIN n ON n.lang = r.lang WHERE rank <= 2000"""
+
+SQL: dict[str, str] = {"op1_suffix_dedup": OP1, "op2_hyperminhash": OP2, "op11_ranked_search": OP11, "op12_collocations": OP12}
