@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shopcast.llm import (byte_bpe, collocations, fertility, fingerprints, html_extract, hyperminhash, mixing, paragraph_dedup,
-                         pii, ranked_search, suffix_dedup, token_counts)
+                         pii, quality_trees, ranked_search, suffix_dedup, token_counts)
 from shopcast.llm.oracle import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -78,7 +78,12 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.find_collocations(documents(spark, sf_dir))
 
 
+def op13_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text, learned from rows that are not held out."""
+    return quality_trees.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_hyperminhash, op3_pii, op4_paragraph_dedup, op5_fertility, op6_byte_bpe,
                             op7_fingerprints, op8_mixing, op9_token_counts, op10_html_extract, op11_ranked_search,
-                            op12_collocations)}
+                            op12_collocations, op13_quality_trees)}
