@@ -2,30 +2,37 @@
 
 Method: HyperMinHash. The shingle hashes of a document fall into ``REGISTERS``
 buckets by their upper bits; a bucket keeps its least hash as a 16-bit number:
-leading zeros (6 bits) and the ``MANTISSA`` bits after the first one. Empty
-buckets take the register of another bucket (densification), so that a band of
-``ROWS`` registers meets with probability J ** ``ROWS``: 32 bands miss a pair
-of similarity 0.75 with probability 6e-6. In small sets, where registers are
-copies of few values and bands fail together, the least shingles are keys too,
-as many as no similar pair with a set of up to ``SMALL`` shingles can miss (an
-exact prefix filter). Documents that share a key are candidates; the share of equal registers, corrected for
-chance collisions, discards hopeless ones of larger sets; full sets confirm the others.
-
-Groups of any size, without all their pairs: equal sets are one node (grouped
-by a 128-bit digest with map-side partial sums). In a band bucket every node
-meets a few hubs, which the same partial sums pick. After components of the
-confirmed links, only buckets that still hold different components go on, and
-there only the nodes outside the bucket's largest component meet its members,
-in blocks of bounded size, first by register estimate, then, for rows that
-passed, on full sets. A task compares its blocks in place and hands on one
-link per node and component, so a group of near copies makes a few rows per
-member, not its pairs, and no link is lost to a cap.
+leading zeros (6 bits) and the ``MANTISSA`` bits after the first one. An empty
+bucket takes the register of the first originally filled one that it probes
+(densification), so that a band of ``ROWS`` registers meets with probability
+J ** ``ROWS``: 32 bands miss a pair of similarity 0.75 with probability 6e-6.
+Documents that share a band are candidates; the share of equal registers,
+corrected for chance collisions, discards hopeless ones; full sets confirm the
+others. Sets of up to ``SMALL`` shingles, whose few values make bands fail
+together, have exact keys too: their rarest shingles, as many as no similar
+pair can miss (prefix filter over one order of all shingles: frequent ones of
+small sets last, by a bounded table of the most frequent, ties and others by
+hash). So a line that many short documents share is no key of them.
+
+Groups of any size, without all their pairs: equal sets are one node, numbered
+by 64 bits of their digest. Keys are sorted by (key, node) over range
+partitions, which split a hot key; a node meets the first node of its key
+there, the same one in most keys of a group, and first nodes meet at the
+partitions' borders. After components of the confirmed links, only keys that
+still hold different components go on, and there only the nodes outside the
+key's largest component meet its members, in blocks of bounded size: under
+band keys by register estimate, then, for rows that passed, on full sets; under
+prefix keys by sizes and places of the key, then on full sets. A task compares
+its blocks in place and hands on one link per node and component. Keys that
+hold many unlike documents of other components (a band that half-alike texts
+share) still cost their pairs of comparisons there, not rows.
 
 Defined results: a null text is empty: 0 shingles, linked with nothing, also
-not with another empty one; rows of equal doc_id are one document each, in a
-component if any of their texts is; a null id never becomes a component id
-and keeps null; an empty table gives an empty result; other columns are
-ignored by ``near_duplicates`` and kept by ``deduplicate``.
+not with another empty one; texts of equal doc_id are one document for
+``near_duplicates``, those without words aside; a null id never becomes a
+component id and keeps null; an empty table gives an empty result;
+other columns are ignored by ``near_duplicates`` and kept by ``deduplicate``,
+which decides by text: of rows with one id each unlike text stays.
 """
 
 from __future__ import annotations
@@ -36,7 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopcast.llm.common import free_names, map_texts, nothing, shared, text_rows
@@ -49,13 +56,15 @@ PERCENT = 75
 SMALL = 64
 #: Rows per Arrow batch where each carries two full sets.
 WIDE_ROWS = 1000
-#: Orders in which a bucket's hubs come first: ids XOR these.
-HUBS = (0, 0x2B7E151628AED2A6, 0x5BF0A8B1457695A3, 0x1F83D9ABFB41BD6B)
 BLOCK = 2048
+#: Shingles of small sets that are ordered by frequency, and least frequency.
+FREQUENT, LEAST_FREQUENT = 1 << 18, 8
+#: Place of a key that is a band, of a set that has prefix keys too or not.
+BAND, BAND_BESIDE = -1, -2
 #: Collisions of registers by chance, as a share of the registers (equal set sizes).
 CHANCE = 0.1699 / (1 << MANTISSA)
 
-_LOOK = mix(np.arange(32 * REGISTERS, dtype=U) + U(77)).astype(np.int64).reshape(32, REGISTERS) % REGISTERS
+_LOOK = mix(np.arange(256 * REGISTERS, dtype=U) + U(77)).astype(np.int64).reshape(256, REGISTERS) % REGISTERS
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
@@ -69,12 +78,13 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     kept = (rest << zeros.astype(U) << U(1)) >> U(64 - MANTISSA)
     out = np.full(REGISTERS, -1, np.int64)
     out[bucket[first]] = (zeros << MANTISSA) | kept.astype(np.int64)
-    for look in _LOOK:
-        empty = np.flatnonzero(out < 0)
-        if not len(empty):
-            break
-        out[empty] = out[look[empty]]
-    return np.where(out < 0, out.max(), out).astype("<u2")
+    empty = np.flatnonzero(out < 0)
+    if len(empty):
+        filled = out >= 0
+        look = _LOOK[:, empty]
+        probe = look[filled[look].argmax(axis=0), np.arange(len(empty))]
+        out[empty] = np.where(filled[probe], out[probe], out.max())
+    return out.astype("<u2")
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
@@ -87,14 +97,36 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     return ((key & ~U(2 * BANDS - 1)) | np.arange(BANDS, dtype=U)).view(np.int64)
 
 
-def candidate_keys(hashes: np.ndarray, regs: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Band keys, and of a sorted set that may be similar to a small one keys of
-    its least shingles, with low bits ``BANDS``."""
+def has_prefix(n: int, percent: int = PERCENT, small: int = SMALL) -> bool:
+    """Whether a set of ``n`` shingles may be similar to one of ``small``."""
+    return percent * n <= 100 * small
+
+
+def least_overlap(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Common shingles that similar sets of these sizes have at least."""
+    return -(-percent * (a + b) // (100 + percent))
+
+
+class Frequencies:
+    """Frequent shingles and their counts; others count 0."""
+
+    def __init__(self, shingles: np.ndarray, counts: np.ndarray):
+        order = np.argsort(shingles)
+        self.shingles, self.counts = shingles[order], counts[order]
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.shingles):
+            return np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.shingles, hashes), len(self.shingles) - 1)
+        return np.where(self.shingles[at] == hashes, self.counts[at], 0)
+
+
+def prefix_keys(hashes: np.ndarray, frequencies: Frequencies, percent: int = PERCENT) -> np.ndarray:
+    """Keys of a set's rarest shingles, in order, with low bits ``BANDS``."""
     n = len(hashes)
-    if percent * n > 100 * SMALL:
-        return band_keys(regs)
-    least = mix(hashes[:n - (percent * n + 99) // 100 + 1])
-    return np.concatenate([band_keys(regs), ((least & ~U(2 * BANDS - 1)) | U(BANDS)).view(np.int64)])
+    mixed = mix(hashes)
+    rarest = mixed[np.lexsort((mixed, frequencies.of(hashes)))[:n - (percent * n + 99) // 100 + 1]]
+    return ((rarest & ~U(2 * BANDS - 1)) | U(BANDS)).view(np.int64)
 
 
 def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -111,21 +143,64 @@ def least_estimate(n_small: np.ndarray, percent: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, digest, registers, bands) of every row."""
+    """(doc_id, text_hash, n_shingles, node, bands, small) of every row; small:
+    the set where it has prefix keys. No node without words."""
     def make():
         def one(keys, texts):
-            out = {"doc_id": keys, "n_shingles": [], "digest": [], "registers": [], "bands": []}
+            out = {"doc_id": [k["id"] for k in keys], "text_hash": [k["hash"] for k in keys], "n_shingles": [], "node": [], "bands": [], "small": []}
             for t in texts:
                 s = shingle_set(t)
-                r = registers(s) if len(s) else None
                 out["n_shingles"].append(len(s))
-                out["digest"].append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                out["registers"].append(None if r is None else r.tobytes())
-                out["bands"].append(None if r is None else candidate_keys(s, r, percent))
+                out["node"].append(node_of(s) if len(s) else None)
+                out["bands"].append(band_keys(registers(s)) if len(s) else None)
+                out["small"].append(s.tobytes() if len(s) and has_prefix(len(s), percent) else None)
             return out
         return one, nothing
-    return map_texts(text_rows(docs, id_col, text_col), make,
-                     "doc_id long, n_shingles long, digest binary, registers binary, bands array<long>")
+    rows = text_rows(docs, id_col, text_col).select(F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash")).alias("key"), "text")
+    return map_texts(rows, make, "doc_id long, text_hash long, n_shingles long, node long, bands array<long>, small binary")
+
+
+def node_of(hashes: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
+def frequent_shingles(sets: DataFrame, col: str = "small", least: int = LEAST_FREQUENT) -> Frequencies:
+    """The most frequent shingles of the sets, at most ``FREQUENT`` of those
+    that ``least`` sets hold."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h, n = np.unique(np.frombuffer(b"".join(x for x in b.column(col).to_pylist() if x), "<u8"), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["shingle", "n"])
+
+    found = sets.select(col).mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    top = found.where(F.col("n") >= least).orderBy(F.col("n").desc(), "shingle").limit(FREQUENT).toPandas()
+    return Frequencies(top["shingle"].to_numpy(np.int64).view(U), top["n"].to_numpy(np.int64))
+
+
+KEYS = "key long, node long, at int"
+
+
+def candidate_keys(nodes: DataFrame, frequencies: Frequencies, percent: int) -> DataFrame:
+    """(key, node, at) of nodes with bands and small: band keys, and prefix
+    keys with their place."""
+    given = nodes.sparkSession.sparkContext.broadcast(frequencies)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            key, node, at = [], [], []
+            for n, bands, small in zip(b.column("node").to_pylist(), b.column("bands"), b.column("small").to_pylist()):
+                h = None if small is None else np.frombuffer(small, "<u8")
+                key.append(bands.values.to_numpy())
+                at.append(np.full(len(key[-1]), BAND_BESIDE if h is not None and len(h) <= SMALL else BAND))
+                if h is not None:
+                    key.append(prefix_keys(h, given.value, percent))
+                    at.append(np.arange(len(key[-1])))
+                node.append(np.full(sum(map(len, at)) - sum(map(len, node)), n))
+            if key:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key)), pa.array(np.concatenate(node)),
+                                                  pa.array(np.concatenate(at).astype(np.int32))], ["key", "node", "at"])
+
+    return nodes.select("node", "bands", "small").mapInArrow(run, KEYS)
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
@@ -182,20 +257,19 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def in_blocks(rows: DataFrame, payload: list[str]) -> DataFrame:
-    """(key, x, y, query, node, component, payload): blocks (x) of a bucket's
+    """(key, x, y, query, node, component, at, payload): blocks (x) of a key's
     members beside blocks (y) of its nodes outside the main component.
-    ``rows``: key, node, component, main, members, payload."""
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
-        "out", F.col("component") != F.col("main"))
-    part = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    cols = ["node", "component", *payload]
-    members = rows.withColumn("part", part).select("key", F.col("own").alias("x"), F.col("part").alias("y"), F.lit(False).alias("query"), *cols)
-    asking = rows.where("out").withColumn("part", part).select(
-        "key", F.col("part").alias("x"), F.col("own").alias("y"), F.lit(True).alias("query"), *cols)
-    # Member blocks that no outside node asks about are not needed.
-    asked = rows.where("out").select("key", F.col("own").alias("y")).distinct()
-    return members.join(asked, ["key", "y"], "left_semi").unionByName(asking)
+    ``rows``: key, node, component, at, main, payload."""
+    out = F.col("component") != F.col("main")
+    size = rows.groupBy("key").agg(F.count("*").alias("members"), F.sum(out.cast("long")).alias("outs")).where("outs > 0")
+    rows = rows.join(size, "key")
+    for name, n in (("x", "members"), ("y", "outs")):
+        blocks = F.ceil(F.col(n) / BLOCK).cast("int")
+        rows = rows.withColumn(f"{name}s", blocks).withColumn(name, F.pmod(F.xxhash64("node"), F.col(f"{name}s")).cast("int"))
+    cols = ["node", "component", "at", *payload]
+    each = {n: F.explode(F.sequence(F.lit(0), F.col(f"{n}s") - 1)).alias(n) for n in ("x", "y")}
+    members = rows.select("key", "x", each["y"], F.lit(False).alias("query"), *cols)
+    return members.unionByName(rows.where(out).select("key", each["x"], "y", F.lit(True).alias("query"), *cols))
 
 
 def common_counts(held: list[np.ndarray]):
@@ -214,19 +288,25 @@ def common_counts(held: list[np.ndarray]):
 
 
 def linked_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between nodes of one bucket and different components, on
-    full sets: one per node outside the main component, block and component.
+    """Links (a, b) between nodes of one key and different components, on full
+    sets: one per node outside the main component, block and component. Under a
+    prefix key (``at`` from 0) only pairs whose shingles from the key on suffice.
     ``rows`` as in ``in_blocks``, with set."""
     def meet(g: pd.DataFrame) -> pd.DataFrame:
         q, m = g[g["query"]], g[~g["query"]]
         found = []
         if len(q) and len(m):
             size, count = common_counts([np.frombuffer(s, "<u8") for s in m["set"]])
-            comps, nodes = m.component.to_numpy(), m.node.to_numpy()
-            for node, comp, s in zip(q.node, q.component, q["set"]):
+            comps, nodes, at = m.component.to_numpy(), m.node.to_numpy(), m["at"].to_numpy()
+            for node, comp, place, s in zip(q.node, q.component, q["at"], q["set"]):
                 s = np.frombuffer(s, "<u8")
+                ok = (comps != comp) & (np.minimum(size, len(s)) * 100 >= percent * np.maximum(size, len(s)))
+                if place >= 0:
+                    ok &= np.minimum(size - at, len(s) - place) >= least_overlap(size, len(s), percent)
+                if not ok.any():
+                    continue
                 common = count(s)
-                hit = np.flatnonzero((comps != comp) & (100 * common >= percent * (size + len(s) - common)))
+                hit = np.flatnonzero(ok & (100 * common >= percent * (size + len(s) - common)))
                 for i in hit[np.unique(comps[hit], return_index=True)[1]]:
                     found.append((min(node, nodes[i]), max(node, nodes[i])))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
@@ -235,28 +315,25 @@ def linked_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def plausible_rows(rows: DataFrame, percent: int) -> DataFrame:
-    """(key, node): rows of a bucket that may have a link to another component
-    there, by registers. A pair counts in the first band that it shares only, or
-    where it shares shingles if it has no band.
+    """(key, node): rows of a band key that may have a link to another component
+    there, by registers. A pair counts in the first band that it shares only.
     ``rows`` as in ``in_blocks``, with n_shingles and registers."""
     def meet(g: pd.DataFrame) -> pd.DataFrame:
         q, m = g[g["query"]], g[~g["query"]]
         regs = np.frombuffer(b"".join(m.registers), "<u2").reshape(-1, REGISTERS)
         comps, sizes, nodes = m.component.to_numpy(), m.n_shingles.to_numpy(), m.node.to_numpy()
         keep, asked = np.zeros(len(m), bool), []
-        band = int(g["key"].iloc[0]) & (2 * BANDS - 1)
+        key = g["key"].iloc[0]
+        band = int(key) & (2 * BANDS - 1)
         for node, comp, n, r in zip(q.node, q.component, q.n_shingles, q.registers):
             small, large = np.minimum(sizes, n), np.maximum(sizes, n)
             ok = (comps != comp) & (small * 100 >= percent * large)
             same = regs[ok] == np.frombuffer(r, "<u2")
-            bands = same.reshape(-1, BANDS, ROWS).all(axis=2)
-            first = np.where(bands.any(axis=1), bands.argmax(axis=1), BANDS)
-            near = (same.mean(axis=1) - CHANCE) / (1 - CHANCE) >= least_estimate(small[ok], percent)
-            ok[ok] = near & (first == band)
+            first = same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+            ok[ok] = ((same.mean(axis=1) - CHANCE) / (1 - CHANCE) >= least_estimate(small[ok], percent)) & (first == band)
             if ok.any():
                 keep |= ok
                 asked.append(node)
-        key = g["key"].iloc[0]
         found = np.unique(np.concatenate([nodes[keep], np.array(asked, np.int64)]))
         return pd.DataFrame({"key": np.full(len(found), key), "node": found}, dtype="int64")
 
@@ -264,107 +341,156 @@ def plausible_rows(rows: DataFrame, percent: int) -> DataFrame:
         meet, "key long, node long").distinct()
 
 
+MEET = KEYS + ", first long, edge boolean"
+
+
 def meeting_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (key, node): the different nodes of keys with several."""
-    last, sent = None, False
+    """Of rows sorted by (key, node): the different nodes of keys with several,
+    each with the first one. The first nodes of a partition's first and last key
+    come once more as ``edge``, since their keys may go on in another one."""
+    def made(key, node, at, first, edge):
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(node), pa.array(at, pa.int32()), pa.array(first), pa.array(np.full(len(key), edge))],
+                                          [f.split()[0] for f in MEET.split(", ")])
+
+    head, sent, last = None, False, None      # the run's first row, whether it went out, the last node
     for batch in batches:
-        key, node = np.asarray(batch.column("key")), np.asarray(batch.column("node"))
-        if not len(key):
+        cols = [np.asarray(batch.column(c)) for c in ("key", "node", "at")]
+        if not len(cols[0]):
             continue
-        if last is not None:
-            key, node = np.concatenate([[last[0]], key]), np.concatenate([[last[1]], node])
-        keep = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
-        key, node = key[keep], node[keep]
-        same = key[1:] == key[:-1]
-        with_next, with_last = np.append(same, False), np.concatenate([[False], same])
-        ok = with_next | with_last
-        if last is not None and sent:
-            ok[0] = False
-        if len(key) == 1 and last is not None:
-            sent = sent
+        if head is None:
+            yield made(*(c[:1] for c in cols), cols[1][:1], True)
         else:
-            sent = bool(ok[-1])
-        last = key[-1], node[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(key[ok]), pa.array(node[ok])], ["key", "node"])
+            cols = [np.concatenate([[h], c]) for h, c in zip(head, cols)]
+        key, node, at = cols
+        before = node[:-1].copy()
+        if head is not None:
+            before[:1] = last
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        keep = new | np.concatenate([[True], node[1:] != before])
+        end = node[-1]
+        key, node, at, new = (c[keep] for c in (key, node, at, new))
+        begin = np.flatnonzero(new)
+        size = np.diff(np.append(begin, len(key)))
+        which = np.cumsum(new) - 1
+        out = size[which] > 1
+        if head is not None and sent:
+            out[0] = False
+        sent = bool(size[-1] > 1 or (len(begin) == 1 and head is not None and sent))
+        i = begin[-1]
+        head, last = (key[i], node[i], at[i]), end
+        yield made(key[out], node[out], at[out].astype(np.int32), node[begin[which]][out], False)
+    if head is not None:
+        yield made(*(np.array([h]) for h in head), np.array([head[1]]), True)
 
 
 def meetings(rows: DataFrame, name: str) -> DataFrame:
-    """(key, node, members, hubs) of the (key, node) rows, one per node, whose
-    bucket has several; a bucket's hubs are its first nodes in several orders."""
-    buckets = rows.groupBy("key").agg(F.count("*").alias("members"), *[
-        F.min(F.col("node").bitwiseXOR(F.lit(h))).alias(f"h{i}") for i, h in enumerate(HUBS)]).where("members > 1")
-    buckets = buckets.select("key", "members", F.array_distinct(F.array(*[
-        F.col(f"h{i}").bitwiseXOR(F.lit(h)) for i, h in enumerate(HUBS)])).alias("hubs"))
-    return shared(rows.join(buckets, "key"), f"{name}-meet")
+    """The (key, node, at) rows of keys with several nodes, with the first of
+    them in their partition."""
+    spread = rows.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
+    return shared(spread.mapInArrow(meeting_rows, MEET), f"{name}-meet")
+
+
+def first_pairs(meet: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b: nodes and the first ones of their keys, and those of
+    keys that lie in several partitions."""
+    own = meet.where("not edge").select("node", F.col("first").alias("other"))
+    edges = meet.where("edge").groupBy("key").agg(F.min("node").alias("other"), F.collect_set("node").alias("nodes")).select(
+        F.explode("nodes").alias("node"), "other")
+    both = own.unionByName(edges).where("node <> other")
+    return both.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
 def link_nodes(meet: DataFrame, sets: DataFrame, percent: int, name: str, small_sets: bool = False) -> DataFrame:
     """(node, component) of the nodes with a confirmed link to another one.
     ``small_sets``: full sets are as cheap to move as registers."""
-    pairs = meet.select("node", F.explode("hubs").alias("hub")).where("node <> hub").select(
-        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    pairs = shared(pairs, f"{name}-pairs")
-    links = shared(confirm(pairs, sets, percent), f"{name}-links", WIDE_ROWS)
+    links = shared(confirm(shared(first_pairs(meet), f"{name}-pairs"), sets, percent), f"{name}-links", WIDE_ROWS)
     comp = components(links, name)
-    # Buckets whose pairs the hubs did not all see, if they hold several components.
-    wide = meet.where(F.col("members") > F.size("hubs") + 1).drop("hubs").join(comp, "node", "left")
+    # Keys whose pairs the first nodes did not all see, if they hold several components.
+    wide = meet.where(F.col("at") != BAND_BESIDE).select("key", "node", "at").join(comp, "node", "left")
     wide = shared(wide.withColumn("component", F.coalesce("component", "node")), f"{name}-wide")
     counts = wide.groupBy("key", "component").agg(F.count("*").alias("n"))
-    main = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("kinds"))
-    wide = wide.join(main.where("kinds > 1").select("key", F.col("top.component").alias("main")), "key")
+    main = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("kinds"), F.sum("n").alias("members"))
+    main = main.where("kinds > 1 and members > 2").select("key", F.col("top.component").alias("main"))
+    wide = shared(wide.join(main, "key"), f"{name}-rest")
+    full = sets.select("node", "set")
+    asked = wide if small_sets else wide.where("at >= 0")
+    more = linked_in_blocks(asked.join(full, "node"), percent)
     if not small_sets:
-        narrow = wide.join(sets.select("node", "n_shingles", "registers"), "node")
-        rows = shared(plausible_rows(narrow, percent), f"{name}-plausible")
-        wide = wide.drop("members").join(rows, ["key", "node"]).join(rows.groupBy("key").agg(F.count("*").alias("members")), "key")
-    more = shared(linked_in_blocks(wide.join(sets.select("node", "set"), "node"), percent), f"{name}-links", WIDE_ROWS)
+        bands = wide.where(F.col("at") == BAND)
+        rows = shared(plausible_rows(bands.join(sets.select("node", "n_shingles", "registers"), "node"), percent), f"{name}-plausible")
+        more = more.unionByName(linked_in_blocks(bands.join(rows, ["key", "node"]).join(full, "node"), percent))
+    more = shared(more, f"{name}-links", WIDE_ROWS)
     if not more.limit(1).count():
         return comp
     return components(links.unionByName(more), name)
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Full sets and registers of the documents in ``wanted`` (node)."""
-    rows = text_rows(docs, id_col, text_col).join(wanted.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    """Full sets and registers of the documents in ``wanted`` (doc_id, least of
+    a node's)."""
+    rows = text_rows(docs, id_col, text_col).join(wanted.select("doc_id"), "doc_id", "left_semi")
 
     def make():
         def one(keys, texts):
-            sets = [(k, s) for k, s in zip(keys, map(shingle_set, texts)) if len(s)]
-            return {"node": [k for k, _ in sets], "n_shingles": [len(s) for _, s in sets],
-                    "registers": [registers(s).tobytes() for _, s in sets], "set": [s.tobytes() for _, s in sets]}
+            sets = [s for s in map(shingle_set, texts) if len(s)]
+            return {"node": list(map(node_of, sets)), "n_shingles": list(map(len, sets)),
+                    "registers": [registers(s).tobytes() for s in sets], "set": [s.tobytes() for s in sets]}
         return one, nothing
     return map_texts(rows, make, "node long, n_shingles long, registers binary, set binary")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row."""
+def labelled(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_hash, n_shingles, node, label) of every row: rows of one
+    label are near duplicates, by text; no label without words or id."""
     sig = shared(signatures(docs, id_col, text_col, percent), "near-signatures")
-    linked = sig.where("digest is not null and doc_id is not null")
-    # One node per distinct set; its number is its least document.
-    nodes = shared(linked.groupBy("digest").agg(F.min("doc_id").alias("node")), "near-nodes")
-    rows = linked.select("doc_id", "digest", "bands").join(nodes, "digest").where("doc_id = node").select(
-        "node", F.explode("bands").alias("key"))
-    rows = shared(rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(meeting_rows, "key long, node long"), "near-bands")
-    meet = meetings(rows, "near")
-    sets = shared(shingle_sets(docs, meet.select("node").distinct(), id_col, text_col), "near-sets", 2 * WIDE_ROWS)
+    nodes = sig.where("node is not null and doc_id is not null").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("small").alias("small"))
+    nodes = shared(nodes, "near-nodes")
+    frequencies = frequent_shingles(nodes.where("small is not null"))
+    meet = meetings(candidate_keys(nodes, frequencies, percent), "near")
+    wanted = nodes.select("node", "doc_id").join(meet.select("node").distinct(), "node", "left_semi")
+    sets = shingle_sets(docs, wanted.select("doc_id").distinct(), id_col, text_col)
+    # Ids that repeat bring the sets of other nodes, or one twice.
+    sets = shared(sets, "near-sets", 2 * WIDE_ROWS)
+    twice = shared(sets.groupBy("node").count().where("count > 1").select("node"), "near-again")
+    if twice.limit(1).count():
+        sets = shared(sets.dropDuplicates(["node"]), "near-sets", 2 * WIDE_ROWS)
     comp = link_nodes(meet, sets, percent, "near")
-    out = sig.select("doc_id", "n_shingles", "digest").join(nodes, "digest", "left").join(comp, "node", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    label = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node")).alias("label")
+    return shared(sig.drop("bands", "small").join(comp, "node", "left").select("doc_id", "text_hash", "n_shingles", "node", label), "near-labels")
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row."""
+    rows = labelled(docs, percent, id_col, text_col)
+    # Texts of one id join their labels.
+    ids = rows.where("label is not null").groupBy("doc_id").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b")
+    ids = shared(ids.select("doc_id", "a"), "near-ids")
+    if ids.limit(1).count():
+        links = rows.join(ids, "doc_id").select("a", F.col("label").alias("b")).where("a <> b").distinct()
+        comp = components(links, "near-ids").withColumnRenamed("node", "label")
+        rows = rows.join(comp, "label", "left").withColumn("label", F.coalesce("component", "label")).drop("component")
+    least = rows.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
+    out = rows.join(least, "label", "left")
+    component = F.coalesce("least", "doc_id")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def deduplicate(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, all columns; of rows that
-    repeat a doc_id the first by text stays."""
-    near = shared(near_duplicates(docs, percent, id_col, text_col), "near-result")
-    gone_id, again_id, nth = free_names(docs, "gone_id", "again_id", "nth")
-    gone = near.where("not kept").select(F.col("doc_id").alias(gone_id)).distinct()
+    """``docs`` with one document of each group of near duplicates, the one of
+    least (doc_id, hash of the text), all columns; of equal rows of one id the
+    first stays, and so does each text of it that is like no other."""
+    rows = labelled(docs, percent, id_col, text_col)
+    gone_id, gone_text = free_names(docs, "gone_id", "gone_text")
+    first = rows.where("label is not null").groupBy("label").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    gone = rows.join(first, "label").where(F.struct("doc_id", "text_hash") != F.col("first"))
+    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_text)).distinct()
+    text = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     # One way at every size: without the hint a small corpus would broadcast, a large one sort its texts.
-    out = docs.join(gone.hint("shuffle_hash"), F.col(id_col) == F.col(gone_id), "left_anti")
-    again = near.where("doc_id is not null").groupBy(F.col("doc_id").alias(again_id)).count().where("count > 1").select(again_id)
-    again = shared(again, "near-again")
+    out = docs.join(gone.hint("shuffle_hash"), (F.col(id_col).cast("long") == F.col(gone_id)) & (text == F.col(gone_text)), "left_anti")
+    again = rows.where("doc_id is not null").groupBy(F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_text)).count().where("count > 1")
+    again = shared(again.drop("count"), "near-again")
     if not again.limit(1).count():
         return out
-    same, order = F.col(id_col) == F.col(again_id), Window.partitionBy(id_col).orderBy(text_col)
-    first = out.join(again, same, "left_semi").withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).drop(nth)
-    return out.join(again, same, "left_anti").unionByName(first)
+    same = (F.col(id_col).cast("long") == F.col(gone_id)) & (text == F.col(gone_text))
+    return out.join(again, same, "left_anti").unionByName(out.join(again, same, "left_semi").dropDuplicates([id_col, text_col]))
