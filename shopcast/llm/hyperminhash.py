@@ -189,13 +189,15 @@ def candidate_keys(nodes: DataFrame, frequencies: Frequencies, percent: int) ->
         for b in batches:
             key, node, at = [], [], []
             for n, bands, small in zip(b.column("node").to_pylist(), b.column("bands"), b.column("small").to_pylist()):
-                h = None if small is None else np.frombuffer(small, "<u8")
-                key.append(bands.values.to_numpy())
-                at.append(np.full(len(key[-1]), BAND_BESIDE if h is not None and len(h) <= SMALL else BAND))
-                if h is not None:
-                    key.append(prefix_keys(h, given.value, percent))
-                    at.append(np.arange(len(key[-1])))
-                node.append(np.full(sum(map(len, at)) - sum(map(len, node)), n))
+                own, place = bands.values.to_numpy(), np.full(BANDS, BAND)
+                if small is not None:
+                    h = np.frombuffer(small, "<u8")
+                    rarest = prefix_keys(h, given.value, percent)
+                    place = np.concatenate([np.full(BANDS, BAND_BESIDE if len(h) <= SMALL else BAND), np.arange(len(rarest))])
+                    own = np.concatenate([own, rarest])
+                key.append(own)
+                at.append(place)
+                node.append(np.full(len(own), n))
             if key:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key)), pa.array(np.concatenate(node)),
                                                   pa.array(np.concatenate(at).astype(np.int32))], ["key", "node", "at"])
