@@ -64,7 +64,3 @@ def date_feature_columns(d: Column, epoch: str = DEFAULT_EPOCH) -> dict[str, Col
 def week_start_sunday(d: Column) -> Column:
     """Preceding Sunday (the same day on a Sunday)."""
     return F.date_sub(d, F.dayofweek(d) - 1)
-
-
-def iso_week_monday(d: Column) -> Column:
-    return F.date_sub(d, F.weekday(d))

@@ -29,9 +29,10 @@ def gap_columns(df: DataFrame) -> list[str]:
 
 
 def fill_forward_back(df: DataFrame, cols: list[str], key: str = "Store", order: str = "Date",
-                      scope: str = "store") -> DataFrame:                   # W01/W02
+                      scope: str = "store", medians: dict | None = None) -> DataFrame:                   # W01/W02
     """Forward fill then backward fill each column inside ``key`` by ``order``,
-    then fill what is still empty with the column median.
+    then fill what is still empty with the column median, or with the one that
+    ``medians`` gives (columns without one stay empty).
 
     ``scope="frame"`` reproduces a backward fill that is not grouped: a key
     with no value at all borrows the first value of the next key (in key
@@ -59,10 +60,11 @@ def fill_forward_back(df: DataFrame, cols: list[str], key: str = "Store", order:
         out = out.join(borrow, key, "left").select(
             *[c for c in out.columns if c not in cols],
             *[F.coalesce(F.col(c), F.col(f"_next_{c}")).alias(c) for c in cols])
-    # The windows run once; only columns that still have gaps need a median.
-    out = materialize(out, "filled")
-    left = out.agg(*[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in cols]).first()
-    medians = column_medians(out, [c for c in cols if left[c]])
+    if medians is None:
+        # The windows run once; only columns that still have gaps need a median.
+        out = materialize(out, "filled")
+        left = out.agg(*[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in cols]).first()
+        medians = column_medians(out, [c for c in cols if left[c]])
     return out.select(*[F.coalesce(F.col(c), F.lit(medians[c])).alias(c) if medians.get(c) is not None
                         else F.col(c) for c in df.columns])
 
@@ -92,9 +94,10 @@ def next_non_null(df: DataFrame, key: str, cols: list[str], outs: list[str],
                            for c, o in zip(cols, outs)]))
 
 
-def clean_missing(df: DataFrame, scope: str = "store") -> DataFrame:          # C01
+def clean_missing(df: DataFrame, scope: str = "store", medians: dict | None = None) -> DataFrame:          # C01
     """Impute the known-missing columns. Idempotent: HasCompetition keeps an
-    existing value instead of being recomputed from the filled distance."""
+    existing value instead of being recomputed from the filled distance.
+    ``medians``: as for ``fill_forward_back``."""
     cols = df.columns
     exprs = {}
     if "Open" in cols:
@@ -118,7 +121,7 @@ def clean_missing(df: DataFrame, scope: str = "store") -> DataFrame:          #
     out = df.select(*out_cols)
     gaps = gap_columns(out)
     if gaps and "Store" in cols and "Date" in cols:
-        out = fill_forward_back(out, gaps, scope=scope)
+        out = fill_forward_back(out, gaps, scope=scope, medians=medians)
     return out
 
 

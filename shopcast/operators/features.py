@@ -206,6 +206,82 @@ def fit_store_aggregates(df: DataFrame, include_customers: bool = True) -> Store
     return StoreAggregates(stores=stores, fallbacks=fb)
 
 
+LEAVE_ONE_OUT_COLUMNS = STORE_STAT_COLUMNS + STORE_LOOKUP_COLUMNS + ["DowSalesIndex", "MonthSalesIndex"]
+
+
+def leave_one_out(df: DataFrame, aggs: StoreAggregates) -> DataFrame:            # C07 on its own training rows
+    """The store aggregates of every training row over its store's other
+    training rows (open, Sales > 0), so that a row's own sales are no part of
+    its features; rows that were no training rows get the aggregates as fitted.
+    ``aggs`` gives the fallbacks of stores without another row.
+
+    One grouped pass per key set (map-side combined) and one join on Store:
+    sums and counts leave a row out by subtraction, the maximum through the
+    second largest value, the median through the neighbours of the middle: the
+    k-th smallest of the others is the k-th of all if the row's value is above
+    it, else the next one. A store's values are bounded by its days.
+    """
+    if "Month" not in df.columns:
+        df = df.withColumn("Month", F.month("Date"))
+    if "DayOfWeek" not in df.columns:
+        df = df.withColumn("DayOfWeek", F.weekday("Date") + 1)
+    is_open = (F.col("Open") == 1) if "Open" in df.columns else F.lit(True)
+    used = F.coalesce(is_open & (F.col("Sales") > 0), F.lit(False))
+    with_cust = "StoreMeanCustomers" in aggs.fallbacks and "Customers" in df.columns
+    rows, x = df.filter(used), F.col("Sales").cast("double")
+    cells = materialize(rows.groupBy("Store", "DayOfWeek", "Promo", "Month").agg(
+        F.sum(x).alias("_s"), F.count(F.lit(1)).alias("_n")), "store-cells")
+
+    def sums(key: str, name: str) -> DataFrame:
+        m = cells.groupBy("Store", key).agg(F.sum("_s").alias("s"), F.sum("_n").alias("n"))
+        return m.groupBy("Store").agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.struct("s", "n")))).alias(name))
+
+    v, n = F.col("_v"), F.size("_v")
+    low, high = ((n + F.lit(d)) / 2 for d in (0, 1))                    # middles of the n - 1 others, from 1
+    stats = [F.sort_array(F.collect_list(x)).alias("_v"), F.sum(x).alias("_sum")]
+    stats += [F.sum("Customers").alias("_cust"), F.count("Customers").alias("_custs")] if with_cust else []
+    stores = rows.groupBy("Store").agg(*stats)
+    # Deviations from the store's mean keep the sum of squares exact enough.
+    mean = F.col("_sum") / n
+    stores = stores.select("Store", n.cast("double").alias("_all"), "_sum", *[c for c in ("_cust", "_custs") if with_cust],
+                           F.aggregate(v, F.lit(0.0), lambda acc, y: acc + (y - mean) * (y - mean)).alias("_dev"),
+                           F.get(v, n - 1).alias("_top"), F.get(v, n - 2).alias("_second"),
+                           *[F.get(v, (m.cast("int") + d)).alias(f"_{name}{d + 1}") for name, m in (("lo", low), ("hi", high)) for d in (-1, 0)])
+    for key, name in (("DayOfWeek", "_dow"), ("Promo", "_promo"), ("Month", "_month")):
+        stores = stores.join(sums(key, name), "Store", "left")
+    fb, others = aggs.fallbacks, F.col("_all") - 1
+    out = df.drop(*[c for c in LEAVE_ONE_OUT_COLUMNS if c in df.columns]).join(stores, "Store", "left")
+
+    def kth(name: str):
+        return F.when(x > F.col(f"_{name}0"), F.col(f"_{name}0")).otherwise(F.col(f"_{name}1"))
+
+    def keyed(name: str, key: str):
+        e = F.try_element_at(F.col(name), F.col(key))
+        return F.try_divide(e["s"] - x, (e["n"] - 1).cast("double"))
+
+    own_dev = x - F.col("_sum") / F.col("_all")
+    cols = {"StoreMeanSales": F.try_divide(F.col("_sum") - x, others),
+            "StoreMedianSales": F.when(others > 0, (kth("lo") + kth("hi")) / 2),
+            # Leaving x out takes dev^2 * n / (n - 1) off the squared deviations.
+            "StoreStdSales": F.when(others == 1, 0.0).when(others > 1, F.sqrt(F.greatest(
+                F.try_divide(F.col("_dev") - F.try_divide(own_dev * own_dev * F.col("_all"), others), others - 1), F.lit(0.0)))),
+            "StoreMaxSales": F.when(x < F.col("_top"), F.col("_top")).otherwise(F.col("_second")),
+            "StoreOpenDays": F.when(others > 0, others)}
+    if with_cust:
+        left = F.col("_cust") - F.coalesce("Customers", F.lit(0))
+        cols["StoreMeanCustomers"] = F.try_divide(left.cast("double"), (F.col("_custs") - F.col("Customers").isNotNull().cast("int")).cast("double"))
+        cols["StoreSalesPerCustomer"] = F.when(others > 0, (F.col("_sum") - x) / F.greatest(left, F.lit(1)))
+    cols |= {"StoreDowMeanSales": keyed("_dow", "DayOfWeek"), "StorePromoMeanSales": keyed("_promo", "Promo"),
+             "StoreMonthMeanSales": keyed("_month", "Month")}
+    keep = [c for c in df.columns if c not in LEAVE_ONE_OUT_COLUMNS]
+    fitted = aggs.transform(df)
+    out = out.filter(used).select(*keep, *[F.coalesce(c, F.lit(float(fb[name] or 0.0))).alias(name) for name, c in cols.items()])
+    mean = F.nullif(F.col("StoreMeanSales"), F.lit(0.0))
+    out = out.withColumns({"DowSalesIndex": F.coalesce(F.col("StoreDowMeanSales") / mean, F.lit(1.0)),
+                           "MonthSalesIndex": F.coalesce(F.col("StoreMonthMeanSales") / mean, F.lit(1.0))})
+    return out.unionByName(fitted.filter(~used).select(*out.columns))
+
+
 def engineer_features(df: DataFrame, calendar: DataFrame | None = None,
                       store_aggregates: StoreAggregates | None = None,
                       epoch: str = DEFAULT_EPOCH) -> tuple[DataFrame, StoreAggregates | None]:  # C08

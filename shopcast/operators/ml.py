@@ -12,18 +12,14 @@ importances: one number per feature) is read on the driver.
 
 from __future__ import annotations
 
-import re
 import time
 
-import numpy as np
-import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIndexer,
                                 VectorAssembler)
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasInputCols, Param, Params, TypeConverters
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +27,7 @@ from pyspark.sql import types as T
 
 from shopcast.functions.stats import row_index, with_scalars
 from shopcast.operators.metrics import evaluate
+from shopcast.operators.trees import tree_interval  # noqa: F401
 from shopcast.sources.schemas import CATEGORICAL_FEATURES
 
 # Fixed value: columns that never become features (target, secondary
@@ -220,45 +217,6 @@ def builtin_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
 
 
-PREDICTED = re.compile(r"Predict: (\S+)")
-
-
-def leaf_values(forest: RandomForestRegressionModel) -> list[np.ndarray]:
-    """Per tree the predictions of its leaves, in the order of leaf indices
-    (left to right, the order in which the tree prints them)."""
-    return [np.array([float(v) for v in PREDICTED.findall(t.toDebugString)]) for t in forest.trees]
-
-
-def tree_interval(model: PipelineModel, df: DataFrame, lower: float = 2.5, upper: float = 97.5) -> DataFrame:     # M13
-    """Per-row spread of the individual trees of a forest (log scale):
-    tree_mean, tree_lower, tree_upper (linear percentiles), tree_std (ddof 0),
-    and the same bounds on the sales scale (expm1; the std is not mapped).
-
-    The forest gives the index of the leaf that a row reaches in each tree in
-    one pass; a vectorised look-up of the leaves' values (bounded by the model)
-    and the order statistics follow in Arrow batches.
-    """
-    forest = model.stages[-1]
-    if not isinstance(forest, RandomForestRegressionModel):
-        raise TypeError(f"tree_interval requires a random forest, got {type(forest).__name__}")
-    x = PipelineModel(stages=model.stages[:-1]).transform(df).select(*df.columns, "features")
-    x = forest.copy().setLeafCol("_leaf").transform(x).select(*df.columns, vector_to_array("_leaf").alias("_leaf"))
-    values = leaf_values(forest)
-
-    @F.pandas_udf("tree_mean double, tree_lower double, tree_upper double, tree_std double")
-    def spread(leaf: pd.Series) -> pd.DataFrame:
-        at = np.stack(leaf.to_numpy()).astype(np.int64) if len(leaf) else np.zeros((0, len(values)), np.int64)
-        per_tree = np.stack([v[at[:, i]] for i, v in enumerate(values)], axis=1)
-        bounds = np.percentile(per_tree, [lower, upper], axis=1) if len(leaf) else np.zeros((2, 0))
-        return pd.DataFrame({"tree_mean": per_tree.mean(axis=1), "tree_lower": bounds[0], "tree_upper": bounds[1],
-                             "tree_std": per_tree.std(axis=1)})
-
-    return (x.withColumn("_spread", spread("_leaf")).select(*df.columns, "_spread.*")
-            .withColumn("PredictedSales", F.expm1("tree_mean"))
-            .withColumn("PredictedSalesLower", F.expm1("tree_lower"))
-            .withColumn("PredictedSalesUpper", F.expm1("tree_upper")))
-
-
 def permutation_importance(model: PipelineModel, df: DataFrame, columns: list[str] | None = None,
                            n_repeats: int = 5, seed: int = 42, max_samples: int | None = None,
                            key: tuple[str, ...] = ("Store", "Date")) -> DataFrame:   # M12
@@ -272,6 +230,19 @@ def permutation_importance(model: PipelineModel, df: DataFrame, columns: list[st
     """
     numeric, categorical = infer_feature_columns(df)
     columns = columns or numeric + categorical
+
+    def replaced(j: DataFrame) -> DataFrame:
+        j = j.withColumn("_col", F.explode(F.array(*[F.lit(c) for c in columns])))
+        return j.withColumns({c: F.when(F.col("_col") == c, F.col(f"_from.{c}")).otherwise(F.col(c)) for c in columns})
+
+    return importances(model, df, columns, replaced, n_repeats, seed, max_samples, key)
+
+
+def importances(model: PipelineModel, df: DataFrame, columns: list[str], replaced, n_repeats: int, seed: int,
+                max_samples: int | None, key: tuple[str, ...]) -> DataFrame:
+    """(feature, importance_mean, importance_std). ``replaced`` gets every row
+    beside the row of the permutation (``_from``) and gives the rows to score,
+    one per row and column (``_col``)."""
     kcols = [F.col(k) for k in key]
     base = with_label(df).withColumn("_h", F.xxhash64(*kcols, F.lit(seed)))
     if max_samples is not None:
@@ -282,9 +253,7 @@ def permutation_importance(model: PipelineModel, df: DataFrame, columns: list[st
     for rep in range(n_repeats):
         order = base.select(*key, F.struct(*columns).alias("_from"), F.xxhash64(*kcols, F.lit(seed + 1 + rep)).alias("_h"))
         j = base.join(row_index(order, ["_h", *key], "_rid").select("_rid", "_from"), "_rid")
-        j = j.withColumn("_col", F.explode(F.array(*[F.lit(c) for c in columns])))
-        j = j.withColumns({c: F.when(F.col("_col") == c, F.col(f"_from.{c}")).otherwise(F.col(c)) for c in columns})
-        scores.append(model.transform(j).groupBy("_col").agg(error.alias("rmse")))
+        scores.append(model.transform(replaced(j)).groupBy("_col").agg(error.alias("rmse")))
     per = scores[0]
     for s in scores[1:]:
         per = per.unionByName(s)

@@ -95,6 +95,14 @@ class ModelRegistry:
         self.spark.createDataFrame(rows, RUNS_SCHEMA).write.mode("append").parquet(self.runs_path)
         return run_id
 
+    def log_steps(self, run_id: str, model_name: str, steps: DataFrame) -> None:       # S14
+        """Metrics of a run's steps from a table: ``step`` and one column per metric."""
+        metrics = [c for c in steps.columns if c != "step"]
+        values = F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("value")) for c in metrics])
+        rows = steps.select(F.lit(run_id).alias("run_id"), F.lit(model_name).alias("model_name"), F.lit("metric").alias("kind"), F.inline(values),
+                            F.col("step").cast("int").alias("step"), F.lit(timestamp_now()).alias("ts"))
+        rows.write.mode("append").parquet(self.runs_path)
+
     def runs(self) -> DataFrame:
         return self._table(self.runs_path, RUNS_SCHEMA)
 
@@ -109,8 +117,3 @@ def compare_models(runs: DataFrame, metric: str = "valid_rmspe") -> DataFrame:
     best = m.agg(F.min_by("run_id", "score").alias("_best"))
     from shopcast.functions.stats import with_scalars
     return with_scalars(m, best).withColumn("is_best", (F.col("run_id") == F.col("_best")).cast("int")).drop("_best")
-
-
-def default_root(spark: SparkSession) -> str:
-    from shopcast.session import checkpoint_dir
-    return os.path.join(checkpoint_dir(spark), "models")

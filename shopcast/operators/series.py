@@ -5,19 +5,21 @@ all series at once, partitioned by the series id. A store series has at
 most one row per calendar day, so each window partition and each grouped
 pandas call is bounded by the calendar span, never by the store count.
 
-Only the Durbin-Levinson recursion (over <= nlags+1 numbers per series) and
-the ADF regression (one store's days) run in pandas, via applyInPandas.
+All of it is column expressions: the ADF regression works on one matrix of
+cross moments per series (plain sums, so map-side combined), which an array
+fold eliminates; the Durbin-Levinson recursion is a fold as well.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopcast.functions.stats import erfc
+from shopcast.session import materialize
+
 WINDOW = 14
 VAL_DAYS = 42
 MIN_EXTRA = 10
@@ -70,46 +72,42 @@ def acf(s: DataFrame, by: list[str] | None = None, order: str = "Date", value: s
     return out if by else out.drop("_series")
 
 
-def _durbin_levinson(rho: np.ndarray) -> np.ndarray:
-    """Partial autocorrelations from autocorrelations rho[0..K]."""
-    k_max = len(rho) - 1
-    out = np.zeros(k_max + 1)
-    out[0] = 1.0
-    if k_max == 0:
-        return out
-    phi = np.zeros((k_max + 1, k_max + 1))
-    phi[1, 1] = rho[1]
-    out[1] = rho[1]
-    for k in range(2, k_max + 1):
-        num = rho[k] - sum(phi[k - 1, j] * rho[k - j] for j in range(1, k))
-        den = 1.0 - sum(phi[k - 1, j] * rho[j] for j in range(1, k))
-        phi[k, k] = num / den if den else np.nan
-        for j in range(1, k):
-            phi[k, j] = phi[k - 1, j] - phi[k, k] * phi[k - 1, k - j]
-        out[k] = phi[k, k]
-    return out
+def durbin_levinson(rho: Column) -> Column:
+    """Partial autocorrelations of lags 0..K from the array of autocorrelations
+    of lags 0..K; NULL from the first lag on that no regression determines."""
+    zero = F.lit(0.0)
+
+    def dot(phi: Column, far: Column) -> Column:
+        return F.aggregate(F.zip_with(phi, far, lambda x, y: x * y), zero, lambda acc, v: acc + v)
+
+    def fold(state: Column, k: Column) -> Column:
+        phi, near = state["phi"], F.slice(rho, F.lit(2), k - 1)            # rho 1..k-1
+        last = F.try_divide(F.get(rho, k) - dot(phi, F.reverse(near)), F.lit(1.0) - dot(phi, near))
+        # An array of one, so that the coefficient is computed once.
+        return F.element_at(F.transform(F.array(last), lambda v: F.struct(
+            F.concat(F.zip_with(phi, F.reverse(phi), lambda x, y: x - v * y), F.array(v)).alias("phi"),
+            F.concat(state["out"], F.array(v)).alias("out"))), 1)
+
+    lags = F.filter(F.sequence(F.lit(0), F.size(rho) - 1), lambda k: k > 0)
+    start = F.struct(F.array().cast("array<double>").alias("phi"), F.array(F.lit(1.0)).alias("out"))
+    return F.aggregate(lags, start, fold, lambda state: state["out"])
 
 
 def pacf(acf_df: DataFrame, by: list[str] | None = None) -> DataFrame:      # K05
     """Yule-Walker partial autocorrelation with n-k denominators, from the
-    acf table (one small pandas call per series: nlags+1 rows)."""
-    by = list(by or [])
-    key = by or ["_series"]
+    acf table (nlags+1 rows per series). A series without autocorrelation has
+    no partial one either (NULL)."""
+    key = list(by or []) or ["_series"]
     df = acf_df if by else acf_df.withColumn("_series", F.lit("all"))
-    ddl = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields if f.name in key]
-                    + ["lag int", "acf double", "pacf double"])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("lag")
-        n = float(pdf["n"].iloc[0])
-        lags = pdf["lag"].to_numpy()
-        rho = pdf["acf"].to_numpy() * n / (n - lags)
-        out = pdf[key + ["lag", "acf"]].copy()
-        out["lag"] = out["lag"].astype("int32")
-        out["pacf"] = None if pdf["acf"].isna().any() else _durbin_levinson(rho.astype(float))
-        return out
-    res = df.groupBy(*key).applyInPandas(run, ddl)
-    return res if by else res.drop("_series")
+    lag = F.col("lag").cast("int")
+    g = df.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(lag.alias("lag"), "acf", "n"))).alias("_rows"))
+    rho = F.transform("_rows", lambda r: r["acf"] * r["n"] / (r["n"] - r["lag"]))
+    found = F.when(F.forall("_rows", lambda r: r["acf"].isNotNull()), durbin_levinson(F.col("_rho")))
+    g = g.withColumn("_rho", rho).withColumn("_pacf", found)
+    rows = F.zip_with("_rows", F.sequence(F.lit(0), F.size("_rows") - 1), lambda r, i: F.struct(
+        r["lag"].alias("lag"), r["acf"].alias("acf"), F.get(F.col("_pacf"), i).alias("pacf")))
+    out = g.select(*key, F.inline(rows))
+    return out if by else out.drop("_series")
 
 
 # MacKinnon (1994) response surface for the ADF p-value with a
@@ -126,99 +124,103 @@ ADF_CRIT = {"crit_1pct": [-3.43035, -6.5393, -16.786, -79.433],
             "crit_10pct": [-2.56677, -1.5384, -2.809, 0.0]}
 
 
-def _norm_cdf(z: float) -> float:
-    return 0.5 * math.erfc(-z / math.sqrt(2.0))
-
-
-def adf_pvalue(stat: float) -> float:
-    if stat > ADF_TAU_MAX:
-        return 1.0
-    if stat < ADF_TAU_MIN:
-        return 0.0
-    coef = ADF_SMALLP if stat <= ADF_TAU_STAR else ADF_LARGEP
-    return _norm_cdf(sum(c * stat ** i for i, c in enumerate(coef)))
-
-
-def _ols(y: np.ndarray, x: np.ndarray):
-    beta, _, _, _ = np.linalg.lstsq(x, y, rcond=None)
-    resid = y - x @ beta
-    return beta, float(resid @ resid)
-
-
-def _lagged_design(x: np.ndarray, lags: int):
-    """Rows t: [x_{t-1}, dx_{t-1}..dx_{t-lags}] and target dx_t."""
-    dx = np.diff(x)
-    nobs = len(dx) - lags
-    cols = [x[-nobs - 1:-1]] + [dx[lags - j:len(dx) - j] for j in range(1, lags + 1)]
-    return dx[-nobs:], np.column_stack(cols), nobs
-
-
-def adf_test(values: np.ndarray) -> dict:
-    """Augmented Dickey-Fuller with a constant, lag order chosen by AIC. A
-    series too short or too regular for the regression (constant, a perfect
-    fit) has no statistic: every result is None."""
-    x = np.asarray(values, dtype=float)
-    if len(x) < 6 or np.ptp(x) == 0:
-        return dict.fromkeys(ADF_NAMES)
-    try:
-        return _adf_test(x)
-    except (np.linalg.LinAlgError, ZeroDivisionError, ValueError):
-        return dict.fromkeys(ADF_NAMES)
-
-
-def _adf_test(x: np.ndarray) -> dict:
-    n = len(x)
-    maxlag = int(math.ceil(12.0 * (n / 100.0) ** 0.25))
-    maxlag = max(min(n // 2 - 2, maxlag), 0)
-    y, lagged, nobs = _lagged_design(x, maxlag)
-    best = None
-    for lags in range(0, maxlag + 1):
-        xm = np.column_stack([np.ones(nobs), lagged[:, :lags + 1]])
-        _, ssr = _ols(y, xm)
-        k = xm.shape[1]
-        aic = -2 * (-nobs / 2.0 * (math.log(2 * math.pi) + math.log(ssr / nobs) + 1)) + 2 * k
-        if best is None or aic < best[0]:
-            best = (aic, lags)
-    used = best[1]
-    y, lagged, nobs = _lagged_design(x, used)
-    xm = np.column_stack([lagged, np.ones(nobs)])
-    beta, ssr = _ols(y, xm)
-    sigma2 = ssr / (nobs - xm.shape[1])
-    cov = sigma2 * np.linalg.inv(xm.T @ xm)
-    if not cov[0, 0] > 0:
-        raise ValueError("no residual variance")
-    stat = float(beta[0] / math.sqrt(cov[0, 0]))
-    p = adf_pvalue(stat)
-    out = {"statistic": stat, "p_value": p, "used_lag": used, "nobs": nobs,
-           "is_stationary": int(p < 0.05)}
-    for name, c in ADF_CRIT.items():
-        out[name] = c[0] + c[1] / nobs + c[2] / nobs ** 2 + c[3] / nobs ** 3
-    return out
-
-
-ADF_FIELDS = "statistic double, p_value double, used_lag int, nobs int, is_stationary int, " \
-             "crit_1pct double, crit_5pct double, crit_10pct double"
-
-
-ADF_NAMES = [f.split()[0] for f in ADF_FIELDS.split(", ")]
+#: Pivots and residuals below this share of their column's square sum count as
+#: none: the regression is not determined.
+ADF_TOLERANCE = 1e-10
+ADF_MIN_ROWS = 6
+
+
+def adf_pvalue(stat: Column) -> Column:
+    """MacKinnon's approximate p-value of the statistic."""
+    def poly(coef: list[float]) -> Column:
+        out = F.lit(coef[-1])
+        for c in reversed(coef[:-1]):
+            out = out * stat + F.lit(c)
+        return out
+    z = F.when(stat <= ADF_TAU_STAR, poly(ADF_SMALLP)).otherwise(poly(ADF_LARGEP))
+    p = F.lit(0.5) * erfc(-z / math.sqrt(2.0))
+    return F.when(stat > ADF_TAU_MAX, 1.0).when(stat < ADF_TAU_MIN, 0.0).when(stat.isNotNull(), p)
+
+
+def adf_lags(n: Column) -> Column:
+    """Most lags that a series of ``n`` values is tried with."""
+    most = F.ceil(F.lit(12.0) * F.pow(n / F.lit(100.0), F.lit(0.25))).cast("int")
+    return F.greatest(F.least((n / 2).cast("int") - 2, most), F.lit(0))
+
+
+def _dot(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+
+
+def _cross_moments(levels: Column, diffs: Column, lags: Column) -> Column:
+    """Flat matrix of cross moments over the sample that ``lags`` leaves, of
+    the columns: 1, the last level, the lagged differences, the target."""
+    rows = F.size(levels) - 1 - lags
+    behind = F.transform(F.filter(F.sequence(F.lit(0), lags), lambda j: j > 0), lambda j: F.slice(diffs, lags + 1 - j, rows))
+    columns = F.concat(F.array(F.array_repeat(F.lit(1.0), rows), F.slice(levels, lags + 1, rows)), behind,
+                       F.array(F.slice(diffs, lags + 1, rows)))
+    # An array of one, so that the columns are computed once.
+    return F.element_at(F.transform(F.array(columns), lambda c: F.flatten(F.transform(c, lambda x: F.transform(c, lambda y: _dot(x, y))))), 1)
+
+
+def _eliminated(moments: Column, pivots: Column, m: Column) -> Column:
+    """Fold of Gaussian elimination over a flat symmetric ``m`` x ``m`` matrix:
+    the matrix at the end, and before each step the last diagonal element
+    (the residual square sum of the columns so far) and the pivot."""
+    def step(s: Column, k: Column) -> Column:
+        a = s["a"]
+        left = F.transform(a, lambda v, i: v - F.try_divide(F.get(a, i - i % m + k) * F.get(a, k * m + i % m), F.get(a, k * m + k)))
+        return F.struct(left.alias("a"), F.concat(s["rest"], F.array(F.get(a, m * m - 1))).alias("rest"),
+                        F.concat(s["pivots"], F.array(F.get(a, k * m + k))).alias("pivots"))
+    none = F.array().cast("array<double>")
+    return F.aggregate(pivots, F.struct(moments.alias("a"), none.alias("rest"), none.alias("pivots")), step)
 
 
 def adf(s: DataFrame, by: list[str] | None = None, order: str = "Date", value: str = "value") -> DataFrame:  # K02
-    """ADF test per series (one pandas call per series)."""
-    by = list(by or [])
-    key = by or ["_series"]
-    df = s if by else s.withColumn("_series", F.lit("all"))
-    ddl = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields if f.name in key]
-                    + [ADF_FIELDS])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        r = adf_test(pdf[value].to_numpy(dtype=float))
-        row = {k: pdf[k].iloc[0] for k in key}
-        row.update(r)
-        return pd.DataFrame([row])
-    res = df.select(*key, order, value).groupBy(*key).applyInPandas(run, ddl)
-    return res if by else res.drop("_series")
+    """Augmented Dickey-Fuller test with a constant per series, the lag order
+    chosen by AIC over a common sample. Series that are too short, constant or
+    too regular for the regression have NULL in every column.
+
+    A series is one row with its ordered values (bounded by the calendar). Its
+    regressions share one matrix of cross moments: the residual square sums of
+    the nested lag orders are what successive elimination leaves of the target.
+    The chosen order's own, longer sample gets a matrix of its own.
+    """
+    key = list(by or []) or ["_series"]
+    df = (s if by else s.withColumn("_series", F.lit("all"))).where(F.col(value).isNotNull())
+    point = F.struct(F.col(order).alias("t"), F.col(value).cast("double").alias("v"))
+    g = df.groupBy(*key).agg(F.sort_array(F.collect_list(point)).alias("_p"), F.min(F.col(value).cast("double")).alias("_lo"),
+                             F.max(F.col(value).cast("double")).alias("_hi"))
+    g = materialize(g.select(*key, "_lo", "_hi", F.transform("_p", lambda p: p["v"] - F.col("_lo")).alias("_x")), "adf-series")
+    last, first = F.slice("_x", F.lit(2), F.size("_x") - 1), F.slice("_x", F.lit(1), F.size("_x") - 1)
+    x = g.where((F.size("_x") >= ADF_MIN_ROWS) & (F.col("_hi") > F.col("_lo"))).select(
+        *key, "_x", F.zip_with(last, first, lambda b, a: b - a).alias("_d"), adf_lags(F.size("_x")).alias("_lags"))
+    m, k = F.col("_m"), F.col("_lags") + 2
+    x = x.withColumn("_m", F.col("_lags") + 3).withColumn("_a", _cross_moments(F.col("_x"), F.col("_d"), F.col("_lags")))
+    x = materialize(x, "adf-moments").withColumn("_e", _eliminated(F.col("_a"), F.sequence(F.lit(0), F.col("_lags") + 1), m))
+    x = x.withColumn("_ssr", F.slice(F.concat("_e.rest", F.array(F.get(F.col("_e.a"), m * m - 1))), F.lit(3), F.col("_lags") + 1))
+    total, rows = F.get(F.col("_e.rest"), F.lit(1)), F.size("_d") - F.col("_lags")
+    sound = F.forall("_ssr", lambda v: v > ADF_TOLERANCE * total) & F.forall(
+        F.sequence(F.lit(0), k - 1), lambda i: F.get(F.col("_e.pivots"), i) > ADF_TOLERANCE * F.get(F.col("_a"), i * m + i))
+    aic = F.transform("_ssr", lambda v, p: rows * (math.log(2 * math.pi) + F.ln(v / rows) + 1.0) + 2 * (p + 2))
+    x = x.where(sound & (total > 0)).select(*key, "_x", "_d", aic.alias("_aic"))
+    x = x.select(*key, "_x", "_d", (F.array_position("_aic", F.array_min("_aic")) - 1).cast("int").alias("_p"))
+    x = x.withColumn("_m", F.col("_p") + 3).withColumn("_a", _cross_moments(F.col("_x"), F.col("_d"), F.col("_p")))
+    x = materialize(x.select(*key, "_p", "_m", "_a", (F.size("_d") - F.col("_p")).alias("_rows")), "adf-orders")
+    others = F.filter(F.sequence(F.lit(0), F.col("_p") + 1), lambda i: i != 1)
+    x = x.withColumn("_e", _eliminated(F.col("_a"), others, m)["a"])
+    x = x.select(*key, "_p", "_rows", F.get(F.col("_e"), m + 1).alias("_xx"), F.get(F.col("_e"), 2 * m - 1).alias("_xy"),
+                 F.get(F.col("_e"), m * m - 1).alias("_yy"), F.get(F.col("_a"), m + 1).alias("_x2"))
+    free, left = F.col("_rows") - F.col("_p") - 2, F.col("_yy") - F.col("_xy") * F.col("_xy") / F.col("_xx")
+    stat = F.when((F.col("_xx") > ADF_TOLERANCE * F.col("_x2")) & (free > 0) & (left > 0),
+                  F.col("_xy") / F.col("_xx") / F.sqrt(left / free / F.col("_xx")))
+    x = x.withColumn("statistic", stat).where("statistic is not null").withColumn("p_value", adf_pvalue(F.col("statistic")))
+    one = F.lit(1.0) / F.col("_rows")
+    crit = [(((F.lit(c[3]) * one + c[2]) * one + c[1]) * one + c[0]).alias(name) for name, c in ADF_CRIT.items()]
+    x = x.select(*key, "statistic", "p_value", F.col("_p").alias("used_lag"), F.col("_rows").cast("int").alias("nobs"),
+                 (F.col("p_value") < 0.05).cast("int").alias("is_stationary"), *crit)
+    out = g.select(*key).join(x, key, "left")
+    return out if by else out.drop("_series")
 
 
 def difference_if_needed(s: DataFrame, adf_result: DataFrame, by: list[str],

@@ -16,8 +16,11 @@ from shopcast.operators import ml
 from shopcast.operators import profile as PR
 from shopcast.operators import sampling as S
 from shopcast.operators import series as K
+from shopcast.operators import stages as ST
 from shopcast.operators.bundle import ForecastBundle
+from shopcast.operators.raw_importance import raw_permutation_importance
 from shopcast.operators.registry import ModelRegistry, compare_models
+from shopcast.operators.trees import staged_metrics
 from shopcast.plans.context import PanelContext
 from shopcast.session import checkpoint_dir
 
@@ -154,13 +157,63 @@ def forecast_stream(ctx: PanelContext) -> DataFrame:                     # M16s
     return ctx.spark.read.parquet(f"{root}/out").drop("batch")
 
 
+def forecast_pieces(ctx: PanelContext) -> DataFrame:                     # M16s, requests in pieces
+    """The rows of every request dealt over several files and micro-batches."""
+    from shopcast.streaming.request_stream import start_request_stream
+    b = bundle(ctx, "rf")
+    root = os.path.join(checkpoint_dir(ctx.spark), f"pieces-{uuid.uuid4().hex[:8]}")
+    req = _requests_from_future(ctx)
+    sizes = req.groupBy("request_id").agg(F.count(F.lit(1)).cast("int").alias("n_rows"))
+    req.join(sizes, "request_id").repartition(6, "Date").write.parquet(f"{root}/in")
+    q = start_request_stream(ctx.spark, f"{root}/in", f"{root}/out", f"{root}/chk", b.store, b.calendar, b.aggs, b.model, b.epoch,
+                             files_per_batch=3)
+    q.awaitTermination()
+    return ctx.spark.read.parquet(f"{root}/out").drop("batch")
+
+
+def raw_importance(ctx: PanelContext) -> DataFrame:                      # M12 on raw columns
+    _, valid, aggs = split_frames(ctx)
+    return raw_permutation_importance(fitted(ctx, "rf")[0], valid, ctx.calendar, aggs, ctx.epoch)
+
+
+def training_curve(ctx: PanelContext) -> DataFrame:                      # S14 with steps
+    """Validation error of the boosted model after each step, as logged."""
+    runs = _registry(ctx).runs().where("model_name = 'gbt' and kind = 'metric' and key = 'valid_rmspe' and step > 0")
+    return runs.select("step", F.col("value").cast("double").alias("valid_rmspe"))
+
+
+def pipeline_features(ctx: PanelContext) -> DataFrame:                   # C01-C07 as pipeline stages
+    """The feature stages, fitted on raw rows, saved, loaded and applied."""
+    fitted_ = _feature_pipeline(ctx, "raw", ST.feature_stages(ctx.inputs.store, ctx.epoch, ctx.test.select("Date", "StateHoliday")))
+    return fitted_.transform(ctx.raw).select("Store", "Date", "IsSalesOutlier", "TimeIndex", "DaysToNextHoliday", "DaysAfterLastHoliday",
+                                             "CompetitionOpenMonths", "Promo2ActiveWeeks", *AGG_COLS)
+
+
+def pipeline_forecast(ctx: PanelContext) -> DataFrame:                   # raw rows to forecasts in one pipeline
+    """Cleaning, features, a linear model and the forecast rules as one
+    pipeline, fitted on raw daily rows, saved, loaded, applied to raw future rows."""
+    from pyspark.ml.regression import LinearRegression
+    stages = ST.feature_stages(ctx.inputs.store, ctx.epoch, ctx.test.select("Date", "StateHoliday"))
+    stages += [ST.SalesRegression(estimator=LinearRegression(regParam=0.01)), ST.ForecastRules()]
+    return _feature_pipeline(ctx, "daily", stages).transform(ctx.inputs.future).select("Id", "Store", "Date", "PredictedSales", "PredictedCustomers")
+
+
+def _feature_pipeline(ctx: PanelContext, name: str, stages: list):
+    from pyspark.ml import Pipeline, PipelineModel
+    path = os.path.join(checkpoint_dir(ctx.spark), f"pipeline-{uuid.uuid4().hex[:8]}")
+    Pipeline(stages=stages).fit(ctx.raw if name == "raw" else ctx.inputs.daily).write().save(path)
+    return PipelineModel.load(path)
+
+
 def _registry(ctx: PanelContext) -> ModelRegistry:
     if "registry" not in ctx.extra:
         reg = ModelRegistry(ctx.spark, os.path.join(checkpoint_dir(ctx.spark), f"models-{uuid.uuid4().hex[:8]}"))
         for kind in ("rf", "gbt"):
             m = {k: v for k, v in fitted(ctx, kind)[2].first().asDict().items() if v is not None and k != "valid_n"}
             bundle(ctx, kind).save(reg, kind, m, PANEL_PARAMS[kind])
-            reg.log_run(kind, PANEL_PARAMS[kind], {**m, "fit_seconds": fitted(ctx, kind)[3]})
+            run = reg.log_run(kind, PANEL_PARAMS[kind], {**m, "fit_seconds": fitted(ctx, kind)[3]})
+            if kind == "gbt":
+                reg.log_steps(run, kind, staged_metrics(fitted(ctx, kind)[0], split_frames(ctx)[1]).drop("valid_n"))
         ctx.extra["registry"] = reg
     return ctx.extra["registry"]
 
@@ -205,5 +258,7 @@ ML_QUERIES = {
     "feature_columns": feature_columns, "leakage_audit": leakage_audit,
     "forecast_batch": forecast_batch, "forecast_gbt": forecast_gbt, "forecast_saved": forecast_saved,
     "store_listing": store_listing, "log_metrics": log_metrics, "forecast_totals": forecast_totals, "forecast_stream": forecast_stream,
+    "forecast_pieces": forecast_pieces, "raw_importance": raw_importance, "training_curve": training_curve,
+    "pipeline_features": pipeline_features, "pipeline_forecast": pipeline_forecast,
     "model_compare": model_compare, "window_forecast": window_forecast,
 }

@@ -4,6 +4,9 @@ DataFrame over the whole derived panel."""
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +20,10 @@ from shopcast.operators import profile as PR
 from shopcast.operators import sampling as S
 from shopcast.operators.joins import merge_store
 from shopcast.plans.context import PanelContext
-from shopcast.sources.readers import parse_trend, state_lookup
+from shopcast.session import checkpoint_dir
+from shopcast.sources.readers import parse_trend, scan_csv, state_lookup
+from shopcast.sources.schemas import DAILY
+from shopcast.sources.sinks import write_clustered
 
 GAP = ["Mean_TemperatureC", "Precipitationmm", "TrendState", "TrendDE"]
 SAMPLE_STORES = 60
@@ -66,6 +72,32 @@ def outlier_report(ctx: PanelContext) -> DataFrame:                      # A11
     return PR.outlier_report(ctx.clean)
 
 
+def csv_rejects(ctx: PanelContext) -> DataFrame:                         # S01 with malformed rows
+    """The daily table as text lines, some of them spoilt by a rule over store
+    and day, read again: what becomes of each line (good rows by their key)."""
+    d = ctx.inputs.daily
+    day = (F.datediff("Date", F.lit(ctx.epoch).cast("date")) + F.col("Store")) % 101
+    cells = {c: F.col(c).cast("string") for c in DAILY.fieldNames()}
+    cells["Date"] = F.when(day == 7, F.lit("31.02.")).otherwise(cells["Date"])
+    cells["Sales"] = F.when(day == 11, F.lit("n/a")).when(day == 13, F.lit("1e99")).otherwise(cells["Sales"])
+    line = F.concat_ws(",", *[cells[c] for c in DAILY.fieldNames()])
+    line = F.when(day == 17, F.concat_ws(",", cells["Store"], cells["Date"])).otherwise(line)
+    path = os.path.join(checkpoint_dir(ctx.spark), f"daily-{uuid.uuid4().hex[:8]}")
+    d.select(line.alias("value")).write.text(path)
+    rows, rejects = scan_csv(ctx.spark, path, DAILY, header=DAILY.fieldNames())
+    good = rows.select(F.lit("good").alias("reason"), "Store", "Date", "Sales", F.lit(None).cast("string").alias("line"))
+    bad = rejects.select("reason", *[F.lit(None).cast(t).alias(c) for c, t in (("Store", "int"), ("Date", "date"), ("Sales", "bigint"))], "line")
+    return good.unionByName(bad)
+
+
+def clustered_outliers(ctx: PanelContext) -> DataFrame:                  # S08 clustered by store, C02 on it
+    """Outlier flags from a table clustered by store: fences and their join
+    need no exchange of the facts."""
+    path = os.path.join(checkpoint_dir(ctx.spark), f"clustered-{uuid.uuid4().hex[:8]}")
+    facts = write_clustered(_trading(ctx).select("Store", "Date", "Sales", "Open"), path)
+    return C.handle_outliers(facts).select("Store", "Date", "Sales", "IsSalesOutlier")
+
+
 def _requests(ctx: PanelContext) -> DataFrame:
     e = ctx.test
     date_txt = F.when(F.col("Open").isNull(), F.lit("not-a-date")).otherwise(F.date_format("Date", "yyyy-MM-dd"))
@@ -208,6 +240,16 @@ def store_aggregates_joined(ctx: PanelContext) -> DataFrame:             # J07/F
     return ctx.clean.select("Store", "Date", *FE.STORE_LOOKUP_COLUMNS, "DowSalesIndex", "MonthSalesIndex")
 
 
+def store_leave_one_out(ctx: PanelContext) -> DataFrame:                 # C07 on the training fold
+    """Store aggregates of every training row without the row itself."""
+    t = S.chrono_split(ctx.clean)
+    train = t.filter(F.col("split") == "train").drop("split")
+    out = FE.leave_one_out(train, FE.fit_store_aggregates(train))
+    # Two ways of summing squares differ in the last digits of a double.
+    cents = F.floor(F.col("StoreStdSales") * 100.0 + 0.5).cast("double") / 100.0
+    return out.withColumn("StoreStdSales", cents).select("Store", "Date", *FE.LEAVE_ONE_OUT_COLUMNS)
+
+
 def _split_naive(ctx: PanelContext):
     t = S.chrono_split(ctx.clean)
     train, valid = t.filter(F.col("split") == "train"), t.filter(F.col("split") == "valid")
@@ -255,6 +297,7 @@ OPERATOR_QUERIES = {
     "competition_features": competition_features, "promo2_active": promo2_active,
     "store_stats": store_stats, "store_dow_mean": store_dow_mean, "store_promo_mean": store_promo_mean,
     "store_month_mean": store_month_mean, "store_aggregates_joined": store_aggregates_joined,
+    "store_leave_one_out": store_leave_one_out, "csv_rejects": csv_rejects, "clustered_outliers": clustered_outliers,
     "metrics_bundle": metrics_bundle, "interval_coverage": interval_coverage,
     "customers_estimate": customers_estimate, "closed_rule": closed_rule,
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from shopcast.plans.oracle import GAP_COLS, with_clean, with_raw, with_t
-from shopcast.plans.oracle_questions import final
+from shopcast.plans.oracle_questions import erfc_sql, final
 
 # Schema of the joined raw frame R (column, Spark simple type name).
 R_SCHEMA = [("Store", "int"), ("DayOfWeek", "int"), ("Date", "date"), ("Sales", "bigint"),
@@ -161,6 +161,39 @@ g AS (SELECT request_id, count(*) AS n, count(*) FILTER (WHERE try_cast(Date AS
     q["store_aggregates_joined"] = final("""
   SELECT Store, Date, StoreDowMeanSales, StorePromoMeanSales, StoreMonthMeanSales, DowSalesIndex, MonthSalesIndex
   FROM T""", ["StoreDowMeanSales", "StorePromoMeanSales", "StoreMonthMeanSales", "DowSalesIndex", "MonthSalesIndex"])
+    others = ", ".join(f"COALESCE({e}, {fb}) AS {n}" for n, e, fb in (
+        ("StoreMeanSales", "avg(b.Sales)", "min(tg.g)"), ("StoreMedianSales", "median(b.Sales)", "min(tg.g)"),
+        ("StoreMaxSales", "CAST(max(b.Sales) AS DOUBLE)", "min(tg.g)"), ("StoreMeanCustomers", "avg(b.Customers)", "min(mc.c)"),
+        ("StoreSalesPerCustomer", "CAST(sum(b.Sales) AS DOUBLE) / GREATEST(sum(b.Customers), 1)", "min(gr1.ratio)"),
+        ("StoreDowMeanSales", "avg(b.Sales) FILTER (b.DayOfWeek = a.DayOfWeek)", "min(tg.g)"),
+        ("StorePromoMeanSales", "avg(b.Sales) FILTER (b.Promo = a.Promo)", "min(tg.g)"),
+        ("StoreMonthMeanSales", "avg(b.Sales) FILTER (b.Month = a.Month)", "min(tg.g)")))
+    q["store_leave_one_out"] = final("""
+  SELECT *, COALESCE(StoreDowMeanSales / NULLIF(StoreMeanSales, 0), 1.0E0) AS DowSalesIndex,
+    COALESCE(StoreMonthMeanSales / NULLIF(StoreMeanSales, 0), 1.0E0) AS MonthSalesIndex FROM loo""",
+                                     STAT_COLS + ["StoreDowMeanSales", "StorePromoMeanSales", "StoreMonthMeanSales", "DowSalesIndex", "MonthSalesIndex"],
+                                     extra=SPLIT + f""",
+gr1 AS (SELECT CAST(sum(Sales) AS DOUBLE) / GREATEST(sum(Customers), 1) AS ratio, stddev_samp(Sales) AS sd FROM tr),
+mc AS (SELECT median(c) AS c, median(n) AS n FROM (SELECT avg(Customers) AS c, CAST(count(*) AS DOUBLE) AS n FROM tr GROUP BY Store)),
+loo AS (
+  SELECT a.Store, a.Date, {others}, COALESCE(CAST(NULLIF(count(b.Date), 0) AS DOUBLE), min(mc.n)) AS StoreOpenDays,
+    floor(CASE WHEN count(b.Date) = 0 THEN min(gr1.sd) ELSE COALESCE(stddev_samp(b.Sales), 0) END * 100.0E0 + 0.5E0) / 100.0E0 AS StoreStdSales
+  FROM tr a LEFT JOIN tr b ON b.Store = a.Store AND b.Date <> a.Date CROSS JOIN tg CROSS JOIN gr1 CROSS JOIN mc
+  GROUP BY a.Store, a.Date, a.DayOfWeek, a.Promo, a.Month)""")
+    q["csv_rejects"] = final("""
+  SELECT CASE r WHEN 7 THEN 'bad date in Date: 31.02.' WHEN 11 THEN 'bad bigint in Sales: n/a' WHEN 13 THEN 'bad bigint in Sales: 1e99'
+      WHEN 17 THEN '2 cells for 9 columns' ELSE 'good' END AS reason,
+    CASE WHEN r NOT IN (7, 11, 13, 17) THEN Store END AS Store, CASE WHEN r NOT IN (7, 11, 13, 17) THEN Date END AS Date,
+    CASE WHEN r NOT IN (7, 11, 13, 17) THEN Sales END AS Sales,
+    CASE r WHEN 17 THEN Store || ',' || Date WHEN 7 THEN Store || ',' || DayOfWeek || ',31.02.,' || Sales || rest
+      WHEN 11 THEN Store || ',' || DayOfWeek || ',' || Date || ',n/a' || rest
+      WHEN 13 THEN Store || ',' || DayOfWeek || ',' || Date || ',1e99' || rest END AS line
+  FROM (SELECT *, ',' || Customers || ',' || Open || ',' || Promo || ',' || StateHoliday || ',' || SchoolHoliday AS rest,
+          (date_diff('day', (SELECT s FROM span), Date) + Store) % 101 AS r FROM daily)""", [], base=with_raw)
+    q["clustered_outliers"] = q["outlier_flag"]
+    derived = ["Promo2ActiveWeeks", *STAT_COLS, "StoreDowMeanSales", "StorePromoMeanSales", "StoreMonthMeanSales", "DowSalesIndex", "MonthSalesIndex"]
+    q["pipeline_features"] = final(f"""
+  SELECT Store, Date, IsSalesOutlier, TimeIndex, DaysToNextHoliday, DaysAfterLastHoliday, CompetitionOpenMonths, {', '.join(derived)} FROM T""", derived)
     q["metrics_bundle"] = final("""
   SELECT sqrt(avg(CASE WHEN y <> 0 THEN pow((y - p) / y, 2) END)) AS rmspe, sqrt(avg(pow(y - p, 2))) AS rmse,
     avg(abs(y - p)) AS mae, avg(CASE WHEN y <> 0 THEN abs(y - p) / abs(y) END) AS mape,
@@ -199,6 +232,96 @@ x AS (SELECT row_number() OVER (ORDER BY Date) - 1 AS t, CAST(value AS DOUBLE) -
         count(*) OVER () AS n FROM ns)"""
 
 
+#: Yule-Walker by the Durbin-Levinson recursion over lists.
+PARTIAL = """, r0 AS (
+  SELECT g.k, sum(a.d * b.d) / min(z.c0) AS acf, min(a.n) AS n
+  FROM x a, (SELECT unnest(range(0, 22)) AS k) g, x b, (SELECT sum(d * d) AS c0 FROM x) z
+  WHERE b.t = a.t + g.k GROUP BY g.k),
+r1 AS (SELECT list(acf * n / (n - k) ORDER BY k) AS rho FROM r0),
+dl AS (
+  WITH RECURSIVE step(k, phi, v) AS (
+    SELECT 0, CAST([] AS DOUBLE[]), 1.0E0
+    UNION ALL
+    SELECT k + 1, list_append(list_transform(range(1, k + 1), lambda i: phi[i] - w * phi[k + 1 - i]), w), w FROM (
+      SELECT k, phi, rho, (rho[k + 2] - COALESCE(list_sum(list_transform(range(1, k + 1), lambda i: phi[i] * rho[k + 2 - i])), 0.0E0))
+        / (1.0E0 - COALESCE(list_sum(list_transform(range(1, k + 1), lambda i: phi[i] * rho[i + 1])), 0.0E0)) AS w
+      FROM step, r1 WHERE k < 21))
+  SELECT k, v FROM step),
+partial AS (SELECT CAST(r0.k AS INTEGER) AS lag, r0.acf, dl.v AS pacf FROM r0 JOIN dl ON dl.k = r0.k)"""
+
+ADF_OUT = "statistic, p_value, used_lag, nobs, is_stationary, crit_1pct, crit_5pct, crit_10pct"
+ADF_DOUBLES = ["statistic", "p_value", "crit_1pct", "crit_5pct", "crit_10pct"]
+
+
+def eliminated(name: str, start: str, m: str, steps: str) -> str:
+    """CTE of Gaussian elimination over a flat list ``a`` of ``m`` x ``m``
+    numbers per id, one row per step ``k``: columns id, k, a, m, steps."""
+    return f""", {name} AS (
+  WITH RECURSIVE e(id, k, a, m, steps) AS (
+    SELECT id, 0, a, {m}, {steps} FROM {start}
+    UNION ALL
+    SELECT id, k + 1, list_transform(range(0, m * m), lambda i: a[i + 1] - a[(i // m) * m + k + 1] * a[k * m + i % m + 1] / NULLIF(a[k * m + k + 1], 0)),
+      m, steps FROM e WHERE k < steps)
+  SELECT * FROM e)"""
+
+
+def moments(name: str, rows: str, order: str) -> str:
+    """CTE of the flat cross moments of long rows (id, pos, c, v), columns ordered by ``order``."""
+    return f""", {name} AS (
+  SELECT id, list(s ORDER BY ci, cj) AS a FROM (
+    SELECT a.id, {order.format(c='a.c')} AS ci, {order.format(c='b.c')} AS cj, sum(a.v * b.v) AS s
+    FROM {rows} a JOIN {rows} b ON b.id = a.id AND b.pos = a.pos GROUP BY ALL) GROUP BY id)"""
+
+
+def adf_ctes(series: str) -> str:
+    """Augmented Dickey-Fuller of the (id, Date, value) rows: long rows of the
+    regression's columns (0 constant, 1 level, 1 + j lagged differences, 1000
+    target), their products by a join, elimination step by step."""
+    z = """SELECT id, pos, 0 AS c, 1.0E0 AS v FROM {0} UNION ALL SELECT id, pos, 1, x1 FROM {0} UNION ALL SELECT id, pos, 1000, d FROM {0}
+    UNION ALL SELECT t.id, t.pos, 1 + t.pos - u.pos, u.d FROM {0} t JOIN adf_d u ON u.id = t.id AND u.pos < t.pos AND u.pos >= t.pos - t.lags AND u.d IS NOT NULL"""
+    stat = "xy / xx / sqrt((yy - xy * xy / xx) / (nobs - lags - 2) / xx)"
+    poly = "CASE WHEN s <= -1.61E0 THEN (0.038269E0 * s + 1.4412E0) * s + 2.1659E0 ELSE ((-0.010368E0 * s - 0.12745E0) * s + 0.93202E0) * s + 1.7339E0 END"
+    crit = ", ".join(f"(({d}E0 * (1.0E0 / nobs) + {c}E0) * (1.0E0 / nobs) + {b}E0) * (1.0E0 / nobs) + {a}E0 AS {n}" for n, (a, b, c, d) in (
+        ("crit_1pct", (-3.43035, -6.5393, -16.786, -79.433)), ("crit_5pct", (-2.86154, -2.8903, -4.234, -40.04)),
+        ("crit_10pct", (-2.56677, -1.5384, -2.809, 0.0))))
+    return (f""", adf_s AS ({series}),
+adf_x AS (
+  SELECT id, CAST(value AS DOUBLE) - min(CAST(value AS DOUBLE)) OVER (PARTITION BY id) AS x, row_number() OVER (PARTITION BY id ORDER BY Date) - 1 AS pos,
+    count(*) OVER (PARTITION BY id) AS n FROM adf_s),
+adf_d AS (
+  SELECT id, pos, n, lag(x) OVER (PARTITION BY id ORDER BY pos) AS x1, x - lag(x) OVER (PARTITION BY id ORDER BY pos) AS d,
+    GREATEST(LEAST(n // 2 - 2, CAST(ceil(12.0E0 * pow(n / 100.0E0, 0.25E0)) AS BIGINT)), 0) AS lags
+  FROM adf_x WHERE n >= 6),
+adf_a AS (SELECT * FROM adf_d WHERE pos > lags),
+adf_z AS MATERIALIZED ({z.format('adf_a')})"""
+            + moments("adf_m", "adf_z", "{c}")
+            + ", adf_m1 AS (SELECT m.id, m.a, l.lags, l.n FROM adf_m m JOIN (SELECT DISTINCT id, lags, n FROM adf_a) l ON l.id = m.id)"
+            + eliminated("adf_e", "adf_m1", "lags + 3", "lags + 2")
+            + f""",
+adf_aic AS (
+  SELECT e.id, e.k - 2 AS p, (n - 1 - lags) * (ln(2 * pi()) + ln(e.a[e.m * e.m] / (n - 1 - lags)) + 1.0E0) + 2 * e.k AS aic
+  FROM adf_e e JOIN adf_m1 m ON m.id = e.id WHERE e.k >= 2),
+adf_p AS (SELECT id, p FROM adf_aic QUALIFY row_number() OVER (PARTITION BY id ORDER BY aic, p) = 1),
+adf_b AS (SELECT d.id, d.pos, d.n, d.x1, d.d, p.p AS lags FROM adf_d d JOIN adf_p p ON p.id = d.id WHERE d.pos > p.p),
+adf_y AS MATERIALIZED ({z.format('adf_b')})"""
+            + moments("adf_n", "adf_y", "CASE WHEN {c} = 1 THEN 999 ELSE {c} END")
+            + ", adf_n1 AS (SELECT m.id, m.a, l.lags, l.n FROM adf_n m JOIN (SELECT DISTINCT id, lags, n FROM adf_b) l ON l.id = m.id)"
+            + eliminated("adf_f", "adf_n1", "lags + 3", "lags + 1")
+            + f""",
+adf_t AS (
+  SELECT f.id, lags, n - 1 - lags AS nobs, f.a[(m - 2) * m + m - 1] AS xx, f.a[(m - 2) * m + m] AS xy, f.a[m * m] AS yy
+  FROM adf_f f JOIN adf_n1 n1 ON n1.id = f.id WHERE f.k = lags + 1),
+adf_u AS (SELECT *, {stat} AS s FROM adf_t WHERE xx > 0 AND yy - xy * xy / xx > 0 AND nobs - lags - 2 > 0),
+adf_v AS (SELECT *, {poly} AS g FROM adf_u),
+adf_w AS (
+  SELECT id, s AS statistic, lags, nobs, {crit}, CASE WHEN s > 2.74E0 THEN 1.0E0 WHEN s < -18.83E0 THEN 0.0E0
+      WHEN g <= 0 THEN 0.5E0 * {erfc_sql('(-g / sqrt(2.0E0))')} ELSE 1.0E0 - 0.5E0 * {erfc_sql('(g / sqrt(2.0E0))')} END AS p_value
+  FROM adf_v),
+tested AS (
+  SELECT id, statistic, p_value, CAST(lags AS INTEGER) AS used_lag, CAST(nobs AS INTEGER) AS nobs,
+    CAST(CASE WHEN p_value < 0.05E0 THEN 1 ELSE 0 END AS INTEGER) AS is_stationary, crit_1pct, crit_5pct, crit_10pct FROM adf_w)""")
+
+
 def series_sql() -> dict[str, str]:
     q = {}
     q["series_national"] = final("SELECT * FROM ns", [], extra=NATIONAL)
@@ -209,6 +332,18 @@ def series_sql() -> dict[str, str]:
   SELECT CAST(g.k AS INTEGER) AS lag, sum(a.d * b.d) / min(z.c0) AS acf, CAST(min(a.n) AS BIGINT) AS n
   FROM x a, (SELECT unnest(range(0, 22)) AS k) g, x b, (SELECT sum(d * d) AS c0 FROM x) z
   WHERE b.t = a.t + g.k GROUP BY g.k""", ["acf"], extra=NATIONAL)
+    q["pacf"] = final("SELECT lag, acf, pacf FROM partial", ["acf", "pacf"], extra=NATIONAL + PARTIAL)
+    national = NATIONAL + adf_ctes("SELECT 1 AS id, Date, value FROM ns")
+    q["adf_national"] = final(f"SELECT {ADF_OUT} FROM tested", ADF_DOUBLES, extra=national)
+    stores = adf_ctes("SELECT Store AS id, Date, Sales AS value FROM T WHERE Sales > 0")
+    q["adf_by_store"] = final(f"SELECT ids.id AS Store, {ADF_OUT} FROM (SELECT DISTINCT id FROM adf_s) ids LEFT JOIN tested ON tested.id = ids.id",
+                              ADF_DOUBLES, extra=stores)
+    q["series_diff_if_needed"] = final("""
+  SELECT Store, Date, CASE WHEN st = 1 THEN v ELSE v - before END AS value_used, 1 - st AS differenced
+  FROM (SELECT s.id AS Store, s.Date, CAST(s.value AS DOUBLE) AS v, COALESCE(t.is_stationary, 1) AS st,
+          lag(CAST(s.value AS DOUBLE)) OVER (PARTITION BY s.id ORDER BY s.Date) AS before
+        FROM adf_s s LEFT JOIN tested t ON t.id = s.id)
+  WHERE st = 1 OR before IS NOT NULL""", ["value_used"], extra=stores)
     q["minmax_scaled"] = final("""
   SELECT Store, Date, split, scaled, (scaled + 1.0E0) / 2.0E0 * rng + lo AS inverse, lo, hi FROM s3""",
                                ["scaled", "inverse"], extra=SCALED)

@@ -5,9 +5,11 @@ the derived fixture panel."""
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopcast.sources import fixture, schemas
 
@@ -17,20 +19,53 @@ TREND_FILE_PATTERN = "^[A-Za-z]+_DE_?"
 TREND_WEEK_SEPARATOR = " - "
 
 
-def read_csv(spark: SparkSession, path: str, schema, date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """CSV scan with a declared schema (no inference pass over the data).
-    Columns are found by their header names; a file without one of them
-    raises ``ValueError``, further ones are ignored."""
-    header = spark.read.option("header", True).csv(path)
-    missing = [f.name for f in schema.fields if f.name not in header.columns]
+def scan_csv(spark: SparkSession, path: str, schema, date_format: str = "yyyy-MM-dd",
+             header: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """CSV scan with a declared schema (no inference pass over the data):
+    (rows, rejects). Columns are found by their header names; a file without one
+    of them raises ``ValueError``, further ones are ignored.
+
+    A line whose number of cells differs from the header's, or with a cell that
+    is no value of its column's type, is no row but a reject (file, line,
+    reason), so one bad cell costs its own line only. Empty cells are NULL.
+    Quoted cells may hold commas, not line ends; lines equal to the header are
+    headers (each file may have one); ``header`` names the columns of files
+    without one.
+    """
+    header = header or spark.read.option("header", True).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in header]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
+    text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    # Cells by place: as many as the header has, and what a longer line has more.
+    cells = F.from_csv(F.col("value"), ", ".join(f"`c{i}` string" for i in range(len(header) + 1)), {"mode": "PERMISSIVE"})
+    # Commas inside quotes are no borders.
+    count = F.size(F.split(F.regexp_replace("value", r'"(?:[^"]|"")*"', ""), ",", -1))
+    first = F.transform(F.split(F.col("value"), ",", -1), lambda c: F.trim(F.regexp_replace(c, '^"|"$', "")))
+    is_header = F.coalesce(first == F.array(*[F.lit(c) for c in header]), F.lit(False))
+    lines = text.where(~is_header & (F.col("value") != "")).select("value", "file", count.alias("_cells"), cells.alias("_c"))
+
+    def cell(f):
+        return F.trim(F.col(f"_c.c{header.index(f.name)}"))
 
     def typed(f):
-        if f.dataType.typeName() == "date":
-            return F.to_date(F.col(f.name), date_format).alias(f.name)
-        return F.col(f.name).cast(f.dataType).alias(f.name)
-    return header.select(*[typed(f) for f in schema.fields])
+        kind = f.dataType.typeName()
+        return F.try_to_date(cell(f), date_format) if kind == "date" else cell(f).try_cast(f.dataType)
+
+    def reason(f):
+        bad = cell(f).isNotNull() & (cell(f) != "") & typed(f).isNull()
+        return F.when(bad, F.concat(F.lit(f"bad {f.dataType.simpleString()} in {f.name}: "), cell(f)))
+
+    size = F.when(F.col("_cells") != len(header), F.concat(F.col("_cells").cast("string"), F.lit(f" cells for {len(header)} columns")))
+    why = F.coalesce(size, *[reason(f) for f in schema.fields])
+    lines = lines.withColumn("_why", why)
+    rows = lines.where("_why is null").select(*[typed(f).alias(f.name) for f in schema.fields])
+    return rows, lines.where("_why is not null").select("file", F.col("value").alias("line"), F.col("_why").alias("reason"))
+
+
+def read_csv(spark: SparkSession, path: str, schema, date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """The rows of ``scan_csv``, without its rejects."""
+    return scan_csv(spark, path, schema, date_format)[0]
 
 
 def load_daily(spark: SparkSession, path: str) -> DataFrame:      # S01
@@ -90,6 +125,7 @@ class RetailInputs:
     weather: DataFrame
     trend_raw: DataFrame
     epoch: str | None = None        # first day of the panel, where known
+    rejects: DataFrame | None = None        # (table, file, line, reason) of lines that are no rows
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, materialized: bool = True) -> "RetailInputs":
@@ -121,16 +157,12 @@ class RetailInputs:
         def p(n):
             return f"{root.rstrip('/')}/{n}"
 
-        weather = spark.read.option("header", True).option("inferSchema", False).csv(p("weather.csv"))
-        for c in schemas.WEATHER_KEEP:
-            if c in weather.columns:
-                weather = weather.withColumn(c, F.col(c).cast("double"))
-        return cls(
-            daily=load_daily(spark, p("train.csv")),
-            future=load_future(spark, p("test.csv")),
-            store=load_store(spark, p("store.csv")),
-            store_states=read_csv(spark, p("store_states.csv"), schemas.STORE_STATES),
-            state_names=read_csv(spark, p("state_names.csv"), schemas.STATE_NAMES),
-            weather=weather,
-            trend_raw=read_csv(spark, p("googletrend.csv"), schemas.TREND_RAW),
-        )
+        header = spark.read.option("header", True).csv(p("weather.csv")).columns
+        weather = T.StructType([T.StructField(c, T.DoubleType() if c in schemas.WEATHER_KEEP else T.DateType() if c == "Date" else T.StringType())
+                                for c in header])
+        files = {"daily": ("train.csv", schemas.DAILY), "future": ("test.csv", schemas.FUTURE), "store": ("store.csv", schemas.STORE),
+                 "store_states": ("store_states.csv", schemas.STORE_STATES), "state_names": ("state_names.csv", schemas.STATE_NAMES),
+                 "weather": ("weather.csv", weather), "trend_raw": ("googletrend.csv", schemas.TREND_RAW)}
+        scans = {name: scan_csv(spark, p(file), schema) for name, (file, schema) in files.items()}
+        rejects = [bad.select(F.lit(name).alias("table"), "*") for name, (_, bad) in scans.items()]
+        return cls(**{name: rows for name, (rows, _) in scans.items()}, rejects=reduce(DataFrame.unionByName, rejects))

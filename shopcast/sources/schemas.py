@@ -77,6 +77,9 @@ REQUEST = T.StructType([
     T.StructField("Open", T.IntegerType()),
 ])
 
+# Request rows of a stream: ``n_rows`` announces how many rows the request has.
+REQUEST_PART = T.StructType([*REQUEST.fields, T.StructField("n_rows", T.IntegerType())])
+
 # Columns that must never be model inputs (target, secondary target, keys).
 LEAKAGE_COLS = ["Customers", "Sales", "Date", "Id"]
 

@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import plain_series
 import pytest
 import pandas as pd
 from pyspark.sql import functions as F
@@ -149,17 +150,40 @@ def test_mann_whitney_against_brute_force(spark):
     assert abs(r.p_value - min(math.erfc(z / math.sqrt(2)), 1.0)) < 1e-6
 
 
-def test_adf_pvalue_published_point():
+def test_adf_pvalue_published_point(spark):
     # the published national-series statistic -4.76 has p ~ 6.4e-5
-    assert abs(K.adf_pvalue(-4.76) - 6.4e-5) < 0.2e-5
+    stats_ = [-4.76, -30.0, 3.0, -1.61, -1.0, 0.5, -2.9]
+    got = spark.createDataFrame([(x,) for x in stats_], "x double").select("x", K.adf_pvalue(F.col("x")).alias("p")).collect()
+    assert abs(got[0].p - 6.4e-5) < 0.2e-5
+    assert all(abs(r.p - plain_series.pvalue(r.x)) < 1e-12 for r in got)
 
 
-def test_adf_detects_stationarity():
+def test_adf_and_pacf_equal_plain_versions(spark):
     rng = np.random.default_rng(0)
-    noise = rng.normal(size=400)
-    walk = np.cumsum(rng.normal(size=400))
-    assert K.adf_test(noise)["is_stationary"] == 1
-    assert K.adf_test(walk)["is_stationary"] == 0
+    series = {"noise": rng.normal(size=400), "walk": np.cumsum(rng.normal(size=400)) + 1e4, "short": rng.normal(size=9),
+              "sales": np.round(np.abs(rng.normal(5e4, 2e4, 730)) + 2e4 * np.sin(np.arange(730) / 7 * 2 * np.pi)), "six": rng.normal(size=6)}
+    rows = [(k, i, float(v)) for k, x in series.items() for i, v in enumerate(x)]
+    s = spark.createDataFrame(rows, "id string, t int, value double").repartition(5)
+    got = {r.id: r for r in K.adf(s, ["id"], order="t").collect()}
+    for k, x in series.items():
+        stat, p, lags, nobs = plain_series.adf(x)
+        assert got[k].statistic == pytest.approx(stat, rel=1e-7) and got[k].p_value == pytest.approx(p, rel=1e-6, abs=1e-12)
+        assert (got[k].used_lag, got[k].nobs, got[k].is_stationary) == (lags, nobs, int(p < 0.05))
+    assert got["noise"].is_stationary == 1 and got["walk"].is_stationary == 0
+    one = K.adf(s.where("id = 'sales'").drop("id"), order="t").first()
+    assert one.statistic == got["sales"].statistic and "_series" not in one.asDict()
+    acf = K.acf(s, ["id"], order="t", nlags=12)
+    parts = {(r.id, r.lag): r.pacf for r in K.pacf(acf, ["id"]).collect()}
+    for k in ("noise", "walk", "sales"):
+        rho = [r.acf * r.n / (r.n - r.lag) for r in sorted(acf.where(F.col("id") == k).collect(), key=lambda r: r.lag)]
+        assert [parts[(k, i)] for i in range(13)] == pytest.approx(plain_series.durbin_levinson(rho), abs=1e-9)
+
+
+def test_series_run_without_python_workers(spark):
+    s = spark.createDataFrame([("a", i, float(i * i % 17)) for i in range(60)], "id string, t int, value double")
+    for df in (K.adf(s, ["id"], order="t"), K.pacf(K.acf(s, ["id"], order="t"), ["id"])):
+        plan = df._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
 def test_q05_log_shares_from_printed_means():
