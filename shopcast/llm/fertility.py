@@ -1,10 +1,11 @@
 """Quality rules by tokeniser fertility (operator 5).
 
-Method: a public vocabulary splits every word into pieces (a word's pieces are
-remembered by the task, bounded memory). Per text that gives characters per
-token, the share of byte-fallback tokens and the entropy of the token
-distribution (bits, over the most that so many tokens can have). A text is
-rejected if a measure leaves the band of its language, or else of its script.
+Method: two public vocabularies (pieces with byte fallback, byte-level BPE)
+split every word into tokens (a word's tokens are remembered by the task,
+bounded memory). Per text and vocabulary that gives characters per token, the
+share of byte-fallback tokens and the entropy of the token distribution. A text
+is rejected if a measure leaves the band of its language, or else of its
+script; the least entropy in bits grows with the text's length.
 
 Beside them stand base counts of the text itself: characters in words,
 symbols, lines equal to an earlier line, words in repeated three-word windows.
@@ -17,6 +18,7 @@ the band of the script. Texts are never cut.
 
 from __future__ import annotations
 
+import base64
 import math
 from collections.abc import Mapping
 from functools import lru_cache
@@ -40,27 +42,47 @@ KNOWN_WORDS = 400_000
 
 class Band(NamedTuple):
     """Accepted range of characters per token, most byte-fallback tokens per
-    token, least entropy (share of the most possible)."""
+    token, least entropy (share of the most possible) under the first
+    vocabulary; least characters per token and how far below ``LEAST_BITS`` the
+    entropy may lie (None: no matter) under the second."""
     least_chars: float
     most_chars: float
     most_bytes: float
     least_entropy: float
+    least_chars_2: float = 0.0
+    bits_below: float | None = None
+
+
+class Measures(NamedTuple):
+    """Of a text under both vocabularies; bits: entropy under the second."""
+    words: int
+    chars: float
+    byte_share: float
+    entropy: float
+    chars_2: float
+    bits: float
 
 
 #: Bands per language, else per script; "other" is for scripts not named. The
-#: lower ends lie below 99.9 % of clean texts of 50 words and more.
+#: lower ends of characters lie below 99.9 % of clean labelled texts of 50 words
+#: and more.
 BANDS: dict[str, Band] = {
-    "en": Band(1.93, 8.0, 0.02, 0.42),
-    "de": Band(2.00, 8.0, 0.02, 0.42),
-    "es": Band(1.79, 8.0, 0.02, 0.42),
-    "fr": Band(1.70, 8.0, 0.02, 0.42),
-    "latin": Band(1.65, 8.0, 0.05, 0.40),
+    "en": Band(1.93, 8.0, 0.02, 0.42, 1.95, 0.0),
+    "de": Band(2.00, 8.0, 0.02, 0.42, 2.05, 0.0),
+    "es": Band(1.79, 8.0, 0.02, 0.42, 1.95, 0.0),
+    "fr": Band(1.70, 8.0, 0.02, 0.42, 1.75, 0.0),
+    "latin": Band(1.65, 8.0, 0.05, 0.40, 1.60, 0.25),
     "cyrillic": Band(1.2, 8.0, 0.05, 0.40),
     "greek": Band(0.8, 8.0, 0.05, 0.40),
     "han": Band(0.3, 4.0, 0.50, 0.40),
     "other": Band(0.2, 8.0, 0.80, 0.30),
 }
 
+#: Least entropy in bits of the second vocabulary's tokens, by number of words
+#: (from): between clean labelled texts, all languages together, and texts that
+#: symbols or bars fill.
+LEAST_BITS = ((0, 0.0), (50, 5.25), (70, 5.40), (100, 5.53), (140, 5.65), (200, 5.78), (300, 5.91), (500, 6.0), (1000, 6.08))
+
 #: First code point of each script's main blocks, and the script's name.
 SCRIPT_STARTS = ((0x0041, "latin"), (0x0250, "other"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "other"),
                  (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, "other"), (0x3040, "han"), (0xA000, "other"),
@@ -108,14 +130,30 @@ def base_counts(text: str, words: np.ndarray) -> tuple[int, int, int, int]:
     return chars, symbols, dup, int(hit.sum())
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in (x.split() for x in f if x.strip())}
+
+
 class Pieces:
-    """Numbers of words, and their pieces under a vocabulary with byte
-    fallback; forgets all words when ``KNOWN_WORDS`` are exceeded."""
+    """Numbers of words, and their tokens under a vocabulary: pieces with byte
+    fallback (.model), or byte-level BPE over whole words (.tiktoken), whose
+    byte-fallback tokens are single bytes beyond ASCII. Forgets all words when
+    ``KNOWN_WORDS`` are exceeded."""
 
     def __init__(self, path: str):
-        import sentencepiece
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.is_byte = np.array([self.model.IsByte(i) for i in range(self.model.GetPieceSize())])
+        if path.endswith(".tiktoken"):
+            import tiktoken
+            ranks = read_ranks(path)
+            self.encode = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary_batch
+            self.is_byte = np.zeros(max(ranks.values()) + 1, bool)
+            self.is_byte[[i for b, i in ranks.items() if len(b) == 1 and b[0] > 127]] = True
+            self.options = {"num_threads": 1}
+        else:
+            import sentencepiece
+            model = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.encode, self.options = model.encode, {"num_threads": 1}
+            self.is_byte = np.array([model.IsByte(i) for i in range(model.GetPieceSize())])
         self.forget()
 
     def forget(self) -> None:
@@ -127,7 +165,7 @@ class Pieces:
             self.forget()
         new = [w for w in words if w not in self.known]
         if new:
-            ids = self.model.encode([w.decode() for w in new], num_threads=1)
+            ids = self.encode([w.decode() for w in new], **self.options)
             n = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
             flat = np.fromiter(chain.from_iterable(ids), np.int32, int(n[-1]))
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
@@ -137,18 +175,18 @@ class Pieces:
     def numbers(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
-    def measures(self, words: np.ndarray, chars: int) -> tuple[int, float, float, float]:
-        """(tokens, characters per token, byte share, entropy share)."""
+    def measures(self, words: np.ndarray, chars: int) -> tuple[int, float, float, float, float]:
+        """(tokens, characters per token, byte share, entropy share, entropy in bits)."""
         at, size = self.start[words], self.start[words + 1] - self.start[words]
         n = int(size.sum())
         if n == 0:
-            return 0, 0.0, 0.0, 0.0
+            return 0, 0.0, 0.0, 0.0, 0.0
         ids = self.pieces[np.repeat(at - np.cumsum(size) + size, size) + np.arange(n)]
         order = np.sort(ids)
         counts = np.diff(np.flatnonzero(np.r_[True, order[1:] != order[:-1], True]))
         entropy = math.log2(n) - float((counts * np.log2(counts)).sum()) / n
         most = math.log2(min(n, len(self.is_byte)))
-        return n, chars / n, float(self.is_byte[ids].mean()), entropy / most if most else 0.0
+        return n, chars / n, float(self.is_byte[ids].mean()), entropy / most if most else 0.0, entropy
 
 
 @lru_cache(maxsize=4)
@@ -156,21 +194,34 @@ def load(path: str) -> Pieces:
     return Pieces(path)
 
 
-def in_band(band: Band, chars: float, byte_share: float, entropy: float) -> bool:
-    return band.least_chars <= chars <= band.most_chars and byte_share <= band.most_bytes \
-        and entropy >= band.least_entropy
+def least_bits(words: int) -> float:
+    return max(bits for n, bits in LEAST_BITS if words >= n)
+
+
+def in_band(band: Band, m: Measures) -> bool:
+    return band.least_chars <= m.chars <= band.most_chars and m.byte_share <= band.most_bytes and m.entropy >= band.least_entropy \
+        and m.chars_2 >= band.least_chars_2 and (band.bits_below is None or m.bits >= least_bits(m.words) - band.bits_below)
+
+
+#: The two vocabularies: pieces with byte fallback, byte-level BPE.
+VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken")
+
+
+def tokenizers(paths: tuple[str, str] | None):
+    """Both vocabularies, and what to call when the task ends."""
+    both = [load(p) for p in paths or map(vocabulary, VOCABULARIES)]
+    return both, lambda: [p.forget() for p in both]
 
 
-def judge(docs: DataFrame, bands: Mapping[str, Band] = BANDS, vocab: str = "piece_bpe_32k.model",
-          path: str | None = None, min_words: int = MIN_WORDS, id_col: str = "doc_id",
-          text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def judge(docs: DataFrame, bands: Mapping[str, Band] = BANDS, paths: tuple[str, str] | None = None, min_words: int = MIN_WORDS,
+          id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per document: base counts, measures, verdict ``kept``."""
     lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.struct(F.col(id_col).cast("long").alias("id"), lang.alias("lang")).alias("key"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def make():
-        pieces = load(path or vocabulary(vocab))
+        pieces, forget = tokenizers(paths)
 
         def one(keys, texts):
             out = {n: [] for n in NAMES}
@@ -178,45 +229,48 @@ def judge(docs: DataFrame, bands: Mapping[str, Band] = BANDS, vocab: str = "piec
                 for name, v in zip(NAMES, (key["id"], *row)):
                     out[name].append(v)
             return out
-        return one, pieces.forget
+        return one, forget
     return map_texts(rows, make, SCHEMA)
 
 
-def accepted(docs: DataFrame, bands: Mapping[str, Band] = BANDS, vocab: str = "piece_bpe_32k.model",
-             path: str | None = None, min_words: int = MIN_WORDS, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def accepted(docs: DataFrame, bands: Mapping[str, Band] = BANDS, paths: tuple[str, str] | None = None, min_words: int = MIN_WORDS,
+             text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, all columns."""
     def make():
-        pieces = load(path or vocabulary(vocab))
+        pieces, forget = tokenizers(paths)
 
         def one(batch):
             texts = [t or "" for t in batch.column(text_col).cast("string").to_pylist()]
             named = lang_col in batch.schema.names
             langs = batch.column(lang_col).cast("string").to_pylist() if named else [None] * len(texts)
             return batch.filter(pa.array([v[KEPT] for v in verdicts(pieces, texts, langs, bands, min_words)], pa.bool_()))
-        return one, pieces.forget
+        return one, forget
     return map_rows(docs, make)
 
 
-def verdicts(pieces: Pieces, texts: list[str], langs: list[str | None], bands: Mapping[str, Band], min_words: int) -> list[tuple]:
+def verdicts(pieces: list[Pieces], texts: list[str], langs: list[str | None], bands: Mapping[str, Band], min_words: int) -> list[tuple]:
     """The columns of ``judge`` beside the id, for each text."""
     split = [t.encode().split() for t in texts]
-    pieces.learn(set().union(*split) if split else set())
+    for p in pieces:
+        p.learn(set().union(*split) if split else set())
     out = []
     for lang, text, words in zip(langs, texts, split):
-        n, words = len(words), pieces.numbers(words)
-        chars, symbols, dup, repeat = base_counts(text, words)
-        tokens, per, share, entropy = pieces.measures(words, chars)
+        n = len(words)
+        first, second = (p.numbers(words) for p in pieces)
+        chars, symbols, dup, repeat = base_counts(text, first)
+        tokens, per, share, entropy, _ = pieces[0].measures(first, chars)
+        _, per_2, _, _, bits = pieces[1].measures(second, chars)
         failed = n < min_words or 100 * repeat > 50 * n
         band = bands.get(lang) if lang else None
         kind = script(text) if band is None else lang
         band = band or bands.get(kind) or bands["other"]
-        out.append((n, chars, symbols, dup, repeat, failed, not failed and in_band(band, per, share, entropy),
-                    tokens, per, share, entropy, kind))
+        kept = not failed and in_band(band, Measures(n, per, share, entropy, per_2, bits))
+        out.append((n, chars, symbols, dup, repeat, failed, kept, tokens, per, share, entropy, per_2, bits, kind))
     return out
 
 
 SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
           "base_failed boolean, kept boolean, n_tokens long, chars_per_token double, byte_share double, "
-          "entropy_share double, band string")
+          "entropy_share double, chars_per_token_2 double, entropy_bits_2 double, band string")
 NAMES = [f.split()[0] for f in SCHEMA.split(", ")]
 KEPT = NAMES.index("kept") - 1

@@ -21,9 +21,9 @@ Method, over whole texts as UTF-8 bytes:
 
 Defined results: a null text is empty; texts shorter than ``length`` lose
 nothing; "earlier" is a smaller (doc_id, start), null ids before all others;
-of rows with one doc_id, different texts count as documents in the order of
-their texts and equal rows as the same document (both keep what only they
-share); an empty table gives an empty result; other columns are ignored by
+of rows with one doc_id (or none), as many as there are, different texts count
+as documents in the order of a 64-bit hash of their texts and equal rows as the
+same document (both keep what only they share); an empty table gives an empty result; other columns are ignored by
 ``find_repeats`` and kept by ``remove_repeats``, which drops the bytes of cut
 characters.
 """
@@ -37,7 +37,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopcast.llm.common import free_names, shared
@@ -87,13 +87,13 @@ def _contexts(b: bytes, length: int, base: int):
     return h[anchor[start]], start + base, end + base
 
 
-def pack(order: int, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Order among texts of one id (15 bits), start (32), size (16)."""
-    return (np.int64(order) << 48) | (start << 16) | size
+def pack(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Start (47 bits) and size (16)."""
+    return (start << 16) | size
 
 
 def start_of(at):
-    return (at >> 16) & 0xFFFFFFFF
+    return at >> 16
 
 
 def merge_intervals(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,30 +107,29 @@ def merge_intervals(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def scan_texts(length: int):
-    """Rows (gram, ctx, doc, at) of the contexts that occur in a batch; a
+    """Rows (gram, ctx, doc, ord, at) of the contexts that occur in a batch; a
     covered interval has size 0 in ``at`` and its end in ``ctx``."""
     def flush(rows: list) -> pa.RecordBatch:
-        gram, ctx, doc, at = (np.concatenate(p) for p in zip(*rows))
-        order = np.lexsort((at, doc, ctx))
+        gram, ctx, doc, nth, at = (np.concatenate(p) for p in zip(*rows))
+        order = np.lexsort((at, nth, doc, ctx))
         same = np.concatenate([[False], ctx[order[1:]] == ctx[order[:-1]]])
         first = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
-        moved = (doc[order] != doc[order[first]]) | (at[order] != at[order[first]])
+        moved = (doc[order] != doc[order[first]]) | (nth[order] != nth[order[first]]) | (at[order] != at[order[first]])
         gone = order[same & moved]
         keep = np.ones(len(order), bool)
         keep[order[same]] = False
-        cols = [gram[keep], ctx[keep], doc[keep], at[keep]]
+        cols = [gram[keep], ctx[keep], doc[keep], nth[keep], at[keep]]
         if len(gone):
             # One number per text of the batch, so that intervals of a text merge in one go.
-            start, end, whose = start_of(at[gone]), start_of(at[gone]) + (at[gone] & 0xFFFF), doc[gone]
-            texts, which = np.unique(np.stack([whose, at[gone] >> 48]), axis=1, return_inverse=True)
+            start, end = start_of(at[gone]), start_of(at[gone]) + (at[gone] & 0xFFFF)
+            texts, which = np.unique(np.stack([doc[gone], nth[gone]]), axis=1, return_inverse=True)
             base = which.ravel().astype(np.int64) << 33
             a, e = merge_intervals(base + start, base + end)
             t = a >> 33
-            extra = [U(0x9E3779B97F4A7C15) * a.astype(U), (e - (t << 33)).astype(U), texts[0][t],
-                     pack(0, a - (t << 33), 0) | (texts[1][t] << 48)]
+            extra = [U(0x9E3779B97F4A7C15) * a.astype(U), (e - (t << 33)).astype(U), texts[0][t], texts[1][t], pack(a - (t << 33), 0)]
             cols = [np.concatenate(p) for p in zip(cols, extra)]
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c).view(np.int64)) for c in cols],
-                                          ["gram", "ctx", "doc", "at"])
+                                          ["gram", "ctx", "doc", "ord", "at"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
@@ -142,7 +141,8 @@ def scan_texts(length: int):
                     continue
                 gram, start, end = contexts(b, length)
                 ctx = np.array([digest(b[s:e]) for s, e in zip(start.tolist(), end.tolist())], U)
-                rows.append((gram, ctx, np.full(len(gram), doc.as_py(), np.int64), pack(order.as_py(), start, end - start)))
+                rows.append((gram, ctx, np.full(len(gram), doc.as_py(), np.int64), np.full(len(gram), order.as_py(), np.int64),
+                             pack(start, end - start)))
                 held += len(b)
                 if held >= SCAN_BYTES:
                     yield flush(rows)
@@ -153,21 +153,21 @@ def scan_texts(length: int):
 
 
 def sort_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (gram, ctx, doc, at): covered intervals (gram null),
-    and one request per different context of a gram that has several."""
-    held = [np.zeros(0, np.int64)] * 4
+    """Of rows sorted by (gram, ctx, doc, ord, at): covered intervals (gram
+    null), and one request per different context of a gram that has several."""
+    held = [np.zeros(0, np.int64)] * 5
     several = False          # the carried gram has more contexts than the carried one
     for batch in batches:
-        cols = [np.asarray(batch.column(c)) for c in ("gram", "ctx", "doc", "at")]
+        cols = [np.asarray(batch.column(c)) for c in ("gram", "ctx", "doc", "ord", "at")]
         if not len(cols[0]):
             continue
         carried = len(held[0])
-        gram, ctx, doc, at = (np.concatenate(p) for p in zip(held, cols))
+        gram, ctx, doc, nth, at = (np.concatenate(p) for p in zip(held, cols))
         ready = (at & 0xFFFF) == 0
         new_gram = np.concatenate([[True], gram[1:] != gram[:-1]])
         new_ctx = new_gram | np.concatenate([[True], ctx[1:] != ctx[:-1]]) | ready
         first = np.maximum.accumulate(np.where(new_ctx, np.arange(len(gram)), 0))
-        cover = ~new_ctx & ((doc != doc[first]) | (at != at[first]))
+        cover = ~new_ctx & ((doc != doc[first]) | (nth != nth[first]) | (at != at[first]))
         group = np.cumsum(new_gram) - 1
         kinds = np.bincount(group, weights=new_ctx & ~ready)
         if several:
@@ -182,9 +182,9 @@ def sort_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.where(ready, ctx, start + (at & 0xFFFF))
         out = np.flatnonzero(cover | ready | ask)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(doc[out]), pa.array(at[out]), pa.array(end[out]), pa.array(gram[out], mask=~ask[out])],
-            ["doc", "at", "end", "gram"])
-        held = [c[tail[-1:]] for c in (gram, ctx, doc, at)]
+            [pa.array(doc[out]), pa.array(nth[out]), pa.array(at[out]), pa.array(end[out]), pa.array(gram[out], mask=~ask[out])],
+            ["doc", "ord", "at", "end", "gram"])
+        held = [c[tail[-1:]] for c in (gram, ctx, doc, nth, at)]
         several = bool(several_next) if len(tail) else False
 
 
@@ -192,10 +192,10 @@ def take_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Bytes of the requested contexts of each text."""
     for p in batches:
         rows = []
-        for doc, text, asked in zip(p["doc"], p["text"], p["asked"]):
+        for doc, nth, text, asked in zip(p["doc"], p["ord"], p["text"], p["asked"]):
             b = text.encode()
-            rows += [(r["gram"], doc, r["at"], b[start_of(r["at"]):start_of(r["at"]) + (r["at"] & 0xFFFF)]) for r in asked]
-        yield pd.DataFrame(rows, columns=["gram", "doc", "at", "bytes"])
+            rows += [(r["gram"], doc, nth, r["at"], b[start_of(r["at"]):start_of(r["at"]) + (r["at"] & 0xFFFF)]) for r in asked]
+        yield pd.DataFrame(rows, columns=["gram", "doc", "ord", "at", "bytes"])
 
 
 class Suffixes:
@@ -308,8 +308,8 @@ def sort_blocks(length: int, block_bytes: int):
     """Over contexts sorted by gram: covered intervals, and of grams that fill
     several blocks the different windows of a block (``key`` not null)."""
     def block(rows: list, spanning: set) -> pd.DataFrame:
-        rows = sorted(rows, key=lambda r: (r[1], r[2]))
-        s, at, equal = repeats_in([r[3] for r in rows], length)
+        rows = sorted(rows, key=lambda r: r[1:4])
+        s, at, equal = repeats_in([r[4] for r in rows], length)
         run = np.cumsum(~equal) - 1
         least = np.minimum.reduceat(at, np.flatnonzero(~equal)) if len(at) else at
         gone = np.sort(at[at != least[run]])
@@ -319,25 +319,25 @@ def sort_blocks(length: int, block_bytes: int):
         stop = np.append(begin[1:], len(gone)) - 1 if len(begin) else begin
         out = []
         for i, j in zip(begin, stop):
-            _, doc, place, _ = rows[which[i]]
+            _, doc, nth, place, _ = rows[which[i]]
             a = start_of(place) + int(gone[i] - s.start[which[i]])
-            out.append((doc, (place >> 48 << 48) | (a << 16), a + int(gone[j] - gone[i]) + length, None, None))
+            out.append((doc, nth, a << 16, a + int(gone[j] - gone[i]) + length, None, None))
         if spanning:
             which = np.searchsorted(s.start, least, "right") - 1
             for p, w in zip(least.tolist(), which.tolist()):
-                gram, doc, place, text = rows[w]
+                gram, doc, nth, place, text = rows[w]
                 if gram in spanning:
                     o = p - int(s.start[w])
                     a = start_of(place) + o
                     key = xxhash.xxh3_64_intdigest(text[o:o + length])
-                    out.append((doc, (place >> 48 << 48) | (a << 16), a + length, key - (1 << 63), gram))
-        return pd.DataFrame(out, columns=["doc", "at", "end", "key", "gram"]).astype(
-            {"doc": "int64", "at": "int64", "end": "int64", "key": "Int64", "gram": "Int64"})
+                    out.append((doc, nth, a << 16, a + length, key - (1 << 63), gram))
+        return pd.DataFrame(out, columns=["doc", "ord", "at", "end", "key", "gram"]).astype(
+            {"doc": "int64", "ord": "int64", "at": "int64", "end": "int64", "key": "Int64", "gram": "Int64"})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows, held, spanning = [], 0, set()
         for p in batches:
-            for r in zip(p["gram"].tolist(), p["doc"].tolist(), p["at"].tolist(), p["bytes"]):
+            for r in zip(p["gram"].tolist(), p["doc"].tolist(), p["ord"].tolist(), p["at"].tolist(), p["bytes"]):
                 same = bool(rows) and r[0] == rows[-1][0]
                 if held > (2 if same else 1) * block_bytes:
                     if same:
@@ -345,7 +345,7 @@ def sort_blocks(length: int, block_bytes: int):
                     yield block(rows, spanning)
                     rows, held, spanning = [], 0, spanning & {r[0]}
                 rows.append(r)
-                held += len(r[3])
+                held += len(r[4])
         if rows:
             yield block(rows, spanning)
     return run
@@ -353,40 +353,29 @@ def sort_blocks(length: int, block_bytes: int):
 
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, ord, text): ord tells apart different texts of one id."""
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    again = shared(rows.groupBy("doc").count().where("count > 1").select("doc"), "suffix-again")
-    plain = rows.select("doc", F.lit(0).alias("ord"), "text")
-    if not again.limit(1).count():
-        return plain
-    rank = F.dense_rank().over(Window.partitionBy("doc").orderBy("text")) - 1
-    twice = rows.join(again, "doc", "left_semi").withColumn("ord", F.when(rank < 1 << 15, rank).otherwise(
-        F.raise_error(F.lit("more than 32,768 different texts share an id"))).cast("int"))
-    return plain.join(again, "doc", "left_anti").unionByName(twice.select("doc", "ord", "text"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(text).alias("ord"), text.alias("text"))
 
 
 def covered(rows: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc, ord, cuts): intervals of bytes to remove, per text."""
     if not 16 <= length <= 16_384:
         raise ValueError("length must lie between 16 and 16,384 bytes")
-    seeds = rows.mapInArrow(scan_texts(length), "gram long, ctx long, doc long, at long")
-    seeds = seeds.repartition("gram").sortWithinPartitions("gram", "ctx", "doc", "at")
-    seeds = shared(seeds.mapInArrow(sort_seeds, "doc long, at long, end long, gram long"), "suffix-seeds")
-    order = F.shiftrightunsigned("at", 48).cast("int")
-    asked = seeds.where("gram is not null").groupBy("doc", order.alias("ord")).agg(
-        F.collect_list(F.struct("gram", "at")).alias("asked"))
+    seeds = rows.mapInArrow(scan_texts(length), "gram long, ctx long, doc long, ord long, at long")
+    seeds = seeds.repartition("gram").sortWithinPartitions("gram", "ctx", "doc", "ord", "at")
+    seeds = shared(seeds.mapInArrow(sort_seeds, "doc long, ord long, at long, end long, gram long"), "suffix-seeds")
+    asked = seeds.where("gram is not null").groupBy("doc", "ord").agg(F.collect_list(F.struct("gram", "at")).alias("asked"))
     texts = rows.join(asked.hint("shuffle_hash"), ["doc", "ord"])
-    parts = texts.select("doc", "text", "asked").mapInPandas(take_contexts, "gram long, doc long, at long, bytes binary")
-    parts = parts.repartition("gram").sortWithinPartitions("gram", "doc", "at")
-    found = shared(parts.mapInPandas(sort_blocks(length, block_bytes), "doc long, at long, end long, key long, gram long"), "suffix-found")
+    parts = texts.select("doc", "ord", "text", "asked").mapInPandas(take_contexts, "gram long, doc long, ord long, at long, bytes binary")
+    parts = parts.repartition("gram").sortWithinPartitions("gram", "doc", "ord", "at")
+    found = shared(parts.mapInPandas(sort_blocks(length, block_bytes), "doc long, ord long, at long, end long, key long, gram long"), "suffix-found")
     # Windows of grams that span blocks: all but the first of equal ones.
-    wide = found.where("key is not null")
-    least = wide.groupBy("gram", "key").agg(F.min(F.struct("doc", "at")).alias("least"))
-    later = wide.join(least, ["gram", "key"]).where(F.struct("doc", "at") != F.col("least"))
-    cuts = seeds.where("gram is null").select("doc", "at", "end").union(
-        found.where("key is null").select("doc", "at", "end")).union(later.select("doc", "at", "end"))
-    start = F.shiftright("at", 16).bitwiseAND(F.lit(0xFFFFFFFF))
-    return cuts.groupBy("doc", order.alias("ord")).agg(F.collect_list(F.struct(start.alias("start"), "end")).alias("cuts"))
+    wide, place = found.where("key is not null"), F.struct("doc", "ord", "at")
+    least = wide.groupBy("gram", "key").agg(F.min(place).alias("least"))
+    later = wide.join(least, ["gram", "key"]).where(place != F.col("least"))
+    cuts = seeds.where("gram is null").select("doc", "ord", "at", "end").union(
+        found.where("key is null").select("doc", "ord", "at", "end")).union(later.select("doc", "ord", "at", "end"))
+    return cuts.groupBy("doc", "ord").agg(F.collect_list(F.struct(F.shiftright("at", 16).alias("start"), "end")).alias("cuts"))
 
 
 def kept_parts(b: bytes, cuts) -> tuple[bytes, int]:
@@ -426,9 +415,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLO
     """All rows and columns, repeated bytes cut from the text."""
     cut_doc, cut_row, cut_at = free_names(docs, "cut_doc", "cut_row", "cut_at")
     rows = numbered(docs, id_col, text_col)
-    texts = rows.select("doc", "ord", F.xxhash64("text").alias(cut_row)).distinct()
-    gone = covered(rows, length, block_bytes).join(texts, ["doc", "ord"]).select(
-        F.col("doc").alias(cut_doc), cut_row, F.col("cuts").alias(cut_at))
+    gone = covered(rows, length, block_bytes).select(F.col("doc").alias(cut_doc), F.col("ord").alias(cut_row), F.col("cuts").alias(cut_at))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, cuts: pd.Series) -> pd.Series:

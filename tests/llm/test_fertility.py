@@ -7,8 +7,10 @@ from collections import Counter
 import public_tokenizers
 import pyarrow.parquet as pq
 import sentencepiece
+import tiktoken
 from brute import quality
 from llm_cases import SF_SMALL, docs, nothing, unchanged, wide  # noqa: F401
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from shopcast.llm import fertility as f
@@ -31,11 +33,23 @@ def test_measures_equal_the_library():
     words = text.split(" ")
     ids = [i for w in words for i in model.encode(w)]
     p.learn({w.encode() for w in words})
-    n, per, share, entropy = p.measures(p.numbers([w.encode() for w in words]), sum(map(len, words)))
+    n, per, share, entropy, bits = p.measures(p.numbers([w.encode() for w in words]), sum(map(len, words)))
     assert n == len(ids) and math.isclose(per, sum(map(len, words)) / n)
     assert math.isclose(share, sum(model.IsByte(i) for i in ids) / n) and share > 0
     h = -sum(c / n * math.log2(c / n) for c in Counter(ids).values())
-    assert math.isclose(entropy, h / math.log2(n))
+    assert math.isclose(entropy, h / math.log2(n)) and math.isclose(bits, h)
+
+
+def test_second_vocabulary_equals_the_library():
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    lib = tiktoken.Encoding("t", pat_str=r"[\s\S]+", mergeable_ranks=f.read_ranks(path), special_tokens={})
+    p = f.Pieces(path)
+    words = ["Les", "mots", "漢字", "|", "a\u00a0b", "x" * 3000, "<|endoftext|>", "Les"]
+    p.learn({w.encode() for w in words})
+    ids = [i for w in words for i in lib.encode_ordinary(w)]
+    n, _, share, _, bits = p.measures(p.numbers([w.encode() for w in words]), 1)
+    assert n == len(ids) and share > 0
+    assert math.isclose(bits, -sum(c / n * math.log2(c / n) for c in Counter(ids).values()))
 
 
 def test_forgotten_words_and_many_words_do_not_change_counts(monkeypatch):
@@ -67,9 +81,23 @@ def test_query_base_columns_and_clean_documents(spark):
 
 
 def test_bands_reject_what_leaves_them():
-    band = f.BANDS["en"]
-    assert f.in_band(band, 2.2, 0.0, 0.7) and not f.in_band(band, 1.2, 0.0, 0.7)
-    assert not f.in_band(band, 2.2, 0.5, 0.7) and not f.in_band(band, 2.2, 0.0, 0.1)
+    band, good = f.BANDS["en"], f.Measures(120, 2.2, 0.0, 0.7, 2.2, 6.0)
+    assert f.in_band(band, good)
+    for change in ({"chars": 1.2}, {"byte_share": 0.5}, {"entropy": 0.1}, {"chars_2": 1.5}, {"bits": 5.4}):
+        assert not f.in_band(band, good._replace(**change))
+    assert f.in_band(f.BANDS["other"], good._replace(bits=1.0)) and not f.in_band(band, good._replace(words=2000))
+    assert [f.least_bits(n) for n in (0, 49, 50, 99, 1000, 10**6)] == [0.0, 0.0, 5.25, 5.40, 6.08, 6.08]
+
+
+def test_labelled_junk_goes_and_clean_texts_stay(spark):
+    """Labelled texts of sf0.1 that pass the base rule."""
+    root = SF_SMALL.replace("sf0.001", "sf0.1")
+    labels = spark.read.parquet(f"{root}/labels.parquet").select("doc_id", "quality")
+    rows = f.judge(spark.read.parquet(f"{root}/documents.parquet").join(labels, "doc_id", "left_semi")).join(labels, "doc_id")
+    got = {(r.band, r.quality): (r.all, r.kept) for r in rows.where("not base_failed").groupBy("band", "quality").agg(
+        F.count("*").alias("all"), F.sum(F.col("kept").cast("int")).alias("kept")).collect()}
+    for lang in ("en", "de", "es", "fr"):
+        assert got[(lang, 1)][1] >= 0.99 * got[(lang, 1)][0] and got[(lang, 0)][1] <= 0.1 * got[(lang, 0)][0], got
 
 
 def test_defined_results(docs, wide, nothing):

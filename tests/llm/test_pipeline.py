@@ -14,13 +14,14 @@ from shopcast.llm import fertility, mixing, pii
 
 def plain_rules(rows):
     """Rows that pass: base rules by plain counting, bands by the measures."""
-    pieces, out = fertility.load(fertility.vocabulary("piece_bpe_32k.model")), []
+    vocabularies, out = [fertility.load(fertility.vocabulary(v)) for v in fertility.VOCABULARIES], []
     for r in rows:
         words = r["text"].encode().split()
-        pieces.learn(set(words))
         n, chars, *_, failed = quality(r["text"])
-        _, per, share, entropy = pieces.measures(pieces.numbers(words), chars)
-        if not failed and fertility.in_band(fertility.BANDS[r["lang"]], per, share, entropy):
+        for p in vocabularies:
+            p.learn(set(words))
+        (_, per, share, entropy, _), (_, per_2, _, _, bits) = (p.measures(p.numbers(words), chars) for p in vocabularies)
+        if not failed and fertility.in_band(fertility.BANDS[r["lang"]], fertility.Measures(n, per, share, entropy, per_2, bits)):
             out.append(r)
     return out
 

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from brute import repeats, sha
 from llm_cases import SF_SMALL, docs, nothing, unchanged, wide  # noqa: F401
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from shopcast.llm import suffix_dedup as s
@@ -63,6 +64,20 @@ def test_query_equals_all_windows(spark):
     assert got == repeats([(r["doc_id"], r["text"]) for r in rows], 100)
 
 
+def test_many_texts_of_one_id_or_none(spark):
+    """More texts of one id, and without one, than any order in few bits holds;
+    the brute force numbers them by the hash that orders them."""
+    n = 40_000
+    text = [f"{i} " + "".join(random.Random(i % 3000).choice("abcdefgh") for _ in range(30)) for i in range(n)]
+    rows = [(None if i % 2 else 7, t) for i, t in enumerate(text)] + [(8, text[0]), (10 ** 15, text[1]), (6, text[2])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    order = {(r.doc_id, r.text): (-1 if r.doc_id is None else r.doc_id, r.h) for r in df.withColumn("h", F.xxhash64("text")).collect()}
+    number = {k: i for i, k in enumerate(sorted(order, key=order.get))}
+    want = repeats([(number[k], k[1]) for k in order], 20)
+    got = sorted(tuple(r) for r in s.find_repeats(df, 20).select(F.coalesce("doc_id", F.lit(-1)), "n_bytes", "n_removed", "n_spans", "kept_sha256").collect())
+    assert got == sorted((order[k][0], *want[number[k]]) for k in order) and sum(r[2] for r in got) > 0
+
+
 def test_defined_results(docs, wide, nothing):
     got = s.find_repeats(wide).collect()
     assert len(got) == docs.count()
@@ -95,24 +110,25 @@ def test_seeds_do_not_depend_on_batches():
     r = np.random.default_rng(8)
     for case in range(60):
         n = int(r.integers(1, 60))
-        rows = sorted({(int(r.integers(0, 6)), int(r.integers(0, 4)), int(r.integers(0, 5)), int(r.integers(0, 9)) << 16 | 100) for _ in range(n)})
-        rows += [(9, 500 + i, i, i << 16) for i in range(case % 3)]
-        batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["gram", "ctx", "doc", "at"])
+        rows = sorted({(int(r.integers(0, 6)), int(r.integers(0, 4)), int(r.integers(0, 5)), int(r.integers(-1, 2)), int(r.integers(0, 9)) << 16 | 100)
+                       for _ in range(n)})
+        rows += [(9, 500 + i, i, 0, i << 16) for i in range(case % 3)]
+        batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["gram", "ctx", "doc", "ord", "at"])
         whole = [tuple(x.values()) for b in s.sort_seeds([batch]) for x in b.to_pylist()]
         sizes = [int(r.integers(0, 4)) for _ in range(n)]
         parts = [tuple(x.values()) for b in s.sort_seeds(split(batch, sizes)) for x in b.to_pylist()]
         assert sorted(parts, key=repr) == sorted(whole, key=repr)
         first, want = {}, []
-        for g, c, d, at in rows:
+        for g, c, d, o, at in rows:
             if at & 0xFFFF == 0:
-                want.append((d, at, c, None))
+                want.append((d, o, at, c, None))
             elif (g, c) in first:
-                want.append((d, at, (at >> 16) + 100, None))
+                want.append((d, o, at, (at >> 16) + 100, None))
             else:
-                first[(g, c)] = (d, at)
-        for (g, c), (d, at) in first.items():
+                first[(g, c)] = (d, o, at)
+        for (g, c), (d, o, at) in first.items():
             if sum(x[0] == g for x in first) > 1:
-                want.append((d, at, (at >> 16) + 100, g))
+                want.append((d, o, at, (at >> 16) + 100, g))
         assert sorted(whole, key=repr) == sorted(want, key=repr)
 
 
@@ -125,7 +141,7 @@ def test_blocks_do_not_depend_on_their_size():
             a = r.randint(0, 360)
             rows.append((r.choice([1, 1, 1, 2, 3]), doc, k * 200 << 16 | 40, base[a:a + 40]))
     rows.sort(key=lambda x: (x[0], x[1], x[2]))
-    frame = pd.DataFrame(rows, columns=["gram", "doc", "at", "bytes"])
+    frame = pd.DataFrame([(g, d, 0, at, b) for g, d, at, b in rows], columns=["gram", "doc", "ord", "at", "bytes"])
 
     def covered(block):
         out = pd.concat(list(s.sort_blocks(16, block)([frame.iloc[:50], frame.iloc[50:]])))
@@ -147,7 +163,7 @@ def test_blocks_do_not_depend_on_their_size():
 
 def covered_of(frame):
     first, out = set(), set()
-    for _, doc, at, b in sorted(frame.itertuples(index=False, name=None), key=lambda x: (x[1], x[2])):
+    for _, doc, _, at, b in sorted(frame.itertuples(index=False, name=None), key=lambda x: (x[1], x[3])):
         for i in range(len(b) - 15):
             if b[i:i + 16] in first:
                 out |= {(doc, s.start_of(at) + i + k) for k in range(16)}
