@@ -57,8 +57,8 @@ def fold(text: str) -> bytes:
     return text.encode().translate(_FOLD)
 
 
-def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
-    """(language, folded texts) in chunks of about ``CHUNK`` bytes."""
+def chunks_of(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[tuple[str, bytes]]:
+    """(language, folded texts) in chunks of about so many bytes."""
     held: dict[str, list[bytes]] = {}
     size: dict[str, int] = {}
     total = 0
@@ -67,12 +67,12 @@ def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
             b, at = fold(text), 0
             while at < len(b):
                 end = len(b)
-                if end - at > CHUNK:
-                    end = b.rfind(b"\n", at, at + CHUNK) + 1 or b.find(b"\n", at + CHUNK) + 1 or len(b)
+                if end - at > chunk:
+                    end = b.rfind(b"\n", at, at + chunk) + 1 or b.find(b"\n", at + chunk) + 1 or len(b)
                 held.setdefault(lang, []).append(b[at:end])
                 size[lang] = size.get(lang, 0) + end - at + 1
                 total, at = total + end - at + 1, end
-                if total > CHUNK:
+                if total > chunk:
                     most = max(size, key=size.get)
                     yield most, b"\n".join(held.pop(most))
                     total -= size.pop(most)
@@ -128,8 +128,10 @@ MESSAGE = "part long, mass long, width int, gaps binary, at binary, more binary"
 def messages(part_bits: int, max_words: int):
     """Pass 1: per chunk and hash partition the different fingerprints and
     their counts (``at``, ``more``: which are above one, and by how many)."""
+    chunk = CHUNK
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, text in chunks_of(batches):
+        for lang, text in chunks_of(batches, chunk):
             keys = np.sort(np.concatenate(Grams(lang, text, max_words).hashes) >> U(32 - part_bits))
             if not len(keys):
                 continue
@@ -227,6 +229,8 @@ def bit_table(keys: DataFrame) -> tuple[np.ndarray, int] | None:
 def counted(table, part_bits: int, max_words: int):
     """Pass 2: per chunk the n-grams that the table lets pass, with counts, and
     (with no words) the number of all words."""
+    chunk = CHUNK
+
     def passes(h: np.ndarray) -> np.ndarray:
         if table.value is None:
             return np.ones(len(h), bool)
@@ -240,7 +244,7 @@ def counted(table, part_bits: int, max_words: int):
         return ok
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, text in chunks_of(batches):
+        for lang, text in chunks_of(batches, chunk):
             g = Grams(lang, text, max_words)
             words, phrases, counts = [np.zeros(1, np.int64)], [""], [np.array([len(g.word)])]
             for k, (h, at) in enumerate(zip(g.hashes, g.at), 1):

@@ -228,10 +228,10 @@ def components(links: DataFrame, name: str) -> DataFrame:
             return label.select("node", F.col("label").alias("component"))
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar. A pair first meets the
-    registers of both, and only what passes the estimate meets the sets."""
-    narrow = sets.select("node", "n_shingles", "registers")
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int, small_sets: bool = False) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar. Unless sets are small, a
+    pair first meets the registers of both, and only what passes the estimate
+    meets the sets."""
 
     def plausible(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
@@ -253,9 +253,11 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def sided(cols: DataFrame, side: str) -> DataFrame:
         return cols.toDF(*[side if c == "node" else f"{c[0]}_{side}" for c in cols.columns])
 
-    likely = pairs.join(sided(narrow, "a"), "a").join(sided(narrow, "b"), "b").mapInPandas(plausible, "a long, b long")
+    if not small_sets:
+        narrow = sets.select("node", "n_shingles", "registers")
+        pairs = pairs.join(sided(narrow, "a"), "a").join(sided(narrow, "b"), "b").mapInPandas(plausible, "a long, b long")
     full = sets.select("node", "set")
-    return likely.join(sided(full, "a"), "a").join(sided(full, "b"), "b").mapInPandas(exact, "a long, b long")
+    return pairs.join(sided(full, "a"), "a").join(sided(full, "b"), "b").mapInPandas(exact, "a long, b long")
 
 
 def in_blocks(rows: DataFrame, payload: list[str]) -> DataFrame:
@@ -405,7 +407,7 @@ def first_pairs(meet: DataFrame) -> DataFrame:
 def link_nodes(meet: DataFrame, sets: DataFrame, percent: int, name: str, small_sets: bool = False) -> DataFrame:
     """(node, component) of the nodes with a confirmed link to another one.
     ``small_sets``: full sets are as cheap to move as registers."""
-    links = shared(confirm(shared(first_pairs(meet), f"{name}-pairs"), sets, percent), f"{name}-links", WIDE_ROWS)
+    links = shared(confirm(shared(first_pairs(meet), f"{name}-pairs"), sets, percent, small_sets), f"{name}-links", WIDE_ROWS)
     comp = components(links, name)
     # Keys whose pairs the first nodes did not all see, if they hold several components.
     wide = meet.where(F.col("at") != BAND_BESIDE).select("key", "node", "at").join(comp, "node", "left")

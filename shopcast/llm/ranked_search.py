@@ -185,14 +185,15 @@ def frequencies(found: DataFrame, terms: int) -> np.ndarray:
     return out
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """(ids, lengths, term arrays, occurrence arrays) of documents in blocks."""
+def blocks(batches: Iterator[pa.RecordBatch], columns: int, most: int) -> Iterator[list[tuple]]:
+    """(id, length, terms, occurrences) of documents, in blocks of so many
+    columns and cells at most, or of one document."""
     held, cells = [], 0
     for batch in batches:
         for doc, n, terms, tf in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "terms", "tf"))):
             if not terms:
                 continue
-            if held and (len(held) == COLUMNS or cells + len(terms) // 4 > CELLS):
+            if held and (len(held) == columns or cells + len(terms) // 4 > most):
                 yield held
                 held, cells = [], 0
             held.append((NULL_ID if doc is None else doc, n, terms, tf))
@@ -206,6 +207,7 @@ def best_of_tasks(found: DataFrame, items: list[tuple[int | None, list[int]]], w
     """(item_id, doc_id, score, part): the k best of each task's documents for
     each item. ``items``: (item id, terms)."""
     given = found.sparkSession.sparkContext.broadcast((items, weights, row_of))
+    columns, cells, merge = COLUMNS, CELLS, MERGE
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -213,7 +215,7 @@ def best_of_tasks(found: DataFrame, items: list[tuple[int | None, list[int]]], w
         items, weights, row_of = given.value
         wanted = [row_of[np.array(t, np.int64)] for _, t in items]
         top = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(items)
-        for held in blocks(batches):
+        for held in blocks(batches, columns, cells):
             held.sort(key=lambda r: r[0])
             ids, n = (np.array([r[i] for r in held], np.int64) for i in (0, 1))
             col = np.repeat(np.arange(len(held)), [len(r[2]) // 4 for r in held])
@@ -231,7 +233,7 @@ def best_of_tasks(found: DataFrame, items: list[tuple[int | None, list[int]]], w
                     scores, found_ids = np.concatenate([scores, new]), np.concatenate([found_ids, ids[at]])
                     order = np.lexsort((found_ids, -scores))[:k]
                     top[i] = scores[order], found_ids[order]
-        part = TaskContext.get().partitionId() // MERGE
+        part = TaskContext.get().partitionId() // merge
         for (item, _), (scores, found_ids) in zip(items, top):
             if len(scores):
                 yield pa.RecordBatch.from_arrays([pa.array([item] * len(scores), pa.int64()), pa.array(found_ids, mask=found_ids == NULL_ID),
