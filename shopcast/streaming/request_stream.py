@@ -36,6 +36,7 @@ from shopcast.sources.schemas import REQUEST, REQUEST_PART
 INCOMPLETE, LATE, NO_ID = "incomplete_request", "late_row", "missing_request_id"
 TOO_MANY = RULES[3]
 OUT = T.StructType([*REQUEST.fields, T.StructField("reason", T.StringType())])
+EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 STATE = "rows string, expected int, closed boolean"
 
 
@@ -117,5 +118,13 @@ def start_request_stream(spark: SparkSession, source_dir: str, sink_dir: str, ch
             batch.unpersist()
 
     w = assembled(stream.load(source_dir), wait_ms, keep_ms).writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+    if not available_now:
+        return w.trigger(processingTime="10 seconds").start()
+    # Waiting times keep a stream busy with batches of no data, so one that ends
+    # with its files goes without them: times that ran out count in the next batch.
+    before = spark.conf.get(EMPTY_BATCHES)
+    spark.conf.set(EMPTY_BATCHES, "false")
+    try:
+        return w.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(EMPTY_BATCHES, before)
