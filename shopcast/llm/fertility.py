@@ -145,32 +145,34 @@ class Pieces:
         if path.endswith(".tiktoken"):
             import tiktoken
             ranks = read_ranks(path)
-            self.encode = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary_batch
+            self.model = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
             self.is_byte = np.zeros(max(ranks.values()) + 1, bool)
             self.is_byte[[i for b, i in ranks.items() if len(b) == 1 and b[0] > 127]] = True
-            self.options = {"num_threads": 1}
         else:
             import sentencepiece
-            model = sentencepiece.SentencePieceProcessor(model_file=path)
-            self.encode, self.options = model.encode, {"num_threads": 1}
-            self.is_byte = np.array([model.IsByte(i) for i in range(model.GetPieceSize())])
+            self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.is_byte = np.array([self.model.IsByte(i) for i in range(self.model.GetPieceSize())])
+        self.bytewise = path.endswith(".tiktoken")
         self.forget()
 
+    def encode(self, words: list[str]) -> list[list[int]]:
+        # The batch call of the byte-level library starts a thread's job per word.
+        return list(map(self.model.encode_ordinary, words)) if self.bytewise else self.model.encode(words, num_threads=1)
+
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.pieces, self.start = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self.known) > KNOWN_WORDS:
-            self.forget()
-        new = [w for w in words if w not in self.known]
-        if new:
-            ids = self.encode([w.decode() for w in new], **self.options)
-            n = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(n[-1]))
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            self.pieces = np.concatenate([self.pieces, flat])
-            self.start = np.concatenate([self.start, self.start[-1] + n])
+        learn_all([self], words)
+
+    def extend(self, new: list[bytes]) -> None:
+        ids = self.encode([w.decode() for w in new])
+        n = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(n[-1]))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.pieces = np.concatenate([self.pieces, flat])
+        self.start = np.concatenate([self.start, self.start[-1] + n])
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
@@ -189,9 +191,22 @@ class Pieces:
         return n, chars / n, float(self.is_byte[ids].mean()), entropy / most if most else 0.0, entropy
 
 
+def learn_all(pieces: list[Pieces], words: set[bytes]) -> None:
+    """Let vocabularies that always learn together learn words; a word has the
+    same number in all of them."""
+    if len(pieces[0].known) > KNOWN_WORDS:
+        for p in pieces:
+            p.forget()
+    new = [w for w in words if w not in pieces[0].known]
+    if new:
+        for p in pieces:
+            p.extend(new)
+
+
 @lru_cache(maxsize=4)
-def load(path: str) -> Pieces:
-    return Pieces(path)
+def load(*paths: str) -> list[Pieces]:
+    """Vocabularies that learn together."""
+    return [Pieces(p) for p in paths]
 
 
 def least_bits(words: int) -> float:
@@ -209,7 +224,7 @@ VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken")
 
 def tokenizers(paths: tuple[str, str] | None):
     """Both vocabularies, and what to call when the task ends."""
-    both = [load(p) for p in paths or map(vocabulary, VOCABULARIES)]
+    both = load(*(paths or map(vocabulary, VOCABULARIES)))
     return both, lambda: [p.forget() for p in both]
 
 
@@ -251,15 +266,13 @@ def accepted(docs: DataFrame, bands: Mapping[str, Band] = BANDS, paths: tuple[st
 def verdicts(pieces: list[Pieces], texts: list[str], langs: list[str | None], bands: Mapping[str, Band], min_words: int) -> list[tuple]:
     """The columns of ``judge`` beside the id, for each text."""
     split = [t.encode().split() for t in texts]
-    for p in pieces:
-        p.learn(set().union(*split) if split else set())
+    learn_all(pieces, set().union(*split) if split else set())
     out = []
     for lang, text, words in zip(langs, texts, split):
-        n = len(words)
-        first, second = (p.numbers(words) for p in pieces)
-        chars, symbols, dup, repeat = base_counts(text, first)
-        tokens, per, share, entropy, _ = pieces[0].measures(first, chars)
-        _, per_2, _, _, bits = pieces[1].measures(second, chars)
+        n, words = len(words), pieces[0].numbers(words)
+        chars, symbols, dup, repeat = base_counts(text, words)
+        tokens, per, share, entropy, _ = pieces[0].measures(words, chars)
+        _, per_2, _, _, bits = pieces[1].measures(words, chars)
         failed = n < min_words or 100 * repeat > 50 * n
         band = bands.get(lang) if lang else None
         kind = script(text) if band is None else lang

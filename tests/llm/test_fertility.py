@@ -17,7 +17,7 @@ from shopcast.llm import fertility as f
 
 
 def test_base_counts_equal_plain_counting():
-    r, p = random.Random(2), f.load(f.vocabulary("piece_bpe_32k.model"))
+    r, p = random.Random(2), f.Pieces(f.vocabulary("piece_bpe_32k.model"))
     for i in range(1500):
         text = "".join(r.choice(["a", "b", "c", " ", "  ", "\n", "\t", "\x0b", "\x85", "#", "|", "é", "\x1c"]) for _ in range(r.randint(0, 80)))
         words = text.encode().split()

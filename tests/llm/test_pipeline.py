@@ -14,7 +14,7 @@ from shopcast.llm import fertility, mixing, pii
 
 def plain_rules(rows):
     """Rows that pass: base rules by plain counting, bands by the measures."""
-    vocabularies, out = [fertility.load(fertility.vocabulary(v)) for v in fertility.VOCABULARIES], []
+    vocabularies, out = [fertility.Pieces(fertility.vocabulary(v)) for v in fertility.VOCABULARIES], []
     for r in rows:
         words = r["text"].encode().split()
         n, chars, *_, failed = quality(r["text"])
