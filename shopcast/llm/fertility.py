@@ -1,8 +1,8 @@
 """Quality rules by tokeniser fertility (operator 5).
 
 Method: two public vocabularies (pieces with byte fallback, byte-level BPE)
-split every word into tokens (a word's tokens are remembered by the task,
-bounded memory). Per text and vocabulary that gives characters per token, the
+split every word into tokens (a word's tokens are remembered by the task, by a
+64-bit hash, in bounded memory). Per text and vocabulary that gives characters per token, the
 share of byte-fallback tokens and the entropy of the token distribution. A text
 is rejected if a measure leaves the band of its language, or else of its
 script; the least entropy in bits grows with the text's length.
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from shopcast.llm.byte_bpe import vocabulary
 from shopcast.llm.common import map_rows, map_texts
+from shopcast.llm.shingles import word_spans
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -136,13 +137,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Pieces:
-    """Numbers of words, and their tokens under a vocabulary: pieces with byte
-    fallback (.model), or byte-level BPE over whole words (.tiktoken), whose
-    byte-fallback tokens are single bytes beyond ASCII. Forgets all words when
-    ``KNOWN_WORDS`` are exceeded."""
+    """Tokens of words under a vocabulary: pieces with byte fallback (.model),
+    or byte-level BPE over whole words (.tiktoken), whose byte-fallback tokens
+    are single bytes beyond ASCII."""
 
     def __init__(self, path: str):
-        if path.endswith(".tiktoken"):
+        self.bytewise = path.endswith(".tiktoken")
+        if self.bytewise:
             import tiktoken
             ranks = read_ranks(path)
             self.model = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
@@ -152,61 +153,76 @@ class Pieces:
             import sentencepiece
             self.model = sentencepiece.SentencePieceProcessor(model_file=path)
             self.is_byte = np.array([self.model.IsByte(i) for i in range(self.model.GetPieceSize())])
-        self.bytewise = path.endswith(".tiktoken")
         self.forget()
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        # The batch call of the byte-level library starts a thread's job per word.
-        return list(map(self.model.encode_ordinary, words)) if self.bytewise else self.model.encode(words, num_threads=1)
-
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
         self.pieces, self.start = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def learn(self, words: set[bytes]) -> None:
-        learn_all([self], words)
-
-    def extend(self, new: list[bytes]) -> None:
-        ids = self.encode([w.decode() for w in new])
+    def extend(self, words: list[str]) -> None:
+        # The batch call of the byte-level library starts a thread's job per word.
+        ids = list(map(self.model.encode_ordinary, words)) if self.bytewise else self.model.encode(words, num_threads=1)
         n = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(n[-1]))
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        self.pieces = np.concatenate([self.pieces, flat])
+        self.pieces = np.concatenate([self.pieces, np.fromiter(chain.from_iterable(ids), np.int32, int(n[-1]))])
         self.start = np.concatenate([self.start, self.start[-1] + n])
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-
-    def measures(self, words: np.ndarray, chars: int) -> tuple[int, float, float, float, float]:
-        """(tokens, characters per token, byte share, entropy share, entropy in bits)."""
-        at, size = self.start[words], self.start[words + 1] - self.start[words]
-        n = int(size.sum())
-        if n == 0:
-            return 0, 0.0, 0.0, 0.0, 0.0
-        ids = self.pieces[np.repeat(at - np.cumsum(size) + size, size) + np.arange(n)]
-        order = np.sort(ids)
-        counts = np.diff(np.flatnonzero(np.r_[True, order[1:] != order[:-1], True]))
-        entropy = math.log2(n) - float((counts * np.log2(counts)).sum()) / n
-        most = math.log2(min(n, len(self.is_byte)))
-        return n, chars / n, float(self.is_byte[ids].mean()), entropy / most if most else 0.0, entropy
-
-
-def learn_all(pieces: list[Pieces], words: set[bytes]) -> None:
-    """Let vocabularies that always learn together learn words; a word has the
-    same number in all of them."""
-    if len(pieces[0].known) > KNOWN_WORDS:
-        for p in pieces:
+    def measures(self, words: np.ndarray, text: np.ndarray, chars: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(tokens, characters per token, byte share, entropy share, entropy in
+        bits) of texts; ``words``: numbers of all words, ``text``: of which
+        text, ``chars``: of each text."""
+        texts, at, size = len(chars), self.start[words], self.start[words + 1] - self.start[words]
+        total = int(size.sum())
+        ids = self.pieces[np.repeat(at - np.cumsum(size) + size, size) + np.arange(total)]
+        of = np.repeat(text, size)
+        n = np.bincount(of, minlength=texts)
+        key = np.sort(of * len(self.is_byte) + ids)
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if total else np.zeros(0, np.int64)
+        count = np.diff(np.append(begin, total))
+        one = np.maximum(n, 1)
+        logs = np.bincount(key[begin] // len(self.is_byte), count * np.log2(np.maximum(count, 1)), texts)
+        entropy = np.where(n > 0, np.log2(one) - logs / one, 0.0)
+        most = np.log2(np.minimum(one, len(self.is_byte)))
+        share = np.divide(entropy, most, out=np.zeros(texts), where=most > 0)
+        return n, chars / one, np.bincount(of, self.is_byte[ids], texts) / one, share, entropy
+
+
+class Words:
+    """Numbers of words by their hashes, and vocabularies that know the same
+    words; forgets all words when ``KNOWN_WORDS`` are exceeded."""
+
+    def __init__(self, *paths: str):
+        self.pieces = [Pieces(p) for p in paths]
+        self.known: dict[int, int] = {}
+
+    def forget(self) -> None:
+        self.known.clear()
+        for p in self.pieces:
             p.forget()
-    new = [w for w in words if w not in pieces[0].known]
-    if new:
-        for p in pieces:
-            p.extend(new)
+
+    def numbers(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(number, text) of every word of the texts; new words are learned."""
+        if len(self.known) > KNOWN_WORDS:
+            self.forget()
+        size = np.array([len(t) + 1 for t in texts], np.int64)
+        joined = b"\n".join(texts)
+        hashes, start, end = word_spans(joined)
+        different, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        found = [self.known.get(h) for h in different.tolist()]
+        new = [i for i, k in enumerate(found) if k is None]
+        if new:
+            at = first[new]
+            words = [joined[a:e].decode() for a, e in zip(start[at].tolist(), end[at].tolist())]
+            for p in self.pieces:
+                p.extend(words)
+            for k, i in enumerate(new, len(self.known)):
+                found[i] = k
+            self.known.update((int(different[i]), found[i]) for i in new)
+        which = np.searchsorted(np.cumsum(size) - size, start, "right") - 1
+        return np.array(found, np.int64)[back], which
 
 
 @lru_cache(maxsize=4)
-def load(*paths: str) -> list[Pieces]:
-    """Vocabularies that learn together."""
-    return [Pieces(p) for p in paths]
+def load(*paths: str) -> Words:
+    return Words(*paths)
 
 
 def least_bits(words: int) -> float:
@@ -222,10 +238,8 @@ def in_band(band: Band, m: Measures) -> bool:
 VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken")
 
 
-def tokenizers(paths: tuple[str, str] | None):
-    """Both vocabularies, and what to call when the task ends."""
-    both = load(*(paths or map(vocabulary, VOCABULARIES)))
-    return both, lambda: [p.forget() for p in both]
+def tokenizers(paths: tuple[str, str] | None) -> Words:
+    return load(*(paths or map(vocabulary, VOCABULARIES)))
 
 
 def judge(docs: DataFrame, bands: Mapping[str, Band] = BANDS, paths: tuple[str, str] | None = None, min_words: int = MIN_WORDS,
@@ -236,15 +250,15 @@ def judge(docs: DataFrame, bands: Mapping[str, Band] = BANDS, paths: tuple[str,
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def make():
-        pieces, forget = tokenizers(paths)
+        words = tokenizers(paths)
 
         def one(keys, texts):
             out = {n: [] for n in NAMES}
-            for key, row in zip(keys, verdicts(pieces, texts, [k["lang"] for k in keys], bands, min_words)):
+            for key, row in zip(keys, verdicts(words, texts, [k["lang"] for k in keys], bands, min_words)):
                 for name, v in zip(NAMES, (key["id"], *row)):
                     out[name].append(v)
             return out
-        return one, forget
+        return one, words.forget
     return map_texts(rows, make, SCHEMA)
 
 
@@ -252,33 +266,35 @@ def accepted(docs: DataFrame, bands: Mapping[str, Band] = BANDS, paths: tuple[st
              text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, all columns."""
     def make():
-        pieces, forget = tokenizers(paths)
+        words = tokenizers(paths)
 
         def one(batch):
             texts = [t or "" for t in batch.column(text_col).cast("string").to_pylist()]
             named = lang_col in batch.schema.names
             langs = batch.column(lang_col).cast("string").to_pylist() if named else [None] * len(texts)
-            return batch.filter(pa.array([v[KEPT] for v in verdicts(pieces, texts, langs, bands, min_words)], pa.bool_()))
-        return one, forget
+            return batch.filter(pa.array([v[KEPT] for v in verdicts(words, texts, langs, bands, min_words)], pa.bool_()))
+        return one, words.forget
     return map_rows(docs, make)
 
 
-def verdicts(pieces: list[Pieces], texts: list[str], langs: list[str | None], bands: Mapping[str, Band], min_words: int) -> list[tuple]:
+def verdicts(words: Words, texts: list[str], langs: list[str | None], bands: Mapping[str, Band], min_words: int) -> list[tuple]:
     """The columns of ``judge`` beside the id, for each text."""
-    split = [t.encode().split() for t in texts]
-    learn_all(pieces, set().union(*split) if split else set())
+    numbers, of = words.numbers([t.encode() for t in texts])
+    ends = np.cumsum(np.bincount(of, minlength=len(texts)))
+    base = [base_counts(t, w) for t, w in zip(texts, np.split(numbers, ends[:-1]))] if texts else []
+    chars = np.array([b[0] for b in base], float)
+    first, second = ([c.tolist() for c in p.measures(numbers, of, chars)] for p in words.pieces)
     out = []
-    for lang, text, words in zip(langs, texts, split):
-        n, words = len(words), pieces[0].numbers(words)
-        chars, symbols, dup, repeat = base_counts(text, words)
-        tokens, per, share, entropy, _ = pieces[0].measures(words, chars)
-        _, per_2, _, _, bits = pieces[1].measures(words, chars)
+    for i, (lang, text, (n_chars, symbols, dup, repeat)) in enumerate(zip(langs, texts, base)):
+        n = int(ends[i] - (ends[i - 1] if i else 0))
+        tokens, per, share, entropy, _ = (c[i] for c in first)
+        _, per_2, _, _, bits = (c[i] for c in second)
         failed = n < min_words or 100 * repeat > 50 * n
         band = bands.get(lang) if lang else None
         kind = script(text) if band is None else lang
         band = band or bands.get(kind) or bands["other"]
         kept = not failed and in_band(band, Measures(n, per, share, entropy, per_2, bits))
-        out.append((n, chars, symbols, dup, repeat, failed, kept, tokens, per, share, entropy, per_2, bits, kind))
+        out.append((n, n_chars, symbols, dup, repeat, failed, kept, tokens, per, share, entropy, per_2, bits, kind))
     return out
 
 

@@ -2,13 +2,15 @@
 
 import math
 import random
+import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import sentencepiece
 import tiktoken
-from brute import quality
+from brute import WORD, quality
 from llm_cases import SF_SMALL, docs, nothing, unchanged, wide  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -16,51 +18,46 @@ import __spark_entry__ as entry
 from shopcast.llm import fertility as f
 
 
+MODEL, BPE = (public_tokenizers.path(v) for v in f.VOCABULARIES)
+
+
 def test_base_counts_equal_plain_counting():
-    r, p = random.Random(2), f.Pieces(f.vocabulary("piece_bpe_32k.model"))
+    r, p = random.Random(2), f.Words(MODEL)
     for i in range(1500):
         text = "".join(r.choice(["a", "b", "c", " ", "  ", "\n", "\t", "\x0b", "\x85", "#", "|", "é", "\x1c"]) for _ in range(r.randint(0, 80)))
-        words = text.encode().split()
-        p.learn(set(words))
-        counts = f.base_counts(text, p.numbers(words))
-        assert (len(words), *counts) == quality(text)[:5], repr(text)
-
-
-def test_measures_equal_the_library():
-    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
-    p = f.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
-    text = "Les mots sont là, 漢字 \U0001F600 and so on so on"
-    words = text.split(" ")
-    ids = [i for w in words for i in model.encode(w)]
-    p.learn({w.encode() for w in words})
-    n, per, share, entropy, bits = p.measures(p.numbers([w.encode() for w in words]), sum(map(len, words)))
-    assert n == len(ids) and math.isclose(per, sum(map(len, words)) / n)
-    assert math.isclose(share, sum(model.IsByte(i) for i in ids) / n) and share > 0
-    h = -sum(c / n * math.log2(c / n) for c in Counter(ids).values())
-    assert math.isclose(entropy, h / math.log2(n)) and math.isclose(bits, h)
-
-
-def test_second_vocabulary_equals_the_library():
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    lib = tiktoken.Encoding("t", pat_str=r"[\s\S]+", mergeable_ranks=f.read_ranks(path), special_tokens={})
-    p = f.Pieces(path)
-    words = ["Les", "mots", "漢字", "|", "a\u00a0b", "x" * 3000, "<|endoftext|>", "Les"]
-    p.learn({w.encode() for w in words})
-    ids = [i for w in words for i in lib.encode_ordinary(w)]
-    n, _, share, _, bits = p.measures(p.numbers([w.encode() for w in words]), 1)
-    assert n == len(ids) and share > 0
-    assert math.isclose(bits, -sum(c / n * math.log2(c / n) for c in Counter(ids).values()))
+        words, _ = p.numbers([text.encode()])
+        assert (len(words), *f.base_counts(text, words)) == quality(text)[:5], repr(text)
+
+
+def test_measures_equal_the_libraries():
+    piece = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    bpe = tiktoken.Encoding("t", pat_str=r"[\s\S]+", mergeable_ranks=f.read_ranks(BPE), special_tokens={})
+    texts = ["Les mots sont là, 漢字 \U0001F600 and so on so on", "", " \t\n ", "one", "a\u00a0b | " + "x" * 3000 + " <|endoftext|> Les mots"]
+    w = f.Words(MODEL, BPE)
+    numbers, of = w.numbers([t.encode() for t in texts])
+    chars = np.array([sum(len(x) for x in re.findall(WORD, t)) for t in texts], float)
+    for p, encode, is_byte in ((w.pieces[0], piece.encode, piece.IsByte), (w.pieces[1], bpe.encode_ordinary, lambda i: bool(w.pieces[1].is_byte[i]))):
+        for i, (n, per, share, entropy, bits) in enumerate(zip(*p.measures(numbers, of, chars))):
+            ids = [k for x in re.findall(WORD, texts[i]) for k in encode(x)]
+            assert n == len(ids)
+            if ids:
+                h = -sum(c / n * math.log2(c / n) for c in Counter(ids).values())
+                assert math.isclose(per, chars[i] / n) and math.isclose(share, sum(map(is_byte, ids)) / n) and math.isclose(bits, h, abs_tol=1e-12)
+                assert math.isclose(entropy, h / math.log2(n) if n > 1 else 0.0, abs_tol=1e-12)
+            else:
+                assert (per, share, entropy, bits) == (0, 0, 0, 0)
 
 
 def test_forgotten_words_and_many_words_do_not_change_counts(monkeypatch):
-    p = f.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
-    words = [b"a", b"b", b"c"] * 5
-    p.learn(set(words))
-    many = p.numbers(words) + (1 << 21)
-    assert f.base_counts("x", many)[3] == 15
+    w = f.Words(MODEL, BPE)
+    words, _ = w.numbers([b"a b c " * 5])
+    assert f.base_counts("x", words + (1 << 21))[3] == 15
+    before = [c.tolist() for p in w.pieces for c in p.measures(words, np.zeros(15, np.int64), np.array([15.0]))]
     monkeypatch.setattr(f, "KNOWN_WORDS", 2)
-    p.learn({b"new"})
-    assert list(p.known) == [b"new"] and len(p.start) == 2
+    other, of = w.numbers([b"new c c", b"b"])
+    assert sorted(w.known.values()) == [0, 1, 2] and of.tolist() == [0, 0, 0, 1] and len(w.pieces[1].start) == 4
+    words, _ = w.numbers([b"a b c " * 5])
+    assert [c.tolist() for p in w.pieces for c in p.measures(words, np.zeros(15, np.int64), np.array([15.0]))] == before
 
 
 def test_scripts():

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 import pyarrow.parquet as pq
 from brute import mix_targets, near_components, quality, sha, WORD
 from llm_cases import SF_SMALL, docs, nothing, wide  # noqa: F401
@@ -14,13 +15,12 @@ from shopcast.llm import fertility, mixing, pii
 
 def plain_rules(rows):
     """Rows that pass: base rules by plain counting, bands by the measures."""
-    vocabularies, out = [fertility.Pieces(fertility.vocabulary(v)) for v in fertility.VOCABULARIES], []
+    words, out = fertility.tokenizers(None), []
     for r in rows:
-        words = r["text"].encode().split()
         n, chars, *_, failed = quality(r["text"])
-        for p in vocabularies:
-            p.learn(set(words))
-        (_, per, share, entropy, _), (_, per_2, _, _, bits) = (p.measures(p.numbers(words), chars) for p in vocabularies)
+        numbers, of = words.numbers([r["text"].encode()])
+        (_, per, share, entropy, _), (_, per_2, _, _, bits) = (
+            [float(c[0]) for c in p.measures(numbers, of, np.array([float(chars)]))] for p in words.pieces)
         if not failed and fertility.in_band(fertility.BANDS[r["lang"]], fertility.Measures(n, per, share, entropy, per_2, bits)):
             out.append(r)
     return out
