@@ -3,8 +3,9 @@
 Method: one-permutation MinHash. Every five-word shingle (lower case; fewer
 words: the whole sequence) is hashed once; the upper bits choose one of
 ``BINS`` bins, the least hash of a bin is its value. Empty bins are filled by
-densification: round by round an empty bin looks at the bin that a hash of
-(bin, round) names and takes what that one holds by then. The low
+optimal densification: an empty bin takes the value of the first originally
+filled bin in a random order of its own. ``ROUNDS`` fixed probes find it in all
+but sparse texts; there the filled bins, few then, are put in order. The low
 ``LOW_BITS`` bits of each bin (the hash shifted by the bin's place) are packed into longs; two fingerprints compare
 by XOR and bit counts, corrected for the chance match of so few bits.
 
@@ -51,13 +52,21 @@ def probe(bin_: int, round_: int) -> int:
 
 
 def fill_from(bins: Column, look: Column):
+    """The probed bin's own value, which may be empty too."""
     return lambda x, i: F.when(empty_bin(x), F.get(bins, F.get(look, i))).otherwise(x)
 
 
+def fill_first(filled: Column):
+    """The filled bin that comes first in the empty bin's order."""
+    def first(i: Column) -> Column:
+        return F.array_min(F.transform(filled, lambda v: F.struct(F.xxhash64(i, F.shiftright(v, SHIFT)).alias("h"), v.alias("v"))))["v"]
+    return lambda x, i: F.when(empty_bin(x), first(i)).otherwise(x)
+
+
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add ``out``: packed fingerprint (array of longs; empty without words).
     Each step is a column of its own, so it is evaluated once."""
-    c = {n: f"_{out}_{n}" for n in ("w", "s", "d", "e")}
+    c = {n: f"_{out}_{n}" for n in ("w", "s", "o", "d", "e")}
     words = F.filter(F.split(F.lower(F.col(text)), r"[\x20\x09-\x0D]+"), lambda x: x != "")
     df = df.withColumn(c["w"], F.transform(words, lambda x: F.xxhash64(x)))
     w = F.col(c["w"])
@@ -71,14 +80,17 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn(c["s"], F.sort_array(F.concat(F.col(c["s"]), sentinels)))
     s = F.col(c["s"])
     least = F.filter(s, lambda x, i: (i == 0) | (F.shiftright(x, SHIFT) != F.shiftright(F.get(s, i - 1), SHIFT)))
-    df = df.withColumn(c["d"], least).drop(c["s"])
+    df = df.withColumn(c["o"], least).drop(c["s"]).withColumn(c["d"], F.col(c["o"]))
     df = df.withColumn(c["e"], F.size(F.filter(F.col(c["d"]), empty_bin)))
     has = F.size(w) > 0
     for r in range(ROUNDS):
         d, todo = F.col(c["d"]), has & (F.col(c["e"]) > 0)
-        fill = F.transform(d, fill_from(d, F.expr(f"array({', '.join(str(probe(b, r)) for b in range(BINS))})")))
+        fill = F.transform(d, fill_from(F.col(c["o"]), F.expr(f"array({', '.join(str(probe(b, r)) for b in range(BINS))})")))
         df = df.withColumn(c["d"], F.when(todo, fill).otherwise(d))
         df = df.withColumn(c["e"], F.when(todo, F.size(F.filter(F.col(c["d"]), empty_bin))).otherwise(F.lit(0)))
+    d = F.col(c["d"])
+    sparse = F.transform(d, fill_first(F.filter(F.col(c["o"]), lambda v: ~empty_bin(v))))
+    df = df.withColumn(c["d"], F.when(has & (F.col(c["e"]) > 0), sparse).otherwise(d))
     # Bins that hold one hash must not share its low bits, so each takes them from its own place in the hash.
     df = df.withColumn(c["d"], F.transform(F.col(c["d"]), lambda v, i: F.call_function("shiftright", v, i % (SHIFT - LOW_BITS))))
     d = F.col(c["d"])

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopcast.llm.common import free_names, map_texts, nothing, shared, text_rows
-from shopcast.llm.shingles import U, mix, overlap, shingle_set
+from shopcast.llm.shingles import U, mix, overlap, shingle_set, similar
 
 REGISTERS, ROWS, MANTISSA = 128, 4, 10
 BANDS = REGISTERS // ROWS
@@ -318,6 +318,55 @@ def linked_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
     return in_blocks(rows, ["set"]).groupBy("key", "x", "y").applyInPandas(meet, "a long, b long").distinct()
 
 
+def linked_in_small_blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """As ``linked_in_blocks``, for very many keys of few members: sorted rows
+    stream through a task, which holds one block at a time."""
+    cols = ["key", "x", "y", "query", "node", "component", "at", "set"]
+
+    def meet(block: list[tuple]) -> list[tuple[int, int]]:
+        members = [r for r in block if not r[0]]
+        sets = {r[1]: np.frombuffer(r[4], "<u8") for r in block}
+        sizes, comps, at = (np.array(c, np.int64) for c in ([len(sets[r[1]]) for r in members], [r[2] for r in members], [r[3] for r in members]))
+        found, count = [], None
+        for query, node, comp, place, _ in block:
+            if not query or not members:
+                continue
+            s = sets[node]
+            ok = (comps != comp) & (np.minimum(sizes, len(s)) * 100 >= percent * np.maximum(sizes, len(s)))
+            if place >= 0:
+                ok &= np.minimum(sizes - at, len(s) - place) >= least_overlap(sizes, len(s), percent)
+            hit = np.flatnonzero(ok)
+            if len(hit) > 16:
+                if count is None:
+                    count = common_counts([sets[r[1]] for r in members])[1]
+                common = count(s)
+                hit = hit[100 * common[hit] >= percent * (sizes[hit] + len(s) - common[hit])]
+            else:
+                hit = np.array([i for i in hit.tolist() if similar(s, sets[members[i][1]], percent)], np.int64)
+            for i in hit[np.unique(comps[hit], return_index=True)[1]].tolist():
+                found.append((min(node, members[i][1]), max(node, members[i][1])))
+        return found
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, block = None, []
+
+        def out(links):
+            return pa.RecordBatch.from_arrays([pa.array([k[i] for k in links], pa.int64()) for i in (0, 1)], ["a", "b"])
+        for batch in batches:
+            found = []
+            for key, x, y, *row in zip(*(batch.column(c).to_pylist() for c in cols)):
+                if (key, x, y) != own:
+                    if len(block) > 1:
+                        found += meet(block)
+                    own, block = (key, x, y), []
+                block.append(row)
+            yield out(found)
+        yield out(meet(block) if len(block) > 1 else [])
+
+    spread = in_blocks(rows, ["set"]).select(*cols).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return spread.mapInArrow(stream, "a long, b long").distinct()
+
+
 def plausible_rows(rows: DataFrame, percent: int) -> DataFrame:
     """(key, node): rows of a band key that may have a link to another component
     there, by registers. A pair counts in the first band that it shares only.
@@ -417,9 +466,10 @@ def link_nodes(meet: DataFrame, sets: DataFrame, percent: int, name: str, small_
     main = main.where("kinds > 1 and members > 2").select("key", F.col("top.component").alias("main"))
     wide = shared(wide.join(main, "key"), f"{name}-rest")
     full = sets.select("node", "set")
-    asked = wide if small_sets else wide.where("at >= 0")
-    more = linked_in_blocks(asked.join(full, "node"), percent)
-    if not small_sets:
+    if small_sets:
+        more = linked_in_small_blocks(wide.join(full, "node"), percent)
+    else:
+        more = linked_in_blocks(wide.where("at >= 0").join(full, "node"), percent)
         bands = wide.where(F.col("at") == BAND)
         rows = shared(plausible_rows(bands.join(sets.select("node", "n_shingles", "registers"), "node"), percent), f"{name}-plausible")
         more = more.unionByName(linked_in_blocks(bands.join(rows, ["key", "node"]).join(full, "node"), percent))

@@ -119,12 +119,13 @@ def test_blocks_find_what_hubs_missed(spark, monkeypatch):
         by_key.setdefault(k, set()).add(n)
     shared_key = {(a, b) for g in by_key.values() for a in g for b in g if a < b}
     assert {p for p in near if comp[p[0]] != comp[p[1]]} <= shared_key and not any(50 in p for p in shared_key)
-    links = {(r.a, r.b) for r in h.linked_in_blocks(df, 75).collect()}
-    assert links <= near
-    for a, b in near:
-        if comp[a] != comp[b] and comp[b]:
-            # A node outside the main component has a link to each other component that it is near to.
-            assert any(b in p and comp[p[0] if p[1] == b else p[1]] == comp[a] for p in links)
+    for meet in (h.linked_in_blocks, h.linked_in_small_blocks):
+        links = {(r.a, r.b) for r in meet(df, 75).collect()}
+        assert links <= near
+        for a, b in near:
+            if comp[a] != comp[b] and comp[b]:
+                # A node outside the main component has a link to each other component that it is near to.
+                assert any(b in p and comp[p[0] if p[1] == b else p[1]] == comp[a] for p in links)
 
 
 def test_defined_results(docs, wide, nothing):
