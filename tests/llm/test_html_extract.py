@@ -1,5 +1,8 @@
 """HTML extraction (10): parsing, gradients, held-out accuracy."""
 
+import html
+import re
+
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
@@ -72,6 +75,25 @@ def test_query_reads_every_page(spark):
     assert same >= 0.99 * len(rows)
 
 
+def plain_article(page):
+    """The article by plain patterns, without the package's parser: block tags
+    part blocks, other tags vanish."""
+    m = re.search(r"<article\b[^>]*>(.*?)(?:</article>|<footer|</body>|$)", page, re.S)
+    body = re.sub(r"<!--.*?-->|<(script|style)\b.*?</\1>", "", m.group(1) if m else "", flags=re.S)
+    out = []
+    for part in re.split(r"</?(?:p|h[1-6]|div|ul|ol|li|table|tr|t[dh]|section|blockquote|pre|figure|article|header|nav|main)\b[^>]*>", body):
+        part = html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br\s*/?>", " ", part)))
+        out.append(re.sub(r"\s+", " ", part).strip())
+    return "\n".join(filter(None, out))
+
+
+def test_query_equals_plain_extraction(spark):
+    rows = pq.read_table(f"{SF_SMALL}/pages.parquet").to_pylist()
+    got = {r.page_id: r.text for r in entry.queries()["op10_html_extract"](spark, SF_SMALL).collect()}
+    wrong = [r["page_id"] for r in rows if got[r["page_id"]] != plain_article(r["html"])]
+    assert len(wrong) <= 0.01 * len(rows), wrong
+
+
 def test_defined_results(spark):
     page = "<html><body><nav>menu</nav><article><h1>T</h1><p>" + "words and more. " * 30 + "</p></article></body></html>"
     rows = [(1, "u", page, 0), (1, "u", page, 0), (2, None, None, 0), (None, "n", "", 0), (3, "s", "<script>x</script>", 0),
