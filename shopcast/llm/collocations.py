@@ -41,7 +41,7 @@ from shopcast.llm.shingles import STEP, U, mix, word_spans
 
 MIN_COUNT, MAX_WORDS, TOP, COVER = 10, 3, 2000, 50
 NO_LANG = "und"
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Occurrences of n-grams that a hash partition is meant for.
 PARTITION_MASS = 1 << 21
 #: The bit table: parts, and bits of a part at most (32 MB in all).
