@@ -88,6 +88,7 @@ def q01_chi2(ctx: PanelContext) -> DataFrame:
 
 # --- Q02 holidays -----------------------------------------------------------
 
+# Labels of the evidence tables.
 PHASE_BEFORE, PHASE_DURING, PHASE_AFTER, PHASE_NORMAL = "Before (1-3d)", "During", "After (1-3d)", "Normal"
 
 
@@ -218,6 +219,7 @@ def q06_top(ctx: PanelContext, top_n: int = 15) -> DataFrame:
     return q06_uplift(ctx).orderBy(F.desc("abs_uplift"), F.asc("Store")).limit(top_n)
 
 
+# Labels of the evidence tables.
 QUARTILE_LABELS = ["Q1 (lowest)", "Q2", "Q3", "Q4 (highest)"]
 
 
@@ -258,6 +260,7 @@ def q07_type_weekday(ctx: PanelContext) -> DataFrame:
 
 # --- Q08 weekday openers and weekend sales ----------------------------------
 
+# Labels of the evidence tables.
 SEG_ALL, SEG_CLOSURES = "Opens all weekdays", "Has weekday closures"
 
 
@@ -343,6 +346,7 @@ def q10_spearman(ctx: PanelContext) -> DataFrame:
 
 # --- Q11 competitor opening event study -------------------------------------
 
+# Labels of the evidence tables.
 EVENT_LABELS = ["-90 to -60", "-60 to -30", "-30 to 0", "0 to 30", "30 to 60", "60 to 90"]
 
 
@@ -433,6 +437,7 @@ def q14_quality(ctx: PanelContext) -> DataFrame:
         rows = F.array(*[F.struct(F.lit(o).alias("issue_order"), F.lit(name).alias("issue"), F.col(f"_c{o}").alias("count"),
                                   (100 * F.try_divide(F.col(f"_c{o}"), F.col("_n"))).alias("pct")) for o, name, _ in flags])
         return one.select(F.inline(rows))
+    # Names of the issues.
     r = issues(ctx.raw, [
         (1, "Closed store-days (Open=0)", F.col("Open") == 0),
         (2, "Open but zero sales", (F.col("Open") == 1) & (F.col("Sales") == 0)),
