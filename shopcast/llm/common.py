@@ -94,16 +94,22 @@ _ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean
           "double": pa.float64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
 
 
+#: Shuffle files go when the job that made them ends.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared(df: DataFrame, name: str, rows_per_batch: int | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back, so that
-    later jobs start from files that outlive any executor. ``rows_per_batch``
+    later jobs start from files that outlive any executor; the shuffle files of
+    the job that wrote it are not needed then and go at once. ``rows_per_batch``
     bounds the Arrow batches of a job whose rows are wide."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if rows_per_batch is None:
-        return materialize(df, f"llm-{name}")
-    before = conf.get(key)
-    conf.set(key, str(rows_per_batch))
+    conf = df.sparkSession.conf
+    settings = {TIDY: "true"} | ({"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows_per_batch)} if rows_per_batch else {})
+    before = {key: conf.get(key) for key in settings}
+    for key, value in settings.items():
+        conf.set(key, value)
     try:
         return materialize(df, f"llm-{name}")
     finally:
-        conf.set(key, before)
+        for key, value in before.items():
+            conf.set(key, value)
