@@ -66,7 +66,7 @@ def fill_first(filled: Column):
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add ``out``: packed fingerprint (array of longs; empty without words).
     Each step is a column of its own, so it is evaluated once."""
-    c = {n: f"_{out}_{n}" for n in ("w", "s", "o", "d", "e")}
+    c = {n: f"_{out}_{n}" for n in ("w", "s", "o", "d", "e", "f")}
     words = F.filter(F.split(F.lower(F.col(text)), r"[\x20\x09-\x0D]+"), lambda x: x != "")
     df = df.withColumn(c["w"], F.transform(words, lambda x: F.xxhash64(x)))
     w = F.col(c["w"])
@@ -88,9 +88,9 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
         fill = F.transform(d, fill_from(F.col(c["o"]), F.expr(f"array({', '.join(str(probe(b, r)) for b in range(BINS))})")))
         df = df.withColumn(c["d"], F.when(todo, fill).otherwise(d))
         df = df.withColumn(c["e"], F.when(todo, F.size(F.filter(F.col(c["d"]), empty_bin))).otherwise(F.lit(0)))
-    d = F.col(c["d"])
-    sparse = F.transform(d, fill_first(F.filter(F.col(c["o"]), lambda v: ~empty_bin(v))))
-    df = df.withColumn(c["d"], F.when(has & (F.col(c["e"]) > 0), sparse).otherwise(d))
+    d, todo = F.col(c["d"]), has & (F.col(c["e"]) > 0)
+    df = df.withColumn(c["f"], F.when(todo, F.filter(F.col(c["o"]), lambda v: ~empty_bin(v))))
+    df = df.withColumn(c["d"], F.when(todo, F.transform(d, fill_first(F.col(c["f"])))).otherwise(d))
     # Bins that hold one hash must not share its low bits, so each takes them from its own place in the hash.
     df = df.withColumn(c["d"], F.transform(F.col(c["d"]), lambda v, i: F.call_function("shiftright", v, i % (SHIFT - LOW_BITS))))
     d = F.col(c["d"])
