@@ -90,7 +90,9 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
         df = df.withColumn(c["e"], F.when(todo, F.size(F.filter(F.col(c["d"]), empty_bin))).otherwise(F.lit(0)))
     d, todo = F.col(c["d"]), has & (F.col(c["e"]) > 0)
     df = df.withColumn(c["f"], F.when(todo, F.filter(F.col(c["o"]), lambda v: ~empty_bin(v))))
-    df = df.withColumn(c["d"], F.when(todo, F.transform(d, fill_first(F.col(c["f"])))).otherwise(d))
+    # Named twice, the column stays one and is not copied into the function of every bin.
+    some = todo & (F.size(c["f"]) > 0)
+    df = df.withColumn(c["d"], F.when(some, F.transform(d, fill_first(F.col(c["f"])))).otherwise(d))
     # Bins that hold one hash must not share its low bits, so each takes them from its own place in the hash.
     df = df.withColumn(c["d"], F.transform(F.col(c["d"]), lambda v, i: F.call_function("shiftright", v, i % (SHIFT - LOW_BITS))))
     d = F.col(c["d"])
