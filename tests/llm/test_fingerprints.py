@@ -5,7 +5,6 @@ import pyarrow.parquet as pq
 import pytest
 from brute import jaccard, sha, shingles
 from llm_cases import SF_SMALL, docs, nothing, wide  # noqa: F401
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from shopcast.llm import fingerprints as f
@@ -47,21 +46,6 @@ def test_blocks_of_any_size_give_the_same_next_row(spark, monkeypatch):
         assert got == dict(zip(order, order[1:] + order[:1]))
 
 
-def test_short_texts_err_no_more_than_long_ones(spark):
-    """Standard error of the likeness from 10 shingles on."""
-    rows = []
-    for n in (10, 20, 40, 160):
-        for i in range(150):
-            w = [f"s{n}x{i}y{k}" for k in range(n + 4)]
-            cut = n // 5
-            rows.append((n, " ".join(w[:len(w) - cut]), " ".join(w[cut:])))
-    df = f.with_fingerprint(f.with_fingerprint(spark.createDataFrame(rows, "n int, a string, b string"), "a", "fa"), "b", "fb")
-    got = df.select("n", "a", "b", f.likeness(F.col("fa"), F.col("fb")).alias("near")).collect()
-    for n in (10, 20, 40, 160):
-        errors = [r.near - jaccard(shingles(r.a), shingles(r.b)) for r in got if r.n == n]
-        assert len(errors) == 150 and np.std(errors) < 0.045 and abs(np.mean(errors)) < 0.012, (n, np.std(errors), np.mean(errors))
-
-
 def test_probes_reach_all_bins():
     seen = {(b, r): f.probe(b, r) for b in range(f.BINS) for r in range(f.ROUNDS)}
     assert set(seen.values()) == set(range(f.BINS))
