@@ -21,7 +21,7 @@ from shopcast.operators import sampling as S
 from shopcast.operators.joins import merge_store
 from shopcast.plans.context import PanelContext
 from shopcast.session import checkpoint_dir
-from shopcast.sources.readers import parse_trend, scan_csv, state_lookup
+from shopcast.sources.readers import classified_lines, parse_trend, state_lookup
 from shopcast.sources.schemas import DAILY
 from shopcast.sources.sinks import write_clustered
 
@@ -84,10 +84,11 @@ def csv_rejects(ctx: PanelContext) -> DataFrame:                         # S01 w
     line = F.when(day == 17, F.concat_ws(",", cells["Store"], cells["Date"])).otherwise(line)
     path = os.path.join(checkpoint_dir(ctx.spark), f"daily-{uuid.uuid4().hex[:8]}")
     d.select(line.alias("value")).write.text(path)
-    rows, rejects = scan_csv(ctx.spark, path, DAILY, header=DAILY.fieldNames())
-    good = rows.select(F.lit("good").alias("reason"), "Store", "Date", "Sales", F.lit(None).cast("string").alias("line"))
-    bad = rejects.select("reason", *[F.lit(None).cast(t).alias(c) for c, t in (("Store", "int"), ("Date", "date"), ("Sales", "bigint"))], "line")
-    return good.unionByName(bad)
+    # Good rows and rejects in one pass over the lines.
+    lines = classified_lines(ctx.spark, path, DAILY, header=DAILY.fieldNames())
+    good = F.col("_why").isNull()
+    return lines.select(F.coalesce("_why", F.lit("good")).alias("reason"), *[F.when(good, F.col(c)).alias(c) for c in ("Store", "Date", "Sales")],
+                        F.when(~good, F.col("_line")).alias("line"))
 
 
 def clustered_outliers(ctx: PanelContext) -> DataFrame:                  # S08 clustered by store, C02 on it
