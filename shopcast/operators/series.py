@@ -159,8 +159,11 @@ def _cross_moments(levels: Column, diffs: Column, lags: Column) -> Column:
     behind = F.transform(F.filter(F.sequence(F.lit(0), lags), lambda j: j > 0), lambda j: F.slice(diffs, lags + 1 - j, rows))
     columns = F.concat(F.array(F.array_repeat(F.lit(1.0), rows), F.slice(levels, lags + 1, rows)), behind,
                        F.array(F.slice(diffs, lags + 1, rows)))
-    # An array of one, so that the columns are computed once.
-    return F.element_at(F.transform(F.array(columns), lambda c: F.flatten(F.transform(c, lambda x: F.transform(c, lambda y: _dot(x, y))))), 1)
+    # The matrix is symmetric: a row holds the products from its diagonal on.
+    # Arrays of one, so that the columns and the rows are computed once.
+    half = F.transform(F.array(columns), lambda c: F.transform(c, lambda x, i: F.transform(F.slice(c, i + 1, F.size(c) - i), lambda y: _dot(x, y))))
+    return F.element_at(F.transform(half, lambda h: F.flatten(F.transform(h, lambda _, i: F.transform(
+        h, lambda _, j: F.get(F.get(h, F.least(i, j)), F.abs(i - j)))))), 1)
 
 
 def _eliminated(moments: Column, pivots: Column, m: Column) -> Column:
