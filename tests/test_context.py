@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shopcast import session
 from shopcast.operators import series
 from shopcast.operators.clean import fill_forward_back
+from shopcast.operators.joins import load_dataset
 from shopcast.plans import questions as Q
 from shopcast.plans.context import build_context, clear_cache
 from shopcast.sources import fixture, readers, schemas
@@ -49,6 +50,50 @@ def test_easter_is_computed_once_a_day(spark):
     assert got[dt.date(2000, 5, 1)] == "a" and got[dt.date(2000, 4, 23)] == "0" and len(got) == 731
 
 
+@pytest.fixture
+def small_tables(spark, tmp_path):
+    """Store 1 trades on the first, third and last day, store 2 inside the
+    span, store 3 never; one supplier and one line have no key."""
+    ts = [dt.datetime(2001, 1, d) for d in range(1, 7)]
+    lines = [(10, 1, 100.0, 0.1, ts[0]), (11, 1, 50.0, 0.0, ts[0]), (10, 1, 7.0, 0.0, ts[2]), (99, 1, 3.0, 0.0, ts[5]),
+             (11, 2, 20.0, 0.5, ts[3]), (11, None, 9.0, 0.0, ts[1]), (10, 9, 9.0, 0.0, ts[1]), (10, 2, 9.0, 0.0, None)]
+    tables = {"lineitem": (lines, "l_orderkey long, l_suppkey long, l_extendedprice double, l_discount double, l_shipdate timestamp"),
+              "orders": ([(10, 5), (11, 6)], "o_orderkey long, o_custkey long"),
+              "supplier": ([(1, 0), (2, 0), (3, 0), (None, 0)], "s_suppkey long, s_nationkey int"),
+              "nation": ([(0, "X")], "n_nationkey int, n_name string")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+def test_panel_holds_every_store_and_day(spark, small_tables):
+    days = [dt.date(2001, 1, d) for d in range(1, 7)]
+    facts = {(1, days[0]): (140, 2), (1, days[2]): (7, 1), (1, days[5]): (3, 0), (2, days[3]): (10, 1)}
+    want = []
+    for store in (1, 2, 3, None):
+        for no, d in enumerate(days):
+            is_open = (store, d) in facts or (store is not None and (store + no) % 97 == 0)
+            want.append((store, d, *facts.get((store, d), (0, 0)), int(is_open), d.isoweekday()))
+    got = fixture.daily_panel(spark, small_tables).select("Store", "Date", "Sales", "Customers", "Open", "DayOfWeek").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    # A span that is narrower than the facts.
+    part = fixture.daily_panel(spark, small_tables, ("2001-01-02", "2001-01-04")).collect()
+    assert len(part) == 12 and sorted(r.Sales for r in part)[-2:] == [7, 10]
+
+
+def test_panel_is_made_without_a_shuffle_of_its_days(spark, small_tables, written):
+    span = ("2001-01-01", "2001-01-06")
+    rows = fixture.panel_rows(session.materialize(fixture.daily_spans(spark, small_tables, span), "spans"), span)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange hashpartitioning" not in plan
+    # The computus is applied to calendar days, not to rows of the panel.
+    holidays = rows.filter("StateHoliday != '0'").select("Date")
+    assert holidays._jdf.queryExecution().optimizedPlan().toString().count("Filter NOT CASE") <= 1
+    ctx = build_context(spark, small_tables)
+    plan = load_dataset(ctx.inputs, "train", with_external=False)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "dimension" in written()
+
+
 def test_gap_fill_stays_a_plan_and_medians_fill_what_is_left(spark, written):
     s = "Store int, Date int, a double, b double"
     full = spark.createDataFrame([(1, 1, None, 2.0), (1, 2, 5.0, None), (2, 1, 7.0, 1.0), (None, 1, 3.0, 4.0)], s)
