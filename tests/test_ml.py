@@ -232,3 +232,14 @@ def test_join_is_the_same_with_and_without_broadcast(spark):
 
 def test_catalogue_fits_all_rounds():
     assert MQ.PANEL_PARAMS["gbt"]["maxIter"] == 600 and MQ.PANEL_PARAMS["gbt"]["stepSize"] == 0.05
+
+
+def test_boosting_walks_its_shallow_trees(spark):
+    """Without cached node ids, and with the same trees as with them."""
+    from pyspark.ml.functions import array_to_vector
+    x = spark.range(400).select(array_to_vector(F.array((F.col("id") % 7).cast("double"), (F.col("id") % 11).cast("double"))).alias("features"),
+                                (F.col("id") % 7 * 2 + F.col("id") % 5).cast("double").alias(ml.LABEL))
+    boosted = ml.make_regressor("gbt", {"maxIter": 4, "maxDepth": 3})
+    assert not boosted.getCacheNodeIds() and ml.make_regressor("rf").getCacheNodeIds()
+    a, b = (m.fit(x).toDebugString.split("\n", 1)[1] for m in (boosted, boosted.copy().setCacheNodeIds(True)))
+    assert a == b
