@@ -10,7 +10,8 @@ from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from shopcast import session
-from shopcast.operators import series
+from shopcast.functions import stats
+from shopcast.operators import clean, series
 from shopcast.operators.clean import fill_forward_back
 from shopcast.operators.joins import load_dataset
 from shopcast.plans import questions as Q
@@ -94,6 +95,34 @@ def test_panel_is_made_without_a_shuffle_of_its_days(spark, small_tables, writte
     assert "SortMergeJoin" not in plan and "dimension" in written()
 
 
+def test_joins_that_bring_no_column_are_dropped(spark, written):
+    ctx = build_context(spark, SF_SMALL)
+    plan = ctx.raw.select("Store", "Date", "Sales")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "LeftOuter" not in plan      # the calendar days
+    assert "LeftOuter" in ctx.raw.select("TrendState")._jdf.queryExecution().optimizedPlan().toString()
+    assert ctx.raw.select("Store").count() == ctx.raw.filter("coalesce(Mean_TemperatureC, TrendDE, 0) is not null").count()
+
+
+def test_lines_are_dealt_once(spark, small_tables):
+    plan = fixture.daily_facts(spark, small_tables)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize(("look", "passes"), [(1, 0), (1 << 40, 1)])
+def test_a_few_days_settle_what_is_filled(spark, monkeypatch, look, passes):
+    monkeypatch.setattr(clean, "FIRST_LOOK", look)
+    rows = [(k, d, 1.0 if k != 2 or d == 5 else None, float(d) if k == 3 else None) for k in (None, 1, 2, 3) for d in range(8)]
+    df = spark.createDataFrame(rows, "Store int, Date int, a double, b double")
+    assert clean.unfilled(df, ["a"], "Store", "Date", "store") == []
+    assert clean.unfilled(df, ["a", "b"], "Store", "Date", "store") == ["b"]
+    # In scope frame store 3 lends b to the earlier ones, not to the null one.
+    assert clean.unfilled(df.filter("Store is not null"), ["a", "b"], "Store", "Date", "frame") == []
+    seen = []
+    monkeypatch.setattr(clean, "with_scalars", lambda *a: seen.append(a) or stats.with_scalars(*a))
+    clean.unfilled(df, ["a"], "Store", "Date", "frame")
+    assert len(seen) == passes
+
+
 def test_gap_fill_stays_a_plan_and_medians_fill_what_is_left(spark, written):
     s = "Store int, Date int, a double, b double"
     full = spark.createDataFrame([(1, 1, None, 2.0), (1, 2, 5.0, None), (2, 1, 7.0, 1.0), (None, 1, 3.0, 4.0)], s)
