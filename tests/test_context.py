@@ -4,6 +4,7 @@ gets from its date is computed once a day."""
 import datetime as dt
 import glob
 import os
+import re
 
 import pytest
 from conftest import SF_SMALL
@@ -15,7 +16,7 @@ from shopcast.operators import clean, series
 from shopcast.operators.clean import fill_forward_back
 from shopcast.operators.joins import load_dataset
 from shopcast.plans import questions as Q
-from shopcast.plans.context import build_context, clear_cache
+from shopcast.plans.context import build_context, clear_cache, compared_doubles
 from shopcast.sources import fixture, readers, schemas
 
 
@@ -159,3 +160,19 @@ def test_cross_moments_compute_half_of_the_matrix(spark):
     assert "least" in df.select(m.alias("m"))._jdf.queryExecution().analyzed().toString()
     cols = [[1.0] * 4, [4.0, 2.0, 8.0, 5.0], [3.0, -2.0, 6.0, -3.0], [-2.0, 6.0, -3.0, 2.0]]
     assert df.select(m.alias("m")).first().m == [sum(a * b for a, b in zip(x, y)) for x in cols for y in cols]
+
+
+def test_many_doubles_are_rounded_in_short_methods(spark):
+    values = [None, float("nan"), float("inf"), 0.0, 2.5e-4, 0.1234567891, -123.4567895, 999999999.9999999, -1e9, 123456789012.345, 1e15]
+    want = [None, "nan", float("inf"), 0.0, 2.5e-4, 0.123457, -123.456789, 1e9, -1e9, 123456789012.35, 1e15]
+    few = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "i int, x double")
+    many = few.select("i", *[F.col("x").alias(f"x{k}") for k in range(18)], F.lit("a").alias("s"))
+    assert [r.x if r.x == r.x else "nan" for r in compared_doubles(few).orderBy("i").collect()] == want
+    out = compared_doubles(many)
+    assert out.dtypes == many.dtypes
+    for r in out.orderBy("i").collect():
+        assert {x if x == x else "nan" for x in r[1:-1]} == {want[r.i]}
+    plan = compared_doubles(spark.range(9).select(*[(F.rand(k) * F.col("id")).alias(f"x{k}") for k in range(18)]))
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+    code = getattr(debug, "MODULE$").codegenString(plan._jdf.queryExecution().executedPlan())
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
