@@ -25,18 +25,21 @@ from __future__ import annotations
 import html
 import random
 import re
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopcast.llm.common import map_texts, nothing
-from shopcast.llm.shingles import U, mix, word_hashes
+from shopcast.llm.shingles import U, mix, word_spans
 
 SAMPLE_PAGES = 192
 EPOCHS = 14
 PATH_SIZE, WORD_SIZE, PATH_DIM, WORD_DIM, HIDDEN = 2048, 512, 16, 8, 16
 COUNTS = 8
+#: Bytes of short texts whose words are hashed together.
+HASHED = 1 << 16
 
 RAW = "script|style|template|noscript|iframe|svg|textarea|select|object|math"
 TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?:/>|>.*?(?:</\1\s*>|\Z))"
@@ -165,16 +168,39 @@ def stable_hash(name: str) -> int:
     return (x ^ (x >> 29)) * 0xBF58476D1CE4E5B9 % (1 << 64) >> 20
 
 
-def word_ids(text: str) -> np.ndarray:
-    return (mix(word_hashes(text.encode().lower()) + U(11)) % U(WORD_SIZE)).astype(np.int64)
-
-
-def counts(b: Block) -> list[float]:
-    n = len(b.text)
-    words = b.text.count(" ") + 1
-    stops = sum(map(b.text.count, ".!?;"))
-    return [np.log1p(n) / 8, np.log1p(words) / 6, b.links / n, stops / words, float(b.tag in HEADINGS), float(b.tag == "li"),
-            float("©" in b.text or "|" in b.text), 1.0]
+def word_ids(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed ids of the words of texts, one after the other, and how many each
+    text has. Short texts are hashed together, up to ``HASHED`` bytes at once."""
+    ids, sizes, held, size = [], [], [], 0
+
+    def flush() -> None:
+        nonlocal held, size
+        h, start, _ = word_spans(b"\n".join(held))
+        ids.append((mix(h + U(11)) % U(WORD_SIZE)).astype(np.int64))
+        ends = np.cumsum([len(t) + 1 for t in held])
+        sizes.append(np.diff(np.searchsorted(start, ends), prepend=0))
+        held, size = [], 0
+
+    for text in texts:
+        b = text.encode().lower()
+        if held and size + len(b) > HASHED:
+            flush()
+        held.append(b)
+        size += len(b) + 1
+    if held:
+        flush()
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *ids]), np.concatenate([none, *sizes])
+
+
+def counts(blocks: list[Block]) -> np.ndarray:
+    """``COUNTS`` numbers per block."""
+    n = np.array([len(b.text) for b in blocks], float)
+    words = np.array([b.text.count(" ") + 1 for b in blocks], float)
+    stops = np.array([sum(map(b.text.count, ".!?;")) for b in blocks], float)
+    links = np.array([b.links for b in blocks], float)
+    marks = np.array([(b.tag in HEADINGS, b.tag == "li", "©" in b.text or "|" in b.text) for b in blocks], float).reshape(len(blocks), 3)
+    return np.column_stack([np.log1p(n) / 8, np.log1p(words) / 6, links / n, stops / words, marks, np.ones(len(blocks))])
 
 
 class Batch:
@@ -190,17 +216,16 @@ class Batch:
         self.mask[self.row, self.col] = 1
         memo: dict[tuple, list[int]] = {}
         paths = [memo.get(b.path) or memo.setdefault(b.path, path_ids(b.path)) for b in flat]
-        words = [word_ids(b.text) for b in flat]
-        self.path, self.path_of, self.path_w = ragged(paths)
-        self.word, self.word_of, self.word_w = ragged(words)
-        self.counts = np.array([counts(b) for b in flat]).reshape(len(flat), COUNTS)
+        self.path, self.path_of, self.path_w = ragged(np.fromiter(chain.from_iterable(paths), np.int64), [len(p) for p in paths])
+        self.word, self.word_of, self.word_w = ragged(*word_ids([b.text for b in flat]))
+        self.counts = counts(flat)
         t = np.arange(self.shape[1])
         self.flip = np.where(t < self.size[:, None], self.size[:, None] - 1 - t, t)
 
 
-def ragged(lists) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = np.array([len(x) for x in lists], np.int64)
-    flat = np.concatenate([np.asarray(x, np.int64) for x in lists]) if len(lists) else np.zeros(0, np.int64)
+def ragged(flat: np.ndarray, sizes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lists one after the other: their values, lists, and weights within."""
+    n = np.asarray(sizes, np.int64)
     return flat, np.repeat(np.arange(len(n)), n), np.repeat(1 / np.maximum(n, 1), n)
 
 

@@ -103,3 +103,15 @@ def test_defined_results(spark):
     assert len(got) == 6 and got[0] == got[1]
     assert {(r[0], r[2], r[3]) for r in got if r[0] not in (1, 4)} == {(2, "", 0), (None, "", 0), (3, "", 0)}
     assert h.extract(df.limit(0)).collect() == []
+
+
+def test_words_of_short_blocks_are_hashed_together(monkeypatch):
+    calls, spans = [], h.word_spans
+    monkeypatch.setattr(h, "word_spans", lambda b: calls.append(len(b)) or spans(b))
+    short = [f"Block {i} of É words, some ALIKE" for i in range(5_000)] + ["one", "x" * (2 * h.HASHED), "a b"]
+    h.Batch([[h.Block(t, ("p",), 0, "p") for t in short]])
+    assert len(calls) <= sum(len(t.encode()) + 1 for t in short) // (h.HASHED // 2) + 1 and max(calls) <= 2 * h.HASHED
+    ids, sizes = h.word_ids(short)
+    alone = [(h.mix(spans(t.encode().lower())[0] + h.U(11)) % h.U(h.WORD_SIZE)).tolist() for t in short]
+    assert ids.tolist() == [x for a in alone for x in a] and sizes.tolist() == [len(a) for a in alone]
+    assert h.word_ids([])[0].tolist() == [] and h.Batch([[], []]).counts.shape == (0, h.COUNTS)
