@@ -152,31 +152,84 @@ def _dot(x: Column, y: Column) -> Column:
     return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def _cross_moments(levels: Column, diffs: Column, lags: Column) -> Column:
-    """Flat matrix of cross moments over the sample that ``lags`` leaves, of
-    the columns: 1, the last level, the lagged differences, the target."""
-    rows = F.size(levels) - 1 - lags
-    behind = F.transform(F.filter(F.sequence(F.lit(0), lags), lambda j: j > 0), lambda j: F.slice(diffs, lags + 1 - j, rows))
-    columns = F.concat(F.array(F.array_repeat(F.lit(1.0), rows), F.slice(levels, lags + 1, rows)), behind,
-                       F.array(F.slice(diffs, lags + 1, rows)))
-    # The matrix is symmetric: a row holds the products from its diagonal on.
-    # Arrays of one, so that the columns and the rows are computed once.
-    half = F.transform(F.array(columns), lambda c: F.transform(c, lambda x, i: F.transform(F.slice(c, i + 1, F.size(c) - i), lambda y: _dot(x, y))))
-    return F.element_at(F.transform(half, lambda h: F.flatten(F.transform(h, lambda _, i: F.transform(
-        h, lambda _, j: F.get(F.get(h, F.least(i, j)), F.abs(i - j)))))), 1)
-
-
-def _eliminated(moments: Column, pivots: Column, m: Column) -> Column:
-    """Fold of Gaussian elimination over a flat symmetric ``m`` x ``m`` matrix:
-    the matrix at the end, and before each step the last diagonal element
-    (the residual square sum of the columns so far) and the pivot."""
-    def step(s: Column, k: Column) -> Column:
-        a = s["a"]
-        left = F.transform(a, lambda v, i: v - F.try_divide(F.get(a, i - i % m + k) * F.get(a, k * m + i % m), F.get(a, k * m + k)))
-        return F.struct(left.alias("a"), F.concat(s["rest"], F.array(F.get(a, m * m - 1))).alias("rest"),
-                        F.concat(s["pivots"], F.array(F.get(a, k * m + k))).alias("pivots"))
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once (an array of one)."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _lagged_moments(x: Column, d: Column, lags: Column) -> Column:
+    """Sums over the sample t that ``lags`` leaves, of levels x[t] and lagged
+    differences d[t-j] for j = 0..lags: ``rows``, ``x`` (levels), ``xx``
+    (squares), ``s`` (differences), ``xd`` (levels by differences) and ``dd``
+    (row j: difference j by differences j..lags).
+
+    Moving both lags by one moves the sample by one, so a product sum follows
+    from the one before by its first and last term: only the sums of lag 0 go
+    over the values. Sums of integers are exact."""
+    n, rows = F.size(d), F.size(d) - lags
+    steps = F.filter(F.sequence(F.lit(0), lags), lambda j: j > 0)
+    ends = lambda values, j, k: values(lags - j) * F.get(d, lags - j - k) - values(n - j) * F.get(d, n - j - k)
+
+    def all_sums(z: Column) -> Column:
+        dd = F.aggregate(steps, F.array(z["dd"]), lambda acc, j: F.concat(acc, F.array(F.transform(
+            F.slice(F.element_at(acc, -1), F.lit(1), lags + 1 - j), lambda v, q: v + ends(lambda at: F.get(d, at), j, q)))))
+        return _once(dd, lambda h: F.struct(
+            rows.cast("double").alias("rows"), z["x"].alias("x"), z["xx"].alias("xx"), h.alias("dd"),
+            F.transform(F.sequence(F.lit(0), lags), lambda j: F.get(x, n - j) - F.get(x, lags - j)).alias("s"),
+            F.aggregate(steps, F.array(z["xd"]), lambda acc, j: F.concat(acc, F.array(
+                F.element_at(acc, -1) + F.get(F.get(h, F.lit(1)), j - 1)
+                + F.get(x, lags - 1) * F.get(d, lags - j) - F.get(x, n - 1) * F.get(d, n - j)))).alias("xd")))
+
+    own = F.struct(F.slice(x, lags + 1, rows).alias("x"), F.slice(d, lags + 1, rows).alias("d"))
+    return _once(own, lambda t: _once(F.struct(
+        F.aggregate(t["x"], F.lit(0.0), lambda acc, v: acc + v).alias("x"), _dot(t["x"], t["x"]).alias("xx"), _dot(t["x"], t["d"]).alias("xd"),
+        F.transform(F.sequence(F.lit(0), lags), lambda j: _dot(t["d"], F.slice(d, lags + 1 - j, rows))).alias("dd")), all_sums))
+
+
+def _cross_moments(x: Column, d: Column, lags: Column, level_last: bool = False) -> Column:
+    """Upper half of the symmetric matrix of cross moments (row i from its
+    diagonal on) over the sample that ``lags`` leaves, of the columns: 1, the
+    last level, the lagged differences, the target; ``level_last`` puts the
+    level right before the target."""
+    def rest(values: Column) -> Column:
+        return F.slice(values, F.lit(2), F.size(values) - 1)
+
+    def matrix(z: Column) -> Column:
+        one, level, now = F.array(z["rows"]), F.array(z["x"]), F.get(z["dd"], F.lit(0))
+        s0, xd0, target = F.slice(z["s"], 1, 1), F.slice(z["xd"], 1, 1), F.array(F.slice(now, 1, 1))
+        if level_last:
+            lagged = F.transform(rest(z["dd"]), lambda row, i: F.concat(row, F.array(F.get(z["xd"], i + 1), F.get(now, i + 1))))
+            return F.concat(F.array(F.concat(one, rest(z["s"]), level, s0)), lagged, F.array(F.concat(F.array(z["xx"]), xd0)), target)
+        lagged = F.transform(rest(z["dd"]), lambda row, i: F.concat(row, F.array(F.get(now, i + 1))))
+        return F.concat(F.array(F.concat(one, level, rest(z["s"]), s0), F.concat(F.array(z["xx"]), rest(z["xd"]), xd0)), lagged, target)
+    return _once(_lagged_moments(x, d, lags), matrix)
+
+
+def _eliminated(half: Column, steps: Column) -> Column:
+    """Fold of Gaussian elimination over a symmetric matrix given by its upper
+    half, first column first: the half that ``steps`` leave, and before each
+    step the last diagonal element (the residual square sum of the columns so
+    far) and the pivot."""
+    def step(s: Column, _) -> Column:
+        first = F.get(s["a"], F.lit(0))
+        pivot = F.get(first, F.lit(0))
+        below = F.transform(F.slice(s["a"], F.lit(2), F.size(s["a"]) - 1), lambda row, i: F.zip_with(
+            row, F.slice(first, i + 2, F.size(row)), lambda v, u: v - F.try_divide(F.get(first, i + 1) * u, pivot)))
+        return F.struct(below.alias("a"), F.concat(s["rest"], F.element_at(s["a"], -1)).alias("rest"),
+                        F.concat(s["pivots"], F.array(pivot)).alias("pivots"))
     none = F.array().cast("array<double>")
-    return F.aggregate(pivots, F.struct(moments.alias("a"), none.alias("rest"), none.alias("pivots")), step)
+    return F.aggregate(steps, F.struct(half.alias("a"), none.alias("rest"), none.alias("pivots")), step)
+
+
+def _adf_order(half: Column, e: Column, rows: Column) -> Column:
+    """The lag order of least AIC, from the matrix and its elimination up to
+    the target; NULL where the regression is not determined."""
+    total, ssr = F.get(e["rest"], F.lit(1)), F.slice(F.concat(e["rest"], F.get(e["a"], F.lit(0))), F.lit(3), F.size(half))
+    sound = F.forall(ssr, lambda v: v > ADF_TOLERANCE * total) & F.forall(
+        F.zip_with(e["pivots"], F.slice(half, F.lit(1), F.size(half) - 1), lambda v, row: v > ADF_TOLERANCE * F.get(row, F.lit(0))),
+        lambda ok: ok)
+    aic = F.transform(ssr, lambda v, p: rows * (math.log(2 * math.pi) + F.ln(v / rows) + 1.0) + 2 * (p + 2))
+    return F.when(sound & (total > 0), _once(aic, lambda values: (F.array_position(values, F.array_min(values)) - 1).cast("int")))
 
 
 def adf(s: DataFrame, by: list[str] | None = None, order: str = "Date", value: str = "value") -> DataFrame:  # K02
@@ -187,7 +240,8 @@ def adf(s: DataFrame, by: list[str] | None = None, order: str = "Date", value: s
     A series is one row with its ordered values (bounded by the calendar). Its
     regressions share one matrix of cross moments: the residual square sums of
     the nested lag orders are what successive elimination leaves of the target.
-    The chosen order's own, longer sample gets a matrix of its own.
+    The chosen order's own, longer sample gets a matrix of its own. Each of the
+    two is one expression, written: an inlined fold would run once per use.
     """
     key = list(by or []) or ["_series"]
     df = (s if by else s.withColumn("_series", F.lit("all"))).where(F.col(value).isNotNull())
@@ -198,22 +252,16 @@ def adf(s: DataFrame, by: list[str] | None = None, order: str = "Date", value: s
     last, first = F.slice("_x", F.lit(2), F.size("_x") - 1), F.slice("_x", F.lit(1), F.size("_x") - 1)
     x = g.where((F.size("_x") >= ADF_MIN_ROWS) & (F.col("_hi") > F.col("_lo"))).select(
         *key, "_x", F.zip_with(last, first, lambda b, a: b - a).alias("_d"), adf_lags(F.size("_x")).alias("_lags"))
-    m, k = F.col("_m"), F.col("_lags") + 2
-    x = x.withColumn("_m", F.col("_lags") + 3).withColumn("_a", _cross_moments(F.col("_x"), F.col("_d"), F.col("_lags")))
-    x = materialize(x, "adf-moments").withColumn("_e", _eliminated(F.col("_a"), F.sequence(F.lit(0), F.col("_lags") + 1), m))
-    x = x.withColumn("_ssr", F.slice(F.concat("_e.rest", F.array(F.get(F.col("_e.a"), m * m - 1))), F.lit(3), F.col("_lags") + 1))
-    total, rows = F.get(F.col("_e.rest"), F.lit(1)), F.size("_d") - F.col("_lags")
-    sound = F.forall("_ssr", lambda v: v > ADF_TOLERANCE * total) & F.forall(
-        F.sequence(F.lit(0), k - 1), lambda i: F.get(F.col("_e.pivots"), i) > ADF_TOLERANCE * F.get(F.col("_a"), i * m + i))
-    aic = F.transform("_ssr", lambda v, p: rows * (math.log(2 * math.pi) + F.ln(v / rows) + 1.0) + 2 * (p + 2))
-    x = x.where(sound & (total > 0)).select(*key, "_x", "_d", aic.alias("_aic"))
-    x = x.select(*key, "_x", "_d", (F.array_position("_aic", F.array_min("_aic")) - 1).cast("int").alias("_p"))
-    x = x.withColumn("_m", F.col("_p") + 3).withColumn("_a", _cross_moments(F.col("_x"), F.col("_d"), F.col("_p")))
-    x = materialize(x.select(*key, "_p", "_m", "_a", (F.size("_d") - F.col("_p")).alias("_rows")), "adf-orders")
-    others = F.filter(F.sequence(F.lit(0), F.col("_p") + 1), lambda i: i != 1)
-    x = x.withColumn("_e", _eliminated(F.col("_a"), others, m)["a"])
-    x = x.select(*key, "_p", "_rows", F.get(F.col("_e"), m + 1).alias("_xx"), F.get(F.col("_e"), 2 * m - 1).alias("_xy"),
-                 F.get(F.col("_e"), m * m - 1).alias("_yy"), F.get(F.col("_a"), m + 1).alias("_x2"))
+    tried = _once(F.struct("_x", "_d", "_lags"), lambda r: _once(
+        _cross_moments(r["_x"], r["_d"], r["_lags"]), lambda a: _once(
+            _eliminated(a, F.sequence(F.lit(0), r["_lags"] + 1)), lambda e: _adf_order(a, e, F.size(r["_d"]) - r["_lags"]))))
+    x = materialize(x.select(*key, "_x", "_d", tried.alias("_p")), "adf-orders").where("_p is not null")
+    left_of = _once(_cross_moments(F.col("_x"), F.col("_d"), F.col("_p"), level_last=True), lambda a: F.struct(
+        F.get(F.element_at(a, -2), F.lit(0)).alias("x2"), _eliminated(a, F.sequence(F.lit(0), F.col("_p")))["a"].alias("a")))
+    x = materialize(x.select(*key, "_p", (F.size("_d") - F.col("_p")).alias("_rows"), left_of.alias("_e")), "adf-tests")
+    level, target = F.get("_e.a", F.lit(0)), F.get("_e.a", F.lit(1))
+    x = x.select(*key, "_p", "_rows", F.get(level, F.lit(0)).alias("_xx"), F.get(level, F.lit(1)).alias("_xy"),
+                 F.get(target, F.lit(0)).alias("_yy"), F.col("_e.x2").alias("_x2"))
     free, left = F.col("_rows") - F.col("_p") - 2, F.col("_yy") - F.col("_xy") * F.col("_xy") / F.col("_xx")
     stat = F.when((F.col("_xx") > ADF_TOLERANCE * F.col("_x2")) & (free > 0) & (left > 0),
                   F.col("_xy") / F.col("_xx") / F.sqrt(left / free / F.col("_xx")))

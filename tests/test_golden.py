@@ -179,6 +179,21 @@ def test_adf_and_pacf_equal_plain_versions(spark):
         assert [parts[(k, i)] for i in range(13)] == pytest.approx(plain_series.durbin_levinson(rho), abs=1e-9)
 
 
+def test_adf_moments_follow_from_sums_of_lag_zero(spark):
+    # integers: exact, whatever the order of summation
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 300_000, 90).astype(float)
+    d = np.diff(x)
+    df = spark.createDataFrame([(lags, x.tolist(), d.tolist()) for lags in (0, 1, 7, 19)], "lags int, x array<double>, d array<double>")
+    got = df.select("lags", K._cross_moments(F.col("x"), F.col("d"), F.col("lags")).alias("a"),
+                    K._cross_moments(F.col("x"), F.col("d"), F.col("lags"), level_last=True).alias("b")).collect()
+    for r in got:
+        y, z, _ = plain_series.design(x, r.lags)
+        for half, cols in ((r.a, np.column_stack([z, y])), (r.b, np.column_stack([z[:, :1], z[:, 2:], z[:, 1:2], y]))):
+            m = cols.T @ cols
+            assert [list(row) for row in half] == [m[i, i:].tolist() for i in range(len(m))]
+
+
 def test_series_run_without_python_workers(spark):
     s = spark.createDataFrame([("a", i, float(i * i % 17)) for i in range(60)], "id string, t int, value double")
     for df in (K.adf(s, ["id"], order="t"), K.pacf(K.acf(s, ["id"], order="t"), ["id"])):
