@@ -243,3 +243,21 @@ def test_boosting_walks_its_shallow_trees(spark):
     assert not boosted.getCacheNodeIds() and ml.make_regressor("rf").getCacheNodeIds()
     a, b = (m.fit(x).toDebugString.split("\n", 1)[1] for m in (boosted, boosted.copy().setCacheNodeIds(True)))
     assert a == b
+
+
+def test_median_imputer_equals_the_exact_one_of_spark(spark):
+    from pyspark.ml.feature import Imputer
+    rng = np.random.default_rng(3)
+    rows = [(int(i % 4), None if i % 3 == 0 else float(rng.integers(0, 9)), float("nan") if i % 5 == 0 else float(rng.normal()), float(i)) for i in range(100)]
+    df = spark.createDataFrame(rows, "a int, b double, c double, d double").repartition(5)
+    cols, outs = list("abcd"), [f"{c}_imp" for c in "abcd"]
+    fit = ml.MedianImputer(inputCols=cols, outputCols=outs).fit
+    spark_fit = Imputer(strategy="median", inputCols=cols, outputCols=outs, relativeError=0.0).fit
+    for part in (df, df.where("d < 51"), df.where("d = 1")):
+        assert fit(part).surrogateDF.first() == spark_fit(part).surrogateDF.first()
+    assert sorted(map(repr, fit(df).transform(df).collect())) == sorted(map(repr, spark_fit(df).transform(df).collect()))
+    assert "MedianImputer" in str(ml.build_preprocessor(cols, [])[0])
+    empty = df.withColumn("b", F.lit(None).cast("double"))
+    for f in (fit, spark_fit):
+        with pytest.raises(Exception, match="surrogate"):
+            f(empty)
