@@ -41,8 +41,11 @@ def assert_unique(dim: DataFrame, keys: list[str], what: str = "dimension") -> i
 def known_unique(dim: DataFrame, keys: list[str]) -> DataFrame:
     """A dimension whose keys ``assert_unique`` has checked, in a form that
     tells Catalyst so: a left join of which no column is read is then dropped
-    from the plan. The rows stay as they are."""
-    return dim.dropDuplicates(keys)
+    from the plan. The rows stay as they are. (``dropDuplicates`` does the same,
+    but Catalyst renames its columns late and an ``exceptAll`` of two frames
+    over it does not find them.)"""
+    rest = [F.first(c).alias(c) for c in dim.columns if c not in keys]
+    return dim.groupBy(*keys).agg(*rest).select(*dim.columns) if rest else dim.distinct()
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

@@ -186,7 +186,7 @@ def _lagged_moments(x: Column, d: Column, lags: Column) -> Column:
         F.transform(F.sequence(F.lit(0), lags), lambda j: _dot(t["d"], F.slice(d, lags + 1 - j, rows))).alias("dd")), all_sums))
 
 
-def _cross_moments(x: Column, d: Column, lags: Column, level_last: bool = False) -> Column:
+def _half_moments(x: Column, d: Column, lags: Column, level_last: bool = False) -> Column:
     """Upper half of the symmetric matrix of cross moments (row i from its
     diagonal on) over the sample that ``lags`` leaves, of the columns: 1, the
     last level, the lagged differences, the target; ``level_last`` puts the
@@ -205,6 +205,12 @@ def _cross_moments(x: Column, d: Column, lags: Column, level_last: bool = False)
     return _once(_lagged_moments(x, d, lags), matrix)
 
 
+def _cross_moments(x: Column, d: Column, lags: Column) -> Column:
+    """The whole matrix of ``_half_moments``, flat."""
+    return _once(_half_moments(x, d, lags), lambda h: F.flatten(F.transform(h, lambda _, i: F.transform(
+        h, lambda _, j: F.get(F.get(h, F.least(i, j)), F.abs(i - j))))))
+
+
 def _eliminated(half: Column, steps: Column) -> Column:
     """Fold of Gaussian elimination over a symmetric matrix given by its upper
     half, first column first: the half that ``steps`` leave, and before each
@@ -253,10 +259,10 @@ def adf(s: DataFrame, by: list[str] | None = None, order: str = "Date", value: s
     x = g.where((F.size("_x") >= ADF_MIN_ROWS) & (F.col("_hi") > F.col("_lo"))).select(
         *key, "_x", F.zip_with(last, first, lambda b, a: b - a).alias("_d"), adf_lags(F.size("_x")).alias("_lags"))
     tried = _once(F.struct("_x", "_d", "_lags"), lambda r: _once(
-        _cross_moments(r["_x"], r["_d"], r["_lags"]), lambda a: _once(
+        _half_moments(r["_x"], r["_d"], r["_lags"]), lambda a: _once(
             _eliminated(a, F.sequence(F.lit(0), r["_lags"] + 1)), lambda e: _adf_order(a, e, F.size(r["_d"]) - r["_lags"]))))
     x = materialize(x.select(*key, "_x", "_d", tried.alias("_p")), "adf-orders").where("_p is not null")
-    left_of = _once(_cross_moments(F.col("_x"), F.col("_d"), F.col("_p"), level_last=True), lambda a: F.struct(
+    left_of = _once(_half_moments(F.col("_x"), F.col("_d"), F.col("_p"), level_last=True), lambda a: F.struct(
         F.get(F.element_at(a, -2), F.lit(0)).alias("x2"), _eliminated(a, F.sequence(F.lit(0), F.col("_p")))["a"].alias("a")))
     x = materialize(x.select(*key, "_p", (F.size("_d") - F.col("_p")).alias("_rows"), left_of.alias("_e")), "adf-tests")
     level, target = F.get("_e.a", F.lit(0)), F.get("_e.a", F.lit(1))

@@ -185,8 +185,8 @@ def test_adf_moments_follow_from_sums_of_lag_zero(spark):
     x = rng.integers(0, 300_000, 90).astype(float)
     d = np.diff(x)
     df = spark.createDataFrame([(lags, x.tolist(), d.tolist()) for lags in (0, 1, 7, 19)], "lags int, x array<double>, d array<double>")
-    got = df.select("lags", K._cross_moments(F.col("x"), F.col("d"), F.col("lags")).alias("a"),
-                    K._cross_moments(F.col("x"), F.col("d"), F.col("lags"), level_last=True).alias("b")).collect()
+    got = df.select("lags", K._half_moments(F.col("x"), F.col("d"), F.col("lags")).alias("a"),
+                    K._half_moments(F.col("x"), F.col("d"), F.col("lags"), level_last=True).alias("b")).collect()
     for r in got:
         y, z, _ = plain_series.design(x, r.lags)
         for half, cols in ((r.a, np.column_stack([z, y])), (r.b, np.column_stack([z[:, :1], z[:, 2:], z[:, 1:2], y]))):
